@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from . import decontaminate
+from .decontaminate import op1_winnowing
 from .simhash import op5_simhash
 
 QUERIES = {
+    "op1_winnowing": op1_winnowing,
     "op5_simhash": op5_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_winnowing": decontaminate.ORACLE,
+}
