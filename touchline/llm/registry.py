@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from . import decontaminate
 from .decontaminate import op1_winnowing
+from .langid import op7_string_kernel
+from .secrets import op9_secrets
 from .simhash import op5_simhash
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op5_simhash": op5_simhash,
+    "op7_string_kernel": op7_string_kernel,
+    "op9_secrets": op9_secrets,
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
