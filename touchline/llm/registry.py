@@ -5,12 +5,14 @@ from __future__ import annotations
 from . import decontaminate
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
+from .resharding import op6_min_cost_flow
 from .secrets import op9_secrets
 from .simhash import op5_simhash
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op5_simhash": op5_simhash,
+    "op6_min_cost_flow": op6_min_cost_flow,
     "op7_string_kernel": op7_string_kernel,
     "op9_secrets": op9_secrets,
 }
