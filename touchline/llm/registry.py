@@ -8,6 +8,7 @@ from .langid import op7_string_kernel
 from .resharding import op6_min_cost_flow
 from .secrets import op9_secrets
 from .simhash import op5_simhash
+from .subwords import op8_viterbi
 from .tokencounts import op10_pretokens
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_min_cost_flow": op6_min_cost_flow,
     "op7_string_kernel": op7_string_kernel,
+    "op8_viterbi": op8_viterbi,
     "op9_secrets": op9_secrets,
     "op10_pretokens": op10_pretokens,
 }
