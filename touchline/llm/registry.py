@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
 from .resharding import op6_min_cost_flow
@@ -10,9 +10,11 @@ from .secrets import op9_secrets
 from .simhash import op5_simhash
 from .subwords import op8_viterbi
 from .tokencounts import op10_pretokens
+from .urls import op3_bloom_cascade
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
+    "op3_bloom_cascade": op3_bloom_cascade,
     "op5_simhash": op5_simhash,
     "op6_min_cost_flow": op6_min_cost_flow,
     "op7_string_kernel": op7_string_kernel,
@@ -22,4 +24,5 @@ QUERIES = {
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
+    "op3_bloom_cascade": urls.ORACLE,
 }
