@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import decontaminate, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
+from .licenses import op2_minhash_bands
 from .resharding import op6_min_cost_flow
 from .secrets import op9_secrets
 from .simhash import op5_simhash
@@ -14,6 +15,7 @@ from .urls import op3_bloom_cascade
 
 QUERIES = {
     "op1_winnowing": op1_winnowing,
+    "op2_minhash_bands": op2_minhash_bands,
     "op3_bloom_cascade": op3_bloom_cascade,
     "op5_simhash": op5_simhash,
     "op6_min_cost_flow": op6_min_cost_flow,
@@ -24,5 +26,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
+    "op2_minhash_bands": op2_minhash_bands,
     "op3_bloom_cascade": urls.ORACLE,
 }
