@@ -29,10 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df as a Parquet table in the shared folder: its lineage ends there, and a lost executor loses nothing of it."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

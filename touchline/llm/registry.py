@@ -6,6 +6,7 @@ from . import decontaminate, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
 from .licenses import op2_minhash_bands
+from .media import op4_gear_chunks
 from .resharding import op6_min_cost_flow
 from .secrets import op9_secrets
 from .simhash import op5_simhash
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_minhash_bands": op2_minhash_bands,
     "op3_bloom_cascade": op3_bloom_cascade,
+    "op4_gear_chunks": op4_gear_chunks,
     "op5_simhash": op5_simhash,
     "op6_min_cost_flow": op6_min_cost_flow,
     "op7_string_kernel": op7_string_kernel,
