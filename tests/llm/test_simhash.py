@@ -39,7 +39,7 @@ def brute(rows):
 
 def run(spark, rows):
     docs = spark.createDataFrame([(d, t, "x", "y") for d, t in rows], SCHEMA)
-    return sorted(((r[0], r[1] % (1 << 64), r[2]) for r in near_duplicates(docs).collect()), key=str)
+    return sorted(((r.doc_id, r.fp % (1 << 64), r.component_id) for r in near_duplicates(docs).collect()), key=str)
 
 
 @settings(max_examples=60, deadline=None)

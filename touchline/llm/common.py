@@ -72,6 +72,14 @@ def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
+ROW_KEY = ("__touchline_id", "__touchline_text")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with ROW_KEY: doc_id (null as the least long) and a hash of text, both never null, to join rows by."""
+    return docs.withColumns({ROW_KEY[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), ROW_KEY[1]: F.xxhash64("text")})
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

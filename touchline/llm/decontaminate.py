@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, by_batch, chunks, in_bitmap, mixed, staged, table, text_bytes
+from .common import ROW_KEY, bitmap, by_batch, chunks, in_bitmap, keyed, mixed, staged, table, text_bytes
 
 WINDOW, GRAM = 10, 5
 #: What a word consists of: 0 for other bytes, else the byte with A-Z lowered.
@@ -173,8 +173,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     judged each for itself. Without items, or with an empty table of documents, nothing is hit."""
     windows = staged(windows_of_items(items), "item-windows")
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # 1 to WINDOW
-    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    prints = document_fingerprints(keyed, lengths, bitmap(windows, "fp"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    prints = document_fingerprints(numbered, lengths, bitmap(windows, "fp"))
     met = prints.alias("d").join(windows.alias("w"), (F.col("d.fp") == F.col("w.fp")) & (F.col("d.length") == F.col("w.length")), "left")
     first = F.col("d.before") - F.col("w.at")
     same = (first >= 0) & (F.slice("d.words", F.greatest(first, F.lit(0)) + 1, F.col("w.length")) == F.col("w.words"))
@@ -186,6 +186,12 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     return per.select("doc_id", "text_key", "n_words", union["n"].alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
 
 
+def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, in which no window of an item occurs."""
+    hit = contamination(docs, items).where("n_hit > 0").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1]))
+    return keyed(docs).join(hit, list(ROW_KEY), "left_anti").select(*docs.columns)
+
+
 def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for all of documents against all of benchmark."""
     got = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, chunks, staged, table, text_bytes
+from .common import ROW_KEY, by_batch, chunks, keyed, staged, table, text_bytes
 from .components import stars
 
 WORDS, BITS, SEED = 3, 3, 42
@@ -60,16 +60,16 @@ def simhashes(hashes: list[list[int]]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long) for each row of docs(doc_id, text); a null text has no words and so fingerprint zero."""
+    """(doc_id, text_key, fp long) for each row of docs(doc_id, text); a null text has no words and so fingerprint zero."""
 
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        data, at = text_bytes(batch.column(1))
-        raw = data.tobytes() if len(data) < 1 << 16 else memoryview(data)
+        data, at = text_bytes(batch.column(2))
         for i, j in chunks(at):
-            fp = simhashes([shingle_hashes(bytes(raw[at[k] : at[k + 1]])) for k in range(i, j)])
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            fp = simhashes([shingle_hashes(data[at[k] : at[k + 1]].tobytes()) for k in range(i, j)])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array(fp.view(np.int64))], ["doc_id", "text_key", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(by_batch(kernel), "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(by_batch(kernel), "doc_id long, text_key long, fp long")
 
 
 def variants(nodes: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long, component_id) for each row of docs(doc_id, text).
+    """(doc_id, text_key, fp long, component_id) for each row of docs(doc_id, text).
 
     component_id is the smallest doc_id that chains of links reach. A null text counts as an empty one; rows may repeat
     (each gives a row); a null doc_id never is a component_id unless all of its component are null; an empty table
@@ -156,7 +156,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rooted = nodes.join(star.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of docs, with all its columns, for each group of near-duplicates: the one with the smallest doc_id
+    (null only where there is no other), the smallest hash of text among these, any of rows that agree in both."""
+    groups = near_duplicates(docs)
+    first = groups.groupBy(F.coalesce("component_id", F.lit(-(1 << 63))).alias("c"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
+    kept = first.select(F.coalesce("k.doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("k.text_key").alias(ROW_KEY[1]))
+    return keyed(docs).join(kept, list(ROW_KEY), "left_semi").dropDuplicates(list(ROW_KEY)).select(*docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
