@@ -13,9 +13,10 @@ _SEGMENTS = ("Regions", "Tournaments", "Seasons", "Stages", "Matches")
 
 
 def snake_case(name: str) -> str:
-    """startTimeUtc and Start-Time Utc to start_time_utc."""
-    name = re.sub(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|-", "_", name)
-    return re.sub("_+", "_", re.sub(r"\s+", "", name)).lower()
+    """startTimeUtc to start_time_utc: a capital begins a word before a small letter, and after a small letter or digit;
+    hyphens become underscores and blanks go."""
+    name = re.sub(r"(?<!^)(?<!_)(?=[A-Z][a-z])|(?<=[a-z0-9])(?=[A-Z])", "_", name)
+    return name.lower().replace("-", "_").replace(" ", "")
 
 
 def with_snake_case(df: DataFrame) -> DataFrame:
