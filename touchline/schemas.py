@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 _LABEL = "struct<value: int, displayName: string>"
 EVENT = f"""struct<id: double, eventId: int, minute: int, second: double, teamId: bigint, playerId: bigint, relatedEventId: bigint, relatedPlayerId: bigint,
 x: double, y: double, endX: double, endY: double, goalMouthY: double, goalMouthZ: double, blockedX: double, blockedY: double, expandedMinute: int,
@@ -12,7 +10,7 @@ isTouch: boolean, isShot: boolean, isGoal: boolean>"""
 PLAYER = "struct<playerId: bigint, name: string, shirtNo: int, position: string, isFirstEleven: boolean>"
 TEAM = f"struct<teamId: bigint, name: string, players: array<{PLAYER}>>"
 #: One document per game, named <game_id>.json.
-MATCH = T.StructType.fromDDL(f"playerIdNameDictionary map<string, string>, home {TEAM}, away {TEAM}, events array<{EVENT}>")
+MATCH = f"playerIdNameDictionary map<string, string>, home {TEAM}, away {TEAM}, events array<{EVENT}>"
 
 #: (column, default where the document has none) of an event row, in order, besides game_id and event_ordinal.
 EVENT_COLUMNS = (
@@ -20,14 +18,14 @@ EVENT_COLUMNS = (
     "goal_mouth_y", "goal_mouth_z", "blocked_x", "blocked_y", "qualifiers", "is_touch", "is_shot", "is_goal", "card_type", "related_event_id", "related_player_id",
 )
 
-TIERS = T.StructType.fromDDL("id bigint, name string, tournaments array<struct<id: bigint, name: string>>")
-CALENDAR = T.StructType.fromDDL("mask map<string, map<string, map<string, int>>>")
+TIERS = "id bigint, name string, tournaments array<struct<id: bigint, name: string>>"
+CALENDAR = "mask map<string, map<string, map<string, int>>>"
 _FIXTURE = "struct<id: bigint, homeTeamName: string, awayTeamName: string, homeTeamId: bigint, awayTeamId: bigint, startTimeUtc: string, homeScore: int, awayScore: int, status: int>"
-FIXTURES = T.StructType.fromDDL(f"tournaments array<struct<tournamentId: bigint, matches: array<{_FIXTURE}>>>")
+FIXTURES = f"tournaments array<struct<tournamentId: bigint, matches: array<{_FIXTURE}>>>"
 
-REST_SCHEDULE = T.StructType.fromDDL("response array<struct<fixture: struct<id: bigint, date: string>, league: struct<id: bigint, name: string>, teams: struct<home: struct<name: string>, away: struct<name: string>>>>")
-REST_LINEUP = T.StructType.fromDDL("response array<struct<team: struct<id: bigint, name: string>, startXI: array<struct<player: struct<id: bigint, name: string, number: int>>>>>")
-REST_ODDS = T.StructType.fromDDL("response array<struct<fixture: struct<id: bigint>, bookmakers: array<struct<name: string, bets: array<struct<name: string, values: array<struct<value: string, odd: string>>>>>>>>")
+REST_SCHEDULE = "response array<struct<fixture: struct<id: bigint, date: string>, league: struct<id: bigint, name: string>, teams: struct<home: struct<name: string>, away: struct<name: string>>>>"
+REST_LINEUP = "response array<struct<team: struct<id: bigint, name: string>, startXI: array<struct<player: struct<id: bigint, name: string, number: int>>>>>"
+REST_ODDS = "response array<struct<fixture: struct<id: bigint>, bookmakers: array<struct<name: string, bets: array<struct<name: string, values: array<struct<value: string, odd: string>>>>>>>>"
 
 #: database.table -> (columns, key columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
