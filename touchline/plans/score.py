@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import actionvalue, goals, minutes, threat
 from ..operators.dedup import unprocessed
@@ -32,7 +33,7 @@ def metrics(f: dict[str, DataFrame], grid: DataFrame | None = None, models: tupl
 def player_games(f: dict[str, DataFrame]) -> DataFrame:
     """Rows of basis.player_game."""
     scored = goals.on_pitch_goals(f["on_pitch"], goals.goals(f["events"], f["teams"]))
-    kit = f["lineups"].groupBy("game_id", "player_id").agg({"jersey_number": "max", "is_starter": "max"}).toDF("game_id", "player_id", "kit_number", "starter")
+    kit = f["lineups"].groupBy("game_id", "player_id").agg(F.max("jersey_number").alias("kit_number"), F.max("is_starter").alias("starter"))
     home = f["home"]
     rows = scored.join(kit, ["game_id", "player_id"], "left").join(home, "game_id", "left")
     return rows.selectExpr("player_id", "game_id", "team_id", "minute_off - minute_on as minutes", "cast(coalesce(starter, false) as int) as starter", "cast(goals_for as int) as goals_for", "cast(goals_against as int) as goals_against", "kit_number", "cast(team_id = home_team_id as int) as is_home")
