@@ -1,7 +1,7 @@
 """Media columns in a deduplicated store of content-defined chunks.
 
-A payload is kept as 8-bit mono samples of a WAV file. The file is cut after its header and wherever a rolling gear
-hash of the last 32 bytes says so, so equal passages give equal chunks at any offset. Chunks that occur once in the
+A payload is kept as 8-bit mono samples of a WAV file, whose header follows from their number. The samples are cut
+wherever a rolling gear hash of the last 32 bytes says so, so equal passages give equal chunks at any offset. Chunks that occur once in the
 table are stored with their medium and never shuffled. Those that occur more often (all of them pass a bitmap of fixed
 size; a false hit only takes the longer way) are deduplicated: a join keeps one owner for each digest. Media are put
 together again from the ordered chunk list of each distinct file and verified against its digest.
@@ -68,7 +68,7 @@ def padded(text: bytes) -> bytes:
 
 
 def files(texts: list[bytes]) -> Iterator[tuple[bytes, list[bytes]]]:
-    """SHA-256 and chunks of the file of each text."""
+    """SHA-256 of the file of each text, and the chunks of its samples."""
     payloads = [padded(t) for t in texts]
     joined = b"".join(payloads)
     # LEAST is over 32, so no hash that counts reaches back into another payload
@@ -77,10 +77,9 @@ def files(texts: list[bytes]) -> Iterator[tuple[bytes, list[bytes]]]:
     first = np.searchsorted(at, bounds)
     for p, a, i, j in zip(payloads, bounds, first, first[1:]):
         ends = cuts((at[i:j] - a).tolist(), len(p))
-        parts = [header(len(p)), *(p[x:y] for x, y in zip([0, *ends], ends))]
-        sha = hashlib.sha256(parts[0])
+        sha = hashlib.sha256(header(len(p)))
         sha.update(p)
-        yield sha.digest(), parts
+        yield sha.digest(), [p[x:y] for x, y in zip([0, *ends], ends)]
 
 
 def digest(chunk: bytes) -> bytes:
@@ -180,28 +179,29 @@ def _joined(parts: str) -> F.Column:
 
 
 def restore(kept: Store) -> DataFrame:
-    """(media, file binary): each distinct file once, put together from its chunks.
+    """(media, samples binary): those of each distinct file, put together from its chunks.
 
     Files whose chunks are all their own are read where they lie; only the others' chunks move."""
     whole = F.size("own") == F.col("n_chunks")
-    alone = kept.stored.where(whole).select("media", _joined("own").alias("file"))
+    alone = kept.stored.where(whole).select("media", _joined("own").alias("samples"))
     recipes = kept.recipes.groupBy("media").agg(F.first("chunks").alias("chunks"))
     refs = recipes.select("media", F.posexplode("chunks").alias("seq", "digest"))
     fetched = refs.join(kept.shared, "digest").select("media", "seq", "data")
     own = kept.stored.where(~whole).select("media", F.explode("own").alias("o")).select("media", "o.seq", "o.data")
     parts = fetched.unionByName(own).groupBy("media").agg(F.collect_list(F.struct("seq", "data")).alias("parts"))
-    return alone.unionByName(parts.select("media", _joined("parts").alias("file")))
+    return alone.unionByName(parts.select("media", _joined("parts").alias("samples")))
 
 
 def features(media: DataFrame) -> DataFrame:
-    """media, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of (media, file); a file
-    that doesn't have its digest is an error."""
+    """media, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of (media, samples); a
+    file that doesn't have its digest is an error."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for sha, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
                 raw = raw.as_py()
+                raw = header(len(raw)) + raw
                 if hashlib.sha256(raw).digest() != sha:
                     raise ValueError(f"the stored file {sha.hex()} is damaged")
                 p = samples(raw)
