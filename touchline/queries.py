@@ -239,14 +239,14 @@ def player_basic_info(spark, sf):
     return got.select("id", F.col("exists").alias("exists_"), "kit_number", "team_id", "entries", "total_minutes")
 
 
-@query(f"""with {A.GM}, {_BASIC}, tm as (select player_id, max(case when metric = 'elo' then v end) as elo, max(case when metric = 'pm' then v end) as pm from (select player_id, metric, max_by(metric_value, (game_date, game_id)) as v from bm where game_id % 7 = 0 group by player_id, metric) as x group by player_id)
+@query(f"""with {A.GM}, {_BASIC}, tm as (select player_id, max(case when metric = 'elo' then v end) as elo, max(case when metric = 'pm' then v end) as pm from (select player_id, metric, max_by(metric_value, (game_date, game_id)) as v from bm where version = 0.1 group by player_id, metric) as x group by player_id)
 select distinct ids.id as id, tm.player_id is not null as exists_, case when tm.player_id is not null then kit_number end as kit_number, tm.elo as elo, tm.pm as pm, case when tm.player_id is not null then entries end as entries
 from ids left join customer on c_custkey = id left join tm on tm.player_id = c_custkey left join sd on sd.player_id = c_custkey left join rq on rq.player_id = c_custkey""")
 def player_overall_info(spark, sf):
     g = A.games(spark, sf)
     ids = A.table(spark, sf, "orders").select((F.col("o_custkey") + 5).alias("id"))
-    some = A.base_metric(g).where("game_id % 7 = 0")  # the feature under test: players without any metric
-    got = ratings.overall_info(ids, A.players(spark, sf), some, g, squads.history(A.squad_entries(g)), DAY, ["elo", "pm"])
+    old = A.base_metric(g).where("version = 0.1")  # a version that not all players have
+    got = ratings.overall_info(ids, A.players(spark, sf), old, g, squads.history(A.squad_entries(g)), DAY, ["elo", "pm"])
     return got.select("id", F.col("exists").alias("exists_"), "kit_number", "elo", "pm", "entries")
 
 
@@ -345,11 +345,11 @@ def number_in_use_close(spark, sf):
     return squads.close_number(squad, _taken(squad))
 
 
-@query(f"""with {A.GM}, ch as (select c_custkey as player_id, 90 as kit_number, cast(c_nationkey as bigint) as team_id, date '2001-09-01' as day_ from customer where c_custkey % 10 = 0)
+@query(f"""with {A.GM}, ch as (select c_custkey as player_id, 90 as kit_number, cast(c_nationkey as bigint) as team_id, date '2001-09-01' as day_ from customer where c_mktsegment = 'BUILDING')
 select sq.player_id as player_id, sq.kit_number as kit_number, sq.team_id as team_id, valid_from, case when valid_to = date '2099-12-31' and ch.player_id is not null then day_ else valid_to end as valid_to from sq left join ch on ch.player_id = sq.player_id
 union all select player_id, kit_number, team_id, day_, date '2099-12-31' from ch""")
 def squad_change(spark, sf):
-    c = A.table(spark, sf, "customer").where("c_custkey % 10 = 0")  # who changes number
+    c = A.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")  # who changes number
     changes = c.select(F.col("c_custkey").alias("player_id"), F.lit(90).alias("kit_number"), F.col("c_nationkey").cast("long").alias("team_id"), F.lit(date(2001, 9, 1)).alias("day"))
     return squads.change(squads.history(A.squad_entries(A.games(spark, sf))), changes)
 
@@ -365,18 +365,19 @@ def match_player(spark, sf):
 # changes of tables
 
 
-@query(f"""with {A.PITCH}, o as (select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl), n as (select player_id, game_id, metric, -1.0 as value from o where player_id % 3 = 0 union all select player_id + 1000000, game_id, metric, value from o where player_id % 5 = 0)
+@query(f"""with {A.PITCH}, o as (select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl), n as (select player_id, game_id, metric, -1.0 as value from o where value >= 90 union all select player_id + 1000000, game_id, metric, value from o where value < 10)
 select * from n union all select * from o where not exists (select 1 from n where n.player_id = o.player_id and n.game_id = o.game_id and n.metric = o.metric)""")
 def upsert_metrics(spark, sf):
     old = minutes_played(spark, sf)
-    new = old.where("player_id % 3 = 0").withColumn("value", F.lit(-1.0)).unionByName(old.where("player_id % 5 = 0").withColumn("player_id", F.col("player_id") + 1_000_000))
+    new = old.where("value >= 90").withColumn("value", F.lit(-1.0)).unionByName(old.where("value < 10").withColumn("player_id", F.col("player_id") + 1_000_000))
     return upsert.merged(old, new, ["player_id", "game_id", "metric"])
 
 
-@query("select c_custkey, case when c_custkey % 4 = 0 then 'new' || c_custkey else c_name end as c_name from customer")
+@query("select c_custkey, case when c_acctbal < 0 then 'new' || c_custkey else c_name end as c_name from customer")
 def update_columns(spark, sf):
-    old = A.table(spark, sf, "customer").select("c_custkey", "c_name")
-    new = old.select("c_custkey", F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit("new"), F.col("c_custkey").cast("string"))).alias("c_name"))
+    customer = A.table(spark, sf, "customer")
+    old = customer.select("c_custkey", "c_name")
+    new = customer.select("c_custkey", F.when(F.col("c_acctbal") < 0, F.concat(F.lit("new"), F.col("c_custkey").cast("string"))).alias("c_name"))
     return upsert.updated(old, new, ["c_custkey"], ["c_name"])
 
 
