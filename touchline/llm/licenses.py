@@ -138,3 +138,22 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
 def op2_minhash_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, license, containment, n_windows, first_word for all of documents and the templates above."""
     return scan(table(spark, sf_dir, "documents"))
+
+
+def _oracle() -> str:
+    rows = ",\n".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+    split = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    grams = "list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))"
+    return f"""
+with t(license, text) as (values {rows}),
+tw as (select license, {split} as w from t),
+ts as (select license, cast(ceil(len(w) * 1.25) as int) as c, list_distinct({grams}) as s from tw),
+dw as (select row_number() over () as r, doc_id, {split} as w from documents),
+ds as (select r, doc_id, {grams} as s from dw where len(w) >= 5),
+x as (select r, doc_id, license, a, len(list_intersect(ts_s, list_distinct(s[a + 1:a + 2 * c - 4]))) / len(ts_s) as containment
+      from (select r, doc_id, license, c, ds.s as s, ts.s as ts_s, unnest(range(0, len(ds.s), c)) as a from ds, ts))
+select doc_id, license, max(containment) as containment, count(*) as n_windows, cast(min(a) as int) as first_word from x where containment >= 0.8 group by r, doc_id, license
+"""
+
+
+ORACLE = _oracle()

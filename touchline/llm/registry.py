@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, urls
+from . import decontaminate, licenses, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
 from .licenses import op2_minhash_bands
@@ -29,5 +29,6 @@ QUERIES = {
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
     "op2_minhash_bands": op2_minhash_bands,
+    "op2_minhash_bands": licenses.ORACLE,
     "op3_bloom_cascade": urls.ORACLE,
 }
