@@ -27,6 +27,12 @@ def test_sums_equal_the_library(text):
     assert by_pretokens(text) == count(text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=127), max_size=30))
+def test_ascii_text(text):
+    assert by_pretokens(text) == count(text)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(max_size=40))
 def test_any_text(text):

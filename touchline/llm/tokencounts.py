@@ -9,6 +9,7 @@ most, go to every task as a lookup (they are the ones whose keys would be hot),
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,6 +26,8 @@ from .common import by_batch, staged, table
 
 LIMIT, HEAD = 1024, 1 << 18
 VOCABULARY = "byte_bpe_50k.json"
+#: What the library's pattern comes to in a text of ASCII alone; the standard library matches it in half the time.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 #: Distinct pre-tokens that a task gathers before it hands them on.
 _GATHER = 1 << 18
 #: Steps of the frequency scale per power of two.
@@ -49,6 +52,7 @@ def pretokens(text: str | None, path: str) -> tuple[int, list[str]]:
     for s in special:
         parts = [x for p in parts for x in p.split(s)]
     n = len(parts) - 1
+    pattern = _ASCII if parts[0].isascii() and not n else pattern
     return n, pattern.findall(parts[0]) if not n else [t for p in parts for t in pattern.findall(p)]
 
 
