@@ -32,8 +32,8 @@ def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineups(events: DataFrame) -> DataFrame:
-    """Everyone seen in a game starts it."""
-    return events.where("player_id is not null").select("game_id", "player_id", "team_id", F.lit(True).alias("is_starter")).distinct()
+    """Everyone seen in a game starts it; a row per event, since entries of a player may repeat."""
+    return events.where("player_id is not null").select("game_id", "player_id", "team_id", F.lit(True).alias("is_starter"))
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:

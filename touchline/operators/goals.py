@@ -16,8 +16,7 @@ def goals(events: DataFrame, teams: DataFrame, every: bool = False) -> DataFrame
     pair = teams.groupBy("game_id").agg(F.min("team_id").alias("one"), F.max("team_id").alias("other"))
     scored = events.where("is_goal").select("game_id", "event_ordinal", "expanded_minute", "team_id", own_goal(F.col("qualifiers")).alias("own"))
     if not every:
-        last = scored.groupBy("game_id", "expanded_minute").agg(F.max_by(F.struct("team_id", "own"), "event_ordinal").alias("g"))
-        scored = last.select("game_id", "expanded_minute", "g.*")
+        scored = scored.groupBy("game_id", "expanded_minute").agg(F.max_by("team_id", "event_ordinal").alias("team_id"), F.max_by("own", "event_ordinal").alias("own"))
     team = F.when(F.col("own"), opposition(F.col("team_id"), F.col("one"), F.col("other"))).otherwise(F.col("team_id"))
     return scored.join(pair, "game_id", "left").select("game_id", "expanded_minute", team.alias("goal_team_id"))
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 SENT_OFF = ("SecondYellow", "Red")
 #: off of a player who has not left the pitch.
 STAYS = -1
+#: Beyond any place in a document: substitutions on are seen after the line-up, those off after these.
+_LATER = 1 << 40
 
 
 def is_red_card() -> Column:
@@ -39,10 +41,10 @@ def intervals(lineups: DataFrame, events: DataFrame, strict: bool = True) -> Dat
     has minute_off before minute_on. Player 0 and null are left out, and who enters after the end. The team is the
     first one seen: line-up, then substitutions in document order."""
     sub_on, sub_off = F.col("type") == "SubstitutionOn", F.col("type") == "SubstitutionOff"
-    start = lineups.where("is_starter").select("game_id", "player_id", "team_id", F.lit(0).alias("minute_on"), F.lit(STAYS).alias("minute_off"), F.struct(F.lit(0).alias("kind"), F.lit(0).cast("long").alias("place")).alias("seen"))
+    start = lineups.where("is_starter").select("game_id", "player_id", "team_id", F.lit(0).alias("minute_on"), F.lit(STAYS).alias("minute_off"), F.lit(0).cast("long").alias("seen"))
     subs = events.where(sub_on | sub_off).select(
         "game_id", "player_id", "team_id", F.when(sub_on, F.col("expanded_minute")).otherwise(0).alias("minute_on"), F.when(sub_off, F.col("expanded_minute")).otherwise(STAYS).alias("minute_off"),
-        F.struct(F.when(sub_on, 1).otherwise(2).alias("kind"), F.col("event_ordinal").cast("long").alias("place")).alias("seen"),
+        (F.when(sub_on, _LATER).otherwise(2 * _LATER) + F.col("event_ordinal")).alias("seen"),
     )
     players = start.unionByName(subs).where("player_id <> 0").groupBy("game_id", "player_id")
     players = players.agg(F.min_by("team_id", "seen").alias("team_id"), F.max("minute_on").alias("minute_on"), F.max("minute_off").alias("minute_off"))

@@ -50,7 +50,7 @@ def _on_pitch(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataF
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
     events, lineups, on_pitch = _on_pitch(spark, sf)
-    return goals.on_pitch_goals(on_pitch, goals.goals(events, lineups.select("game_id", "team_id").distinct()))
+    return goals.on_pitch_goals(on_pitch, goals.goals(events, lineups))
 
 
 # minutes and goals
@@ -86,7 +86,7 @@ from pl left join (select game_id, minute, case when k < 5 then 3 - team_id else
 select * from al""")
 def goals_every(spark, sf):
     events, lineups, on_pitch = _on_pitch(spark, sf)
-    scored = goals.goals(events, lineups.select("game_id", "team_id").distinct(), every=True)
+    scored = goals.goals(events, lineups, every=True)
     return goals.on_pitch_goals(on_pitch, scored).select("game_id", "player_id", F.col("goals_for").alias("gf"), F.col("goals_against").alias("ga"))
 
 
@@ -315,7 +315,7 @@ def elo_histogram(spark, sf):
 
 @query(f"with {A.EV} select game_id, team_id, array_to_string(list_sort(list(distinct player_id)), ',') as players from ev group by game_id, team_id")
 def lineup_lists(spark, sf):
-    lists = A.lineups(A.match_events(spark, sf)).groupBy("game_id", "team_id").agg(F.array_sort(F.collect_list("player_id")).alias("players"))
+    lists = A.lineups(A.match_events(spark, sf)).distinct().groupBy("game_id", "team_id").agg(F.array_sort(F.collect_list("player_id")).alias("players"))
     return lists.withColumn("players", F.array_join("players", ","))
 
 
