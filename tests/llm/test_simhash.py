@@ -1,11 +1,13 @@
 import random
 
 import xxhash
+from pyspark.sql import Row
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from touchline.llm import common
 from touchline.llm.components import stars
-from touchline.llm.simhash import near_duplicates, shingle_hashes, simhashes
+from touchline.llm.simhash import near_duplicates, one_of_each, shingle_hashes, simhashes
 
 SCHEMA = "doc_id long, text string, fp string, Text2 string"
 
@@ -76,3 +78,11 @@ def test_stars(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100), (200, 201), (200, 201), (-5, 201)]
     got = {r.a: r.b for r in stars(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(1, 41)} | {200: -5, 201: -5}
+
+
+def test_one_of_each_by_either_join(spark, monkeypatch):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "x y z w v u"), (3, "x y z w v u"), (None, "x y z w v u"), (None, None), (None, None)]
+    docs = spark.createDataFrame([(*r, "q") for r in rows], "doc_id long, text string, n string")
+    for most in (1 << 18, 0):
+        monkeypatch.setattr(common.without, "__defaults__", (most,))
+        assert sorted(map(str, one_of_each(docs).collect())) == sorted(map(str, [Row(doc_id=1, text="a b c d e f", n="q"), Row(doc_id=3, text="x y z w v u", n="q"), Row(doc_id=None, text=None, n="q")]))

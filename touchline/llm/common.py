@@ -80,6 +80,16 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({ROW_KEY[0]: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), ROW_KEY[1]: F.xxhash64("text")})
 
 
+#: A key table of so many rows at most is broadcast; longer ones meet the documents in a shuffled join.
+BROADCAST_KEYS = 1 << 18
+
+
+def without(docs: DataFrame, keys: DataFrame, most: int = BROADCAST_KEYS) -> DataFrame:
+    """The rows of docs (with ROW_KEY) that have none of the keys, which are counted first."""
+    keys = staged(keys.select(*ROW_KEY).distinct(), "keys")
+    return docs.join(F.broadcast(keys) if keys.count() <= most else keys, list(ROW_KEY), "left_anti")
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, bitmap, by_batch, chunks, in_bitmap, keyed, mixed, staged, table, text_bytes
+from .common import ROW_KEY, bitmap, by_batch, chunks, in_bitmap, keyed, mixed, staged, table, text_bytes, without
 
 WINDOW, GRAM = 10, 5
 #: What a word consists of: 0 for other bytes, else the byte with A-Z lowered.
@@ -189,7 +189,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, in which no window of an item occurs."""
     hit = contamination(docs, items).where("n_hit > 0").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1]))
-    return keyed(docs).join(hit, list(ROW_KEY), "left_anti").select(*docs.columns)
+    return without(keyed(docs), hit).select(*docs.columns)
 
 
 def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, by_batch, chunks, keyed, staged, table, text_bytes
+from .common import ROW_KEY, by_batch, chunks, keyed, staged, table, text_bytes, without
 from .components import stars
 
 WORDS, BITS, SEED = 3, 3, 42
@@ -163,9 +163,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of docs, with all its columns, for each group of near-duplicates: the one with the smallest doc_id
     (null only where there is no other), the smallest hash of text among these, any of rows that agree in both."""
     groups = near_duplicates(docs)
-    first = groups.groupBy(F.coalesce("component_id", F.lit(-(1 << 63))).alias("c"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
-    kept = first.select(F.coalesce("k.doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("k.text_key").alias(ROW_KEY[1]))
-    return keyed(docs).join(kept, list(ROW_KEY), "left_semi").dropDuplicates(list(ROW_KEY)).select(*docs.columns)
+    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1])]
+    of = [F.coalesce("component_id", F.lit(-(1 << 63))).alias("c"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")]
+    rows = groups.groupBy(*of, *key).agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
+    rows = staged(rows.withColumn("f", F.coalesce("f", F.lit(0))), "keys-of-groups")
+    first = rows.groupBy("c", "f").agg(F.min("k").alias("first"))
+    judged = staged(rows.join(first, ["c", "f"]).select(*ROW_KEY, "n", (F.col("k") == F.col("first")).alias("kept")), "judged")
+    left = without(keyed(docs), judged.where("not kept"))
+    again = judged.where("kept and n > 1").select(*ROW_KEY)
+    if again.isEmpty():
+        return left.select(*docs.columns)
+    single = without(left, again)
+    return single.unionByName(left.join(again, list(ROW_KEY), "left_semi").dropDuplicates(list(ROW_KEY))).select(*docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
