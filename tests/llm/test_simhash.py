@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 from pyspark.sql import Row
 from hypothesis import given, settings
@@ -7,7 +8,7 @@ from hypothesis import strategies as st
 
 from touchline.llm import common
 from touchline.llm.components import stars
-from touchline.llm.simhash import near_duplicates, one_of_each, shingle_hashes, simhashes
+from touchline.llm.simhash import links, near_duplicates, one_of_each, shingle_hashes, simhashes
 
 SCHEMA = "doc_id long, text string, fp string, Text2 string"
 
@@ -80,6 +81,35 @@ def test_stars(spark):
     assert got == {i: 0 for i in range(1, 41)} | {200: -5, 201: -5}
 
 
+@pytest.mark.parametrize("most", [1, 7, 1 << 15])
+def test_long_runs_are_dealt_again(spark, most):
+    r = random.Random(most)
+    fps = {r.getrandbits(64) for _ in range(60)}
+    for centre in [r.getrandbits(64) for _ in range(3)]:
+        near = [centre]
+        for _ in range(150):  # chains that stray from the centre in one half or in both
+            near.append(r.choice(near) ^ sum(1 << b for b in {r.randrange(r.choice([32, 64])) for _ in range(3)}))
+        fps |= set(near) | {centre ^ r.getrandbits(32) for _ in range(150)}
+    signed = [x - (1 << 64) if x >> 63 else x for x in fps]
+    got = stars(links(spark.createDataFrame([(x,) for x in signed], "fp long"), most)).collect()
+    root = {x: x for x in fps}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x in fps:
+        for y in fps:
+            if x < y and (x ^ y).bit_count() <= 3:
+                root[find(x)] = find(y)
+    least = {}
+    for x, s in zip(fps, signed):
+        least[find(x)] = min(s, least.get(find(x), s))
+    want = {(s, least[find(x)]) for x, s in zip(fps, signed) if s != least[find(x)]}
+    assert {(x.a, x.b) for x in got} == want and len(got) == len(want)
+
+
 def test_one_of_each_by_either_join(spark, monkeypatch):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "x y z w v u"), (3, "x y z w v u"), (None, "x y z w v u"), (None, None), (None, None)]
     docs = spark.createDataFrame([(*r, "q") for r in rows], "doc_id long, text string, n string")

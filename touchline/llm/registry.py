@@ -28,7 +28,6 @@ QUERIES = {
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
-    "op2_minhash_bands": op2_minhash_bands,
     "op2_minhash_bands": licenses.ORACLE,
     "op3_bloom_cascade": urls.ORACLE,
 }

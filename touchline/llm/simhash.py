@@ -4,12 +4,13 @@ A fingerprint has 64 bits in two halves. Two fingerprints that differ in at most
 some half, so they agree in that half once this bit is blanked. Each distinct fingerprint is indexed under its 64
 variants (one per half and blanked bit); equal variants meet in one run of a sorted partition, where candidates are
 verified by their Hamming distance. Of the links in a run only a spanning forest leaves the task, never all pairs, and
-exact copies meet as one fingerprint before the index is built.
+exact copies meet as one fingerprint before the index is built. A run too long for one task's memory is dealt again: its
+fingerprints agree in one byte of the other half at least, and of runs still too long each pair of parts is a run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ _LANE = 255
 _ONES = np.uint64(0x0101010101010101)
 #: Runs up to this size are compared by shifts over the whole batch, longer ones one by one.
 _SHORT = 6
+#: Fingerprints of a run (besides a batch) that a task holds; longer runs are dealt again in parts of this size.
+RUN = 1 << 15
 
 
 def shingle_hashes(text: bytes) -> list[int]:
@@ -116,32 +119,63 @@ def _links(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
         b += y
     pairs = np.column_stack([np.concatenate(a), np.concatenate(b)]) if a else np.zeros((0, 2), np.uint64)
     pairs = np.unique(pairs, axis=0).view(np.int64) if len(pairs) else pairs.view(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of a partition sorted by key; a run that crosses batches is kept until it ends."""
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
-        if kept and keys[-1] == kept[0][0][-1]:
+    return pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int64()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["key", "a", "b"])
+
+
+def _put_off(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+    """Rows of a run that is too long: the fingerprint as a, without b."""
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fps.view(np.int64)), pa.nulls(len(keys), pa.int64())], ["key", "a", "b"])
+
+
+def _runs(most: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Links of a partition sorted by key. A run that crosses batches is kept until it ends, or put off once it is longer
+    than most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
+        held, long_key = 0, None
+        for batch in batches:
+            keys, fps = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            if long_key is not None and (n := int(np.searchsorted(keys, long_key, "right"))):
+                yield _put_off(keys[:n], fps[:n])
+                keys, fps = keys[n:], fps[n:]
+            if not len(keys):
+                continue
+            if not kept or keys[-1] != kept[0][0][-1]:
+                keys, fps = (np.concatenate(x) for x in zip(*kept, (keys, fps)))
+                last = np.searchsorted(keys, keys[-1])
+                if last:
+                    yield _links(keys[:last], fps[:last])
+                keys, fps, kept, held = keys[last:], fps[last:], [], 0
             kept.append((keys, fps))
-            continue
-        keys, fps = (np.concatenate(x) for x in zip(*kept, (keys, fps)))
-        last = np.searchsorted(keys, keys[-1])
-        if last:
-            yield _links(keys[:last], fps[:last])
-        kept = [(keys[last:], fps[last:])]
-    if kept:
-        yield _links(*(np.concatenate(x) for x in zip(*kept)))
+            held += len(keys)
+            if most is not None and held > most:
+                yield from (_put_off(*x) for x in kept)
+                long_key, kept, held = keys[-1], [], 0
+        if kept:
+            yield _links(*(np.concatenate(x) for x in zip(*kept)))
+
+    return run
 
 
-def links(nodes: DataFrame) -> DataFrame:
+def links(nodes: DataFrame, most: int = RUN) -> DataFrame:
     """Links (a, b) between distinct fingerprints that differ in at most 3 bits: enough of them to connect all."""
+    kind = "key long, a long, b long"
     index = variants(nodes).repartition("key").sortWithinPartitions("key")
-    return index.mapInArrow(_runs, "a long, b long")
+    found = staged(index.mapInArrow(_runs(most), kind), "runs")
+    done, rest = found.where("b is not null").select("a", "b"), found.where("b is null")
+    if rest.isEmpty():
+        return done
+    # the other half differs in 3 bits at most, so one of its four bytes agrees; keys that collide do no harm, for links are verified
+    half = F.when(F.shiftright("key", 32) < 32, F.shiftrightunsigned("a", 32)).otherwise(F.col("a").bitwiseAND(F.lit(0xFFFFFFFF)))
+    byte = F.expr("cast(shiftright(half, 8 * i) & 255 as int)")
+    parts = rest.withColumn("half", half).withColumn("i", F.explode(F.array(*map(F.lit, range(4))))).select(F.xxhash64("key", "i", byte).alias("key"), F.col("a").alias("fp"))
+    parts = staged(parts, "long-runs")
+    sizes = parts.groupBy("key").agg(F.ceil(F.count("*") / max(1, most)).cast("int").alias("n"))
+    part = F.pmod(F.xxhash64("fp"), F.col("n").cast("long")).cast("int")
+    pairs = parts.join(sizes, "key").select("key", "fp", part.alias("p"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("q"))
+    pairs = pairs.select(F.xxhash64("key", F.least("p", "q"), F.greatest("p", "q")).alias("key"), "fp").repartition("key").sortWithinPartitions("key")
+    return done.unionByName(pairs.mapInArrow(_runs(None), kind).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
