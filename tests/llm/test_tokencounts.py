@@ -43,7 +43,7 @@ def test_any_text(text):
 def test_query(spark, most):
     r = random.Random(1)
     words = ["the", "thnttionti", "Èenè", "onwhwh", "12", "'s", "<|endoftext|>", "\n\n"]
-    rows = [(1, None), (2, ""), (3, "same thntblere text"), (3, "same thntblere text"), (None, " x 5 "), (7, "zqzq " * 50_000)]
+    rows = [(1, None), (2, ""), (3, "same thntblere text"), (3, "same thntblere text"), (None, " x 5 "), (7, "zqzq " * 50_000), (8, "zqx" * 30_000), (9, "zqx" * 30_000)]
     rows += [(i, " ".join(r.choices(words, k=r.randrange(50)))) for i in range(10, 40)]
     docs = spark.createDataFrame([(*x, "p", 4) for x in rows], "doc_id long, text string, piece string, n long")
     got = T.token_counts(docs.select("doc_id", "text"), PATH, most).collect()

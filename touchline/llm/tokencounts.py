@@ -25,11 +25,13 @@ from tokenizers import Tokenizer
 from .common import by_batch, staged, table
 
 LIMIT, HEAD = 1024, 1 << 18
+#: Longer pre-tokens are never part of the head, which so has 16 MB of keys at most.
+HEAD_BYTES = 64
 VOCABULARY = "byte_bpe_50k.json"
 #: What the library's pattern comes to in a text of ASCII alone; the standard library matches it in half the time.
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
-#: Distinct pre-tokens that a task gathers before it hands them on.
-_GATHER = 1 << 18
+#: Distinct pre-tokens, and bytes of text, that a task gathers before it hands them on.
+_GATHER, _GATHER_BYTES = 1 << 18, 1 << 28
 #: Steps of the frequency scale per power of two.
 _STEPS = 8
 
@@ -60,7 +62,7 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
     """(piece, n): how often each pre-token that is no entry of its own occurs in docs(text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        single, seen = _library(path)[3], Counter()
+        single, seen, size = _library(path)[3], Counter(), 0
 
         def out() -> pa.RecordBatch:
             rest = [(k, n) for k, n in seen.items() if k not in single]
@@ -69,9 +71,12 @@ def frequencies(docs: DataFrame, path: str) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                seen.update(pretokens(text.as_py(), path)[1])
-                if len(seen) > _GATHER:
+                text = text.as_py()
+                seen.update(pretokens(text, path)[1])
+                size += len(text or "")
+                if len(seen) > _GATHER or size > _GATHER_BYTES:
                     yield out()
+                    size = 0
         yield out()
 
     return docs.select("text").mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
@@ -88,7 +93,9 @@ def cut(pieces: DataFrame, path: str) -> DataFrame:
 
 
 def head(pieces: DataFrame, most: int) -> dict[str, int]:
-    """Counts of the most frequent pre-tokens, so many at most: those above the lowest step of frequency that fits."""
+    """Counts of the most frequent pre-tokens of HEAD_BYTES at most, so many at most: those above the lowest step of
+    frequency that fits."""
+    pieces = pieces.where(F.octet_length("piece") <= HEAD_BYTES)
     step = F.floor(F.log2("n") * _STEPS)
     sizes = {r["s"]: r["c"] for r in pieces.groupBy(step.alias("s")).agg(F.count("*").alias("c")).collect()}  # 64 * _STEPS rows at most
     total, least = 0, None
