@@ -67,3 +67,22 @@ def test_documents_and_plan(spark):
     assert sorted(((r[0], r[1], round(r[2], 9), r[3], r[4]) for r in got.collect()), key=str) == brute(rows, L.TEMPLATES)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Join" not in plan
+
+
+def test_short_notices_in_random_context(spark):
+    r, short = random.Random(11), [k for k, t in L.TEMPLATES.items() if len(words(t)) < 13]
+    assert {"MIT", "CC-BY-4.0", "Apache-2.0"} <= set(short)
+    rows = []
+    for d in range(6000):
+        w = [f"w{r.randrange(1 << 30)}" for _ in range(60)]
+        a = r.randrange(8, 50)
+        w[a:a] = L.TEMPLATES["MIT" if d % 2 else short[d // 2 % len(short)]].split()
+        rows.append((d, " ".join(w)))
+    assert run(spark, rows) == brute(rows, L.TEMPLATES)
+
+
+def test_bands_follow_the_shingles(spark):
+    for k in L._classes(spark, L.TEMPLATES):
+        for t in k["templates"]:
+            s, least = len(t["shingles"]), -(-4 * len(t["shingles"]) // 5)
+            assert (1 - least / (s + 2 * k["c"] - 4 - least)) ** len(t["bands"]) < 1e-4 and len(t["bands"]) <= k["bands"]

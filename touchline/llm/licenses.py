@@ -1,10 +1,11 @@
 """License scans by MinHash bands over overlapping text windows, in DataFrame functions only.
 
 Templates of one size make a class of c words, a quarter more than a template. A document is cut into windows of 2c
-words, one every c, so any passage of up to c words lies whole in a window. Of each window and template, BANDS minima
-over seeded hashes of five-word shingles are compared, one minimum a band. A template with containment 0.8 or more has a
-Jaccard index of 0.29 or more with its window, so some band agrees with probability 1 - (1 - 0.29)^32 > 0.9999; then the
-containment of the template's shingles in the window is counted exactly.
+words, one every c, so any passage of up to c words lies whole in a window. Of each window and template, minima over
+seeded hashes of five-word shingles are compared, one minimum a band. A template of s shingles of which LEAST or more are
+in a window of 2c - 4 has a Jaccard index J of least(s) / (s + 2c - 4 - least(s)) or more with it, which is 0.29 for long
+templates and 0.1 for one of five words. Each template has as many bands b as make (1 - J)^b, the chance that none agrees,
+MISS at most; then the containment of the template's shingles in the window is counted exactly.
 
 A band agrees only if the window holds the template's minimal shingle. So windows without any such shingle need no
 minima: they are passed over, and the result is the same.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-WORDS, BANDS, LEAST = 5, 32, 0.8
+WORDS, LEAST, MISS = 5, 0.8, 1e-6
 #: Templates and their classes are part of the plan, so their words together are bounded.
 MOST_TEMPLATE_WORDS = 100_000
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -72,28 +73,38 @@ def shingles(text: Column) -> Column:
     return let(words(text), lambda w: F.when(F.size(w) >= WORDS, F.transform(F.sequence(F.lit(0), F.size(w) - WORDS), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(WORDS))))).otherwise(none))
 
 
-def _minima(distinct: Column) -> Column:
+def _enough(size: Column, c: Column) -> Column:
+    """The bands of a template with so many distinct shingles in a class of c words."""
+    least = F.ceil(LEAST * size - 1e-9)
+    index = least / (size + 2 * c - WORDS + 1 - least)
+    return F.ceil(F.log(F.lit(MISS)) / F.log(1 - index)).cast("int")
+
+
+def _minima(distinct: Column, bands: Column) -> Column:
     """For each band, the smallest seeded hash, with its shingle."""
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.array_min(F.transform(distinct, lambda x: F.struct(F.xxhash64(x, j).alias("least"), x.alias("shingle")))))
+    return F.transform(F.sequence(F.lit(0), bands - 1), lambda j: F.array_min(F.transform(distinct, lambda x: F.struct(F.xxhash64(x, j).alias("least"), x.alias("shingle")))))
 
 
-def _bands(distinct: Column) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.array_min(F.transform(distinct, lambda x: F.xxhash64(x, j)))))
+def _bands(distinct: Column, bands: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), bands - 1), lambda j: F.xxhash64(j, F.array_min(F.transform(distinct, lambda x: F.xxhash64(x, j)))))
 
 
 def _classes(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
-    """Templates by class: c, the minimal shingles of any band, and of each template its name, bands and shingles."""
+    """Templates by class: c, the most bands of its templates, the minimal shingles of any band, and of each template its
+    name, bands and shingles."""
     sizes = spark.createDataFrame(sorted(templates.items()), "license string, text string").withColumn("n", F.size(words(F.col("text"))))
-    made = sizes.withColumn("s", F.array_distinct(shingles(F.col("text")))).withColumn("b", _bands(F.col("s"))).withColumn("m", _minima(F.col("s")))
-    rows = made.select("license", "n", "s", "b", F.col("m.shingle").alias("anchors")).collect()
+    c = F.ceil(5 * F.col("n") / 4).cast("int")
+    made = sizes.withColumn("c", c).withColumn("s", F.array_distinct(shingles(F.col("text")))).withColumn("k", F.when(F.size("s") > 0, _enough(F.size("s"), F.col("c"))).otherwise(1))
+    made = made.withColumn("b", _bands(F.col("s"), F.col("k"))).withColumn("m", _minima(F.col("s"), F.col("k")))
+    rows = made.select("license", "n", "c", "s", "b", F.col("m.shingle").alias("anchors")).collect()
     if short := [r["license"] for r in rows if r["n"] < WORDS]:
         raise ValueError(f"templates of under {WORDS} words: {short}")
     if sum(r["n"] for r in rows) > MOST_TEMPLATE_WORDS:
         raise ValueError(f"templates of over {MOST_TEMPLATE_WORDS} words")
     out: dict[int, dict] = {}
     for r in rows:
-        c = -(-5 * r["n"] // 4)
-        k = out.setdefault(c, {"c": c, "anchors": set(), "templates": []})
+        k = out.setdefault(r["c"], {"c": r["c"], "bands": 0, "anchors": set(), "templates": []})
+        k["bands"] = max(k["bands"], len(r["b"]))
         k["anchors"] |= set(r["anchors"])
         k["templates"].append({"license": r["license"], "bands": r["b"], "shingles": r["s"]})
     return [k | {"anchors": sorted(k["anchors"])} for _, k in sorted(out.items())]
@@ -101,14 +112,14 @@ def _classes(spark: SparkSession, templates: dict[str, str]) -> list[dict]:
 
 def matches(text: Column, classes: list[dict]) -> Column:
     """array<struct(license, containment, first_word)>: each window and template that agree in a band and whose containment is LEAST or more."""
-    kind = "array<struct<c: int, anchors: array<bigint>, templates: array<struct<license: string, bands: array<bigint>, shingles: array<bigint>>>>>"
+    kind = "array<struct<c: int, bands: int, anchors: array<bigint>, templates: array<struct<license: string, bands: array<bigint>, shingles: array<bigint>>>>>"
     known = F.from_json(F.lit(json.dumps(classes)), kind)  # folded to one literal
     anchors = F.split(F.lit(",".join(map(str, sorted({a for k in classes for a in k["anchors"]})))), ",").cast("array<bigint>")
     none = F.array().cast("array<struct<license: string, containment: double, first_word: int>>")
 
     def window(s: Column, k: Column, at: Column) -> Column:
         inside = F.array_distinct(F.slice(s, at * k["c"] + 1, 2 * k["c"] - WORDS + 1))
-        return let(inside, lambda w: let(_bands(w), lambda b: F.transform(
+        return let(inside, lambda w: let(_bands(w, k["bands"]), lambda b: F.transform(
             F.filter(k["templates"], lambda t: F.arrays_overlap(t["bands"], b)),
             lambda t: F.struct(t["license"].alias("license"), (F.size(F.array_intersect(t["shingles"], w)) / F.size(t["shingles"])).alias("containment"), (at * k["c"]).alias("first_word")),
         )))
