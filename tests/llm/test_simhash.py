@@ -116,3 +116,21 @@ def test_one_of_each_by_either_join(spark, monkeypatch):
     for most in (1 << 18, 0):
         monkeypatch.setattr(common.without, "__defaults__", (most,))
         assert sorted(map(str, one_of_each(docs).collect())) == sorted(map(str, [Row(doc_id=1, text="a b c d e f", n="q"), Row(doc_id=3, text="x y z w v u", n="q"), Row(doc_id=None, text=None, n="q")]))
+
+
+def test_one_of_each_by_component_not_by_id(spark):
+    # an id that repeats with an unrelated text, each with a copy of its own
+    one, other = "a b c d e f", "x y z w v u"
+    docs = spark.createDataFrame([(4, one), (4, other), (7, one), (9, other)], "doc_id long, text string")
+    assert sorted(map(tuple, one_of_each(docs).collect())) == [(4, one), (4, other)]
+    # near copies without ids, whose fingerprints differ
+    r, near = random.Random(8), []
+    while not near:
+        words = [f"w{r.randrange(500)}" for _ in range(300)]
+        base = " ".join(words)
+        words[r.randrange(300)] = "zz"
+        if 1 <= (plain(base) ^ plain(" ".join(words))).bit_count() <= 3:
+            near = [base, " ".join(words)]
+    docs = spark.createDataFrame([(None, t) for t in [*near, one]], "doc_id long, text string")
+    kept = sorted(x.text for x in one_of_each(docs).collect())
+    assert len(kept) == 2 and one in kept and set(kept) < {*near, one}

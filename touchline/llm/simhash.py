@@ -179,9 +179,10 @@ def links(nodes: DataFrame, most: int = RUN) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, fp long, component_id) for each row of docs(doc_id, text).
+    """(doc_id, text_key, fp long, component_id, root long) for each row of docs(doc_id, text).
 
-    component_id is the smallest doc_id that chains of links reach. A null text counts as an empty one; rows may repeat
+    component_id is the smallest doc_id that chains of links reach; root is a fingerprint that names the component and
+    is never null. Components share a component_id where a doc_id repeats with other text, never a root. A null text counts as an empty one; rows may repeat
     (each gives a row); a null doc_id never is a component_id unless all of its component are null; an empty table
     gives none."""
     prints = staged(fingerprints(docs), "fingerprints")
@@ -189,8 +190,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     star = stars(links(nodes.select("fp")))
     rooted = nodes.join(star.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -198,11 +199,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     (null only where there is no other), the smallest hash of text among these, any of rows that agree in both."""
     groups = near_duplicates(docs)
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1])]
-    of = [F.coalesce("component_id", F.lit(-(1 << 63))).alias("c"), F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")]
-    rows = groups.groupBy(*of, *key).agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
-    rows = staged(rows.withColumn("f", F.coalesce("f", F.lit(0))), "keys-of-groups")
-    first = rows.groupBy("c", "f").agg(F.min("k").alias("first"))
-    judged = staged(rows.join(first, ["c", "f"]).select(*ROW_KEY, "n", (F.col("k") == F.col("first")).alias("kept")), "judged")
+    rows = groups.groupBy("root", *key).agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
+    rows = staged(rows, "keys-of-groups")
+    first = rows.groupBy("root").agg(F.min("k").alias("first"))
+    judged = staged(rows.join(first, "root").select(*ROW_KEY, "n", (F.col("k") == F.col("first")).alias("kept")), "judged")
     left = without(keyed(docs), judged.where("not kept"))
     again = judged.where("kept and n > 1").select(*ROW_KEY)
     if again.isEmpty():
