@@ -166,7 +166,7 @@ def vaep_value_steps(spark, sf):
 @query()
 def vaep_fit_and_rate(spark, sf):
     actions = A.actions(spark, sf).withColumn("end_x", F.coalesce("end_x", "start_x"))
-    return actionvalue.vaep_metric(_on_pitch(spark, sf)[2], actions, actionvalue.fit(actions, maxIter=2, maxDepth=2))
+    return actionvalue.vaep_metric(_on_pitch(spark, sf)[2], actions, actionvalue.fit(actions))
 
 
 @query(f"""with {A.ACTIONS} select game_id, cast(action_id as double) as action_id, tn as type_name from ac union all
