@@ -10,7 +10,7 @@ from touchline.llm.common import staged, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a language, or with too low a score for any; the model is fitted on the same rows."""
+    """Rejects texts without a language and those that fit none; the model is fitted on the same rows."""
     return langid.identified(docs, langid.fit(docs))
 
 
