@@ -21,15 +21,36 @@ def plain(url, listed):
     return host, path, rule, verdict
 
 
-@pytest.mark.parametrize("bits", [U.MAX_BITS, 0])
+@pytest.mark.parametrize("bits", [U.MAX_BITS, 4096])
 def test_against_brute_force(spark, bits):
+    """Also with so few bits for a plan that the keys need several segments."""
     urls = URLS + [f"http://h{i % 7}.net/p{i}" for i in range(3000)]
     listed = {"a.net/listed", "", "elsewhere.net/x"} | {f"h{i % 7}.net/p{i}" for i in range(0, 3000, 3)}
     pages = spark.createDataFrame([(i // 2, u, "k", True) for i, u in enumerate(urls)], "page_id long, url string, key string, listed boolean")
     keys = spark.createDataFrame([(k, 1) for k in [*listed, None, "a.net/listed"]], "key string, host int")
-    got = sorted(tuple(r) for r in U.judge(pages, keys, max_bits=bits).collect() if True)
-    want = sorted((i // 2, *plain(u, listed)) for i, u in enumerate(urls))
-    assert sorted(map(str, got)) == sorted(map(str, want))
+    judged = U.judge(pages, keys, max_bits=bits)
+    want = [(i // 2, *plain(u, listed)) for i, u in enumerate(urls)]
+    assert sorted(map(str, map(tuple, judged.collect()))) == sorted(map(str, want))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Python" not in plan
+    assert len(judged.inputFiles()) > 3 or bits == U.MAX_BITS
+
+
+def test_no_joins_and_bounded_literals(spark, monkeypatch):
+    """No job of any segment joins, and none has more bits in its plan than it may."""
+    monkeypatch.setattr(U, "expected_bits", lambda *n: 1)  # too low a guess, so that segments are split
+    sizes, plans, level, writer = [], [], U._level, type(spark.range(1).write).parquet
+    monkeypatch.setattr(U, "_level", lambda keys, i, bits, probes: sizes.append((i, bits)) or level(keys, i, bits, probes))
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", lambda self, path: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or writer(self, path))
+    pages = spark.range(600).selectExpr("id as page_id", "concat('http://h.net/', id) as url")
+    got = U.judge(pages, pages.selectExpr("concat('h.net/', page_id) as key").where("page_id % 2 = 0"), max_bits=1024)
+    assert {(r.page_id % 2 == 0, r.verdict) for r in got.collect()} == {(True, "block"), (False, "allow")}
+    assert not any("Join" in p for p in plans) and len(plans) > 4
+    at, most = 0, 0
+    for i, bits in sizes:
+        at = bits if i == 0 else at + bits
+        most = max(most, at)
+    assert 0 < most <= 1024 + max(b for _, b in sizes)
 
 
 def test_empty(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,24 +15,53 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a kernel turns into numpy arrays at once; a longer single document makes a chunk of its own.
 CHUNK_BYTES = 2 << 20
-#: Bits of a bitmap that goes to every task: 2 MB at most, whatever the data.
-BITMAP_BITS = 1 << 24
+#: Bits of a bitmap that goes to every task: 2 MB, and 128 MB at most where it grows with the keys.
+BITMAP_BITS, MOST_BITMAP_BITS = 1 << 24, 1 << 30
 
 _own_folder: list[str] = []
+_scratch: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (local tests), one temporary folder for this process."""
+    """The folder in spark.checkpoint.dir. Where that is unset, one temporary folder for this process if the master is
+    local; on a cluster, whose machines don't share local folders, an error."""
     if folder := spark.conf.get("spark.checkpoint.dir", None):
-        return folder
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="touchline-"))
     return _own_folder[0]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder, or in the scratch folder that is open, that nothing has used before."""
+    return f"{_scratch[-1] if _scratch else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder by Spark's own file system, wherever it is."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "scratch") -> Iterator[str]:
+    """While it is open, staged tables go to a folder of its own, which is deleted at the end: what was made of them must
+    have been written elsewhere by then."""
+    folder = new_folder(spark, name)
+    _scratch.append(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.remove(folder)
+        drop_folder(spark, folder)
+
+
 def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """df as a Parquet table in the shared folder: its lineage ends there, and a lost executor loses nothing of it."""
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -55,20 +85,25 @@ def chunks(at: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]
         i = min(j, n)
 
 
-def bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """BITMAP_BITS bits as 64-bit words; the bit of a key's low bits is set if the key (a long) occurs.
+def bits_for(keys: int) -> int:
+    """16 bits for each key, a power of two between the two bounds: up to 64 million keys, 6 % of others hit by chance."""
+    return min(max(BITMAP_BITS, 1 << (max(1, keys) * 16 - 1).bit_length()), MOST_BITMAP_BITS)
+
 
-    Spark folds the keys into words first, so at most BITMAP_BITS / 64 rows reach the driver."""
-    bit = F.col(column).bitwiseAND(F.lit(BITMAP_BITS - 1))
+def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """So many bits (a power of two) as 64-bit words; the bit of a key's low bits is set if the key (a long) occurs.
+
+    Spark folds the keys into words first, so at most bits / 64 rows reach the driver."""
+    bit = F.col(column).bitwiseAND(F.lit(bits - 1))
     words = keys.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(BITMAP_BITS >> 6, np.int64)
+    out = np.zeros(bits >> 6, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint64)
 
 
 def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys (64-bit) may be in the bitmap: no key that is in it is missed."""
-    low = keys.astype(np.uint64) & np.uint64(BITMAP_BITS - 1)
+    low = keys.astype(np.uint64) & np.uint64(64 * len(bits) - 1)
     return ((bits[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
@@ -90,6 +125,22 @@ def without(docs: DataFrame, keys: DataFrame, most: int = BROADCAST_KEYS) -> Dat
     return docs.join(F.broadcast(keys) if keys.count() <= most else keys, list(ROW_KEY), "left_anti")
 
 
+#: A key that over one in SHARE rows has is hot, so there are SHARE hot keys at most.
+SHARE = 10_000
+
+
+def met(rows: DataFrame, sides: DataFrame, key: str, n: str) -> DataFrame:
+    """rows with the columns of sides, a stored table that has each key once, and in n how many of rows have it.
+
+    Hot keys are broadcast and their rows stay where they are. All others meet in a shuffle, in which no key has over one
+    in SHARE rows. The result leaves n out; keys are never null."""
+    total = sides.agg(F.sum(n)).first()[0] or 0
+    is_hot = F.col(n) * SHARE > total
+    marked = rows.join(F.broadcast(sides.where(is_hot).drop(n).withColumn("__hot", F.lit(True))), key, "left")
+    rest = marked.where("__hot is null").select(*rows.columns).join(sides.where(~is_hot).drop(n), key)
+    return marked.where("__hot").drop("__hot").unionByName(rest)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

@@ -4,6 +4,10 @@ Level 1 holds the listed keys, level 2 the unlisted keys of the corpus that leve
 ones that level 2 lets through, and so on until a level lets nothing wrong through. The first level that a key misses
 tells whether it is listed, and over the corpus's complete key universe that is exact. Looking a key up takes a few bit
 tests on literals: no join, no shuffle.
+
+Literals are bounded, so keys are dealt by their hash to as many segments as it takes, each with a cascade of its own. One
+segment judges all pages in one plan. Of several, each reads the pages of its own keys alone, from a table parted by
+segment, and writes its verdicts; together they read every page once.
 """
 
 from __future__ import annotations
@@ -15,10 +19,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import new_folder, staged, table
 
-#: All levels together: 2 MB at most go into the plan. Longer lists are looked up by a join.
+#: All levels of a segment together: 2 MB at most go into a plan.
 MAX_BITS = 1 << 24
+#: Pages and keys lie in so many folders at most; segments beyond that share folders.
+MOST_FOLDERS = 4096
 #: (verdict, host, path); a rule fits its host and all subdomains if the path starts with the rule's.
 RULES = (
     ("allow", "org", "/"),
@@ -51,39 +57,54 @@ def _contains(key: str, level: int, bits: int, probes: int, words: str) -> Colum
     return reduce(lambda a, b: a & b, tests)
 
 
-def _level(keys: DataFrame, level: int, bits: int, probes: int) -> str:
-    """The 64-bit words of a Bloom filter of keys, comma-joined; Spark folds the keys, bits / 64 rows reach the driver."""
+def _level(keys: DataFrame, level: int, bits: int, probes: int) -> tuple[int, str]:
+    """The number of keys and the 64-bit words of their Bloom filter, comma-joined, in one job; Spark folds the keys, so
+    that bits / 64 rows reach the driver."""
     at = keys.select(F.explode(F.array(*_positions("key", level, bits, probes))).alias("p"))
-    words = at.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"))
-    out = [0] * (bits // 64)
+    words = at.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"), F.count("*").alias("n"))
+    out, n = [0] * (bits // 64), 0
     for r in words.collect():
         out[r["w"]] = r["b"]
-    return ",".join(map(str, out))
+        n += r["n"]
+    return n // probes, ",".join(map(str, out))
 
 
-def _size(n: int, probes: int) -> int:
+def _size(n: float, probes: int) -> int:
     return 64 * max(1, math.ceil(n * probes * 1.4427 / 64))
 
 
-def cascade(universe: DataFrame, max_bits: int = MAX_BITS) -> Column | None:
-    """Whether column key is listed, for universe(key string, listed boolean); None if the levels don't fit in max_bits.
+def _probes(listed: int, others: int) -> int:
+    """Those of level 1, by which the whole is smallest; further levels have two."""
+    return max(1, math.ceil(math.log2(max(2, 1.42 * others / listed))))
+
+
+def expected_bits(listed: int, others: int) -> int:
+    """Of all levels: about half of the listed keys' number of others pass level 1, a quarter of the rest each further one."""
+    return _size(listed, _probes(listed, others)) + 4 * _size(listed, 1) if listed else 0
 
-    The universe must be a stored table of distinct keys: each level reads it. Level 1 has the false-positive rate that
-    makes the whole smallest, the rest of them 1/4."""
-    sizes = dict(universe.groupBy("listed").count().collect())
-    listed, others = sizes.get(True, 0), sizes.get(False, 0)
+
+def cascade(universe: DataFrame, listed: int, others: int, max_bits: int = MAX_BITS) -> Column | None:
+    """Whether column key is listed, for universe(key string, listed boolean) with so many keys of both kinds; None if
+    the levels don't fit in max_bits and there are keys to split.
+
+    The universe must be a stored table of distinct keys: each level reads it. Levels after the first are made for the
+    number of keys expected; a wrong guess costs bits or a level, never a wrong answer."""
     if not listed:
         return F.lit(False)
     held, tested = universe.where("listed"), universe.where("not listed")
-    n, probes, used, levels = listed, max(1, math.ceil(math.log2(max(2, 1.42 * others / listed)))), 0, []
-    while n:
+    n, m, probes, used, levels = float(listed), float(others), _probes(listed, others), 0, []
+    while True:
         bits = _size(n, probes)
         used += bits
-        if used > max_bits:
+        if used > max_bits and listed > 1:
             return None
-        levels.append(_contains("key", len(levels), bits, probes, _level(held, len(levels), bits, probes)))
+        count, words = _level(held, len(levels), bits, probes)
+        if not count:
+            break
+        levels.append(_contains("key", len(levels), bits, probes, words))
         held, tested = tested.where(levels[-1]), held
-        n, probes = held.count(), 2
+        n, m, probes = m * (1 - math.exp(-count * probes / bits)) ** probes, float(count), 2
+        n += 3 * math.sqrt(n) + 8
     out = F.lit(len(levels) % 2 == 1)
     for i, inside in reversed(list(enumerate(levels))):
         out = F.when(~inside, F.lit(i % 2 == 1)).otherwise(out)
@@ -106,16 +127,43 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, max_bits: int = MAX_
     without ://, has neither host nor path; its empty key is never listed, nor is a null key. Rows that repeat give a
     row each; an empty table gives none, an empty list blocks nothing. The corpus's keys are gathered without regard to
     how often each occurs, so a hot host or url costs one row a task."""
+    spark = pages.sparkSession
     parts = pages.select("page_id", host().alias("host"), path().alias("path")).withColumn("key", F.concat("host", "path"))
     keys = parts.select("key", F.lit(False).alias("listed")).unionByName(listed.select(F.col("key").cast("string").alias("key"), F.lit(True).alias("listed")))
     universe = staged(keys.where("key <> ''").groupBy("key").agg(F.bool_or("listed").alias("listed")), "url-keys")
-    inside = cascade(universe, max_bits)
-    if inside is None:  # exact at any size: the list as a table, joined on the key
-        parts = parts.join(universe.where("listed"), "key", "left")
-        inside = F.coalesce("listed", F.lit(False))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    blocked = F.when((F.col("key") != "") & inside, F.lit("block")).otherwise(F.lit("allow"))
-    return parts.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, blocked).alias("verdict"))
+
+    def judged(rows: DataFrame, inside: Column) -> DataFrame:
+        blocked = F.when((F.col("key") != "") & inside, F.lit("block")).otherwise(F.lit("allow"))
+        return rows.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, blocked).alias("verdict"))
+
+    def sizes(of: DataFrame) -> tuple[int, int]:
+        n = dict(of.groupBy("listed").count().collect())
+        return n.get(True, 0), n.get(False, 0)
+
+    n = sizes(universe)
+    if expected_bits(*n) <= max_bits and (inside := cascade(universe, *n, max_bits)) is not None:
+        return judged(parts, inside)
+    first = min(1 << math.ceil(math.log2(max(2, 1.2 * expected_bits(*n) / max_bits))), MOST_FOLDERS)
+    segment = lambda of: F.pmod(F.xxhash64(F.lit("segment"), F.col("key")), F.lit(of))
+
+    def parted(df: DataFrame, folder: str) -> DataFrame:
+        df.withColumn("folder", segment(first)).write.partitionBy("folder").parquet(at := new_folder(spark, folder))
+        return spark.read.schema(df.withColumn("folder", segment(first)).schema).parquet(at)
+
+    parts, universe, out = parted(parts, "url-pages"), parted(universe, "url-segments"), new_folder(spark, "url-verdicts")
+    todo, done = [(first, r) for r in range(first)], []
+    while todo:
+        m, r = todo.pop()
+        mine = (F.col("folder") == r % first) & (segment(m) == r)
+        own = universe.where(mine)
+        inside = cascade(own, *sizes(own), max_bits)
+        if inside is None:  # too many for one plan: its keys are dealt to two
+            todo += [(2 * m, r), (2 * m, r + m)]
+            continue
+        done.append(f"{out}/{m}-{r}")
+        judged(parts.where(mine), inside).write.parquet(done[-1])
+    return spark.read.schema(judged(parts, F.lit(False)).schema).parquet(*done)
 
 
 def op3_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
