@@ -2,8 +2,10 @@ import base64
 import hashlib
 import json
 import re
+import time
 import zlib
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -51,6 +53,34 @@ def test_checksums():
     assert S.spans_of(f"é {GOOD}")[0][:2] == (2, 42)
 
 
+DENSE = {
+    "jwt": ["eyJ", "eyJ.", "eyJa.eyJb", "eyJa.b.c ", "eyJa.eyJb eyJ", HEAD + ".", JWT + " "],
+    "assign": ["token", "token=", "token = a ", "api_key:'x' ", "password" + " " * 50, "secret=abcdefghijkl "],
+    "access": ["AKIA", "akia", "AKIA ", "AKIA0123456789ABCD "],
+    "hex": ["0123456789abcdef", "deadbeef ", "a"],
+    "github": ["ghp_", GOOD, GOOD + " ", "gho_abc"],
+    "npm": ["npm_", "npm_" + "a" * 36 + " "],
+    "key": ["-----BEGIN ", "-----BEGIN A ", "-----BEGIN " + "RSA " * 200, "-----BEGIN PRIVATE KEY-----"],
+}
+
+
+@pytest.mark.parametrize("kind", DENSE)
+def test_a_megabyte_of_keywords_takes_seconds(kind):
+    for part in DENSE[kind]:
+        text = part * (1_000_000 // len(part))
+        began = time.perf_counter()
+        spans = S.spans_of(text)
+        assert time.perf_counter() - began < 10, part
+        assert [s for s in spans if s[2] in S.BASE] == base(text)
+        few = S.spans_of(part * 20)
+        assert spans[: max(0, len(few) - 2)] == few[:-2]
+
+
+def test_a_token_after_failed_starts():
+    assert [k for *_, k in S.spans_of(f"eyJeyJ eyJ.x {JWT} eyJ{JWT}")] == ["jwt"]
+    assert S.spans_of("eyJ." + JWT)[0][2] == "jwt"
+
+
 def test_scan_and_mask(spark):
     texts = [None, "", "nothing", f'é token = "{GOOD}" and AKIA' + "A" * 16, "f" * 200_000 + " é", "token=" * 5000 + "abcdefghijkl", "same", "same"]
     docs = spark.createDataFrame([(i // 2, t, "x", None if i == 6 else 5) for i, t in enumerate(texts)], "doc_id long, text string, spans string, n_chars long")

@@ -51,9 +51,11 @@ _RULES = {
     "access": (re.compile(rb"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     "github": (re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: _crc_holds(m[0])),
     "npm": (re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: _crc_holds(m[0])),
-    "jwt": (re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"), lambda m: _is_jwt(m[0])),
+    "jwt": (re.compile(rb"eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++"), lambda m: _is_jwt(m[0])),
     "key": (re.compile(rb"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"), lambda m: True),
 }
+#: Where one of these kinds fails, so does every later start in the same run of these characters, which is passed over.
+_RUNS = {"jwt": re.compile(rb"[A-Za-z0-9_-]++")}
 _KEYWORDS = {w: "assign" for w in ("password", "passwd", "secret", "token", "apikey", "api_key")}
 _KEYWORDS |= {"akia": "access", "npm_": "npm", "eyj": "jwt", "-----begin ": "key"} | {f"gh{c}_": "github" for c in "pousr"}
 
@@ -84,6 +86,8 @@ def spans_of(text: str | None) -> list[tuple[int, int, str]]:
             past[kind] = m.end()
             if holds(m):
                 found.append((*m.span(), KINDS.index(kind)))
+        elif run := kind in _RUNS and _RUNS[kind].match(raw, start):
+            past[kind] = run.end()
     found.sort(key=lambda x: (x[0], x[2], x[1]))
     if found and len(raw) != len(text):
         cuts = sorted({0, *(x for f in found for x in f[:2])})
@@ -128,7 +132,10 @@ def masked(text: str | None) -> str | None:
 
 
 def mask(docs: DataFrame) -> DataFrame:
-    """docs with the secrets in text masked and n_chars, if there, counted anew where a text changed; all rows stay."""
+    """docs with the secrets in text masked and n_chars, if there, counted anew where a text changed; all rows stay.
+
+    Null and empty texts stay as they are, as does every other column, null or not; rows that repeat are masked each; an
+    empty table stays empty; a long text is masked whole, in time linear in its length."""
     names, schema = docs.columns, docs.schema
 
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
