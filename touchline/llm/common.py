@@ -129,7 +129,7 @@ def without(docs: DataFrame, keys: DataFrame, most: int = BROADCAST_KEYS) -> Dat
 SHARE = 10_000
 
 
-def met(rows: DataFrame, sides: DataFrame, key: str, n: str) -> DataFrame:
+def met(rows: DataFrame, sides: DataFrame, key: str | list[str], n: str) -> DataFrame:
     """rows with the columns of sides, a stored table that has each key once, and in n how many of rows have it.
 
     Hot keys are broadcast and their rows stay where they are. All others meet in a shuffle, in which no key has over one

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, by_batch, chunks, keyed, staged, table, text_bytes, without
+from .common import ROW_KEY, by_batch, chunks, keyed, met, staged, table, text_bytes, without
 from .components import stars
 
 WORDS, BITS, SEED = 3, 3, 42
@@ -182,35 +182,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, fp long, component_id, root long) for each row of docs(doc_id, text).
 
     component_id is the smallest doc_id that chains of links reach; root is a fingerprint that names the component and
-    is never null. Components share a component_id where a doc_id repeats with other text, never a root. A null text counts as an empty one; rows may repeat
-    (each gives a row); a null doc_id never is a component_id unless all of its component are null; an empty table
-    gives none."""
+    is never null. Components share a component_id where a doc_id repeats with other text, never a root. A null text
+    counts as an empty one; rows may repeat (each gives a row); a null doc_id never is a component_id unless all of its
+    component are null; an empty table gives none. Rows of a fingerprint, and fingerprints of a component, that are many
+    are never sent to one task."""
     prints = staged(fingerprints(docs), "fingerprints")
-    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "nodes")
     star = stars(links(nodes.select("fp")))
-    rooted = nodes.join(star.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "least", F.coalesce("b", "fp").alias("root"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id", "root")
-    return prints.join(named, "fp").select("doc_id", "text_key", "fp", "component_id", "root")
+    rooted = nodes.join(star.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "n", "least", F.coalesce("b", "fp").alias("root"))
+    rooted = staged(rooted, "rooted")
+    names = staged(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("k")), "names")
+    named = staged(met(rooted.select("fp", "n", "root"), names, "root", "k"), "named")
+    return met(prints, named, "fp", "n").select("doc_id", "text_key", "fp", "component_id", "root")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of docs, with all its columns, for each group of near-duplicates: the one with the smallest doc_id
-    (null only where there is no other), the smallest hash of text among these, any of rows that agree in both."""
+    (null only where there is no other), the smallest hash of text among these, any of rows that agree in both.
+
+    Null and empty texts are one group; of rows that repeat one stays; an empty table stays empty. The row that stays is
+    an aggregate of its group, and rows are left out by keys that occur once, so no group meets in one task."""
     groups = near_duplicates(docs)
-    key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1])]
-    rows = groups.groupBy("root", *key).agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_key")).alias("k"))
-    rows = staged(rows, "keys-of-groups")
-    first = rows.groupBy("root").agg(F.min("k").alias("first"))
-    judged = staged(rows.join(first, "root").select(*ROW_KEY, "n", (F.col("k") == F.col("first")).alias("kept")), "judged")
-    left = without(keyed(docs), judged.where("not kept"))
-    again = judged.where("kept and n > 1").select(*ROW_KEY)
+    nobody = F.lit(-(1 << 63))
+    key = [F.coalesce("doc_id", nobody).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1])]
+    rows = staged(groups.groupBy("root", *key).agg(F.count("*").alias("n")), "keys-of-groups")
+    first = F.min(F.struct((F.col(ROW_KEY[0]) == nobody).alias("z"), *ROW_KEY, "n")).alias("k")
+    kept = staged(rows.groupBy("root").agg(first).select("k.*").drop("z"), "kept")
+    left = without(keyed(docs), rows.join(kept, list(ROW_KEY), "left_anti"))
+    again = kept.where("n > 1")
     if again.isEmpty():
         return left.select(*docs.columns)
+    again = staged(again, "kept-once")
     single = without(left, again)
-    return single.unionByName(left.join(again, list(ROW_KEY), "left_semi").dropDuplicates(list(ROW_KEY))).select(*docs.columns)
+    return single.unionByName(met(left, again, list(ROW_KEY), "n").dropDuplicates(list(ROW_KEY))).select(*docs.columns)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits), component_id for all of documents."""
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", digits.alias("fingerprint"), "component_id")
