@@ -9,11 +9,17 @@ backpointer. What "best" means depends on the model:
 * bpe: scores are merge ranks, whose sum says nothing about the merges' outcome. Here a piece may follow the last piece
   of a prefix only if no merge would have joined characters across them first; under that rule each prefix has exactly
   one last piece, and the path is what the merges give.
+
+A word of LONG characters or more (a text without a cut) has few others of its length to advance with. Its substrings and
+its pairs of neighbouring pieces are looked up for many end positions at once, and only the choice goes from one end
+position to the next, so its time is linear too. Lookups go by two independent 64-bit hashes; words found in the cache
+are compared character by character.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,14 +36,17 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 _NONE = np.int64(1 << 40)
 _KEPT = 1 << 18
-_MULT = 0x9E3779B97F4A7C15 | 1
+#: Words from this length on are encoded one by one, unless so many have the same length; their end positions in slices.
+LONG, _MANY, _SLICE = 256, 64, 1 << 15
+#: Multipliers of the two hashes of a substring.
+_MULTS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
 
-def _hash_columns(x: np.ndarray) -> np.ndarray:
+def _hash_columns(x: np.ndarray, mult: np.uint64 = _MULTS[0]) -> np.ndarray:
     """Prefix hashes of the rows of a matrix of code points; column j is of the first j."""
     out = np.zeros((len(x), x.shape[1] + 1), np.uint64)
     for j in range(x.shape[1]):
-        out[:, j + 1] = out[:, j] * np.uint64(_MULT) + x[:, j] + np.uint64(1)
+        out[:, j + 1] = out[:, j] * mult + x[:, j] + np.uint64(1)
     return out
 
 
@@ -61,11 +70,12 @@ class Pieces:
     keys: np.ndarray = field(default=None)
     numbers: np.ndarray = field(default=None)
     hashes: np.ndarray = field(default=None)
+    checks: np.ndarray = field(default=None)  # the second hash of each piece
     sizes: np.ndarray = field(default=None)
     usable: np.ndarray = field(default=None)
     left: np.ndarray = field(default=None)
     right: np.ndarray = field(default=None)
-    powers: np.ndarray = field(default=None)
+    powers: tuple[np.ndarray, np.ndarray] = field(default=None)
     maybe: np.ndarray = field(default=None)
     kind: np.ndarray = field(default=None)
     joined: np.ndarray = field(default=None)
@@ -77,14 +87,14 @@ class Pieces:
         points = np.zeros((len(self.strings), self.longest), np.uint64)
         for i, s in enumerate(self.strings):
             points[i, : len(s)] = [ord(c) for c in s]
-        self.hashes = _hash_columns(points)[np.arange(len(points)), self.sizes]
+        self.hashes, self.checks = (_hash_columns(points, m)[np.arange(len(points)), self.sizes] for m in _MULTS)
         order = np.argsort(self.hashes)
         self.keys, self.numbers = self.hashes[order], order.astype(np.int64)
         if len(np.unique(self.keys)) < len(self.keys):
             raise ValueError("two pieces have one hash")
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-        self.powers = np.cumprod(np.r_[np.uint64(1), np.full(self.longest, _MULT, np.uint64)])
+        self.powers = tuple(np.cumprod(np.r_[np.uint64(1), np.full(self.longest, m, np.uint64)]) for m in _MULTS)
         # neighbours that some piece holds, by classes of characters
         chars = sorted({c for s in self.strings if len(s) > 1 for c in s})
         self.kind = np.zeros(0x110000, np.int32)
@@ -97,14 +107,16 @@ class Pieces:
         if self.bpe:
             self._find_merges()
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Numbers of the pieces with these hashes, else _NONE."""
+    def find(self, h: np.ndarray, check: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """Numbers of the pieces with these hashes, else _NONE; check gives the second hashes at flat places of h."""
         out = np.full(h.shape, _NONE)
         at = np.flatnonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
         probe = h.ravel()[at]
         place = np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)
-        hit = self.keys[place] == probe
-        out.ravel()[at[hit]] = self.numbers[place[hit]]
+        hit = np.flatnonzero(self.keys[place] == probe)
+        at, number = at[hit], self.numbers[place[hit]]
+        same = self.checks[number] == check(at)
+        out.ravel()[at[same]] = number[same]
         return out
 
     def _find_merges(self) -> None:
@@ -114,10 +126,12 @@ class Pieces:
             mine = np.flatnonzero(self.sizes == size)
             if not len(mine):
                 continue
-            h = _hash_columns(np.array([[ord(c) for c in self.strings[i]] for i in mine], np.uint64))
+            points = np.array([[ord(c) for c in self.strings[i]] for i in mine], np.uint64)
+            h, g = (_hash_columns(points, m) for m in _MULTS)
             made = np.zeros(len(mine), bool)
             for k in range(1, size):
-                a, b = self.find(h[:, k]), self.find(h[:, size] - h[:, k] * self.powers[size - k])
+                rest = [x[:, size] - x[:, k] * p[size - k] for x, p in zip((h, g), self.powers)]
+                a, b = self.find(h[:, k], lambda at: g[at, k]), self.find(rest[0], lambda at: rest[1][at])
                 ok = np.flatnonzero(~made & (a < mine) & (b < mine))
                 ok = ok[self.usable[a[ok]] & self.usable[b[ok]]]
                 ok = ok[self.fits(a[ok], b[ok], mine[ok])]
@@ -133,7 +147,8 @@ class Pieces:
         out = np.ones(len(a), bool)
         on, a, b, limit = np.arange(len(a)), a.copy(), b.copy(), below.copy()
         while len(on):
-            across = self.find(self.hashes[a] * self.powers[self.sizes[b]] + self.hashes[b])
+            joined = lambda x, p, i: x[a[i]] * p[self.sizes[b[i]]] + x[b[i]]  # noqa: B023, E731
+            across = self.find(joined(self.hashes, self.powers[0], slice(None)), lambda at: joined(self.checks, self.powers[1], at))
             bad = (across < limit) & (self.sizes[a] + self.sizes[b] <= self.longest)
             out[on[bad]] = False
             more = ~bad & (np.maximum(a, b) >= self.singles)
@@ -146,7 +161,11 @@ class Pieces:
     def encode_equal(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of one length (a row of code points each): all ids end to end, and how many each word has."""
         n, size = points.shape
-        h = _hash_columns(points.astype(np.uint64))
+        if size >= LONG and n < _MANY:
+            each = [self.walk(p) for p in points]
+            numbers = np.concatenate(each)
+            return self._ids(numbers, points, np.array([len(x) for x in each], np.int64))
+        h, g = (_hash_columns(points.astype(np.uint64), m) for m in _MULTS)
         back = np.zeros((n, size + 1), np.int64)  # size of the last piece of each prefix
         last = np.full((n, size + 1), _NONE)  # and its number
         best = np.zeros((n, size + 1))
@@ -154,7 +173,12 @@ class Pieces:
         every = np.arange(n)
         for j in range(1, size + 1):
             spans = np.arange(min(j, self.longest), 0, -1)
-            found = self.find(h[:, j][:, None] - h[:, j - spans] * self.powers[spans])
+
+            def check(at: np.ndarray, j: int = j, spans: np.ndarray = spans) -> np.ndarray:
+                row, span = at // len(spans), spans[at % len(spans)]
+                return g[row, j] - g[row, j - span] * self.powers[1][span]
+
+            found = self.find(h[:, j][:, None] - h[:, j - spans] * self.powers[0][spans], check)
             known = found < _NONE
             if self.bpe:
                 open_ = np.ones(n, bool)
@@ -177,7 +201,74 @@ class Pieces:
             out[on, size - 1 - count[on]] = last[on, at[on]]
             count[on] += 1
             at[on] -= back[on, at[on]]
-        numbers = out[np.arange(size) >= size - count[:, None]]
+        return self._ids(out[np.arange(size) >= size - count[:, None]], points, count)
+
+    def walk(self, points: np.ndarray) -> np.ndarray:
+        """The numbers of one long word's pieces, in order.
+
+        Pieces that end at each position, and whether they may follow each other, are looked up a slice at a time."""
+        n, most, base = len(points), self.longest, len(self.strings) + 1
+        last, best = np.zeros(n + 1, np.int64), [0.0]
+        tail: list[int] = [-1]  # last pieces of the latest prefixes
+        fit: dict[int, bool] = {}
+        unknown = base - 1
+        sizes, scores = [*self.sizes.tolist(), 1], [*self.scores.tolist(), (self.scores.min() if len(self.scores) else 0.0) - 10]
+        for a in range(0, n, _SLICE):
+            b, lead = min(n, a + _SLICE), min(a, 2 * most)
+            x = points[a - lead : b].astype(np.uint64) + np.uint64(1)
+            found = np.full((most, len(x)), _NONE)  # by span less one, and end position
+            h = [np.zeros(len(x) + 1, np.uint64) for _ in _MULTS]
+            for s in range(min(most, len(x))):
+                h = [np.r_[np.uint64(0), y[:-1] * m + x] for y, m in zip(h, _MULTS)]
+                found[s, s:] = self.find(h[0][1 + s :], lambda at: h[1][1 + s + at])  # noqa: B023
+            known = found < _NONE
+            if self.bpe:
+                known[known] = self.usable[found[known]]
+                self._follow(found, known, base, fit)
+            place, span = np.nonzero(known[::-1, lead:].T)
+            numbers = found[most - 1 - span, lead + place].tolist()
+            first = np.searchsorted(place, np.arange(b - a + 1)).tolist()
+            j0 = a - len(tail) + 1  # the prefix that tail begins with
+            for j in range(a + 1, b + 1):
+                pick, top = unknown, -math.inf
+                for number in numbers[first[j - a - 1] : first[j - a]]:
+                    size = sizes[number]
+                    if self.bpe:
+                        if size == j or fit.get(tail[j - size - j0] * base + number):
+                            pick = number
+                            break
+                    elif (score := best[j - size - j0] + scores[number]) > top:
+                        pick, top = number, score
+                if pick == unknown and not self.bpe:
+                    top = best[j - 1 - j0] + scores[unknown]
+                tail.append(pick)
+                best.append(top)
+            last[a + 1 : b + 1] = tail[a + 1 - j0 :]
+            tail, best = tail[-most:], best[-most:]
+        out, at, step = [], n, [*sizes]
+        while at:
+            number = int(last[at])
+            out.append(number)
+            at -= step[number]
+        out = np.array(out[::-1], np.int64)
+        return np.where(out == unknown, _NONE, out)
+
+    def _follow(self, found: np.ndarray, known: np.ndarray, base: int, fit: dict[int, bool]) -> None:
+        """Adds to fit whether pieces that end where others of these begin may follow them."""
+        pairs = []
+        for s in range(len(found)):
+            at = np.flatnonzero(known[s])
+            at = at[at > s]
+            for t in range(len(found)):
+                on = at[known[t, at - s - 1]]
+                if len(on):
+                    pairs.append(np.unique(found[t, on - s - 1] * base + found[s, on]))
+        if not pairs:
+            return
+        new = np.array([p for p in np.unique(np.concatenate(pairs)).tolist() if p not in fit], np.int64)
+        fit.update(zip(new.tolist(), self.fits(new // base, new % base, np.full(len(new), _NONE)).tolist()))
+
+    def _ids(self, numbers: np.ndarray, points: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ids = np.where(numbers < _NONE, self.ids[np.where(numbers < _NONE, numbers, 0)], -1)
         return self._fallback(ids, numbers, points, count)
 
@@ -200,11 +291,24 @@ class Pieces:
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of the first _KEPT distinct words it meets."""
+    """Encodes batches of texts; keeps the ids of the first _KEPT distinct words it meets, and the words themselves."""
 
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
-        self.keys, self.start, self.size, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.ids, self.words = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.start, self.size, self.at, self.length = (np.zeros(0, np.int64) for _ in range(4))
+
+    def _known(self, points: np.ndarray, keys: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the cache of words with these keys, and which of them are the same words."""
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = np.flatnonzero(at < len(self.keys))
+        inside = inside[(self.keys[at[inside]] == keys[inside]) & (self.length[at[inside]] == length[inside])]
+        if len(inside):
+            n = length[inside]
+            same = self.words[ragged(self.at[at[inside]], n)] == points[ragged(start[inside], n)]
+            known[inside] = np.logical_and.reduceat(same, np.cumsum(n) - n)
+        return at, known
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids (int32) end to end, and the n + 1 bounds of the texts' ids. Null and empty texts have none."""
@@ -221,14 +325,18 @@ class Encoder:
         start = np.flatnonzero(cut)
         end = np.r_[start[1:], len(points)]
         keys, first, word = np.unique(word_hashes(points, start, end), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == keys[inside]
+        length = end - start
+        alike = bool((length[first[word]] == length).all()) and bool((points[ragged(start[first[word]], length)] == points).all())
+        if not alike:  # two words of one hash: words are told apart by themselves, and the cache is left alone
+            named: dict[bytes, int] = {}
+            word = np.array([named.setdefault(points[a:b].tobytes(), len(named)) for a, b in zip(start, end)])
+            keys, first = np.unique(word, return_index=True)
+            keys = keys.astype(np.uint64)
+        at, known = self._known(points, keys, start[first], length[first]) if alike else (np.zeros(len(keys), np.int64), np.zeros(len(keys), bool))
         where, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         where[known], size[known] = self.start[at[known]], self.size[at[known]]
         new, ids, used = np.flatnonzero(~known), [self.ids], len(self.ids)
-        lengths = (end - start)[first[new]]
+        lengths = length[first[new]]
         for n in np.unique(lengths):
             rows = new[lengths == n]
             got, count = p.encode_equal(points[start[first[rows]][:, None] + np.arange(n)])
@@ -236,14 +344,24 @@ class Encoder:
             ids.append(got)
             used += len(got)
         pool = np.concatenate(ids)
-        if len(self.keys) < _KEPT and len(new):
-            self.ids = pool
-            keys_ = np.r_[self.keys, keys[new]]
-            order = np.argsort(keys_)
-            self.keys, self.start, self.size = keys_[order], np.r_[self.start, where[new]][order], np.r_[self.size, size[new]][order]
+        kept = new[lengths < LONG]
+        if alike and len(self.keys) < _KEPT and len(kept):
+            self._keep(points, keys[kept], where[kept], size[kept], start[first[kept]], length[first[kept]], pool)
         total = np.r_[0, np.cumsum(size[word])]
         return pool[ragged(where[word], size[word])].astype(np.int32), total[np.searchsorted(start, bounds)]
 
+    def _keep(self, points: np.ndarray, keys: np.ndarray, where: np.ndarray, size: np.ndarray, start: np.ndarray, length: np.ndarray, pool: np.ndarray) -> None:
+        """Adds words with their keys and the places of their ids in pool; a key that is there already stays as it is."""
+        fresh = ~np.isin(keys, self.keys)
+        keys, where, size, start, length = (x[fresh] for x in (keys, where, size, start, length))
+        self.start = np.r_[self.start, len(self.ids) + np.cumsum(size) - size]
+        self.at = np.r_[self.at, len(self.words) + np.cumsum(length) - length]
+        self.ids = np.r_[self.ids, pool[ragged(where, size)]]
+        self.words = np.r_[self.words, points[ragged(start, length)]]
+        self.size, self.length, keys = np.r_[self.size, size], np.r_[self.length, length], np.r_[self.keys, keys]
+        order = np.argsort(keys)
+        self.keys, self.start, self.size, self.at, self.length = (x[order] for x in (keys, self.start, self.size, self.at, self.length))
+
 
 class Decoder:
     """Turns ids into UTF-8 bytes; control pieces are empty, and the space put before a text goes."""
@@ -294,6 +412,16 @@ def _texts(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(load(path))
 
 
+def _encoded(batch: pa.RecordBatch, at: int, to_ids: Encoder, to_text: Decoder) -> Iterator[tuple[pa.RecordBatch, pa.Array, pa.Array]]:
+    """Parts of a batch, the ids of their texts (column at), and whether these give the texts again."""
+    for i, j in chunks(text_bytes(batch.column(at))[1]):
+        part = batch.slice(i, j - i)
+        texts = part.column(at).to_pylist()
+        ids, bounds = to_ids(texts)
+        same = [a == (t or "").replace(SPACE, " ") for a, t in zip(to_text(ids, bounds), texts)]
+        yield part, pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids)), pa.array(same)
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_pieces, piece_ids, same for each row of docs(doc_id, text); same says that decoding gave the text.
 
@@ -304,12 +432,9 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids, to_text = Encoder(sent.value[0]), Decoder(sent.value[1])
         for batch in batches:
-            for i, j in chunks(text_bytes(batch.column(1))[1]):
-                texts = batch.column(1)[i:j].to_pylist()
-                ids, bounds = to_ids(texts)
-                same = [a == (t or "").replace(SPACE, " ") for a, t in zip(to_text(ids, bounds), texts)]
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], pa.array(np.diff(bounds)), lists, pa.array(same)], ["doc_id", "n_pieces", "piece_ids", "same"])
+            for part, lists, same in _encoded(batch, 1, to_ids, to_text):
+                sizes = lists.value_lengths().cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), sizes, lists, same], ["doc_id", "n_pieces", "piece_ids", "same"])
 
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return keys.mapInArrow(run, "doc_id long, n_pieces long, piece_ids array<int>, same boolean")
@@ -330,20 +455,21 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
 
 
 def with_pieces(docs: DataFrame, path: str) -> DataFrame:
-    """docs with the column piece_ids, the ids of text (a column of that name gives way); all other columns stay."""
+    """docs with the columns piece_ids, the ids of text, and same, which says that decoding them gave the text (columns of
+    these names give way); all rows and all other columns stay.
+
+    Null and empty texts have no ids and are the same; U+2581 is a space to the format and comes back as one; rows that
+    repeat give a row each; an empty table gives none."""
     sent = _texts(docs, path)
-    docs = docs.drop("piece_ids")
+    docs = docs.drop("piece_ids", "same")
     names, at = docs.columns, docs.columns.index("text")
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema.fields)}, piece_ids array<int>"
+    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in docs.schema.fields)}, piece_ids array<int>, same boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = Encoder(sent.value[0])
+        to_ids, to_text = Encoder(sent.value[0]), Decoder(sent.value[1])
         for batch in batches:
-            for i, j in chunks(text_bytes(batch.column(at))[1]):
-                part = batch.slice(i, j - i)
-                ids, bounds = to_ids(part.column(at).to_pylist())
-                lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*names, "piece_ids"])
+            for part, lists, same in _encoded(batch, at, to_ids, to_text):
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, same], [*names, "piece_ids", "same"])
 
     return docs.mapInArrow(run, schema)
 
