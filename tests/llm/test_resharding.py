@@ -1,6 +1,6 @@
 import itertools
 import random
-import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,38 +35,85 @@ def docs_of(spark, n=400):
     return rows, spark.createDataFrame(rows, "doc_id long, text string, source string, block int")
 
 
-def test_even_gapless_and_few_moves(spark):
+def content(df):
+    return sorted(map(str, df.collect()))
+
+
+def sizes_by(rows, shards=8):
+    return [sum(len((r.text or "").encode()) + 1 for r in rows if r.shard == s) for s in range(shards)]
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_even_gapless_and_few_moves(spark, tmp_path, tasks):
     rows, docs = docs_of(spark)
-    got = R.reshard(R.documents_in(docs, R.source_shard()).cache(), blocks=16).collect()
-    assert sorted((r.doc_id or -1, r.size, r.text_crc32) for r in got) == sorted((d or -1, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, *_ in rows)
-    sizes = [sum(r["size"] for r in got if r.shard == s) for s in range(8)]
-    assert max(sizes) - min(sizes) <= 2 * max(r["size"] for r in got)
+    before = R.lay_out(docs.repartition(tasks), R.source_shard(), str(tmp_path / "old"))
+    old = R.rows_of(before).collect()
+    assert len(old) == len(rows) and content(R.rows_of(before).select(*docs.columns)) == content(docs)
+    after = R.rewrite(before, R.size_of(), str(tmp_path / "new"))
+    got = R.rows_of(after).collect()
+    assert content(R.rows_of(after).select(*docs.columns)) == content(docs)
+    loads, most = sizes_by(got), max(len((r.text or "").encode()) + 1 for r in got)
+    assert max(loads) - min(loads) <= 2 * most
     for s in range(8):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
-    old = {}
-    for r in got:
-        old[r.old] = old.get(r.old, 0) + r["size"]
-    fewest = sum(n for i, j, n in R.plan(old, 8) if i != j)
-    assert sum(r["size"] for r in got if r.old != r.shard) <= fewest + 8 * max(r["size"] for r in got)
+    supply = {s: n for s, n in enumerate(sizes_by(old)) if n}
+    fewest = sum(n for i, j, n in R.plan(supply, 8) if i != j)
+    # by rows: what each shard has lost, since equal rows can't be told apart
+    count = lambda rs: Counter((r.shard, r.doc_id, r.text, r.source) for r in rs)
+    lost = count(old) - count(got)
+    assert sum(n * (len((t or "").encode()) + 1) for (_, _, t, _), n in lost.items()) <= fewest + 8 * most
+
 
+def test_files_that_stay_are_not_touched(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "abcd", "s", i % 3) for i in range(90)], "doc_id long, text string, source string, place int")
+    before = R.lay_out(docs.repartition(5), F.col("place"), str(tmp_path / "old"))
+    same = R.rewrite(before, R.size_of(), str(tmp_path / "same"), 3)
+    assert same is before and not (tmp_path / "same").exists()
+    grown = R.rewrite(before, R.size_of(), str(tmp_path / "grown"), 4)
+    old, new = {r.path for r in before.files.collect()}, {r.path for r in grown.files.collect()}
+    assert len(old & new) >= 3 and content(R.rows_of(grown).select(*docs.columns)) == content(docs)
+    assert content(R.rows_of(before).select(*docs.columns)) == content(docs)  # the old layout still holds
+    written = spark.read.parquet(str(tmp_path / "grown")).where(f"{R.PART} < 3").count()
+    assert written <= 4 * 90 // 5  # only what files with a border keep
+    assert Counter(r.shard for r in R.rows_of(grown).collect()).total() == 90
 
-def test_empty(spark):
+
+def test_transfers_against_brute_force():
+    r = random.Random(4)
+    for _ in range(200):
+        files = [(f"f{i:02}", r.randrange(3), r.randrange(1, 9)) for i in range(r.randrange(1, 9))]
+        stay, go, cut = R.transfers(files, 3)
+        assert set(stay) | set(go) | {p for p, *_ in cut} == {p for p, *_ in files}
+        at, load = {}, [0, 0, 0]
+        for p, s, n in files:
+            if p in stay or p in go:
+                load[(stay | go)[p]] += n
+            else:
+                mine = sorted((x, new) for q, x, new in cut if q == p)
+                assert mine[0][0] == 0
+                for (x, new), (y, _) in zip(mine, [*mine[1:], (n, None)]):
+                    load[new] += y - x
+                    at[p] = at.get(p, 0) + (y - x) * (new != s)
+        total = sum(n for *_, n in files)
+        assert sorted(load) == sorted(total // 3 + (j < total % 3) for j in range(3))
+        sizes = [sum(n for _, s, n in files if s == k) for k in range(3)]
+        moved = sum(n for p, s, n in files if p in go) + sum(at.values())
+        assert moved == sum(max(0, sizes[j] - load[j]) for j in range(3))
+
+
+def test_empty_and_one_row(spark, tmp_path):
     _, docs = docs_of(spark)
-    assert R.reshard(R.documents_in(docs.limit(0), R.source_shard())).collect() == []
+    none = R.lay_out(docs.limit(0), R.source_shard(), str(tmp_path / "none"))
+    assert R.rows_of(R.rewrite(none, R.size_of(), str(tmp_path / "n2"))).collect() == []
+    one = spark.createDataFrame([(None, None, None, None)], docs.schema)
+    got = R.rows_of(R.rewrite(R.lay_out(one, R.source_shard(), str(tmp_path / "one")), R.size_of(), str(tmp_path / "o2"))).collect()
+    assert [(r.doc_id, r.text, r.slot) for r in got] == [(None, None, 0)]
 
 
-def test_rewrite_touches_only_affected_shards(spark, tmp_path):
-    rows, docs = docs_of(spark)
-    old = F.when(F.col("doc_id") % 2 == 0, 0).otherwise(1)
-    docs.withColumn("shard", old).write.partitionBy("shard").parquet(str(tmp_path / "a"))
-    before = {p.name for p in (tmp_path / "a").rglob("*.parquet")}
-    touched = R.rewrite(str(tmp_path / "a"), docs.cache(), old, 3)
-    after = spark.read.parquet(str(tmp_path / "a"))
-    assert sorted(map(str, after.select("doc_id", "text", "source", "block").collect())) == sorted(map(str, docs.collect()))
-    assert touched == [0, 1, 2] and not before & {p.name for p in (tmp_path / "a").rglob("*.parquet")}
-    even = [(i, "abcd", "s", 0) for i in range(8)]
-    docs = spark.createDataFrame(even, docs.schema)
-    same = F.when(F.col("doc_id") < 6, F.pmod("doc_id", F.lit(3))).otherwise(F.when(F.col("doc_id") == 6, 0).otherwise(1))
-    docs.withColumn("shard", same).write.partitionBy("shard").parquet(str(tmp_path / "b"))
-    assert set(R.rewrite(str(tmp_path / "b"), docs, same, 3)) <= {0, 1, 2}
-    assert spark.read.parquet(str(tmp_path / "b")).count() == 8
+def test_very_long_text_and_clashing_columns(spark, tmp_path):
+    rows = [(i, "x" * (3_000_000 if i == 3 else 10), "s", 1, 2, 3) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, shard int, slot int, size int")
+    old = R.lay_out(docs, R.source_shard(), str(tmp_path / "old"))
+    got = R.rewrite(old, R.size_of(), str(tmp_path / "new"))
+    text = R.rows_of(got).toDF("doc_id", "text", "source", "shard0", "slot0", "size", "shard", "slot")
+    assert sorted((r.doc_id, len(r.text), r.shard0, r.slot0, r["size"]) for r in text.collect()) == [(i, len(t), 1, 2, 3) for i, t, *_ in rows]

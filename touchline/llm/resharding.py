@@ -1,21 +1,28 @@
-"""Minimum-cost-flow resharding.
+"""Minimum-cost-flow resharding of a folder of shards.
 
-Rows lie in old shards; each new shard has a capacity in bytes. The flow that moves the fewest bytes is solved over
-the shards (a few nodes, whatever the data) by successive cheapest paths, then laid over the rows: within an old shard
-rows stand in a fixed order of blocks, and the first bytes stay, the next go to the first receiver, and so on. Offsets
-come from sums per block, so no window holds more than one block.
+Each new shard has a capacity in bytes. The flow that moves the fewest bytes is solved over the shards (a few nodes,
+whatever the data) by successive cheapest paths, then laid over the files: within an old shard files stand in the order of
+their paths, the first bytes stay, the next go to the first receiver, and so on. A file that stays whole is not touched. A
+file that goes whole is copied to its new shard; the few in which a border falls are cut at a row. Nothing is shuffled, the
+old files are left as they are, and the new layout holds from the moment its list of files is written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
-from .common import staged, table
+from .common import BROADCAST_KEYS, new_folder, table
 
-SHARDS, BLOCKS = 8, 4096
+SHARDS = 8
+#: The folder level that says which shard a file is of.
+PART = "__shard"
 Flow = list[tuple[int, int, int]]
 
 
@@ -47,7 +54,7 @@ def min_cost_flow(supply: list[int], capacity: list[int], cost: Callable[[int, i
             node = dist[node][1]
         path.reverse()
         steps = list(zip(path, path[1:]))
-        amount = min(left[path[0][1]], room[end], *(sent[b[1]][a[1]] for a, b in steps if a[0] == "n")) if any(a[0] == "n" for a, _ in steps) else min(left[path[0][1]], room[end])
+        amount = min([left[path[0][1]], room[end], *(sent[b[1]][a[1]] for a, b in steps if a[0] == "n")])
         for a, b in steps:
             if a[0] == "o":
                 sent[a[1]][b[1]] += amount
@@ -62,7 +69,8 @@ def plan(sizes: dict[int, int], shards: int) -> Flow:
     """The flow from old shard sizes to even capacities (at most one byte apart); bytes that stay cost nothing."""
     total = sum(sizes.values())
     old = sorted(sizes)
-    return [(old[i], j, n) for i, j, n in min_cost_flow([sizes[i] for i in old], [total // shards + (j < total % shards) for j in range(shards)], lambda i, j: int(old[i] != j))]
+    capacity = [total // shards + (j < total % shards) for j in range(shards)]
+    return [(old[i], j, n) for i, j, n in min_cost_flow([sizes[i] for i in old], capacity, lambda i, j: int(old[i] != j))]
 
 
 def _intervals(flow: Flow) -> list[tuple[int, int, int, int]]:
@@ -79,55 +87,110 @@ def size_of(text: str = "text") -> F.Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
-def reshard(rows: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS) -> DataFrame:
-    """rows(doc_id, size, text_crc32, old) with shard and slot (gapless from 0 in each shard).
-
-    Sizes of the new shards are even up to one row. Blocks are hashes of doc_id and text_crc32; within a block rows
-    stand by (doc_id, text_crc32, size), rows that are equal in all of them being interchangeable. Nulls are values
-    like any other, and an empty table gives no rows. rows is read more than once, so it should be a stored table."""
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks)))
-    sums = rows.groupBy("old", "block").agg(F.sum("size").alias("bytes"))
-    within = Window.partitionBy("old").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = staged(sums.select("old", "block", "bytes", F.coalesce(F.sum("bytes").over(within), F.lit(0)).alias("before")), "block-sums")
-    sizes = {r["old"]: r["n"] for r in sums.groupBy("old").agg(F.sum("bytes").alias("n")).collect()}
-    new = F.lit(None).cast("int")
-    for old, a, _, j in _intervals(plan(sizes, shards)):
-        new = F.when((F.col("old") == old) & (F.col("at") >= a), F.lit(j)).otherwise(new)
-    order = ["doc_id", "text_crc32", "size"]
-    inner = Window.partitionBy("old", "block").orderBy(*order)
-    placed = rows.join(sums.select("old", "block", "before"), ["old", "block"])
-    placed = placed.withColumn("at", F.col("before") + F.sum("size").over(inner.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    # later intervals override earlier ones, so the last whose start is not beyond the row's first byte holds
-    placed = staged(placed.select(*order, "old", "block", new.alias("shard")), "placed")
-    counts = placed.groupBy("shard", "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = staged(counts.select("shard", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")), "block-slots")
-    slot = F.row_number().over(Window.partitionBy("shard", "block").orderBy(*order, "old")) - 1
-    return placed.join(counts, ["shard", "block"]).select(*order, "old", "shard", (F.col("first") + slot).cast("long").alias("slot"))
-
-
-def documents_in(docs: DataFrame, old: F.Column) -> DataFrame:
-    """rows(doc_id, size, text_crc32, old) of docs(doc_id, text, ...): sizes in UTF-8 bytes plus one, null as empty."""
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), size_of().alias("size"), crc.alias("text_crc32"), old.cast("int").alias("old"))
-
-
-def rewrite(folder: str, docs: DataFrame, old: F.Column, shards: int = SHARDS) -> list[int]:
-    """Reshard docs into folder/shard=N and return the shards that were written: those that lose or get a row.
-
-    Files of other shards stay as they are; a folder that has no rows any more is left to the caller. docs must not be
-    read from the shards that are replaced. Rows that agree in doc_id and text are dealt to their places in any order."""
-    placed = staged(reshard(staged(documents_in(docs, old), "sizes"), shards), "resharded")
-    touched = sorted({r[c] for r in placed.where("old <> shard").select("old", "shard").distinct().collect() for c in ("old", "shard") if 0 <= r[c] < shards})
-    key = ["doc_id", "text_crc32"]
-    nth = F.row_number().over(Window.partitionBy(*key).orderBy("slot", "shard"))
-    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    rows = docs.withColumn("__crc", crc).withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id", "__crc").orderBy(F.lit(1))))
-    places = placed.withColumn("nth", nth).where(F.col("shard").isin(touched)).select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__c"), F.col("nth").alias("__n"), "shard", "slot")
-    met = rows.join(places, rows["doc_id"].eqNullSafe(places["__id"]) & (F.col("__crc") == F.col("__c")) & (F.col("__nth") == F.col("__n")))
-    out = met.drop("__crc", "__nth", "__id", "__c", "__n").repartition("shard", F.floor(F.col("slot") / 100_000)).sortWithinPartitions("shard", "slot")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)
-    return touched
+@dataclass
+class Layout:
+    """files(path, shard, first, rows): the files of each shard, with the slot of a file's first row; and the rows' schema."""
+
+    files: DataFrame
+    schema: StructType
+
+
+def lay_out(docs: DataFrame, shard: F.Column, folder: str) -> Layout:
+    """Writes docs as the files of shards (never null) in a new folder."""
+    docs.withColumn(PART, shard.cast("int")).write.partitionBy(PART).parquet(folder)
+    return listed(docs.sparkSession, folder, docs.schema, {}, f"{folder}.layout")
+
+
+def listed(spark: SparkSession, folder: str, schema: StructType, kept: dict[str, int], to: str) -> Layout:
+    """The layout of the files below folder and of those kept from elsewhere (path to shard), written to a table."""
+    parts = spark.read.schema(StructType([*schema.fields]).add(PART, IntegerType())).parquet(folder)
+    found = parts.select(F.col("_metadata.file_path").alias("path"), F.col(PART).alias("shard"))
+    if kept:
+        old = spark.read.schema(schema).parquet(*map(unquote, kept)).select(F.col("_metadata.file_path").alias("path"))
+        shards = spark.createDataFrame(list(kept.items()), "path string, shard int")
+        found = found.unionByName(old.groupBy("path").agg(F.count("*").alias("n")).join(shards, "path").select("path", "shard", "n"), allowMissingColumns=True)
+    else:
+        found = found.withColumn("n", F.lit(None).cast("long"))
+    rows = found.groupBy("path", "shard").agg(F.sum(F.coalesce("n", F.lit(1))).alias("rows"))
+    before = Window.partitionBy("shard").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)  # files, not rows
+    rows.select("path", "shard", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("first"), "rows").write.parquet(to)
+    return Layout(spark.read.schema("path string, shard int, first long, rows long").parquet(to), schema)
+
+
+def rows_of(layout: Layout) -> DataFrame:
+    """All rows as the files have them, with shard and slot (gapless from 0 in each shard)."""
+    spark, files = layout.files.sparkSession, layout.files
+    paths = [unquote(r["path"]) for r in files.select("path").collect()]  # as Spark lists them itself to read them
+    if not paths:
+        return spark.createDataFrame([], layout.schema).select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+    rows = spark.read.schema(layout.schema).parquet(*paths).select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    places = files.select(F.col("path").alias("__path"), F.col("shard").alias("__shard"), "first")
+    met = rows.join(F.broadcast(places) if len(paths) <= BROADCAST_KEYS else places, "__path")
+    return met.select(*layout.schema.names, F.col("__shard").alias("shard"), (F.col("first") + F.col("__row")).alias("slot"))
+
+
+def transfers(files: list[tuple[str, int, int]], shards: int) -> tuple[dict[str, int], dict[str, int], list[tuple[str, int, int]]]:
+    """Of files (path, shard, bytes): those that stay (path to shard), those that go whole (path to new shard), and
+    for each cut file the bytes from which its rows go to a shard: (path, from, new shard)."""
+    sizes: dict[int, int] = {}
+    for _, shard, n in files:
+        sizes[shard] = sizes.get(shard, 0) + n
+    ranges: dict[int, list[tuple[int, int, int]]] = {}
+    for old, a, b, new in _intervals(plan(sizes, shards)):
+        ranges.setdefault(old, []).append((a, b, new))
+    stay, go, cut, at = {}, {}, [], dict.fromkeys(sizes, 0)
+    for path, shard, n in sorted(files):
+        a, b = at[shard], at[shard] + n
+        at[shard] = b
+        mine = [(max(x, a) - a, new) for x, y, new in ranges[shard] if x < b and y > a]
+        if len(mine) > 1:
+            cut += [(path, x, new) for x, new in mine]
+        elif mine[0][1] == shard:
+            stay[path] = shard
+        else:
+            go[path] = mine[0][1]
+    return stay, go, cut
+
+
+def _cut_rows(layout: Layout, size: F.Column, cut: list[tuple[str, int, int]]) -> DataFrame:
+    """(path, new, from_row, to_row): where the rows of cut files go, by their first bytes. There are fewer cuts than pairs
+    of shards, and a window holds the sizes of one file's rows."""
+    spark = layout.files.sparkSession
+    cuts = spark.createDataFrame([(p, x, n) for p, x, n in cut], "path string, start long, new int")
+    rows = spark.read.schema(layout.schema).parquet(*map(unquote, sorted({p for p, *_ in cut})))
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("row"), size.alias("size"))
+    first = F.sum("size").over(Window.partitionBy("path").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    met = rows.withColumn("byte", first).join(F.broadcast(cuts), "path").where("byte >= start")
+    begins = met.groupBy("path", "start", "new").agg(F.min("row").alias("from_row"))
+    after = F.lead("from_row", 1, (1 << 62)).over(Window.partitionBy("path").orderBy("start"))
+    return begins.select("path", "new", "from_row", after.alias("to_row"))
+
+
+def rewrite(layout: Layout, size: F.Column, folder: str, shards: int = SHARDS) -> Layout:
+    """Reshards a layout to even shares of size, summed over rows, into a new folder that holds only what moved.
+
+    Shares are even up to one row at each border. Files that stay are part of the new layout where they are, and no old
+    file is changed: the old layout holds until the new one's list is written, which is the last step. An empty layout
+    gives an empty one. Rows go by their place in a file, so rows that repeat, and nulls, are rows like all others."""
+    spark, schema = layout.files.sparkSession, layout.schema
+    files = [(r["path"], r["shard"]) for r in layout.files.collect()]
+    if not files:
+        return layout
+    paths = lambda names: spark.read.schema(schema).parquet(*map(unquote, names))
+    bytes_ = {r["path"]: r["bytes"] for r in paths([p for p, _ in files]).select(F.col("_metadata.file_path").alias("path"), size.alias("size")).groupBy("path").agg(F.sum("size").alias("bytes")).collect()}
+    stay, go, cut = transfers([(p, s, bytes_[p]) for p, s in files], shards)
+    moved = []
+    for new in sorted(set(go.values())):
+        moved.append(paths([p for p, s in go.items() if s == new]).withColumn(PART, F.lit(new)))
+    if cut:
+        to = F.broadcast(_cut_rows(layout, size, cut).withColumnsRenamed({"path": "__path"}))
+        rows = paths(sorted({p for p, *_ in cut})).select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+        rows = rows.join(to, "__path").where("__row >= from_row and __row < to_row")
+        moved.append(rows.select(*schema.names, F.col("new").alias(PART)))
+    if not moved:
+        return layout
+    reduce(DataFrame.unionByName, moved).write.partitionBy(PART).parquet(folder)
+    return listed(spark, folder, schema, stay, f"{folder}.layout")
 
 
 def source_shard(shards: int = SHARDS) -> F.Column:
@@ -136,6 +199,13 @@ def source_shard(shards: int = SHARDS) -> F.Column:
 
 
 def op6_min_cost_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, law (bytes), shard, slot, grown_shard (null) for all of documents."""
-    rows = staged(documents_in(table(spark, sf_dir, "documents"), source_shard()), "sizes")
-    return reshard(rows).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    """doc_id, size, text_crc32, law (bytes), shard, slot, grown_shard (null) for all of documents, read back from the files
+    of the new layout.
+
+    The law balances bytes alone: groups of equal texts are not kept together, for one may hold more than a shard."""
+    docs = table(spark, sf_dir, "documents")
+    old = lay_out(docs, source_shard(), new_folder(spark, "shards-before"))
+    rows = rows_of(rewrite(old, size_of(), new_folder(spark, "shards")))
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    names = [F.col("doc_id").cast("long").alias("doc_id"), size_of().alias("size"), crc.alias("text_crc32"), F.lit("bytes").alias("law")]
+    return rows.select(*names, "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
