@@ -1,5 +1,6 @@
 import hashlib
 import io
+import math
 import random
 import wave
 import zlib
@@ -7,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
+from touchline.llm import common as C
 from touchline.llm import media as M
 
 
@@ -36,6 +38,14 @@ def docs_of(spark):
     return rows, spark.createDataFrame([(*x, "z", 1) for x in rows], "doc_id long, text string, media string, seq int")
 
 
+def plain_feature(payload):
+    n, total, square = len(payload), 0, 0
+    crossings = sum((a >= 128) != (b >= 128) for a, b in zip(payload, payload[1:]))
+    for b in payload:
+        total, square = total + b, square + b * b
+    return f"{n}:{total * 100 // n}:{round(math.sqrt(max(0, square / n - (total / n) ** 2)) * 100)}:{crossings}"
+
+
 def test_against_plain(spark):
     rows, docs = docs_of(spark)
     want = []
@@ -46,7 +56,7 @@ def test_against_plain(spark):
         with wave.open(out, "wb") as w:
             w.setnchannels(1), w.setsampwidth(1), w.setframerate(M.RATE), w.writeframes(p)
         f = out.getvalue()
-        want.append((d, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(f), hashlib.sha256(f).hexdigest(), M.feature(p)))
+        want.append((d, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(f), hashlib.sha256(f).hexdigest(), plain_feature(p)))
     cols = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     got = M.described(docs).select(*cols).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
@@ -68,6 +78,12 @@ def test_damage_is_found(spark):
         M.features(bad).collect()
 
 
+def test_bitmap_grows_with_the_keys(spark):
+    assert C.bits_for(0) == C.BITMAP_BITS == C.bits_for(1 << 20) and C.bits_for(3_000_000) == 1 << 26 and C.bits_for(1 << 40) == C.MOST_BITMAP_BITS
+    bits = C.bitmap(spark.range(0, 5000, 7), "id", 1 << 25)
+    assert len(bits) == 1 << 19 and C.in_bitmap(bits, np.arange(5000)).tolist() == [i % 7 == 0 for i in range(5000)]
+
+
 def test_empty(spark):
     _, docs = docs_of(spark)
     assert M.described(docs.limit(0)).collect() == []

@@ -2,9 +2,9 @@
 
 A payload is kept as 8-bit mono samples of a WAV file, whose header follows from their number. The samples are cut
 wherever a rolling gear hash of the last 32 bytes says so, so equal passages give equal chunks at any offset. Chunks that occur once in the
-table are stored with their medium and never shuffled. Those that occur more often (all of them pass a bitmap of fixed
-size; a false hit only takes the longer way) are deduplicated: a join keeps one owner for each digest. Media are put
-together again from the ordered chunk list of each distinct file and verified against its digest.
+table are stored with their medium and never shuffled. Those that occur more often (all of them pass a bitmap whose size
+follows their number, 128 MB at most; a false hit only takes the longer way) are deduplicated: a join keeps one owner for
+each digest. Media are put together again from the ordered chunk list of each distinct file and verified against its digest.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, chunks, in_bitmap, staged, table, text_bytes
+from .common import bitmap, bits_for, chunks, in_bitmap, staged, table, text_bytes
 
 UNIT, RATE = 576, 8000
 LEAST, MASK_BITS, MOST = 512, 11, 8192
@@ -138,7 +138,8 @@ def store(docs: DataFrame) -> Store:
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     recipes = staged(keys.mapInArrow(describe, "doc_id long, n_bytes long, media binary, chunks array<binary>"), "recipes")
     often = recipes.select(F.explode("chunks").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-    sent = docs.sparkSession.sparkContext.broadcast(bitmap(often.select(_low("digest").alias("low")), "low"))
+    often = staged(often.select(_low("digest").alias("low")), "repeated-chunks")
+    sent = docs.sparkSession.sparkContext.broadcast(bitmap(often, "low", bits_for(often.count())))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
