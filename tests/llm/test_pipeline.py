@@ -26,7 +26,7 @@ def test_against_brute_force(spark):
     rows = [r for r in rows if r.doc_id not in hit]
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(subwords.MODEL))
     got = pipeline.run(spark, SF)
-    assert got.columns == [*docs.columns, "piece_ids"]
+    assert got.columns == [*docs.columns, "piece_ids", "same"] and got.where("same").count() == len(rows)
     got = by_id(got)
     assert set(got) == {r.doc_id for r in rows} and hit and len(keep) < docs.count()
     for r in rows:

@@ -122,13 +122,13 @@ def windows_of_items(items: DataFrame) -> DataFrame:
 
 
 def document_fingerprints(docs: DataFrame, lengths: list[int], bits: np.ndarray) -> DataFrame:
-    """Rows of docs(row, doc_id, text_key, text): one of length 0 for each document, with n_words, and one for each
+    """Rows of docs(doc_id, text_key, text): one of length 0 for each document, with n_words, and one for each
     fingerprint that may be an item's: its place in words, the words around it and how many of these stand before it."""
     sent = docs.sparkSession.sparkContext.broadcast((lengths, bits))
 
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lengths, bits = sent.value
-        data, at = text_bytes(batch.column(3))
+        data, at = text_bytes(batch.column(2))
         for i, j in chunks(at):
             low, start, end, bounds = tokens(data[at[i] : at[j]], at[i : j + 1] - at[i])
             of = np.repeat(np.arange(j - i), np.diff(bounds))
@@ -158,36 +158,43 @@ def document_fingerprints(docs: DataFrame, lengths: list[int], bits: np.ndarray)
             d = np.concatenate([x[0] for x in found])
             kinds = np.concatenate([np.full(len(x[0]), x[1], np.int32) for x in found])
             fp, place, before = (np.concatenate([x[c] for x in found]) for c in (2, 3, 4))
-            own = [batch.column(c).take(pa.array(d + i)) for c in range(3)]
+            own = [batch.column(c).take(pa.array(d + i)) for c in range(2)]
             rest = [np.diff(bounds)[d], kinds, fp, place, before.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([*own, *map(pa.array, rest), pa.array(words, pa.list_(pa.string()))], ["row", "doc_id", "text_key", "n_words", "length", "fp", "place", "before", "words"])
+            yield pa.RecordBatch.from_arrays([*own, *map(pa.array, rest), pa.array(words, pa.list_(pa.string()))], ["doc_id", "text_key", "n_words", "length", "fp", "place", "before", "words"])
 
-    return docs.mapInArrow(by_batch(kernel), "row long, doc_id long, text_key long, n_words long, length int, fp long, place long, before int, words array<string>")
+    return docs.mapInArrow(by_batch(kernel), "doc_id long, text_key long, n_words long, length int, fp long, place long, before int, words array<string>")
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, n_items, items (as sorted strings) for each row of docs(doc_id, text).
 
     text_key is xxhash64 of the text, so that (doc_id, text_key) leads back to the row. A null text has no words. Items
-    with a null item_id or text are left out; an item_id may repeat and then counts once. Rows that repeat are
-    judged each for itself. Without items, or with an empty table of documents, nothing is hit."""
+    with a null item_id or text are left out; an item_id may repeat and then counts once. Rows that repeat are judged
+    once and given as often as they occur. Without items, or with an empty table of documents, nothing is hit."""
     windows = staged(windows_of_items(items), "item-windows")
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # 1 to WINDOW
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    prints = document_fingerprints(numbered, lengths, bitmap(windows, "fp"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    prints = document_fingerprints(rows, lengths, bitmap(windows, "fp"))
     met = prints.alias("d").join(windows.alias("w"), (F.col("d.fp") == F.col("w.fp")) & (F.col("d.length") == F.col("w.length")), "left")
     first = F.col("d.before") - F.col("w.at")
     same = (first >= 0) & (F.slice("d.words", F.greatest(first, F.lit(0)) + 1, F.col("w.length")) == F.col("w.words"))
     at = F.col("d.place") - F.col("w.at")
-    hit = met.select("d.row", "d.doc_id", "d.text_key", "d.n_words", F.when(same, F.struct(at.alias("a"), (at + F.col("w.length")).alias("b"))).alias("span"), F.when(same, F.col("w.items")).alias("items"))
-    per = hit.groupBy("row", "doc_id", "text_key", "n_words").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda x: x.cast("string"))).alias("items"))
+    span = F.when(same, F.struct(at.alias("a"), (at + F.col("w.length")).alias("b")))
+    hit = met.select("d.doc_id", "d.text_key", "d.n_words", F.col("d.length").alias("length"), span.alias("span"), F.when(same, F.col("w.items")).alias("items"))
+    ids = F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda x: x.cast("string"))
+    times = F.count_if(F.col("length") == 0)  # a row of length 0 for each row of docs
+    per = hit.groupBy("doc_id", "text_key", "n_words").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(ids).alias("items"), times.alias("times"))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
     union = F.aggregate("spans", zero, lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0).cast("long"), x["b"] - F.greatest(s["end"], x["a"]))).alias("n"), F.greatest(s["end"], x["b"]).alias("end")))
-    return per.select("doc_id", "text_key", "n_words", union["n"].alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items")
+    once = per.select("doc_id", "text_key", "n_words", union["n"].alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", "times")
+    return once.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("time", "times")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, in which no window of an item occurs."""
+    """The rows of docs, with all their columns, in which no window of an item occurs.
+
+    Null and empty texts have no words and stay; rows that repeat stay or go together; nulls in other columns don't
+    matter; an empty table stays empty, and without items all rows stay; a long text is judged whole."""
     hit = contamination(docs, items).where("n_hit > 0").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1]))
     return without(keyed(docs), hit).select(*docs.columns)
 
