@@ -3,6 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.operators import actions as stream
 from touchline.operators import actionvalue, elo, ratings, squads, threat, upsert
 
 ACTION = "game_id long, period_id int, action_id int, time_seconds double, team_id long, player_id long, start_x double, start_y double, end_x double, end_y double, type_name string, result_name string"
@@ -54,8 +55,8 @@ def test_action_value_models(spark):
     rows = [act(i, "shot" if i % 5 == 0 else "pass", "success" if i % 10 == 0 else "fail", team=1 + i % 2, x0=float(i % 100)) for i in range(200)]
     rated = actionvalue.rate(actions(spark, rows), actionvalue.fit(actions(spark, rows), maxIter=2, maxDepth=2))
     assert rated.count() == 200 and rated.where("value is null").count() == 0
-    names = {r.type_name for r in actionvalue.atomic(actions(spark, rows)).collect()}
-    assert names == {"shot", "pass", "goal"}
+    names = {r.type_name for r in stream.atomic(actions(spark, rows)).collect()}
+    assert names == {"shot", "pass", "goal", "interception"}
 
 
 def games(spark):

@@ -24,7 +24,7 @@ def test_value_sums_of_the_default_models(spark, monkeypatch):
         p = m.transform(data).select("game_id", "period_id", "action_id", vector_to_array("probability")[1].alias("p"))
         chance.append({tuple(r)[:3]: r.p for r in p.collect()})
     spells, before = {}, None
-    for r in queries._on_pitch(spark, SF)[2].collect():
+    for r in queries._on_pitch(spark, SF).collect():
         spells.setdefault((r.game_id, r.player_id), []).append((r.minute_on, r.minute_off))
     want = dict.fromkeys(spells, 0.0)
     for r in sorted(data.collect(), key=lambda r: (r.game_id, r.period_id, r.action_id)):

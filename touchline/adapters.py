@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .schemas import EVENT
+
 LAST_MINUTE = 94
 
 
@@ -15,20 +17,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event rows with the columns that the operators read; a full-time event closes each game."""
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows with the columns that the operators read, without full-time events."""
     e = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     minute = F.floor((F.hour("ts") * 60 + F.minute("ts")) * 95 / 1440).cast("int")
     kind = F.col("event_type")
-    named = F.when(kind == "signup", "SubstitutionOn").when(kind == "error", "SubstitutionOff").when((kind == "purchase") & (k % 4 == 0), "Goal").when((kind == "click") & (k == 0), "Card").otherwise("Pass")
-    own = F.when(k < 5, F.array(F.struct(F.struct(F.lit(28).alias("value"), F.lit("OwnGoal").alias("displayName")).alias("type"), F.lit(None).cast("string").alias("value"))))
-    rows = e.select(
+    goal, card = (kind == "purchase") & (F.col("k") % 4 == 0), (kind == "click") & (F.col("k") == 0)
+    named = F.when(kind == "signup", "SubstitutionOn").when(kind == "error", "SubstitutionOff").when(goal, "Goal").when(card, "Card").otherwise("Pass")
+    own = F.when(F.col("k") < 5, F.array(F.struct(F.struct(F.lit(28).alias("value"), F.lit("OwnGoal").alias("displayName")).alias("type"), F.lit(None).cast("string").alias("value"))))
+    e = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
+    return e.select(
         F.date_format("ts", "yyyyMMdd").cast("long").alias("game_id"), F.col("event_id").alias("event_ordinal"), named.alias("type"), F.lit("SecondHalf").alias("period"), minute.alias("expanded_minute"),
-        F.col("user_id").alias("player_id"), (F.col("user_id") % 2 + 1).alias("team_id"), F.when(named == "Card", "Red").alias("card_type"), (named == "Goal").alias("is_goal"), own.alias("qualifiers"), k.alias("k"), "value", "event_type", "ts",
+        F.col("user_id").alias("player_id"), (F.col("user_id") % 2 + 1).alias("team_id"), F.when(card, "Red").alias("card_type"), goal.alias("is_goal"), own.alias("qualifiers"), "k", "value", "event_type", "ts",
     )
-    ends = rows.select("game_id").distinct().select("game_id", F.lit(-1).cast("long").alias("event_ordinal"), F.lit("End").alias("type"), F.lit("SecondHalf").alias("period"), F.lit(LAST_MINUTE).alias("expanded_minute"), F.lit(False).alias("is_goal"))
-    return rows.unionByName(ends, allowMissingColumns=True)
+
+
+def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event rows, each followed by its game's full-time event: that repeats in a game, and the first of them holds."""
+    rows = event_rows(spark, sf_dir)
+    full = {"event_ordinal": F.lit(-1).cast("long"), "type": F.lit("End"), "expanded_minute": F.lit(LAST_MINUTE), "is_goal": F.lit(False)}
+    keep = ("game_id", "period")
+    end = [full.get(f.name, F.col(f.name) if f.name in keep else F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema.fields]
+    return rows.select(F.inline(F.array(F.struct(*rows.columns), F.struct(*end))))
 
 
 def lineups(events: DataFrame) -> DataFrame:
@@ -36,9 +47,59 @@ def lineups(events: DataFrame) -> DataFrame:
     return events.where("player_id is not null").select("game_id", "player_id", "team_id", F.lit(True).alias("is_starter"))
 
 
+def entries(events: DataFrame) -> DataFrame:
+    """minutes.entries of lineups(events) and events in one pass: as all start, an event row is its player's line-up and
+    substitution at once."""
+    on, off = F.col("type") == "SubstitutionOn", F.col("type") == "SubstitutionOff"
+    minute = F.col("expanded_minute")
+    rows = events.where("player_id is not null")
+    return rows.select("game_id", "player_id", "team_id", F.when(on, minute).otherwise(0).alias("minute_on"), F.when(off, minute).otherwise(-1).alias("minute_off"), F.lit(0).cast("long").alias("seen"))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A match document for each day of events, with the fields that sources.matches.read gives."""
+    e, k = event_rows(spark, sf_dir).where("player_id is not null"), F.col("k")
+    label = lambda c: F.struct(F.lit(1).alias("value"), c.alias("displayName"))
+    kind = F.col("event_type")
+    name = F.when(F.col("type") == "Goal", "Goal").when(kind == "purchase", "MissedShots").when((kind == "click") & (k != 0), "TakeOn").when((kind == "click") & (k == 0), "Card")
+    name = name.when((kind == "view") & (k % 9 == 0), "Clearance").when(kind == "view", "Pass").otherwise(F.col("type"))
+    given = {"Cross": k % 10 == 7, "ThrowIn": k % 10 == 8, "CornerTaken": k % 20 == 3, "Head": k % 6 == 1, "Penalty": k % 8 == 0, "OwnGoal": k < 5}
+    qualifiers = F.filter(F.array(*(F.when(c, F.struct(label(F.lit(q)).alias("type"))) for q, c in given.items())), lambda q: q.isNotNull())
+    shot = F.col("is_goal") | (name == "MissedShots")
+    event = F.struct(
+        F.col("event_ordinal").alias("id"), label(name).alias("type"), label(F.lit("SecondHalf")).alias("period"), F.col("expanded_minute").alias("expandedMinute"), F.col("expanded_minute").alias("minute"),
+        (F.col("event_ordinal") % 60).cast("double").alias("second"), F.col("team_id").alias("teamId"), F.col("player_id").alias("playerId"), label(F.when(k % 3 != 0, "Successful").otherwise("Unsuccessful")).alias("outcomeType"),
+        F.when(F.col("card_type").isNotNull(), label(F.col("card_type"))).alias("cardType"), qualifiers.alias("qualifiers"), F.when(F.col("is_goal"), F.lit(True)).alias("isGoal"), k.cast("double").alias("x"),
+        (F.col("event_ordinal") % 100).cast("double").alias("y"), F.when(~shot, (k * 13 % 100).cast("double")).alias("endX"), F.when(~shot, (k * 7 % 100).cast("double")).alias("endY"), F.when(shot, (k % 50 + 25).cast("double")).alias("goalMouthY"),
+    )
+    end = F.lit(f'{{"type": {{"displayName": "End"}}, "period": {{"displayName": "SecondHalf"}}, "expandedMinute": {LAST_MINUTE}}}')
+    player = F.col("player_id")
+    side = lambda t, n: F.struct(
+        F.lit(t).cast("long").alias("teamId"), F.lit(n).alias("name"),
+        F.transform(F.filter("players", lambda p: p % 2 + 1 == t), lambda p: F.struct(p.alias("playerId"), F.concat(F.lit("P"), p.cast("string")).alias("name"), (p % 99).cast("int").alias("shirtNo"), F.lit(True).alias("isFirstEleven"))).alias("players"),
+    )
+    games = e.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct(F.col("event_ordinal").alias("o"), F.to_json(event).alias("e")))).alias("events"), F.array_sort(F.collect_set("player_id")).alias("players"))
+    # names of every other player, so that the rest keep their numbers
+    named = F.map_from_entries(F.transform(F.filter("players", lambda p: p % 4 < 2), lambda p: F.struct(p.cast("string").alias("key"), F.concat(F.lit("P"), p.cast("string")).alias("value"))))
+    events = F.transform(F.concat(F.transform("events", lambda x: x["e"]), F.array(end)), lambda x: F.from_json(x, EVENT))
+    return games.select("game_id", named.alias("playerIdNameDictionary"), side(1, "One").alias("home"), side(2, "Two").alias("away"), events.alias("events"))
+
+
+def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(path, content) of a roster page for each nation: a row per customer, some without a number, some numbers twice."""
+    c = table(spark, sf_dir, "customer")
+    number = F.when(F.col("c_custkey") % 7 == 0, "x").otherwise((F.col("c_custkey") % 40).cast("string"))
+    cell = lambda x: F.concat(F.lit("<td>"), x, F.lit("</td>"))
+    name = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("see <i>"), F.col("c_name"), F.lit("</i>"))).otherwise(F.col("c_name"))
+    row = F.concat(F.lit("<tr>"), cell(number), cell(name), cell(F.col("c_mktsegment")), F.lit("</tr>"))
+    rows = c.groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", row.alias("row")))), lambda x: x["row"]), "").alias("rows"))
+    content = F.concat(F.lit('<html><div id="main"><table><tr><th>No</th><th>Name</th></tr>'), "rows", F.lit("</table></div></html>"))
+    return rows.select(F.concat(F.lit("2001-2002_land_part_team"), F.col("c_nationkey").cast("string"), F.lit(".html")).alias("path"), content.alias("content"))
+
+
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An action stream: places from k and the event's number, kinds from the event's type."""
-    e = match_events(spark, sf_dir).where("type <> 'End'")
+    e = event_rows(spark, sf_dir)
     kind = F.when(F.col("type") == "Goal", "shot").when((F.col("type") == "Pass") & (F.col("event_type") == "purchase"), "shot").when(F.col("event_type") == "view", "pass").when(F.col("event_type") == "click", "dribble").otherwise("tackle")
     result = F.when(F.col("type") == "Goal", F.when(F.col("k") < 5, "owngoal").otherwise("success")).when(F.col("k") % 3 == 0, "fail").otherwise("success")
     end = F.when(F.col("k") % 7 != 6, (F.col("k") * 13 % 100).cast("double"))
@@ -105,3 +166,20 @@ GM = """gm as (select o_orderkey as game_id, o_custkey as player_id, cast(o_orde
 bm as (select player_id, game_id, game_date, version, case when game_id % 2 = 0 then 'elo' else 'pm' end as metric, elo as metric_value from gm),
 se as (select player_id, cast(game_id % 30 as int) as kit_number, team_id, game_date as day_ from (select *, row_number() over (partition by player_id, game_date order by game_id) as rn from gm) as x where rn = 1),
 sq as (select player_id, kit_number, team_id, day_ as valid_from, coalesce(lead(day_) over (partition by player_id order by day_), date '2099-12-31') as valid_to from se)"""
+#: The action stream of documents, before dribbles are put in.
+STREAM = f"""{EV},
+sv as (select game_id, event_id, minute, team_id, player_id, k, case when type = 'Goal' then 'Goal' when event_type = 'purchase' then 'MissedShots' when event_type = 'click' and k <> 0 then 'TakeOn'
+ when event_type = 'click' then 'Card' when event_type = 'view' and k % 9 = 0 then 'Clearance' when event_type = 'view' then 'Pass' else type end as t from ev where player_id is not null),
+sn as (select *, case when t = 'Pass' then case when k % 10 = 8 then 'throw_in' when k % 20 = 3 then 'corner_short' when k % 10 = 7 then 'cross' else 'pass' end
+ when t in ('Goal', 'MissedShots') then case when k % 8 = 0 then 'shot_penalty' else 'shot' end when t = 'TakeOn' then 'take_on' when t = 'Clearance' then 'clearance' end as tn from sv),
+sp as (select *, minute * 60.0 + event_id % 60 as secs, case when t in ('Goal', 'MissedShots') then case when k < 5 then 'owngoal' when t = 'Goal' then 'success' else 'fail' end when k < 5 then 'owngoal'
+ when k % 3 <> 0 then 'success' else 'fail' end as rn, case when k % 6 = 1 then 'head' when tn = 'throw_in' then 'other' else 'foot' end as bp,
+ case when team_id = 1 then k / 100.0 * 105 else 105 - k / 100.0 * 105 end as sx, case when team_id = 1 then event_id % 100 / 100.0 * 68 else 68 - event_id % 100 / 100.0 * 68 end as sy,
+ case when t in ('Goal', 'MissedShots') then 100.0 else k * 13 % 100 end as px, case when t in ('Goal', 'MissedShots') then k % 50 + 25 else k * 7 % 100 end as py from sn where tn is not null),
+sl as (select *, lead(team_id) over w as n_team, lead(player_id) over w as n_player, lead(secs) over w as n_secs, lead(sx) over w as n_sx, lead(sy) over w as n_sy, lead(tn) over w as n_tn
+ from sp window w as (partition by game_id order by event_id)),
+se as (select *, case when tn = 'clearance' then coalesce(n_sx, sx) when tn = 'take_on' then sx when team_id = 1 then px / 100.0 * 105 else 105 - px / 100.0 * 105 end as ex,
+ case when tn = 'clearance' then coalesce(n_sy, sy) when tn = 'take_on' then sy when team_id = 1 then py / 100.0 * 68 else 68 - py / 100.0 * 68 end as ey from sl),
+sd as (select game_id, event_id, 0 as step, secs, team_id, player_id, sx, sy, ex, ey, tn, rn, bp from se union all
+ select game_id, event_id, 1, (secs + n_secs) / 2, team_id, n_player, ex, ey, n_sx, n_sy, 'dribble', 'success', 'foot' from se
+ where n_team = team_id and n_secs - secs < 10 and sqrt(pow(n_sx - ex, 2) + pow(n_sy - ey, 2)) between 3 and 60 and n_tn not in ('throw_in', 'goalkick', 'corner_crossed', 'corner_short'))"""

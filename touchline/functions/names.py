@@ -14,9 +14,9 @@ _SEGMENTS = ("Regions", "Tournaments", "Seasons", "Stages", "Matches")
 
 def snake_case(name: str) -> str:
     """startTimeUtc to start_time_utc: a capital begins a word before a small letter, and after a small letter or digit;
-    hyphens become underscores and blanks go."""
+    hyphens become underscores, blanks go. Two underscores before a capital that begins no word become one."""
     name = re.sub(r"(?<!^)(?<!_)(?=[A-Z][a-z])|(?<=[a-z0-9])(?=[A-Z])", "_", name)
-    return name.lower().replace("-", "_").replace(" ", "")
+    return re.sub("__(?=[A-Z](?![a-z]))", "_", name).lower().replace("-", "_").replace(" ", "")
 
 
 def with_snake_case(df: DataFrame) -> DataFrame:
@@ -32,10 +32,13 @@ def game_name(home: Column, away: Column, day: Column | None = None) -> Column:
 def url_ids(url: Column) -> Column:
     """struct(region_id, ...) of an address such as https://host/Regions/1/Tournaments/2/Seasons/3/Stages/4/Matches/5/;
     missing parts are null, and a part counts only if all that stands before it has its place. Anything that isn't an
-    address or an absolute path is null as a whole."""
-    pattern = "^(?:https://[^/]+)?/" + "".join(rf"(?:{s}/(\d+)/)?" for s in _SEGMENTS)
-    part = lambda i: F.nullif(F.regexp_extract(url, pattern, i), F.lit(""))
-    return F.when(url.rlike("^(?:https://[^/]+)?/"), F.struct(*(part(i + 1).cast("long").alias(f"{n}_id") for i, n in enumerate(URL_PARTS))))
+    address or an absolute path is null as a whole. The pattern is matched once, into a list of the parts."""
+    pattern = "(?s)^(?:https://[^/]+)?/" + "".join(rf"(?:{s}/(\d+)/)?" for s in _SEGMENTS) + ".*$"
+    parts = F.regexp_replace(url, pattern, "," + ",".join(f"${i + 1}" for i in range(len(_SEGMENTS))))
+    part = lambda i: F.nullif(F.get(F.split(parts, ","), F.lit(i)), F.lit(""))
+    # a text that begins like an address but doesn't match is left as it is, and begins with no comma
+    valid = (F.startswith(url, F.lit("/")) | F.startswith(url, F.lit("https://"))) & F.startswith(parts, F.lit(","))
+    return F.when(valid, F.struct(*(part(i + 1).cast("long").alias(f"{n}_id") for i, n in enumerate(URL_PARTS))))
 
 
 def alias_table(spark, canonical: dict[str, list[str]]) -> DataFrame:

@@ -90,6 +90,16 @@ def outcome_probabilities(home_rate: Column, away_rate: Column, most: int = 12)
     return F.struct((win / total).alias("win"), (draw / total).alias("draw"), (loss / total).alias("loss"))
 
 
+def squared_error(predicted: Column, seen: Column) -> Column:
+    """Its mean is the mean squared error of predictions."""
+    return F.pow(predicted - seen, F.lit(2))
+
+
+def normal_nll(seen: Column, mean: Column, deviation: Column) -> Column:
+    """The negative logarithm of a normal density; its mean is the likelihood score of forecasts of a distribution."""
+    return F.log(deviation) + 0.9189385332046727 + F.pow((seen - mean) / deviation, F.lit(2)) / 2
+
+
 def brier(probabilities: list[Column], happened: list[Column]) -> Column:
     """The squared distance of a forecast from what happened (0 or 1 each); its mean is the score of forecasts."""
     return sum((F.pow(p - y, F.lit(2)) for p, y in zip(probabilities, happened)), F.lit(0.0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -11,12 +11,16 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .actions import BODY_PARTS, PITCH_X, PITCH_Y, RESULTS, SHOTS, TYPES
 from .minutes import as_metric
-from .threat import PITCH_X, PITCH_Y, SHOTS, no_metric, on_pitch_sum
+from .splits import fraction
+from .threat import no_metric, on_pitch_sum
 
-PREVIOUS, AHEAD = 3, 10
-TYPES = ("pass", "cross", "dribble", "shot", "tackle", "interception", "foul", "clearance")
-_KEPT = ("start_x", "start_y", "end_x", "end_y", "success", "distance", *(f"is_{t}" for t in TYPES))
+PREVIOUS, AHEAD, VALIDATION = 3, 10, 0.25
+_PLACE = ("start_x", "start_y", "end_x", "end_y", "dx", "dy", "distance", "start_goal_distance", "start_goal_angle", "end_goal_distance", "end_goal_angle")
+_KEPT = (*_PLACE, "period_id", "time_seconds", *(f"is_{t}" for t in TYPES), *RESULTS[:4], *BODY_PARTS)
+_SINCE = ("same_team", "time_gap", "x_gap", "y_gap")
+_SCORE = ("goals_own", "goals_other", "goals_ahead")
 
 
 def _order():
@@ -30,41 +34,83 @@ def _goal(own: bool) -> Column:
 
 def labels(actions: DataFrame, ahead: int = AHEAD) -> DataFrame:
     """Actions with scores and concedes: whether this action's team gets, or lets in, a goal by this action or one of
-    the ahead - 1 that follow in the same period. Own goals count for the other side."""
+    the ahead - 1 that follow in the same period. Own goals count for the other side. A period has two teams."""
     w = _order().rowsBetween(Window.currentRow, ahead - 1)
-    for_team = F.when(_goal(False), F.col("team_id"))
-    against_team = F.when(_goal(True), F.col("team_id"))
-    seen = actions.withColumns({"__for": F.collect_set(for_team).over(w), "__own": F.collect_set(against_team).over(w)})
-    mine, other = F.array_contains("__for", F.col("team_id")), F.exists("__for", lambda t: t != F.col("team_id"))
-    own, theirs = F.array_contains("__own", F.col("team_id")), F.exists("__own", lambda t: t != F.col("team_id"))
-    return seen.withColumns({"scores": mine | theirs, "concedes": other | own}).drop("__for", "__own")
+    one = F.min("team_id").over(Window.partitionBy("game_id", "period_id"))
+    is_one = F.col("team_id") == F.col("__one")
+    goal = lambda mine: F.max((mine & _goal(False)) | (~mine & _goal(True))).over(w)
+    seen = actions.withColumn("__one", one).withColumns({"__for_one": goal(is_one), "__for_other": goal(~is_one)})
+    scores, concedes = F.when(is_one, F.col("__for_one")).otherwise(F.col("__for_other")), F.when(is_one, F.col("__for_other")).otherwise(F.col("__for_one"))
+    return seen.withColumns({"scores": scores, "concedes": concedes}).drop("__one", "__for_one", "__for_other")
+
+
+def _to_goal(x: Column, y: Column) -> tuple[Column, Column]:
+    """Distance from the middle of the goal on the right, and the angle to it off the pitch's axis."""
+    dx, dy = PITCH_X - x, F.abs(PITCH_Y / 2 - y)
+    return F.hypot(dx, dy), F.when(dx == 0, F.lit(math.pi / 2)).otherwise(F.atan(F.try_divide(dy, dx)))
 
 
 def features(actions: DataFrame, previous: int = PREVIOUS) -> DataFrame:
-    """Actions with, of themselves (_0) and the actions before them in the period (_1, ...), place, success, distance,
-    type and whether the same team acted. Of actions before the first, the first stands in."""
-    base = {"success": (F.col("result_name") == "success").cast("int"), "distance": F.hypot(F.col("end_x") - F.col("start_x"), F.col("end_y") - F.col("start_y"))}
-    base |= {f"is_{t}": F.startswith("type_name", F.lit(t)).cast("int") for t in TYPES}
-    out = actions.withColumns(base)
-    w = _order()
-    cols: dict[str, Column] = {}
+    """Actions with what the models see, of themselves (_0) and of the actions before them in the period (_1, ...): place,
+    movement, distance and angle to the goal, period and time, type, result, body part (foot where actions have none);
+    of the earlier ones also whether the same team acted and how far off in time and place they began. Of actions before
+    the first, the first stands in. Besides, the goals of both sides in the game so far. Missing numbers are 0.
+
+    One shuffle, by game and period, and one by game for the score."""
+    names, dx, dy = actions.columns, F.col("end_x") - F.col("start_x"), F.col("end_y") - F.col("start_y")
+    part = F.coalesce("bodypart_name", F.lit("foot")) if "bodypart_name" in names else F.lit("foot")
+    base: dict[str, Column] = {"dx": dx, "dy": dy, "distance": F.hypot(dx, dy)}
+    for end in ("start", "end"):
+        base[f"{end}_goal_distance"], base[f"{end}_goal_angle"] = _to_goal(F.col(f"{end}_x"), F.col(f"{end}_y"))
+    base |= {f"is_{t}": (F.col("type_name") == t).cast("int") for t in TYPES}
+    base |= {r: (F.col("result_name") == r).cast("int") for r in RESULTS[:4]} | {b: (part == b).cast("int") for b in BODY_PARTS}
+    out = _with_score(actions).withColumns({f"__{k}": v for k, v in base.items()})
+    w, cols = _order(), {}
+    value = lambda c: F.col(f"__{c}" if c in base else c)
     for k in range(previous):
+        at = lambda c: c if k == 0 else F.coalesce(F.lag(c, k).over(w), F.first(c).over(w))  # noqa: B023, E731
         for c in _KEPT:
-            at = F.col(c) if k == 0 else F.coalesce(F.lag(c, k).over(w), F.first(c).over(w))
-            cols[f"{c}_{k}"] = F.coalesce(at.cast("double"), F.lit(0.0))
-        cols[f"same_team_{k}"] = (F.coalesce(F.lag("team_id", k).over(w), F.col("team_id")) == F.col("team_id")).cast("double") if k else F.lit(1.0)
-    return out.withColumns(cols).drop(*base)
+            cols[f"{c}_{k}"] = F.coalesce(at(value(c)).cast("double"), F.lit(0.0))
+        if k:
+            team = F.coalesce(F.lag("team_id", k).over(w), F.col("team_id"))
+            cols[f"same_team_{k}"] = (team == F.col("team_id")).cast("double")
+            for name, c in (("time_gap", "time_seconds"), ("x_gap", "start_x"), ("y_gap", "start_y")):
+                cols[f"{name}_{k}"] = F.coalesce((F.col(c) - at(F.col(c))).cast("double"), F.lit(0.0))
+    return out.withColumns(cols).drop(*(f"__{c}" for c in base))
+
+
+def _with_score(actions: DataFrame) -> DataFrame:
+    """Actions with goals_own, goals_other and goals_ahead: the score of the game before the action, as its team sees it."""
+    before = Window.partitionBy("game_id").orderBy("period_id", "action_id").rowsBetween(Window.unboundedPreceding, -1)
+    seen = actions.withColumn("__one", F.min("team_id").over(Window.partitionBy("game_id")))
+    is_one = F.col("team_id") == F.col("__one")
+    goals = lambda mine: F.coalesce(F.sum(((mine & _goal(False)) | (~mine & _goal(True))).cast("int")).over(before), F.lit(0))
+    seen = seen.withColumns({"__for_one": goals(is_one), "__for_other": goals(~is_one)})
+    own = F.when(is_one, F.col("__for_one")).otherwise(F.col("__for_other"))
+    other = F.when(is_one, F.col("__for_other")).otherwise(F.col("__for_one"))
+    cols = {"goals_own": own, "goals_other": other, "goals_ahead": own - other}
+    return seen.withColumns({k: F.coalesce(v.cast("double"), F.lit(0.0)) for k, v in cols.items()}).drop("__one", "__for_one", "__for_other")
 
 
 def feature_names(previous: int = PREVIOUS) -> list[str]:
-    return [f"{c}_{k}" for k in range(previous) for c in (*_KEPT, "same_team")]
-
-
-def fit(actions: DataFrame, seed: int = 7, **params) -> tuple[PipelineModel, PipelineModel]:
-    """Two boosted-tree models, for scores and for concedes, trained by Spark ML."""
-    data = features(labels(actions)).withColumns({c: F.col(c).cast("double") for c in ("scores", "concedes")})
-    build = lambda label: Pipeline(stages=[VectorAssembler(inputCols=feature_names(), outputCol="features"), GBTClassifier(labelCol=label, seed=seed, **({"maxIter": 20, "maxDepth": 3} | params))])
-    return build("scores").fit(data), build("concedes").fit(data)
+    return [*_SCORE, *(f"{c}_{k}" for k in range(previous) for c in (*_KEPT, *(_SINCE if k else ())))]
+
+
+def fit(actions: DataFrame, seed: int = 7, validation: float = VALIDATION, **params) -> tuple[PipelineModel, PipelineModel]:
+    """Two boosted-tree models, for scores and for concedes, trained by Spark ML: 20 trees of depth 3, or fewer where more
+    don't make the share validation of the actions, which is held back for that, any better (0 holds back none)."""
+    labelled = labels(actions)
+    data = features(labelled).withColumns({c: F.col(c).cast("double") for c in ("scores", "concedes")})
+    more = {"maxIter": 20, "maxDepth": 3} | params
+    if validation:
+        data = data.withColumn("held_back", fraction(F.col("game_id"), F.col("period_id"), F.col("action_id"), seed=seed) < validation)
+        more |= {"validationIndicatorCol": "held_back"}
+    data = data.select("scores", "concedes", *(["held_back"] if validation else []), *feature_names()).persist()
+    stages = lambda label: [VectorAssembler(inputCols=feature_names(), outputCol="features"), GBTClassifier(labelCol=label, seed=seed, **more)]
+    try:
+        return Pipeline(stages=stages("scores")).fit(data), Pipeline(stages=stages("concedes")).fit(data)
+    finally:
+        data.unpersist()
 
 
 def rate(actions: DataFrame, models: tuple[PipelineModel, PipelineModel]) -> DataFrame:
@@ -92,36 +138,3 @@ def vaep_metric(on_pitch: DataFrame, actions: DataFrame | None, models: tuple[Pi
     if actions is None or models is None:
         return no_metric(on_pitch)
     return as_metric(on_pitch_sum(on_pitch, rate(actions, models)), F.col("value"), "vaep")
-
-
-def from_events(events: DataFrame, home: DataFrame) -> DataFrame:
-    """Match events as an action stream on a pitch of PITCH_X by PITCH_Y, both teams playing as the home side does:
-    (game_id, period_id, action_id, time_seconds, team_id, player_id, start_x, start_y, end_x, end_y, type_name, result_name).
-
-    events as matches.events gives them; home(game_id, home_team_id). Events that are no action with the ball are left
-    out; missing end positions are where the action began."""
-    kind = {"Pass": "pass", "TakeOn": "dribble", "Goal": "shot", "SavedShot": "shot", "MissedShots": "shot", "ShotOnPost": "shot", "Tackle": "tackle", "Interception": "interception", "Foul": "foul", "Clearance": "clearance"}
-    named = reduce(lambda c, kv: c.when(F.col("type") == kv[0], kv[1]), kind.items(), F)
-    has = lambda q: F.coalesce(F.exists("qualifiers", lambda x: x["type"]["displayName"] == q), F.lit(False))
-    name = F.when((named == "pass") & has("Cross"), "cross").when((named == "shot") & has("Penalty"), "shot_penalty").when((named == "shot") & has("DirectFreekick"), "shot_freekick").otherwise(named)
-    result = F.when(has("OwnGoal"), "owngoal").when(named == "shot", F.when(F.col("type") == "Goal", "success").otherwise("fail")).when(F.col("outcome_type") == "Successful", "success").otherwise("fail")
-    period = F.when(F.col("period") == "FirstHalf", 1).when(F.col("period") == "SecondHalf", 2).when(F.col("period") == "FirstPeriodOfExtraTime", 3).when(F.col("period") == "SecondPeriodOfExtraTime", 4)
-    place = lambda c, size: F.when(F.col("team_id") == F.col("home_team_id"), c / 100 * size).otherwise(size - c / 100 * size)
-    rows = events.join(home, "game_id", "left").where(named.isNotNull() & period.isNotNull())
-    return rows.select(
-        "game_id", period.alias("period_id"), F.col("event_ordinal").alias("action_id"), (F.col("expanded_minute") * 60 + F.coalesce("second", F.lit(0))).cast("double").alias("time_seconds"), "team_id", "player_id",
-        place(F.col("x"), PITCH_X).alias("start_x"), place(F.col("y"), PITCH_Y).alias("start_y"), place(F.coalesce("end_x", "x"), PITCH_X).alias("end_x"), place(F.coalesce("end_y", "y"), PITCH_Y).alias("end_y"),
-        name.alias("type_name"), result.alias("result_name"),
-    )
-
-
-def atomic(actions: DataFrame) -> DataFrame:
-    """Actions as atomic ones: place and movement (x, y, dx, dy), with the receipt of each successful pass or cross and
-    the goal of each successful shot as actions of their own, half a step later."""
-    moved = actions.select("game_id", "period_id", F.col("action_id").cast("double").alias("action_id"), "time_seconds", "team_id", "player_id", F.col("start_x").alias("x"), F.col("start_y").alias("y"), (F.col("end_x") - F.col("start_x")).alias("dx"), (F.col("end_y") - F.col("start_y")).alias("dy"), "type_name", "result_name")
-    after = lambda name: F.struct(F.lit(0.5).alias("step"), F.lit(name).alias("type_name"), (F.col("x") + F.col("dx")).alias("x"), (F.col("y") + F.col("dy")).alias("y"), F.lit(0.0).alias("dx"), F.lit(0.0).alias("dy"))
-    own = F.struct(F.lit(0.0).alias("step"), "type_name", "x", "y", "dx", "dy")
-    good = F.col("result_name") == "success"
-    parts = F.when(good & F.col("type_name").isin("pass", "cross"), F.array(own, after("receival"))).when(good & F.col("type_name").isin(*SHOTS), F.array(own, after("goal"))).otherwise(F.array(own))
-    each = moved.select("game_id", "period_id", "action_id", "time_seconds", "team_id", "player_id", F.explode(parts).alias("p"))
-    return each.select("game_id", "period_id", (F.col("action_id") + F.col("p.step")).alias("action_id"), "time_seconds", "team_id", "player_id", "p.x", "p.y", "p.dx", "p.dy", "p.type_name")

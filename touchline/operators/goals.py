@@ -24,12 +24,22 @@ def goals(events: DataFrame, teams: DataFrame, every: bool = False) -> DataFrame
 def on_pitch_goals(on_pitch: DataFrame, scored: DataFrame) -> DataFrame:
     """on_pitch with goals_for and goals_against: goals strictly between minute_on and minute_off, by team.
 
-    The join has the game as its key and the minutes as a residual, so it needs no operator of its own."""
-    g, p = scored.alias("g"), on_pitch.alias("p")
-    inside = (F.col("g.game_id") == F.col("p.game_id")) & (F.col("g.expanded_minute") > F.col("p.minute_on")) & (F.col("g.expanded_minute") < F.col("p.minute_off"))
-    keys = [c for c in on_pitch.columns]
-    met = p.join(g, inside, "left").select(*(F.col(f"p.{c}").alias(c) for c in keys), "g.goal_team_id")
-    return met.groupBy(*keys).agg(F.count_if(F.col("goal_team_id") == F.col("team_id")).alias("goals_for"), F.count_if(F.col("goal_team_id") != F.col("team_id")).alias("goals_against"))
+    A game's goals are a list on the row of the game, so players meet them in one join on the game and nothing is
+    multiplied or grouped again."""
+    games = scored.groupBy("game_id").agg(F.collect_list(F.struct(F.col("expanded_minute").alias("minute"), F.col("goal_team_id").alias("team"))).alias("goals"))
+    return counted(on_pitch.join(games, "game_id", "left"))
+
+
+def counted(on_pitch: DataFrame) -> DataFrame:
+    """on_pitch with goals, a list of (minute, team) or null, as goals_for and goals_against."""
+    inside = F.filter("goals", lambda g: (g["minute"] > F.col("minute_on")) & (g["minute"] < F.col("minute_off")) & g["team"].isNotNull())
+    both = F.aggregate(
+        inside, F.struct(F.lit(0).cast("long").alias("own"), F.lit(0).cast("long").alias("all")),
+        lambda n, g: F.struct((n["own"] + (g["team"] == F.col("team_id")).cast("long")).alias("own"), (n["all"] + 1).alias("all")),
+    )
+    zero = F.lit(0).cast("long")
+    out = on_pitch.withColumn("__n", both).withColumns({"goals_for": F.coalesce("__n.own", zero), "goals_against": F.coalesce(F.col("__n.all") - F.col("__n.own"), zero)})
+    return out.drop("__n", "goals")
 
 
 def goals_metric(counted: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scoring import opposition, own_goal
+
 SENT_OFF = ("SecondYellow", "Red")
 #: off of a player who has not left the pitch.
 STAYS = -1
@@ -27,36 +29,81 @@ def end_of_game(events: DataFrame, strict: bool = True) -> DataFrame:
     A game without a full-time event is an error, or with strict off has no row."""
     end = F.min_by(F.when(is_full_time(), F.col("expanded_minute")), F.when(is_full_time(), F.col("event_ordinal")))
     games = events.groupBy("game_id").agg(end.alias("full_time"), F.min(F.when(is_red_card(), F.col("expanded_minute"))).alias("red"))
+    return _ended(games, strict).select("game_id", "end_of_game")
+
+
+def _ended(games: DataFrame, strict: bool) -> DataFrame:
+    """games(game_id, full_time, red, ...) with end_of_game."""
     if not strict:
         games = games.where("full_time is not null")
     full = F.coalesce("full_time", F.raise_error(F.concat(F.lit("no full-time event in game "), F.col("game_id").cast("string"))).cast("int"))
-    return games.select("game_id", F.least(full, F.col("red")).alias("end_of_game"))
+    return games.withColumn("end_of_game", F.least(full, F.col("red")))
 
 
-def intervals(lineups: DataFrame, events: DataFrame, strict: bool = True) -> DataFrame:
-    """(game_id, player_id, team_id, minute_on, minute_off, end_of_game) of each player who was on the pitch.
+def game_facts(events: DataFrame, teams: DataFrame | None = None, strict: bool = True) -> DataFrame:
+    """(game_id, end_of_game, goals array<struct<minute, team>>): what end_of_game and goals.goals give, from one pass.
 
-    lineups(game_id, player_id, team_id, is_starter); events(game_id, event_ordinal, type, period, expanded_minute,
-    player_id, team_id, card_type). Of several entries of a player the largest minutes hold, so who leaves and returns
-    has minute_off before minute_on. Player 0 and null are left out, and who enters after the end. The team is the
-    first one seen: line-up, then substitutions in document order."""
+    Of several goals in one expanded minute the last holds, so goals has an entry for each minute at most. The two sides
+    come from teams(game_id, team_id), or else from the events."""
+    red, full, goal = is_red_card(), is_full_time(), F.coalesce("is_goal", F.lit(False))
+    minutes = events.groupBy("game_id", "expanded_minute").agg(
+        F.min(F.when(full, F.col("event_ordinal"))).alias("full_at"), F.max(red).alias("red"), F.max(goal).alias("goal"), F.min("team_id").alias("one"), F.max("team_id").alias("other"),
+        F.max_by("team_id", F.when(goal, F.col("event_ordinal"))).alias("team"), F.max_by(own_goal(F.col("qualifiers")), F.when(goal, F.col("event_ordinal"))).alias("own"),
+    )
+    minute = F.col("expanded_minute")
+    games = minutes.groupBy("game_id").agg(
+        F.min_by(minute, "full_at").alias("full_time"), F.min(F.when(F.col("red"), minute)).alias("red"), F.min("one").alias("one"), F.max("other").alias("other"),
+        F.collect_list(F.when(F.col("goal"), F.struct(minute.alias("minute"), "team", "own"))).alias("goals"),
+    )
+    if teams is not None:
+        pair = teams.groupBy("game_id").agg(F.min("team_id").alias("one"), F.max("team_id").alias("other"))
+        games = games.drop("one", "other").join(pair, "game_id", "left")
+    credited = lambda g: F.when(g["own"], opposition(g["team"], F.col("one"), F.col("other"))).otherwise(g["team"])
+    scored = F.transform("goals", lambda g: F.struct(g["minute"].alias("minute"), credited(g).alias("team")))
+    return _ended(games, strict).select("game_id", "end_of_game", scored.alias("goals"))
+
+
+def entries(lineups: DataFrame, events: DataFrame) -> DataFrame:
+    """(game_id, player_id, team_id, minute_on, minute_off, seen): starters, then substitutions in document order."""
     sub_on, sub_off = F.col("type") == "SubstitutionOn", F.col("type") == "SubstitutionOff"
     start = lineups.where("is_starter").select("game_id", "player_id", "team_id", F.lit(0).alias("minute_on"), F.lit(STAYS).alias("minute_off"), F.lit(0).cast("long").alias("seen"))
     subs = events.where(sub_on | sub_off).select(
         "game_id", "player_id", "team_id", F.when(sub_on, F.col("expanded_minute")).otherwise(0).alias("minute_on"), F.when(sub_off, F.col("expanded_minute")).otherwise(STAYS).alias("minute_off"),
         (F.when(sub_on, _LATER).otherwise(2 * _LATER) + F.col("event_ordinal")).alias("seen"),
     )
-    players = start.unionByName(subs).where("player_id <> 0").groupBy("game_id", "player_id")
+    return start.unionByName(subs)
+
+
+def intervals(lineups: DataFrame, events: DataFrame, strict: bool = True) -> DataFrame:
+    """(game_id, player_id, team_id, minute_on, minute_off, end_of_game) of each player who was on the pitch.
+
+    lineups(game_id, player_id, team_id, is_starter); events(game_id, event_ordinal, type, period, expanded_minute,
+    player_id, team_id, card_type). Of several entries of a player the largest minutes hold, so who leaves and returns
+    has minute_off before minute_on. Player 0 and null are left out, and who enters after the end. The team is the
+    first one seen: line-up, then substitutions in document order."""
+    return spells(entries(lineups, events), end_of_game(events, strict))
+
+
+def spells(entries_: DataFrame, games: DataFrame) -> DataFrame:
+    """The last step of intervals: from entries and games(game_id, end_of_game, ...), whose further columns stay."""
+    players = entries_.where("player_id <> 0").groupBy("game_id", "player_id")
     players = players.agg(F.min_by("team_id", "seen").alias("team_id"), F.max("minute_on").alias("minute_on"), F.max("minute_off").alias("minute_off"))
     stays = (F.col("minute_off") == STAYS) | (F.col("minute_off") > F.col("end_of_game"))
-    on = players.join(end_of_game(events, strict), "game_id").where("minute_on <= end_of_game")
-    return on.select("game_id", "player_id", "team_id", "minute_on", F.when(stays, F.col("end_of_game")).otherwise(F.col("minute_off")).alias("minute_off"), "end_of_game")
+    on = players.join(games, "game_id").where("minute_on <= end_of_game")
+    rest = [c for c in games.columns if c not in ("game_id", "end_of_game")]
+    return on.select("game_id", "player_id", "team_id", "minute_on", F.when(stays, F.col("end_of_game")).otherwise(F.col("minute_off")).alias("minute_off"), "end_of_game", *rest)
 
 
 def minutes_metric(on_pitch: DataFrame) -> DataFrame:
     return as_metric(on_pitch, F.col("minute_off") - F.col("minute_on"), "minutes")
 
 
+def as_metrics(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """as_metric for several metrics of the same rows, which are read once."""
+    each = F.inline(F.array(*(F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in values.items())))
+    return rows.select(F.col("player_id").cast("long").alias("player_id"), F.col("game_id").cast("long").alias("game_id"), each)
+
+
 def as_metric(rows: DataFrame, value: Column, name: str) -> DataFrame:
     """(player_id, game_id, metric, value) of one row per player and game."""
     return rows.select(F.col("player_id").cast("long").alias("player_id"), F.col("game_id").cast("long").alias("game_id"), F.lit(name).alias("metric"), value.cast("double").alias("value"))

@@ -29,13 +29,16 @@ def latest(base_metric: DataFrame, version: float, metric: str | None = "elo") -
 
 
 def as_of(base_metric: DataFrame, when: DataFrame, version: float, metric: str) -> DataFrame:
-    """when(player_id, at) with the metric's latest value strictly before at, null without one.
+    """A row for each row of when(player_id, at) with the metric's latest value strictly before at, null without one.
 
-    One join on the player with the date as residual, then the latest by max_by: no sort of either side's history."""
-    m = base_metric.where((F.col("version") == version) & (F.col("metric") == metric)).select("player_id", "game_date", "game_id", "metric_value").alias("m")
-    w = when.alias("w")
-    met = w.join(m, (F.col("w.player_id") == F.col("m.player_id")) & (F.col("m.game_date") < F.col("w.at")), "left")
-    return met.groupBy("w.player_id", "w.at").agg(F.max_by("m.metric_value", F.struct("m.game_date", "m.game_id")).alias("metric_value"))
+    Both sides are one table in the order of their dates, and a window takes the last value seen: each row is read once,
+    however many days a player is asked for. Of equal dates, what is asked comes before what is known."""
+    m = base_metric.where((F.col("version") == version) & (F.col("metric") == metric))
+    known = m.select("player_id", F.col("game_date").alias("at"), "game_id", F.struct("metric_value").alias("seen"))
+    asked = when.select("player_id", "at", F.lit(None).cast("long").alias("game_id"), F.lit(None).cast(known.schema["seen"].dataType).alias("seen"))
+    before = Window.partitionBy("player_id").orderBy("at", F.col("seen").isNotNull(), "game_id").rowsBetween(Window.unboundedPreceding, 0)
+    both = known.withColumn("known", F.lit(True)).unionByName(asked.withColumn("known", F.lit(False)))
+    return both.withColumn("last", F.last("seen", ignorenulls=True).over(before)).where("not known").select("player_id", "at", F.col("last.metric_value").alias("metric_value"))
 
 
 def recent(games: DataFrame, day: date, days: int = RECENT_DAYS, bounded: bool = False) -> DataFrame:
@@ -50,18 +53,29 @@ def averages(games: DataFrame, base_metric: DataFrame, by: str, day: date, versi
 
     Entries of any version count if they fall on that date and not over AVERAGE_WEEKS before day; as_of_day leaves out
     what lies after day."""
+    return _averages(games, base_metric, [[by]], day, version, as_of_day).select(by, "average", "entries")
+
+
+def _averages(games: DataFrame, base_metric: DataFrame, sets: list[list[str]], day: date, version: float, as_of_day: bool = False) -> DataFrame:
+    """averages for several groupings at once: all their columns, null where a row's grouping leaves them out."""
     own = games.where(F.col("version") == version)
     own = own.where(F.col("game_date") <= F.lit(day)) if as_of_day else own
-    newest = own.groupBy(by, "player_id").agg(F.max("game_date").alias("game_date"), F.count("*").alias("n"))
+    keys = sorted({c for s in sets for c in s})
+    finest = own.groupBy(*keys, "player_id").agg(F.max("game_date").alias("game_date"), F.count("*").alias("n"))
+    kinds = {c: finest.schema[c].dataType for c in keys}
+    each = [F.struct(*((F.col(c) if c in s else F.lit(None).cast(kinds[c])).alias(c) for c in keys)) for s in sets]
+    spread = finest.select("player_id", "game_date", "n", F.inline(F.array(*each)))
+    newest = spread.groupBy(*keys, "player_id").agg(F.max("game_date").alias("game_date"), F.sum("n").alias("n")) if len(sets) > 1 else finest
     elo = base_metric.where((F.col("metric") == "elo") & (F.col("game_date") >= F.date_sub(F.lit(day), 7 * AVERAGE_WEEKS))).select("player_id", "game_date", "metric_value")
     met = newest.join(elo.groupBy("player_id", "game_date").agg(F.sum("metric_value").alias("s"), F.count("metric_value").alias("c")), ["player_id", "game_date"], "left")
-    return met.groupBy(by).agg(F.try_divide(F.sum("s"), F.sum("c")).alias("average"), F.sum("n").alias("entries"))
+    return met.groupBy(*keys).agg(F.try_divide(F.sum("s"), F.sum("c")).alias("average"), F.sum("n").alias("entries"))
 
 
 def club_or_league(games: DataFrame, base_metric: DataFrame, day: date, version: float) -> DataFrame:
     """(team_id, league, average): the club's average where it has LEAST_ENTRIES entries, else its league's."""
-    club = averages(games, base_metric, "team_id", day, version).select("team_id", F.when(F.col("entries") >= LEAST_ENTRIES, F.col("average")).alias("club"))
-    league = averages(games, base_metric, "league", day, version).select("league", F.col("average").alias("of_league"))
+    both = _averages(games, base_metric, [["team_id"], ["league"]], day, version)
+    club = both.where("team_id is not null").select("team_id", F.when(F.col("entries") >= LEAST_ENTRIES, F.col("average")).alias("club"))
+    league = both.where("league is not null").select("league", F.col("average").alias("of_league"))
     teams = games.select("team_id", "league").distinct()
     return teams.join(club, "team_id", "left").join(league, "league", "left").select("team_id", "league", F.coalesce("club", "of_league").alias("average"))
 
@@ -111,15 +125,22 @@ def valid_for_training(players: DataFrame, by: str, share: float = 0.2) -> DataF
 
 def commonest_result(games: DataFrame) -> DataFrame:
     """(game_id, team_id, result): the most frequent result of each game and team, the smallest of equals."""
-    n = games.groupBy("game_id", "team_id", "result").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("game_id", "team_id").orderBy(F.col("n").desc(), "result")
-    return n.withColumn("rank", F.row_number().over(w)).where("rank = 1").select("game_id", "team_id", "result")
+    return _sides(games).select("game_id", "team_id", "result")
+
+
+def _sides(games: DataFrame) -> DataFrame:
+    """(game_id, team_id, result, elo, home): commonest_result with the mean Elo and home, from one pass."""
+    extra = [c for c in ("elo", "home") if c in games.columns]
+    sums = {"elo": [F.sum("elo").alias("s"), F.count("elo").alias("c")], "home": [F.max("home").alias("home")]}
+    n = games.groupBy("game_id", "team_id", "result").agg(F.count("*").alias("n"), *(a for c in extra for a in sums[c]))
+    best = F.min_by("result", F.struct((-F.col("n")).alias("n"), "result")).alias("result")
+    totals = {"elo": F.try_divide(F.sum("s"), F.sum("c")).alias("elo"), "home": F.max("home").alias("home")}
+    return n.groupBy("game_id", "team_id").agg(best, *(totals[c] for c in extra))
 
 
 def team_pairs(games: DataFrame) -> DataFrame:
     """(game_id, home_team, away_team, result, home_elo, away_elo): the two sides of each game with their mean Elo."""
-    elo = games.groupBy("game_id", "team_id").agg(F.avg("elo").alias("elo"), F.max("home").alias("home"))
-    side = elo.join(commonest_result(games), ["game_id", "team_id"])
-    h, a = side.alias("h"), side.alias("a")
-    pairs = h.join(a, (F.col("h.game_id") == F.col("a.game_id")) & (F.col("h.team_id") != F.col("a.team_id"))).where("h.home = 1")
-    return pairs.select("h.game_id", F.col("h.team_id").alias("home_team"), F.col("a.team_id").alias("away_team"), "h.result", F.col("h.elo").alias("home_elo"), F.col("a.elo").alias("away_elo"))
+    both = _sides(games).groupBy("game_id").agg(F.collect_list(F.struct("team_id", "home", "result", "elo")).alias("sides"))  # two a game
+    home = both.select("game_id", "sides", F.explode(F.filter("sides", lambda s: s["home"] == 1)).alias("h"))
+    pairs = home.select("game_id", "h", F.explode(F.filter("sides", lambda s: s["team_id"] != F.col("h.team_id"))).alias("a"))
+    return pairs.select("game_id", F.col("h.team_id").alias("home_team"), F.col("a.team_id").alias("away_team"), "h.result", F.col("h.elo").alias("home_elo"), F.col("a.elo").alias("away_elo"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .actions import PITCH_X, PITCH_Y, SHOTS
 from .minutes import as_metric
 
 LENGTH, WIDTH, EPS = 16, 12, 1e-5
-PITCH_X, PITCH_Y = 105.0, 68.0
 MOVES = ("pass", "dribble", "cross")
-SHOTS = ("shot", "shot_freekick", "shot_penalty")
 
 
 def cell(x: Column, y: Column, length: int = LENGTH, width: int = WIDTH) -> Column:
@@ -40,7 +41,8 @@ def transitions(actions: DataFrame) -> DataFrame:
 
 def fit(actions: DataFrame, length: int = LENGTH, width: int = WIDTH, eps: float = EPS, most: int = 1000) -> DataFrame:
     """(cell, threat): xT = P(shot) P(goal | shot) + P(move) sum over cells of P(arrive) xT, iterated until no cell
-    changes by eps. Spark counts the actions; at most one row a cell and pair of cells reaches the driver."""
+    changes by eps, or for most rounds, which a warning tells. Spark counts the actions; at most one row a cell and pair of
+    cells reaches the driver."""
     n = length * width
     placed = with_cells(actions, length, width)
     shots, scored, moves, t = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros((n, n))
@@ -57,6 +59,8 @@ def fit(actions: DataFrame, length: int = LENGTH, width: int = WIDTH, eps: float
         done, value = np.abs(new - value).max() < eps, new
         if done:
             break
+    else:
+        warnings.warn(f"the grid still changes after {most} rounds", stacklevel=2)
     return grid(actions.sparkSession, value)
 
 
@@ -66,13 +70,12 @@ def grid(spark: SparkSession, values) -> DataFrame:
 
 def rate(actions: DataFrame, values: DataFrame, length: int = LENGTH, width: int = WIDTH) -> DataFrame:
     """Actions with an end position, with value = threat at the end less threat at the start of a successful move, else
-    null. The grid has one row a cell, a few hundred, and is broadcast."""
-    small = F.broadcast(values)
-    rated = with_cells(actions, length, width)
-    rated = rated.join(small.select(F.col("cell").alias("start_cell"), F.col("threat").alias("before")), "start_cell", "left")
-    rated = rated.join(small.select(F.col("cell").alias("end_cell"), F.col("threat").alias("after")), "end_cell", "left")
+    null. The grid, a number for each of a few hundred cells, is a literal of the plan; a cell without one has no value."""
+    known = {r["cell"]: r["threat"] for r in values.select("cell", "threat").collect()}
+    table = F.array(*(F.lit(known.get(i)).cast("double") for i in range(length * width)))
     moved = F.col("type_name").isin(*MOVES) & (F.col("result_name") == "success")
-    return rated.withColumn("value", F.when(moved, F.col("after") - F.col("before"))).drop("before", "after")
+    gain = F.get(table, F.col("end_cell")) - F.get(table, F.col("start_cell"))
+    return with_cells(actions, length, width).withColumn("value", F.when(moved, gain))
 
 
 def on_pitch_sum(on_pitch: DataFrame, rated: DataFrame, clock: str = "as_given") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import actionvalue, goals, minutes, threat
+from ..operators import actions, actionvalue, goals, minutes, threat
 from ..operators.dedup import unprocessed
 from ..sources import matches
 from .catalog import Catalog
@@ -20,13 +20,15 @@ def facts(docs: DataFrame, strict: bool = True) -> dict[str, DataFrame]:
     """What the metrics are made of, from match documents: events, lineups, teams, home, actions and on_pitch."""
     events, lineups = matches.events(docs), matches.lineups(docs)
     home = matches.home_teams(docs)
-    return {"events": events, "lineups": lineups, "teams": matches.teams(docs), "home": home, "actions": actionvalue.from_events(events, home), "on_pitch": minutes.intervals(lineups, events, strict)}
+    on_pitch, stream = minutes.intervals(lineups, events, strict), actions.from_events(events, home)
+    return {"events": events, "lineups": lineups, "teams": matches.teams(docs), "home": home, "actions": stream, "on_pitch": on_pitch}
 
 
 def metrics(f: dict[str, DataFrame], grid: DataFrame | None = None, models: tuple[PipelineModel, PipelineModel] | None = None) -> DataFrame:
     """(player_id, game_id, metric, value): minutes, goals, xt and vaep; without a model its metric has no rows."""
     scored = goals.on_pitch_goals(f["on_pitch"], goals.goals(f["events"], f["teams"]))
-    parts = [minutes.minutes_metric(f["on_pitch"]), goals.goals_metric(scored), threat.xt_metric(f["on_pitch"], f["actions"], grid), actionvalue.vaep_metric(f["on_pitch"], f["actions"], models)]
+    both = {"minutes": F.col("minute_off") - F.col("minute_on"), "goals": F.col("goals_for") - F.col("goals_against")}
+    parts = [minutes.as_metrics(scored, both), threat.xt_metric(f["on_pitch"], f["actions"], grid), actionvalue.vaep_metric(f["on_pitch"], f["actions"], models)]
     return reduce(DataFrame.unionByName, parts)
 
 

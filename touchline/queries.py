@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from . import adapters as A
 from .functions import dates, names, scoring, seasons
-from .operators import actionvalue, dedup, elo, goals, minutes, ratings, squads, threat, upsert
-from .sources import html
+from .operators import actions as stream
+from .operators import actionvalue, dedup, elo, goals, minutes, ratings, splits, squads, threat, upsert
+from .plans import prepare, score
+from .sources import html, matches, rosters
 
 DAY, VERSION = date(2001, 1, 1), 0.2
 #: Team names that a feed spells in other ways.
@@ -42,15 +44,13 @@ def _m(c: Column | str, digits: int = 4) -> Column:
     return F.round((F.col(c) if isinstance(c, str) else c) + 0.0000123, digits)
 
 
-def _on_pitch(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    events = A.match_events(spark, sf)
-    lineups = A.lineups(events)
-    return events, lineups, minutes.intervals(lineups, events)
+def _on_pitch(spark: SparkSession, sf: str) -> DataFrame:
+    return minutes.spells(A.entries(A.event_rows(spark, sf)), minutes.end_of_game(A.match_events(spark, sf)))
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
-    events, lineups, on_pitch = _on_pitch(spark, sf)
-    return goals.on_pitch_goals(on_pitch, goals.goals(events, lineups))
+    """Spells with goals: one pass over the events for games, one for players."""
+    return goals.counted(minutes.spells(A.entries(A.event_rows(spark, sf)), minutes.game_facts(A.match_events(spark, sf))))
 
 
 # minutes and goals
@@ -63,12 +63,12 @@ def end_of_game(spark, sf):
 
 @query(f"with {A.PITCH} select game_id, player_id, team_id, p_on as minute_on, p_off as minute_off from pl")
 def player_intervals(spark, sf):
-    return _on_pitch(spark, sf)[2].drop("end_of_game")
+    return _on_pitch(spark, sf).drop("end_of_game")
 
 
 @query(f"with {A.PITCH} select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl")
 def minutes_played(spark, sf):
-    return minutes.minutes_metric(_on_pitch(spark, sf)[2])
+    return minutes.minutes_metric(_on_pitch(spark, sf))
 
 
 @query(f"with {A.PITCH} select game_id, player_id, mins as minutes_on, gf as goals_for, ga as goals_against from gd")
@@ -85,14 +85,15 @@ def goal_difference(spark, sf):
 from pl left join (select game_id, minute, case when k < 5 then 3 - team_id else team_id end as goal_team from ev where type = 'Goal') as g on pl.game_id = g.game_id and g.minute > p_on and g.minute < p_off group by pl.game_id, pl.player_id)
 select * from al""")
 def goals_every(spark, sf):
-    events, lineups, on_pitch = _on_pitch(spark, sf)
-    scored = goals.goals(events, lineups, every=True)
-    return goals.on_pitch_goals(on_pitch, scored).select("game_id", "player_id", F.col("goals_for").alias("gf"), F.col("goals_against").alias("ga"))
+    events = A.event_rows(spark, sf)
+    scored = goals.goals(events, A.lineups(events), every=True)
+    return goals.on_pitch_goals(_on_pitch(spark, sf), scored).select("game_id", "player_id", F.col("goals_for").alias("gf"), F.col("goals_against").alias("ga"))
 
 
 @query(f"with {A.PITCH} select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl union all select player_id, game_id, 'goals', cast(gf - ga as double) from gd")
 def score_all_long(spark, sf):
-    return minutes_played(spark, sf).unionByName(goal_difference(spark, sf))
+    rows = _counted(spark, sf)
+    return minutes.as_metrics(rows, {"minutes": F.col("minute_off") - F.col("minute_on"), "goals": F.col("goals_for") - F.col("goals_against")})
 
 
 @query(f"with {A.PITCH} select player_id, game_id, cast(mins as double) as minutes_value, cast(gf - ga as double) as goals_value from gd")
@@ -103,7 +104,7 @@ def metric_pivot(spark, sf):
 
 @query(f"with {A.EV} select event_id as event_ordinal, k < 5 as own_goal from ev where type = 'Goal'")
 def own_goal_flag(spark, sf):
-    return A.match_events(spark, sf).where("is_goal").select("event_ordinal", scoring.own_goal(F.col("qualifiers")).alias("own_goal"))
+    return A.event_rows(spark, sf).where("is_goal").select("event_ordinal", scoring.own_goal(F.col("qualifiers")).alias("own_goal"))
 
 
 # threat and action values
@@ -128,14 +129,28 @@ def _ramp(spark: SparkSession) -> DataFrame:
 select pl.game_id as game_id, pl.player_id as player_id, round(coalesce(sum((c1 - c0) / 192.0), 0), 6) as xt from pl left join (select * from pc where tn in ('pass', 'dribble') and rn = 'success') as a
 on pl.game_id = a.game_id and pl.player_id = a.player_id and secs / 60 > p_on and secs / 60 < p_off group by pl.game_id, pl.player_id""")
 def xt_actions_by_player(spark, sf):
-    got = threat.on_pitch_sum(_on_pitch(spark, sf)[2], threat.rate(A.actions(spark, sf), _ramp(spark)))
+    got = threat.on_pitch_sum(_on_pitch(spark, sf), threat.rate(A.actions(spark, sf), _ramp(spark)))
     return got.select("game_id", "player_id", _r("value").alias("xt"))
 
 
-@query()
+_FIT = """ct as (select c0 as c, count(case when tn = 'shot' then 1 end) as sh, count(case when tn = 'shot' and rn = 'success' then 1 end) as gl, count(case when tn in ('pass', 'dribble') then 1 end) as mv from pc group by c0),
+cl as (select cast(i as int) as c, coalesce(case when sh + mv > 0 then sh / cast(sh + mv as double) end * case when sh > 0 then gl / cast(sh as double) end, 0) as base, coalesce(case when sh + mv > 0 then mv / cast(sh + mv as double) end, 0) as share
+ from range(192) as r(i) left join ct on ct.c = r.i),
+tr as (select c0 as c, c1 as d, count(*) / cast(any_value(mv) as double) as p from pc join ct on ct.c = c0 where tn in ('pass', 'dribble') and rn = 'success' group by c0, c1),
+vl(r, c, val) as (select 0, c, cast(0 as double) from cl union all
+ select s.r, cl.c, cl.base + cl.share * s.got from (select x.c as c, max(vl.r) + 1 as r, sum(coalesce(tr.p, 0) * vl.val) as got from (select c as c from cl) as x, vl left join tr on tr.c = x.c and tr.d = vl.c group by x.c) as s join cl on cl.c = s.c where s.r <= 80),
+xg as (select c, val from vl where r = 80)"""
+
+
+@query(f"""with recursive {A.ACTIONS}, {A.PITCH.split(',', 1)[1].split('end as type from events),', 1)[1]}, {_FIT}
+select pl.player_id as player_id, pl.game_id as game_id, 'xt' as metric, round(coalesce(sum(g1.val - g0.val), 0) + 0.000000123, 6) as value
+from pl left join (select * from pc where tn in ('pass', 'dribble') and rn = 'success') as a on pl.game_id = a.game_id and pl.player_id = a.player_id and secs / 60 > p_on and secs / 60 < p_off
+left join xg as g0 on g0.c = c0 left join xg as g1 on g1.c = c1 group by pl.game_id, pl.player_id""")
 def xt_fit_and_rate(spark, sf):
+    """Fitted until no cell changes by 1e-13, so that the number of rounds doesn't show in the rounded sums."""
     actions = A.actions(spark, sf)
-    return threat.xt_metric(_on_pitch(spark, sf)[2], actions, threat.fit(actions))
+    got = threat.xt_metric(_on_pitch(spark, sf), actions, threat.fit(actions, eps=1e-13))
+    return got.withColumn("value", _r(F.col("value") + 0.000000123))
 
 
 _NEXT = "over (partition by game_id order by action_id rows between current row and 9 following)"
@@ -163,16 +178,117 @@ def vaep_value_steps(spark, sf):
     return actionvalue.values(chances).select("game_id", "action_id", _r("offensive").alias("offensive"), _r("defensive").alias("defensive"))
 
 
+_LAGS = "window w as (partition by game_id order by action_id)"
+
+
+def _lag(c: str, k: int) -> str:
+    return f"coalesce(lag({c}, {k}) over w, first_value({c}) over w)"
+
+
+@query(f"""with {A.ACTIONS}, g as (select *, sqrt(pow(105 - sx, 2) + pow(34 - sy, 2)) as sd, atan(abs(34 - sy) / (105 - sx)) as sa, sqrt(pow(105 - ex, 2) + pow(34 - ey, 2)) as ed, ex - sx as dx, sqrt(pow(ex - sx, 2) + pow(ey - sy, 2)) as ds from ac)
+select game_id, action_id, round(sd, 6) as start_goal_distance_0, round({_lag('sa', 1)}, 6) as start_goal_angle_1, round(coalesce({_lag('ed', 1)}, 0), 6) as end_goal_distance_1, round(coalesce(dx, 0), 6) as dx_0, round(coalesce({_lag('ds', 2)}, 0), 6) as distance_2 from g {_LAGS}""")
+def vaep_place_features(spark, sf):
+    names = ["start_goal_distance_0", "start_goal_angle_1", "end_goal_distance_1", "dx_0", "distance_2"]
+    return actionvalue.features(A.actions(spark, sf)).select("game_id", "action_id", *(_r(c).alias(c) for c in names))
+
+
+@query(f"""with {A.ACTIONS} select game_id, action_id, secs as time_seconds_0, secs - {_lag('secs', 1)} as time_gap_1, round(sx - {_lag('sx', 2)}, 6) as x_gap_2, sy - {_lag('sy', 1)} as y_gap_1, cast(2 as double) as period_id_0 from ac {_LAGS}""")
+def vaep_time_features(spark, sf):
+    f = actionvalue.features(A.actions(spark, sf))
+    return f.select("game_id", "action_id", "time_seconds_0", "time_gap_1", _r("x_gap_2").alias("x_gap_2"), "y_gap_1", "period_id_0")
+
+
+@query(f"""with {A.ACTIONS}, g as (select *, cast(tn = 'pass' as double) as p, cast(tn = 'shot' as double) as s, cast(rn = 'fail' as double) as f, cast(rn = 'owngoal' as double) as o, case when k % 3 = 0 then 'head' end as b from ac)
+select game_id, action_id, p as is_pass_0, {_lag('s', 1)} as is_shot_1, {_lag('f', 1)} as fail_1, {_lag('o', 2)} as owngoal_2, cast(b is null as double) as foot_0, coalesce(lag(cast(b is not null as double), 1) over w, first_value(cast(b is not null as double)) over w) as head_1 from g {_LAGS}""")
+def vaep_kind_features(spark, sf):
+    rows = A.actions(spark, sf).withColumn("bodypart_name", F.when(F.col("k") % 3 == 0, "head"))
+    return actionvalue.features(rows).select("game_id", "action_id", "is_pass_0", "is_shot_1", "fail_1", "owngoal_2", "foot_0", "head_1")
+
+
+@query(f"""with {A.ACTIONS}, g as (select *, case when tn = 'shot' and rn = 'success' then team_id when tn = 'shot' and rn = 'owngoal' then 3 - team_id end as st from ac),
+n as (select *, coalesce(sum(case when st = 1 then 1 else 0 end) over b, 0) as s1, coalesce(sum(case when st = 2 then 1 else 0 end) over b, 0) as s2 from g window b as (partition by game_id order by action_id rows between unbounded preceding and 1 preceding))
+select game_id, action_id, cast(case when team_id = 1 then s1 else s2 end as double) as goals_own, cast(case when team_id = 1 then s2 else s1 end as double) as goals_other, cast(case when team_id = 1 then s1 - s2 else s2 - s1 end as double) as goals_ahead from n""")
+def vaep_score_features(spark, sf):
+    return actionvalue.features(A.actions(spark, sf)).select("game_id", "action_id", "goals_own", "goals_other", "goals_ahead")
+
+
 @query()
 def vaep_fit_and_rate(spark, sf):
+    """The operator's default: 20 trees of depth 3 at most, a quarter of the actions held back."""
     actions = A.actions(spark, sf).withColumn("end_x", F.coalesce("end_x", "start_x"))
-    return actionvalue.vaep_metric(_on_pitch(spark, sf)[2], actions, actionvalue.fit(actions))
+    return actionvalue.vaep_metric(_on_pitch(spark, sf), actions, actionvalue.fit(actions))
 
 
-@query(f"""with {A.ACTIONS} select game_id, cast(action_id as double) as action_id, tn as type_name from ac union all
-select game_id, action_id + 0.5, case when tn = 'pass' then 'receival' else 'goal' end from ac where rn = 'success' and tn in ('pass', 'shot')""")
+@query(f"""with {A.ACTIONS}, nx as (select *, lead(team_id) over w as nt, lead(player_id) over w as np, lead(tn) over w as nn from ac {_LAGS}),
+fo as (select *, case when tn = 'pass' and rn = 'success' then 'receival' when tn = 'shot' and rn = 'success' then 'goal' when rn = 'owngoal' then 'owngoal' when tn = 'pass' and rn = 'fail' and nt <> team_id and nn not in ('tackle', 'interception') then 'interception' end as fo from nx)
+select game_id, cast(action_id as double) as action_id, tn as type_name, team_id, player_id from ac union all
+select game_id, action_id + 0.5, fo, case when fo = 'interception' then nt else team_id end, case when fo = 'interception' then np when fo = 'receival' then case when nt = team_id then np end else player_id end from fo where fo is not null""")
 def atomic_actions(spark, sf):
-    return actionvalue.atomic(A.actions(spark, sf)).select("game_id", "action_id", "type_name")
+    return stream.atomic(A.actions(spark, sf)).select("game_id", "action_id", "type_name", "team_id", "player_id")
+
+
+# match documents
+
+
+@query(f"""with {A.STREAM} select game_id, cast(row_number() over (partition by game_id order by event_id, step) - 1 as int) as action_id, secs as time_seconds, team_id, player_id, round(sx, 6) as start_x, round(sy, 6) as start_y,
+round(ex, 6) as end_x, round(ey, 6) as end_y, tn as type_name, rn as result_name, bp as bodypart_name from sd""")
+def action_stream(spark, sf):
+    docs = A.documents(spark, sf)
+    got = stream.from_events(matches.events(docs), matches.home_teams(docs)).drop("period_id")
+    return got.withColumns({c: _r(c) for c in ("start_x", "start_y", "end_x", "end_y")})
+
+
+@query(f"""with {A.STREAM} select game_id, event_id as feed_id, t as type, minute as expanded_minute, team_id, case team_id when 1 then 'One' else 'Two' end as team, case when player_id % 4 < 2 then 'P' || player_id else cast(player_id as varchar) end as player,
+case when t in ('Goal', 'MissedShots') then null else cast(k * 13 % 100 as double) end as end_x, t = 'Goal' as is_goal, case when t = 'Card' then 'Red' end as card_type from sv
+union all select distinct game_id, null, 'End', {A.LAST_MINUTE}, null, null, null, null, false, null from sv""")
+def document_events(spark, sf):
+    docs = A.documents(spark, sf)
+    ids = docs.select("game_id", F.posexplode("events").alias("event_ordinal", "e")).select("game_id", "event_ordinal", F.col("e.id").cast("long").alias("feed_id"))
+    rows = matches.events(docs).join(ids, ["game_id", "event_ordinal"])
+    return rows.select("game_id", "feed_id", "type", "expanded_minute", "team_id", "team", "player", "end_x", "is_goal", "card_type")
+
+
+@query(f"with {A.STREAM} select distinct game_id, team_id, player_id, 'P' || player_id as player_name, true as is_starter, cast(player_id % 99 as int) as jersey_number from sv")
+def document_lineups(spark, sf):
+    return matches.lineups(A.documents(spark, sf))
+
+
+@query(f"with {A.STREAM}, g as (select distinct game_id from sv) select game_id, t as team_id, case t when 1 then 'One' else 'Two' end as team_name, t = 1 as is_home from g, range(1, 3) as r(t)")
+def document_teams(spark, sf):
+    return matches.teams(A.documents(spark, sf))
+
+
+@query(f"with {A.STREAM}, g as (select distinct game_id from sv) select 'One' as home_team, cast(1 as bigint) as team_id from g group by all")
+def home_team_ids(spark, sf):
+    docs = A.documents(spark, sf)
+    schedule = docs.select("game_id", F.lit("One").alias("home_team"), F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("date"))
+    return matches.team_ids(schedule, docs)
+
+
+@query(f"""with {A.STREAM}, g as (select distinct game_id, team_id, player_id from sv)
+select game_id, strptime(cast(game_id as varchar), '%Y%m%d')::date as day_, player_id, 'P' || player_id as player_name, case team_id when 1 then 'One' else 'Two' end as team_name, cast(team_id = 1 as int) as home, 1 as starter, cast(player_id % 99 as int) as kit_number from g""")
+def player_info(spark, sf):
+    docs = A.documents(spark, sf)
+    games = docs.select("game_id", F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("day"), F.lit("L").alias("league"))
+    return prepare.player_info(docs, games).select("game_id", F.col("day").alias("day_"), "player_id", "player_name", "team_name", "home", "starter", "kit_number")
+
+
+@query(f"with {A.PITCH} select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl union all select player_id, game_id, 'goals', cast(gf - ga as double) from gd")
+def score_documents(spark, sf):
+    """The whole scoring job, from documents to the rows of the metric table."""
+    return score.metrics(score.facts(A.documents(spark, sf)))
+
+
+@query(f"with {A.PITCH} select pl.player_id as player_id, pl.game_id as game_id, team_id, cast(p_off - p_on as int) as minutes_on, cast(gf as int) as goals_for, cast(ga as int) as goals_against, cast(pl.player_id % 99 as int) as kit_number, cast(team_id = 1 as int) as is_home from pl join gd on pl.game_id = gd.game_id and pl.player_id = gd.player_id")
+def player_game_rows(spark, sf):
+    return score.player_games(score.facts(A.documents(spark, sf))).withColumnRenamed("minutes", "minutes_on").drop("starter")
+
+
+@query("""with c as (select c_nationkey, c_custkey % 40 as kit, c_name, c_mktsegment, row_number() over (partition by c_nationkey, c_custkey % 40 order by c_custkey) as rn from customer where c_custkey % 7 <> 0)
+select '2001/2002' as season, 'land_part' as league, 'team' || c_nationkey as team, cast(kit as varchar) as kit_number, c_name as name, c_mktsegment as position from c where rn = 1""")
+def roster_numbers(spark, sf):
+    rows = rosters.numbers(A.roster_pages(spark, sf)).select(rosters.name_parts(F.col("key")).alias("n"), "kit_number", "cells")
+    return rows.select("n.season", "n.league", "n.team", "kit_number", F.col("cells")[0].alias("name"), F.col("cells")[1].alias("position"))
 
 
 # ratings
@@ -315,7 +431,7 @@ def elo_histogram(spark, sf):
 
 @query(f"with {A.EV} select game_id, team_id, array_to_string(list_sort(list(distinct player_id)), ',') as players from ev group by game_id, team_id")
 def lineup_lists(spark, sf):
-    lists = A.lineups(A.match_events(spark, sf)).distinct().groupBy("game_id", "team_id").agg(F.array_sort(F.collect_list("player_id")).alias("players"))
+    lists = A.lineups(A.event_rows(spark, sf)).distinct().groupBy("game_id", "team_id").agg(F.array_sort(F.collect_list("player_id")).alias("players"))
     return lists.withColumn("players", F.array_join("players", ","))
 
 
@@ -395,7 +511,7 @@ def exists_semi(spark, sf):
 
 @query(f"with {A.EV} select distinct game_id from ev")
 def processed_distinct(spark, sf):
-    return A.match_events(spark, sf).select("game_id").distinct()
+    return A.event_rows(spark, sf).select("game_id").distinct()
 
 
 @query("select l_partkey, l_orderkey, l_linenumber from (select *, row_number() over (partition by l_partkey order by l_orderkey, l_linenumber) as rn from lineitem) as x where rn = 1")
@@ -413,6 +529,26 @@ def top_n(spark, sf):
     return A.table(spark, sf, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
 
 
+_PART = "cast(('0x' || substr(md5('7:' || o_orderkey), 1, 8)) as ubigint) / 4294967296.0"
+
+
+@query(f"select o_orderkey, {_PART} < 0.8 as in_train from orders")
+def split_shares(spark, sf):
+    train, rest = splits.shares(A.table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
+    return train.withColumn("in_train", F.lit(True)).unionByName(rest.withColumn("in_train", F.lit(False)))
+
+
+@query("select o_orderkey, o_orderdate >= timestamp '1998-07-01' as later from orders")
+def split_by_day(spark, sf):
+    before, after = splits.by_day(A.table(spark, sf, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate", date(1998, 7, 1))
+    return before.select("o_orderkey", F.lit(False).alias("later")).unionByName(after.select("o_orderkey", F.lit(True).alias("later")))
+
+
+@query(f"select o_orderkey from orders order by {_PART}, o_orderkey limit 100")
+def sample_games(spark, sf):
+    return splits.sample(A.table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 100)
+
+
 # dates, seasons and names
 
 
@@ -470,6 +606,12 @@ def unknown_names(spark, sf):
     return names.unknown_names(A.table(spark, sf, "nation"), "n_name", names.alias_table(spark, ALIASES))
 
 
+@query("select r_regionkey as region_key, r_name as full_region_name, length(r_name) as a_b from region")
+def snake_case_check(spark, sf):
+    r = A.table(spark, sf, "region")
+    return names.with_snake_case(r.select(F.col("r_regionkey").alias("regionKey"), F.col("r_name").alias("FullRegion-Name"), F.length("r_name").cast("long").alias("a__B")))
+
+
 @query("select o_orderkey, case when o_orderkey % 5 = 0 then '' else strftime(o_orderdate, '%Y-%m-%d') || ' ' end || c_name || '-' || c_mktsegment as game from orders join customer on o_custkey = c_custkey")
 def game_id_string(spark, sf):
     o = A.table(spark, sf, "orders").join(A.table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -586,6 +728,12 @@ def brier_multi(spark, sf):
 @query(f"""with {A.EV}, tl as (select game_id, team_id, minute, avg(value) as v from ev group by game_id, team_id, minute), {A.PITCH.split('end as type from events),', 1)[1]}
 select pl.game_id as game_id, player_id, round(avg(case when tl.team_id = pl.team_id then v end) + 0.0000123, 4) as team_value, round(avg(case when tl.team_id <> pl.team_id then v end) + 0.0000123, 4) as opp_value from pl join tl on tl.game_id = pl.game_id and tl.minute between p_on and p_off group by pl.game_id, player_id""")
 def timeline_values(spark, sf):
-    events, _, on_pitch = _on_pitch(spark, sf)
-    line = events.where("player_id is not null").groupBy("game_id", "team_id", F.col("expanded_minute").alias("minute")).agg(F.avg("value").alias("value"))
-    return elo.team_value(line, on_pitch).select("game_id", "player_id", _m("team_value").alias("team_value"), _m("opp_value").alias("opp_value"))
+    line = A.event_rows(spark, sf).where("player_id is not null").groupBy("game_id", "team_id", F.col("expanded_minute").alias("minute"))
+    return elo.team_value(line.agg(F.avg("value").alias("value")), _on_pitch(spark, sf)).select("game_id", "player_id", _m("team_value").alias("team_value"), _m("opp_value").alias("opp_value"))
+
+
+@query(f"""with {_EI} select k % 10 as bucket, round(avg(pow(value - k, 2)), 4) as mse, round(avg(ln(2 + m) + 0.9189385332046727 + pow((value - k) / (2 + m), 2) / 2), 6) as nll from ei group by 1""")
+def forecast_scores(spark, sf):
+    seen, mean, deviation = F.col("value"), F.col("k").cast("double"), (F.col("m") + 2).cast("double")
+    mse, nll = F.avg(scoring.squared_error(mean, seen)), F.avg(scoring.normal_nll(seen, mean, deviation))
+    return _ei(spark, sf).groupBy((F.col("k") % 10).alias("bucket")).agg(_r(mse, 4).alias("mse"), _r(nll).alias("nll"))

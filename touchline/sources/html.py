@@ -9,6 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import blacklisted
+
+#: An a tag with its href, as it is written, and its content.
+_LINK = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -112,11 +116,23 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def links(pages: DataFrame, forbidden: list[str] = (), key: str = "path", content: str = "content") -> DataFrame:
-    """(key, ordinal, url, text) of all links without a forbidden part in their address."""
-    from ..functions.names import blacklisted
-
-    found = parts(pages, key, content).where("kind = 'link'")
-    return found.where(~blacklisted(F.col("value"), list(forbidden))).select("key", "ordinal", F.col("value").alias("url"), F.col("texts")[0].alias("text"))
+    """(key, ordinal, url, text) of all links without a forbidden part in their address, by built-in functions: the a tags
+    that have an end and a href, outside of comments and scripts."""
+    plain = F.regexp_replace(content, r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", "")
+    tags = F.regexp_extract_all(plain, F.lit(_LINK), F.lit(0))
+    each = pages.select(F.col(key).alias("key"), F.posexplode(tags).alias("ordinal", "tag"))
+    url = F.regexp_extract("tag", _LINK, 1)
+    url = F.when(url.rlike("^[\"']"), F.substring(url, F.lit(2), F.length(url) - 2)).otherwise(url)
+    text = F.regexp_replace(F.regexp_extract("tag", _LINK, 2), "<[^>]*>", "")
+    found = each.select("key", "ordinal", _unescaped(url).alias("url"), F.btrim(_unescaped(text), F.lit(" \t\n\r\f\v")).alias("text"))
+    return found.where(~blacklisted(F.col("url"), list(forbidden)))
+
+
+def _unescaped(text: Column) -> Column:
+    """The characters that HTML itself escapes."""
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
 
 
 def options(pages: DataFrame, select_id: str, key: str = "path", content: str = "content") -> DataFrame:

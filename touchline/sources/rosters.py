@@ -25,7 +25,7 @@ def numbers(pages: DataFrame) -> DataFrame:
     pages = pages.withColumn("content", F.when(F.col("content").rlike("""<div[^>]*id=["']?main["' >]"""), F.col("content")).otherwise(F.raise_error(F.concat(F.lit("no roster in "), F.col("path")))))
     rows = html.table_rows(pages, "main").where(is_player_row(F.col("cells")))
     first = keep_first(rows.withColumn("kit_number", F.col("cells")[0]), ["key", "kit_number"], F.col("ordinal"))
-    return first.select("key", "kit_number", F.slice("cells", 2, 100).alias("cells"))
+    return first.select("key", "kit_number", F.slice("cells", 2, F.size("cells")).alias("cells"))
 
 
 def name_parts(file: Column) -> Column:
