@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -115,6 +116,51 @@ def test_elo_season(spark, tmp_path):
     assert elo.season(entries.limit(0), 1500.0, str(tmp_path)).collect() == []
 
 
+def test_elo_rounds_equal_days(spark, tmp_path, monkeypatch):
+    """Leagues with different days, a player who moves, a game without opponents, and folding: as if played day by day."""
+    monkeypatch.setattr(elo, "FOLD", 2)
+    r = random.Random(6)
+    rows, game = [], 0
+    for day in range(1, 13):
+        for league in (0, 1):
+            if r.random() < 0.7:
+                game += 1
+                side = lambda k: [100 * league + 10 * k + i for i in r.sample(range(6), 3)]  # noqa: B023, E731
+                home, away = (r.sample([0, 1, 2], 2))
+                for team, m in ((home, 2), (away, -2)):
+                    rows += [(date(2020, 1, day), game, p, 100 * league + team, m, -0.5, 0.5, r.choice([30, 90])) for p in side(team)]
+    rows += [(date(2020, 1, 6), 99, 500, 9, 2, -0.5, 0.5, 90), (date(2020, 1, 20), 100, 500, 9, 2, -0.5, 0.5, 90), (date(2020, 1, 20), 100, 0, 0, -2, -0.5, 0.5, 90)]
+    entries = spark.createDataFrame(rows, "match_day date, game_id long, player_id long, team_id long, margin int, low double, high double, minutes int")
+    got = {(x.player_id, x.game_id): x.elo for x in elo.season(entries, 1500.0, str(tmp_path)).collect()}
+    rating, want, past = {}, {}, {}
+    for g in sorted({(d, g) for d, g, *_ in rows}):
+        mine = [x for x in rows if (x[0], x[1]) == g]
+        sides = {}
+        for _, _, p, t, *_ in mine:
+            sides.setdefault(t, []).append(rating.get(p, 1500.0))
+        mean = {t: sum(v) / len(v) for t, v in sides.items()}
+        new = {}
+        for d, game, p, t, m, _, _, mins in mine:
+            if len(mean) > 1:
+                opp = next(v for k, v in mean.items() if k != t)
+                own = 0.33 * rating.get(p, 1500.0) + 0.67 * mean[t]
+                k = min(mins, 90) / 90 * 20 / (2 if sum(n for e, n in past.get(p, []) if 1 <= (d - e).days <= 90) >= 500 else 1)
+                new[p] = want[p, game] = rating.get(p, 1500.0) + k * ((m > 0) - 10 ** (own / 400) / (10 ** (own / 400) + 10 ** (opp / 400)))
+            past.setdefault(p, []).append((d, mins))
+        rating |= new
+    assert got == pytest.approx(want)
+
+
+def test_as_of_reads_each_row_once(spark):
+    m = spark.range(200).selectExpr("id % 5 as player_id", "id as game_id", "date_add(date'2020-01-01', cast(id % 50 as int)) as game_date", "0.2D as version", "'elo' as metric", "double(id) as metric_value")
+    when = spark.range(100).selectExpr("id % 7 as player_id", "date_add(date'2019-12-30', cast(id % 60 as int)) as at")
+    got = sorted(map(str, map(tuple, ratings.as_of(m, when, 0.2, "elo").collect())))
+    known = [tuple(r) for r in m.select("player_id", "game_date", "game_id", "metric_value").collect()]
+    want = [(p, at, max(((d, g, v) for q, d, g, v in known if q == p and d < at), default=(0, 0, None))[2]) for p, at in map(tuple, when.collect())]
+    assert got == sorted(map(str, want))
+    assert "Join" not in ratings.as_of(m, when, 0.2, "elo")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_margin_models(spark):
     rows = [(float(i % 2), float(i % 50 - 25), float(i % 10), float(i % 2 + (i % 50 - 25) / 10 + (i % 3 - 1))) for i in range(300)]
     g = spark.createDataFrame(rows, "home double, elo_diff double, minutes_missed double, margin double")

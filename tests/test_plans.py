@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from test_sources import match_doc
 
 from touchline.functions.names import alias_table
-from touchline.operators import squads, threat
-from touchline.plans import fetch, lineups, prepare, score
+from touchline.operators import elo, squads, threat
+from touchline.plans import catalog, fetch, imports, lineups, models, predict, prepare, score
 from touchline.plans.catalog import Catalog
 from touchline.schemas import TABLES
 from touchline.sources import matches
@@ -48,6 +48,107 @@ def test_tables(spark, tmp_path):
     assert c.table("basis.teams").count() == 0 and metrics(c) == {}
 
 
+def test_a_crash_leaves_the_table(spark, tmp_path, monkeypatch):
+    """Whatever step of a write fails, the table is as it was, and the next write works."""
+    c = Catalog(spark, str(tmp_path / "db"))
+    rows = lambda n, v: spark.range(n).selectExpr("id as player_id", "id % 10 as game_id", "'goals' as metric", f"double({v}) as value")
+    c.upsert(score.METRICS, rows(50, 1))
+    before = metrics(c)
+    for step in ("_commit", "_write", "_read"):
+        with monkeypatch.context() as m:
+            real, calls = getattr(Catalog, step), []
+
+            def fail(self, *a, real=real, calls=calls, last={"_commit": 0, "_write": 1, "_read": 2}[step], **k):
+                calls.append(a)
+                if len(calls) > last:
+                    raise RuntimeError("crash")
+                return real(self, *a, **k)
+
+            m.setattr(Catalog, step, fail)
+            with pytest.raises(RuntimeError, match="crash"):
+                c.upsert(score.METRICS, rows(80, 2))
+        assert metrics(c) == before
+    c.upsert(score.METRICS, rows(80, 3))
+    assert set(metrics(c).values()) == {3.0} and c.table(score.METRICS).count() == 80
+
+
+def test_parts_grow_and_untouched_ones_stay(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "PART_ROWS", 20)
+    c = Catalog(spark, str(tmp_path / "db"))
+    rows = lambda a, b: spark.range(a, b).selectExpr("id as player_id", "id as game_id", "'goals' as metric", "double(id) as value")
+    c.upsert(score.METRICS, rows(0, 100))
+    state = c._state(score.METRICS)
+    assert state["parts"] == 4 and state["rows"] == 100
+    c.upsert(score.METRICS, rows(100, 130))  # new games only: nothing is written anew
+    after = c._state(score.METRICS)
+    assert after["rows"] == 130 and set(state["folders"]) < set(after["folders"]) and len(after["folders"]) == 2
+    c.upsert(score.METRICS, spark.createDataFrame([(5, 5, "goals", -1.0)], TABLES[score.METRICS][0]))
+    last = c._state(score.METRICS)
+    assert last["rows"] == 130 and c.table(score.METRICS).count() == 130 and metrics(c)[5, 5, "goals"] == -1.0
+    assert sum(len(v) for v in last["folders"].values()) <= sum(len(v) for v in after["folders"].values())
+    monkeypatch.setattr(catalog, "MOST_FOLDERS", 3)
+    for i in range(4):
+        c.upsert(score.METRICS, rows(200 + i, 201 + i))
+        c.append_new("basis.teams", spark.createDataFrame([(i, "t")], "id long, name string"))
+    assert c.table(score.METRICS).count() == 134 and c.table("basis.teams").count() == 4
+    assert len(c._state("basis.teams")["folders"]) <= 3
+    data = {p.name for p in (tmp_path / "db" / "metrics" / "player_game_metric" / "data").iterdir()}
+    versions = c._versions(score.METRICS)
+    assert len(versions) == 2 and data == {f for n in versions for f in c._version(score.METRICS, n)["folders"]}
+
+
+def test_roster_import_as_batch_and_stream(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    cells = lambda x: "".join(f"<td>{x}{i}</td>" for i in range(8))
+    page = lambda x: f'<div id="main"><table><tr><td>4</td>{cells(x)}</tr><tr><td>5</td><td>short</td></tr></table></div>'
+    (land / "2001-2002_nor_otters.html").write_text(page("a"))
+    teams, leagues = alias_table(spark, {"Otters": ["otters"], "Herons": ["herons"]}), alias_table(spark, {"North": ["nor"]})
+    batch, stream = Catalog(spark, str(tmp_path / "a")), Catalog(spark, str(tmp_path / "b"))
+    for _ in range(2):
+        imports.folder(batch, str(land), teams, leagues)
+        incremental.import_new_rosters(stream, str(land), str(tmp_path / "checkpoint"), teams, leagues).awaitTermination()
+    (land / "2001-2002_nor_herons.html").write_text(page("b"))
+    imports.folder(batch, str(land), teams, leagues)
+    incremental.import_new_rosters(stream, str(land), str(tmp_path / "checkpoint"), teams, leagues).awaitTermination()
+    for c in (batch, stream):
+        assert sorted((r.kit_number, r.name, r.team, r.season) for r in c.table(imports.ROWS).collect()) == [(4, "a0", "Otters", "2001/2002"), (4, "b0", "Herons", "2001/2002")]
+        assert sorted(r.file for r in c.table(imports.LOG).collect()) == ["2001-2002_nor_herons.html", "2001-2002_nor_otters.html"]
+
+
+def test_predictions(spark, tmp_path):
+    c = Catalog(spark, str(tmp_path / "db"))
+    schedule = spark.createDataFrame([(1, 10, 20), (2, 20, 30)], "game_id long, home_team long, away_team long")
+    ratings = spark.createDataFrame([(10, 1600.0), (10, 1500.0), (20, 1400.0)], "team_id long, elo double")
+    games = predict.sides(schedule, ratings)
+    seen = spark.createDataFrame([(120.0, float(m)) for m in range(5)], "elo_diff double, margin double")
+    predict.store(c, predict.by_quartiles(games, seen))
+    got = {r.game_id: tuple(r)[1:] for r in c.table(predict.TABLE).collect()}
+    assert got == {1: (1550.0, 1400.0, 1.0, 3.0, None), 2: (1400.0, None, None, None, None)}
+    predict.settle(c, spark.createDataFrame([(1, "2-0")], "game_id long, result string"))
+    predict.store(c, predict.by_quartiles(games.where("game_id = 1"), seen))
+    assert {r.game_id: r.result for r in c.table(predict.TABLE).collect()} == {1: "2-0", 2: None}
+
+
+def test_models_are_saved_and_loaded(spark, tmp_path):
+    rows = [(float(i % 2), float(i % 50 - 25), float(i % 10), float(i % 2 + (i % 50 - 25) / 10)) for i in range(100)]
+    games = spark.createDataFrame(rows, "home double, elo_diff double, minutes_missed double, margin double")
+    fitted = elo.fit_margin(games, maxIter=1)
+    folder = str(tmp_path / "models")
+    assert models.newest(spark, folder, "xt") is None
+    a = models.save(spark, folder, "xt", {"grid": threat.grid(spark, [0.5])}, {"n": 1})
+    b = models.save(spark, folder, "xt", {"grid": threat.grid(spark, [0.7])}, {"n": 2})
+    m = models.save(spark, folder, "margin", {"mean": fitted[0], "error": fitted[1]}, {"games": 100})
+    assert models.newest(spark, folder, "xt").endswith(b.rsplit("/", 1)[-1]) and a < b
+    parts, made = models.load(spark, models.newest(spark, folder, "xt"))
+    assert [r.threat for r in parts["grid"].collect()] == [0.7] and made["n"] == 2
+    parts, _ = models.load(spark, m)
+    same = elo.margin_interval(games, (parts["mean"], parts["error"])).selectExpr("sum(low) as s").first().s
+    assert same == pytest.approx(elo.margin_interval(games, fitted).selectExpr("sum(low) as s").first().s)
+    known = spark.createDataFrame([(7, 1500.0, 1490.0), (8, None, 1.0)], "game_id long, home_elo double, away_elo double")
+    assert [(r.game_id, r.prediction_low < r.prediction_high) for r in predict.by_models(known, fitted).collect()] == [(7, True)]
+
+
 def test_scoring_new_games_once(spark, tmp_path, landing):
     c = Catalog(spark, str(tmp_path / "db"))
     root = str(tmp_path / "events")
@@ -126,10 +227,11 @@ def test_fetch(spark, tmp_path, landing):
     s = spark.createDataFrame([(100, datetime(2024, 1, 5), "L"), (101, datetime(2024, 1, 5, 23), "L"), (102, datetime(2024, 1, 6), "L")], "game_id long, date timestamp, league string")
     assert [r.game_id for r in fetch.missing(s, here, date(2024, 1, 5), date(2024, 1, 5)).collect()] == [101]
     assert fetch.summary(s).first().games == 3
-    a = fetch.save_model(str(tmp_path / "models"), "xt", threat.grid(spark, [0.5]), {"n": 1})
-    b = fetch.save_model(str(tmp_path / "models"), "xt", threat.grid(spark, [0.7]), {"n": 2})
-    assert a < b == fetch.newest_model(str(tmp_path / "models"), "xt_*.parquet") and fetch.newest_model(str(tmp_path), "none*") is None
-    (tmp_path / "c.toml").write_text('leagues = ["A"]\n')
-    args = fetch.arguments(["--config", str(tmp_path / "c.toml"), "--days-back", "3", "--dry-run"])
-    assert args.leagues == ["A"] and args.days_back == 3 and args.dry_run
+    (tmp_path / "c.toml").write_text('leagues = ["L"]\ndays_back = 9\ndays_forward = 2\ndata_dir = "elsewhere"\n')
+    args = fetch.arguments(["--config", str(tmp_path / "c.toml"), "--days-back", "3", "--data-dir", str(tmp_path)])
+    assert (args.leagues, args.days_back, args.days_forward, args.data_dir, args.dry_run, args.start) == (["L"], 3, 2, str(tmp_path), False, None)
+    assert fetch.arguments([]).days_back == 7
+    assert [r.game_id for r in fetch.run(s, args, date(2024, 1, 6)).collect()] == [101, 102]
+    args.dry_run, args.leagues = True, ["other"]
+    assert fetch.run(s, args, date(2024, 1, 6)).collect() == []
     assert fetch.seasons_for((date(2021, 6, 1), date(2021, 8, 1))) == [20, 21]

@@ -16,7 +16,8 @@ def test_value_sums_of_the_default_models(spark, monkeypatch):
     rows = queries.QUERIES["vaep_fit_and_rate"](spark, SF).collect()
     got = {(r.game_id, r.player_id): r.value for r in rows}
     (models,) = made
-    assert [m.stages[-1].getNumTrees for m in models] == [20, 20]
+    assert all(0 < m.stages[-1].getNumTrees <= 20 for m in models)
+    assert all(m.stages[-1].getOrDefault("validationIndicatorCol") == "held_back" for m in models)
     assert {m.stages[-1].getOrDefault("maxDepth") for m in models} == {3}
     data = actionvalue.features(adapters.actions(spark, SF).withColumn("end_x", F.coalesce("end_x", "start_x")))
     chance = []

@@ -28,7 +28,7 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.when(F.col("k") < 5, F.array(F.struct(F.struct(F.lit(28).alias("value"), F.lit("OwnGoal").alias("displayName")).alias("type"), F.lit(None).cast("string").alias("value"))))
     e = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     return e.select(
-        F.date_format("ts", "yyyyMMdd").cast("long").alias("game_id"), F.col("event_id").alias("event_ordinal"), named.alias("type"), F.lit("SecondHalf").alias("period"), minute.alias("expanded_minute"),
+        (F.year("ts") * 10_000 + F.month("ts") * 100 + F.day("ts")).cast("long").alias("game_id"), F.col("event_id").alias("event_ordinal"), named.alias("type"), F.lit("SecondHalf").alias("period"), minute.alias("expanded_minute"),
         F.col("user_id").alias("player_id"), (F.col("user_id") % 2 + 1).alias("team_id"), F.when(card, "Red").alias("card_type"), goal.alias("is_goal"), own.alias("qualifiers"), "k", "value", "event_type", "ts",
     )
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scoring import elo_rating, elo_update
@@ -34,7 +36,7 @@ def margin_interval(games: DataFrame, models: tuple[PipelineModel, PipelineModel
 
 
 def margin_quartiles(games: DataFrame, bucket: Column) -> DataFrame:
-    """(bucket, low, high): the quartiles of margin seen in each bucket."""
+    """(bucket, low, high): the exact quartiles of margin seen in each bucket; a task holds a bucket's distinct margins."""
     q = games.groupBy(bucket.alias("bucket")).agg(F.percentile("margin", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
     return q.select("bucket", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
 
@@ -60,33 +62,55 @@ def update(rows: DataFrame) -> DataFrame:
     return rows.withColumn("updated_elo", elo_update(F.col("elo"), rating, F.col("opp_value"), *cols))
 
 
-def season(entries: DataFrame, first: float, folder: str) -> DataFrame:
-    """(player_id, game_id, match_day, elo): each player's rating after each game, day by day.
+#: After so many rounds the changed ratings are folded into the table of all.
+FOLD = 16
+
 
-    entries(match_day, game_id, player_id, team_id, margin, low, high, minutes). A day's games start from the ratings of
-    the day before; a player without one has first, and sides are rated by the mean of their players. minutes_3_months
-    are the minutes of the 90 days before. Each day's ratings are written to folder, so a day depends on a table and not
-    on all days before; a player plays one game a day."""
+def season(entries: DataFrame, first: float, folder: str) -> DataFrame:
+    """(player_id, game_id, match_day, elo): each player's rating after each game, round by round.
+
+    entries(match_day, game_id, player_id, team_id, margin, low, high, minutes). A round holds, of all leagues at once, the
+    games that are the next one for everyone in them: a season has about as many rounds as a side has games, not as there
+    are days. A round's games start from the ratings after its players' earlier ones (by day, then game_id); a player
+    without one has first, and sides are rated by the mean of their players. Games without an opponent change nothing and
+    give no rows. minutes_3_months are the minutes of the 90 days before. Only ratings that change are written, to folder;
+    the latest of a player holds."""
     spark, run = entries.sparkSession, f"{folder.rstrip('/')}/elo-{uuid.uuid4().hex}"
-    e = entries.alias("e")
-    past = entries.select("player_id", "match_day", "minutes").alias("m")
-    before = (F.col("e.player_id") == F.col("m.player_id")) & (F.col("m.match_day") < F.col("e.match_day")) & (F.col("m.match_day") >= F.date_sub("e.match_day", 90))
-    rows = e.join(past, before, "left").groupBy(*(F.col(f"e.{c}") for c in entries.columns)).agg(F.coalesce(F.sum("m.minutes"), F.lit(0)).alias("minutes_3_months"))
-    rows.write.partitionBy("match_day").parquet(f"{run}/entries")
+    days = Window.partitionBy("player_id").orderBy(F.datediff("match_day", F.lit(date(1970, 1, 1))))
+    recent = F.coalesce(F.sum("minutes").over(days.rangeBetween(-90, -1)), F.lit(0))
+    number = F.row_number().over(Window.partitionBy("player_id").orderBy("match_day", "game_id"))
+    rows = entries.withColumns({"minutes_3_months": recent, "nth": number})
+    rows.write.partitionBy("nth").parquet(f"{run}/entries")
     rows = spark.read.schema(rows.schema).parquet(f"{run}/entries")
-    ratings = spark.createDataFrame([], "player_id bigint, elo double")
-    days = [r[0] for r in rows.select("match_day").distinct().orderBy("match_day").collect()]
-    for i, day in enumerate(days):
-        today = rows.where(F.col("match_day") == F.lit(day)).join(ratings, "player_id", "left").withColumn("elo", F.coalesce("elo", F.lit(first)))
-        side = today.groupBy("game_id", "team_id").agg(F.avg("elo").alias("value"))
-        met = today.join(side.withColumnRenamed("value", "team_value"), ["game_id", "team_id"])
+    state = "player_id bigint, nth int, elo double"
+    base, changed, history, n = spark.createDataFrame([], state), [], [], 0
+    result_kind = "player_id bigint, game_id bigint, match_day date, nth int, elo double"
+    while True:
+        # of each player the last game and the last rating, which a game without an opponent leaves null
+        latest = reduce(DataFrame.unionByName, [spark.read.schema(state).parquet(p) for p in changed], base).groupBy("player_id")
+        latest = latest.agg(F.max("nth").alias("last"), F.max_by("elo", F.when(F.col("elo").isNotNull(), F.col("nth"))).alias("elo"))
+        ahead = rows.where(F.col("nth") <= n + 1).join(latest, "player_id", "left").where(F.col("nth") > F.coalesce("last", F.lit(0)))
+        # a game that some player meets only later has fewer of its players here than in all
+        next_ = ahead.where(F.col("nth") == F.coalesce("last", F.lit(0)) + 1)
+        here, all_ = next_.groupBy("game_id").agg(F.count("*").alias("here")), rows.groupBy("game_id").agg(F.count("*").alias("all"))
+        ready = here.join(all_, "game_id").where("here = all").select("game_id")
+        now = next_.join(ready, "game_id", "left_semi").withColumn("elo", F.coalesce("elo", F.lit(first)))
+        side = now.groupBy("game_id", "team_id").agg(F.avg("elo").alias("value"))
+        met = now.join(side.withColumnRenamed("value", "team_value"), ["game_id", "team_id"])
         other = side.select("game_id", F.col("team_id").alias("__other"), F.col("value").alias("opp_value"))
-        met = met.join(other, "game_id").where("team_id <> __other")
-        done = update(met).select("player_id", "game_id", F.lit(day).alias("match_day"), F.col("updated_elo").alias("elo"))
-        done.write.parquet(f"{run}/history/{i}")
-        new = spark.read.schema(done.schema).parquet(f"{run}/history/{i}").select("player_id", "elo")
-        ratings = ratings.join(new, "player_id", "left_anti").unionByName(new)
-        ratings.write.parquet(f"{run}/ratings/{i}")
-        ratings = spark.read.schema(ratings.schema).parquet(f"{run}/ratings/{i}")
-    schema = "player_id bigint, game_id bigint, match_day date, elo double"
-    return spark.read.schema(schema).parquet(*(f"{run}/history/{i}" for i in range(len(days)))) if days else spark.createDataFrame([], schema)
+        met = met.join(other, (met["game_id"] == other["game_id"]) & (met["team_id"] != other["__other"]), "left").drop(other["game_id"])
+        new = update(met).withColumn("updated_elo", F.when(F.col("opp_value").isNotNull(), F.col("updated_elo")))
+        new.select("player_id", "game_id", "match_day", "nth", F.col("updated_elo").alias("elo")).write.parquet(f"{run}/rounds/{n}")
+        got = spark.read.schema(result_kind).parquet(f"{run}/rounds/{n}")
+        if got.isEmpty():
+            break
+        history.append(f"{run}/rounds/{n}")
+        changed.append(history[-1])
+        n += 1
+        if n % FOLD == 0:
+            folded = reduce(DataFrame.unionByName, [spark.read.schema(state).parquet(p) for p in changed], base).groupBy("player_id")
+            folded = folded.agg(F.max("nth").alias("nth"), F.max_by("elo", F.when(F.col("elo").isNotNull(), F.col("nth"))).alias("elo"))
+            folded.write.parquet(f"{run}/ratings/{n}")
+            base, changed = spark.read.schema(state).parquet(f"{run}/ratings/{n}"), []
+    made = spark.read.schema(result_kind).parquet(*history) if history else spark.createDataFrame([], result_kind)
+    return made.where("elo is not null").select("player_id", "game_id", "match_day", "elo")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import json
 import tomllib
 from datetime import UTC, date, datetime, timedelta
 from pathlib import Path
@@ -42,36 +41,52 @@ def bad_documents(spark: SparkSession, folder: str) -> DataFrame:
     return files.where(F.try_parse_json("text").isNull())
 
 
-def newest_model(folder: str, pattern: str) -> str | None:
-    """The last model by name: names carry the time they were made."""
-    return max(map(str, Path(folder).glob(pattern)), default=None)
-
-
-def save_model(folder: str, prefix: str, frame: DataFrame, made: dict) -> str:
-    """Writes a grid as Parquet and what is known of its making as JSON, under a name with the time."""
-    name = f"{folder.rstrip('/')}/{prefix}_{datetime.now(UTC):%Y%m%d_%H%M%S_%f}"
-    frame.write.parquet(f"{name}.parquet")
-    frame.sparkSession.createDataFrame([(json.dumps(made, sort_keys=True, default=str),)], "value string").coalesce(1).write.text(f"{name}.meta")
-    return f"{name}.parquet"
+_DEFAULTS = {"config": None, "leagues": None, "days_back": 7, "days_forward": 0, "start": None, "end": None, "data_dir": "data", "dry_run": False}
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
-    p = argparse.ArgumentParser(description="List the games whose documents are to be fetched.")
+    """Options of the command line, else those of the config file, else the defaults."""
+    p = argparse.ArgumentParser(description="List the games whose documents are to be fetched.", argument_default=argparse.SUPPRESS)
     p.add_argument("--config", type=Path)
     p.add_argument("--leagues", nargs="*")
-    p.add_argument("--days-back", type=int, default=7)
-    p.add_argument("--days-forward", type=int, default=0)
+    p.add_argument("--days-back", type=int)
+    p.add_argument("--days-forward", type=int)
     p.add_argument("--start")
     p.add_argument("--end")
-    p.add_argument("--data-dir", default="data")
+    p.add_argument("--data-dir")
     p.add_argument("--dry-run", action="store_true")
-    out = p.parse_args(argv)
-    if out.config:
-        for k, v in tomllib.loads(out.config.read_text()).items():
-            if getattr(out, k, None) is None:
-                setattr(out, k, v)
-    return out
+    given = vars(p.parse_args(argv))
+    known = tomllib.loads(given["config"].read_text()) if "config" in given else {}
+    return argparse.Namespace(**(_DEFAULTS | {k.replace("-", "_"): v for k, v in known.items()} | given))
 
 
 def seasons_for(argv_range: tuple[date, date]) -> list[int]:
     return season_codes(*argv_range)
+
+
+def run(schedule: DataFrame, options: argparse.Namespace, today: date) -> DataFrame:
+    """The games of schedule(game_id, league, date, ...) to fetch, in the order of their dates: those of the wanted leagues
+    and days that have no document below data_dir yet. With dry_run, all of them, landed or not."""
+    start, end = date_range(options.start, options.end, options.days_back, options.days_forward, today)
+    games = schedule if not options.leagues else schedule.where(F.col("league").isin(*options.leagues))
+    spark = schedule.sparkSession
+    none = spark.createDataFrame([], "game_id bigint")
+    return missing(games, none if options.dry_run else landed(spark, f"{options.data_dir}/events"), start, end).orderBy("date", "game_id")
+
+
+def main(argv: list[str] | None = None, today: date | None = None) -> None:
+    """Prints the games to fetch, one a line, and a summary; the schedule is <data_dir>/schedule (Parquet)."""
+    from ..session import session
+
+    options = arguments(argv)
+    spark = session("fetch")
+    games = run(spark.read.parquet(f"{options.data_dir}/schedule"), options, today or datetime.now(UTC).date()).persist()
+    for r in games.select("game_id", "league", "date").toLocalIterator():
+        print(r["game_id"], r["league"], r["date"])
+    r = summary(games).first()
+    print(f"{r['games']} games, {r['first']} to {r['last']}, {', '.join(r['leagues'])}")
+    games.unpersist()
+
+
+if __name__ == "__main__":
+    main()

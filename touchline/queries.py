@@ -258,7 +258,7 @@ def document_teams(spark, sf):
     return matches.teams(A.documents(spark, sf))
 
 
-@query(f"with {A.STREAM}, g as (select distinct game_id from sv) select 'One' as home_team, cast(1 as bigint) as team_id from g group by all")
+@query(f"with {A.STREAM}, g as (select distinct game_id from sv) select distinct 'One' as home_team, cast(1 as bigint) as team_id from g")
 def home_team_ids(spark, sf):
     docs = A.documents(spark, sf)
     schedule = docs.select("game_id", F.lit("One").alias("home_team"), F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("date"))
@@ -606,7 +606,7 @@ def unknown_names(spark, sf):
     return names.unknown_names(A.table(spark, sf, "nation"), "n_name", names.alias_table(spark, ALIASES))
 
 
-@query("select r_regionkey as region_key, r_name as full_region_name, length(r_name) as a_b from region")
+@query("select r_regionkey as region_key, r_name as full_region__name, length(r_name) as a_b from region")
 def snake_case_check(spark, sf):
     r = A.table(spark, sf, "region")
     return names.with_snake_case(r.select(F.col("r_regionkey").alias("regionKey"), F.col("r_name").alias("FullRegion-Name"), F.length("r_name").cast("long").alias("a__B")))

@@ -39,7 +39,12 @@ def rosters(spark: SparkSession, path: str, done: DataFrame, teams: DataFrame, l
 
     Team and league names come from aliases (alias, name); a file whose league, or team, has none gives no rows and is not
     logged. wanted keeps the files of some leagues."""
-    pages = html.read(spark, path).withColumn("file", F.url_decode(html.file_name(F.col("path"))))
+    return from_pages(html.read(spark, path), done, teams, leagues, wanted)
+
+
+def from_pages(pages: DataFrame, done: DataFrame, teams: DataFrame, leagues: DataFrame, wanted: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """rosters of pages(path, content)."""
+    pages = pages.withColumn("file", F.url_decode(html.file_name(F.col("path"))))
     named = pages.join(done.select("file"), "file", "left_anti").select("path", "content", "file", name_parts(F.col("file")).alias("n")).select("path", "content", "file", "n.*")
     named = resolve(resolve(named, "league", leagues, "null"), "team", teams, "null").where("league is not null and team is not null")
     named = named if wanted is None else named.where(F.col("league").isin(wanted))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import score
+from ..plans import imports, score
 from ..plans.catalog import Catalog
 from ..schemas import MATCH
 
@@ -27,6 +27,16 @@ def score_new_games(catalog: Catalog, folder: str, checkpoint: str, grid: DataFr
     return match_stream(catalog.spark, folder).writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def import_new_rosters(catalog: Catalog, folder: str, checkpoint: str, teams: DataFrame, leagues: DataFrame) -> StreamingQuery:
+    """Imports the roster pages that have landed since the last run and ends; a batch that is repeated changes nothing."""
+    pages = catalog.spark.readStream.option("wholetext", True).text(folder).select(F.input_file_name().alias("path"), F.col("value").alias("content"))
+
+    def batch(found: DataFrame, _: int) -> None:
+        imports.pages(catalog, found, teams, leagues)
+
+    return pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def live_minutes(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """(game_id, window, goals, last_minute) of a live event stream(ts, game_id, expanded_minute, is_goal), by game and
     ten minutes; events that come later than delay after the window are dropped."""
