@@ -49,7 +49,9 @@ def made(seed):
     r = random.Random(seed)
     vocab = ["the", "of", "Ärger", "x1", "été", "zoo", "q", "Übung"]
     say = lambda n: " ".join(r.choices(vocab, k=n))
-    items = [(i, say(r.choice([1, 3, 6, 9, 10, 11, 30]))) for i in range(8, 20)] + [(19, say(12)), (None, say(12)), (50, None), (51, "... !"), (52, "")]
+    items = [(i, say(r.choice([1, 3, 6, 9, 10, 11, 30]))) for i in range(8, 20)] + [
+        (19, say(12)), (None, say(12)), (50, None), (51, "... !"), (52, "")
+    ]
     items += [(60 + i, " ".join(f"w{r.randrange(10 ** 6)}" for _ in range(n))) for i, n in enumerate([10, 12, 25, 80, 7])]
     items += [(70, items[-3][1]), (71, items[-2][1])]
     docs = [(1, None), (2, ""), (3, " . "), (None, say(4)), (5, say(3)), (5, say(3))]

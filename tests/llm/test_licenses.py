@@ -41,7 +41,10 @@ def run(spark, rows, templates=None, **more):
 
 def made():
     r = random.Random(5)
-    rows = [(1, None), (2, ""), (3, "MIT License"), (4, "Released under the MIT License."), (4, "Released under the MIT License."), (None, "released UNDER\nthe mit-license!")]
+    rows = [
+        (1, None), (2, ""), (3, "MIT License"), (4, "Released under the MIT License."), (4, "Released under the MIT License."),
+        (None, "released UNDER\nthe mit-license!")
+    ]
     for d in range(10, 90):
         w = [f"w{r.randrange(50)}" for _ in range(r.choice([0, 3, 40, 400]))]
         for _ in range(r.choice([0, 1, 1, 3])):
@@ -61,8 +64,14 @@ def test_against_brute_force(spark):
 
 def test_empty_and_short_templates(spark):
     assert run(spark, []) == [] and run(spark, made()[:8], {}) == []
-    few = {"none": " - ", "one": "copyleft", "two": "Public Domain", "three": "all rights reserved", "four": "Licence: see file COPYING", "five": "see the file called COPYING"}
-    rows = [(1, "ALL rights-reserved, all rights reserved."), (2, "public domain; copyleft"), (3, "licence see file copying"), (4, "all rights"), (5, None), (6, "x " * 50 + "see the file called copying public domain")]
+    few = {
+        "none": " - ", "one": "copyleft", "two": "Public Domain", "three": "all rights reserved", "four": "Licence: see file COPYING",
+        "five": "see the file called COPYING"
+    }
+    rows = [
+        (1, "ALL rights-reserved, all rights reserved."), (2, "public domain; copyleft"), (3, "licence see file copying"), (4, "all rights"),
+        (5, None), (6, "x " * 50 + "see the file called copying public domain")
+    ]
     assert run(spark, rows, few) == brute(rows, few) and len(brute(rows, few)) == 6
 
 

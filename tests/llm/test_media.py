@@ -56,7 +56,9 @@ def test_against_plain(spark):
         with wave.open(out, "wb") as w:
             w.setnchannels(1), w.setsampwidth(1), w.setframerate(M.RATE), w.writeframes(p)
         f = out.getvalue()
-        want.append((d, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(f), hashlib.sha256(f).hexdigest(), plain_feature(p)))
+        want.append(
+            (d, len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(f), hashlib.sha256(f).hexdigest(), plain_feature(p))
+        )
     cols = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
     got = M.described(docs).select(*cols).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))

@@ -31,16 +31,25 @@ def test_against_brute_force(spark):
     assert set(got) == {r.doc_id for r in rows} and hit and len(keep) < docs.count()
     for r in rows:
         text = secrets.masked(r.text)
-        assert (got[r.doc_id].text, got[r.doc_id].lang, got[r.doc_id].source, got[r.doc_id].piece_ids) == (text, r.lang, r.source, library.encode(text))
+        assert (
+            got[r.doc_id].text, got[r.doc_id].lang, got[r.doc_id].source, got[r.doc_id].piece_ids
+        ) == (text, r.lang, r.source, library.encode(text))
 
 
 def test_stages_keep_columns_and_take_odd_rows(spark):
-    rows = [(1, None, "en", "s", 0, "a"), (2, "", "en", "s", 0, "b"), (None, "the same words", None, None, None, None), (None, "the same words", None, None, None, None), (5, "The same  words", "en", "s", 3, "c"), (5, "The same  words", "en", "s", 3, "c")]
+    rows = [
+        (1, None, "en", "s", 0, "a"), (2, "", "en", "s", 0, "b"), (None, "the same words", None, None, None, None),
+        (None, "the same words", None, None, None, None), (5, "The same  words", "en", "s", 3, "c"), (5, "The same  words", "en", "s", 3, "c")
+    ]
     rows += [(6 + i, f"text number {i} is of its own kind {'abcdefgh'[i]}" * 5, "en", "s", 1, "d") for i in range(8)]
+    rows += [(40, "a long text of its own " * 20_000 + "ab" * 40_000, "en", None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, fp string")
     for _, stage in pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).columns == docs.columns
         assert stage(spark, docs.limit(0), SF).collect() == []
+    last = pipeline.STAGES[-1][1](spark, docs, SF)
+    assert last.columns == [*docs.columns, "piece_ids", "same"] and last.where("same").count() == len(rows)
+    assert pipeline.STAGES[-1][1](spark, docs.limit(0), SF).collect() == []
     kept = simhash.one_of_each(docs).collect()
     groups = grouped([(r[0], r[1]) for r in rows])
     assert len(kept) == len({c for *_, c in groups}) and sum(r.doc_id == 5 for r in kept) == 1

@@ -46,7 +46,9 @@ def test_op5(spark, texts):
 
 def test_op6(spark, texts):
     got = rows(spark, "op6_min_cost_flow")
-    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted((d, len(r.text.encode()) + 1, zlib.crc32(r.text.encode())) for d, r in texts.items())
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got) == sorted(
+        (d, len(r.text.encode()) + 1, zlib.crc32(r.text.encode())) for d, r in texts.items()
+    )
     assert {(r.law, r.grown_shard) for r in got} == {("bytes", None)} and {r.shard for r in got} == set(range(resharding.SHARDS))
     most = max(r["size"] for r in got)
     loads = [sum(r["size"] for r in got if r.shard == s) for s in range(resharding.SHARDS)]

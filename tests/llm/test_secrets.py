@@ -34,7 +34,10 @@ def base(text):
     return [(a, b, S.KINDS[k]) for a, b, k in sorted(got, key=lambda x: (x[0], x[2]))]
 
 
-PARTS = ["password", "PassWd", "secret", "tOKEN", "api_key", "apikey", "ſecret", "toKen", "AKIA", "akia", '"', "'", " ", "=", ":", "\t", "é", "deadbeef" * 2, "0123456789abcde", "ABCDEFGHIJ1234", "-./+_", "x" * 11, "Z" * 12, "\n"]
+PARTS = [
+    "password", "PassWd", "secret", "tOKEN", "api_key", "apikey", "ſecret", "toKen", "AKIA", "akia", '"', "'", " ", "=", ":", "\t", "é",
+    "deadbeef" * 2, "0123456789abcde", "ABCDEFGHIJ1234", "-./+_", "x" * 11, "Z" * 12, "\n"
+]
 
 
 @settings(max_examples=600, deadline=None)
@@ -83,7 +86,9 @@ def test_a_token_after_failed_starts():
 
 def test_scan_and_mask(spark):
     texts = [None, "", "nothing", f'é token = "{GOOD}" and AKIA' + "A" * 16, "f" * 200_000 + " é", "token=" * 5000 + "abcdefghijkl", "same", "same"]
-    docs = spark.createDataFrame([(i // 2, t, "x", None if i == 6 else 5) for i, t in enumerate(texts)], "doc_id long, text string, spans string, n_chars long")
+    docs = spark.createDataFrame(
+        [(i // 2, t, "x", None if i == 6 else 5) for i, t in enumerate(texts)], "doc_id long, text string, spans string, n_chars long"
+    )
     rows = S.scan(docs).collect()
     assert len(rows) == len(texts)
     want = sorted((i // 2, S.digest(S.spans_of(t)), hashlib.sha256(S.digest(base(t or "")).encode()).hexdigest()) for i, t in enumerate(texts))

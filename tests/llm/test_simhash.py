@@ -111,11 +111,16 @@ def test_long_runs_are_dealt_again(spark, most):
 
 
 def test_one_of_each_by_either_join(spark, monkeypatch):
-    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "x y z w v u"), (3, "x y z w v u"), (None, "x y z w v u"), (None, None), (None, None)]
+    rows = [
+        (1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, "x y z w v u"), (3, "x y z w v u"), (None, "x y z w v u"), (None, None),
+        (None, None)
+    ]
     docs = spark.createDataFrame([(*r, "q") for r in rows], "doc_id long, text string, n string")
     for most in (1 << 18, 0):
         monkeypatch.setattr(common.without, "__defaults__", (most,))
-        assert sorted(map(str, one_of_each(docs).collect())) == sorted(map(str, [Row(doc_id=1, text="a b c d e f", n="q"), Row(doc_id=3, text="x y z w v u", n="q"), Row(doc_id=None, text=None, n="q")]))
+        assert sorted(map(str, one_of_each(docs).collect())) == sorted(
+            map(str, [Row(doc_id=1, text="a b c d e f", n="q"), Row(doc_id=3, text="x y z w v u", n="q"), Row(doc_id=None, text=None, n="q")])
+        )
 
 
 def test_one_of_each_by_component_not_by_id(spark):

@@ -22,7 +22,15 @@ def encode(texts):
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.lists(st.lists(st.sampled_from(["the", "a", "aa", "ing", "tion", " ", "  ", "\n", "▁", "é", "中", "😀", "S", "ss", "0", "\x00", "<s>", "<0x0A>", "erer", "ABC"]), max_size=14).map("".join), max_size=4))
+@given(
+    st.lists(
+        st.lists(
+            st.sampled_from(
+                ["the", "a", "aa", "ing", "tion", " ", "  ", "\n", "▁", "é", "中", "😀", "S", "ss", "0", "\x00", "<s>", "<0x0A>", "erer", "ABC"]
+            ), max_size=14
+        ).map("".join), max_size=4
+    )
+)
 def test_ids_equal_the_library(texts):
     assert encode(texts) == LIBRARY.encode(texts)
 
@@ -44,7 +52,9 @@ def test_long_words_walk_to_the_same_ids(monkeypatch, size):
     monkeypatch.setattr(W, "LONG", size)
     monkeypatch.setattr(W, "_SLICE", 19)
     r = random.Random(size)
-    texts = ["".join(r.choices("etaoinshr", k=300)), "ab" * 200, "a" * 333, " " * 99, "=" * 70, "the" * 90, "".join(r.choices("ab  ", k=400)), "é中" * 50]
+    texts = [
+        "".join(r.choices("etaoinshr", k=300)), "ab" * 200, "a" * 333, " " * 99, "=" * 70, "the" * 90, "".join(r.choices("ab  ", k=400)), "é中" * 50
+    ]
     assert encode(texts) == LIBRARY.encode(texts)
 
 
@@ -105,11 +115,15 @@ def test_unigram_against_brute_force(seed):
         def best(s):
             if not s:
                 return 0.0, []
-            return max(((score[i] + best(s[len(n) :])[0], [i, *best(s[len(n) :])[1]]) for i, n in enumerate(names) if s.startswith(n)), key=lambda x: x[0])
+            return max(
+                ((score[i] + best(s[len(n) :])[0], [i, *best(s[len(n) :])[1]]) for i, n in enumerate(names) if s.startswith(n)), key=lambda x: x[0]
+            )
 
         ids, count = p.encode_equal(np.array([[ord(c) for c in word]] * 2, np.uint32))
         assert count[0] == count[1] and ids[: count[0]].tolist() == ids[count[0] :].tolist()
         assert "".join(names[i] for i in ids[: count[0]]) == word
         assert math.isclose(sum(score[i] for i in ids[: count[0]]), best(word)[0], abs_tol=1e-9)
-        assert p.walk(np.array([ord(c) for c in word], np.uint32)).tolist() == [next(k for k, n in enumerate(p.strings) if p.ids[k] == i) for i in ids[: count[0]]]
+        assert p.walk(np.array([ord(c) for c in word], np.uint32)).tolist() == [
+            next(k for k, n in enumerate(p.strings) if p.ids[k] == i) for i in ids[: count[0]]
+        ]
     assert p.encode_equal(np.array([[ord("z")]], np.uint32))[0].tolist() == [99]

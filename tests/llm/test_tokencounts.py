@@ -23,7 +23,16 @@ def by_pretokens(text):
 
 
 @settings(max_examples=500, deadline=None)
-@given(st.lists(st.sampled_from([" ", "  ", "\n", "\t", "\x1c", "\x85", " ", " ", "​", "word", "Thntblere", "'s", "'ll", "é", "中文", "ⅷ", "٣", "12", "²", "_", "!!", "<|endoftext|>", "<|endof", "é", "😀", "\U0001e900"]), max_size=12).map("".join))
+@given(
+    st.lists(
+        st.sampled_from(
+            [
+                " ", "  ", "\n", "\t", "\x1c", "\x85", " ", " ", "​", "word", "Thntblere", "'s", "'ll", "é", "中文", "ⅷ", "٣", "12", "²", "_", "!!",
+                "<|endoftext|>", "<|endof", "é", "😀", "\U0001e900"
+            ]
+        ), max_size=12
+    ).map("".join)
+)
 def test_sums_equal_the_library(text):
     assert by_pretokens(text) == count(text)
 
@@ -44,7 +53,10 @@ def test_any_text(text):
 def test_query(spark, most):
     r = random.Random(1)
     words = ["the", "thnttionti", "Èenè", "onwhwh", "12", "'s", "<|endoftext|>", "\n\n"]
-    rows = [(1, None), (2, ""), (3, "same thntblere text"), (3, "same thntblere text"), (None, " x 5 "), (7, "zqzq " * 50_000), (8, "zqx" * 30_000), (9, "zqx" * 30_000)]
+    rows = [
+        (1, None), (2, ""), (3, "same thntblere text"), (3, "same thntblere text"), (None, " x 5 "), (7, "zqzq " * 50_000), (8, "zqx" * 30_000),
+        (9, "zqx" * 30_000)
+    ]
     rows += [(100 + i, "a " + "-" * 80 + "=" * 30 + "\n" + "~" * (60 + i % 9)) for i in range(40)]  # long and frequent ones
     rows += [(i, " ".join(r.choices(words, k=r.randrange(50)))) for i in range(10, 40)]
     docs = spark.createDataFrame([(*x, "p", 4) for x in rows], "doc_id long, text string, piece string, n long")
@@ -57,7 +69,10 @@ def test_query(spark, most):
 def test_frequent_long_pretokens_are_in_the_head(spark):
     """A rule of dashes in every text is no key of the shuffled join."""
     docs = spark.createDataFrame([(i, "word" + "-" * 90 + f" zq{i}zq") for i in range(300)], "doc_id long, text string")
-    pieces = T.cut(T.counted(docs, PATH).selectExpr("explode(arrays_zip(pieces, times)) as p").groupBy("p.pieces").agg({"p.times": "sum"}).toDF("piece", "n"), PATH)
+    pieces = T.cut(
+        T.counted(docs, PATH).selectExpr("explode(arrays_zip(pieces, times)) as p").groupBy("p.pieces").agg({"p.times": "sum"}).toDF("piece", "n"),
+        PATH
+    )
     least = T.least_step(pieces, 5)
     assert "-" * 90 in {r.piece for r in pieces.where(T._step() >= least).collect()}
     assert {(r.doc_id, r.n_tokens) for r in T.token_counts(docs, PATH, 5).collect()} == {(r.doc_id, count(r.text)) for r in docs.collect()}

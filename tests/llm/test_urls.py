@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 from touchline.llm import urls as U
 
 URLS = [
-    None, "", "no scheme", "http://", "http://A.ORG", "http://A.ORG/", "https://www.Example.org/es/x?q=1", "https://example.org/es", "http://example.org/en/12#t",
-    "http://notexample.org/es/x", "http://x.com/fr/1", "http://x.com/de/1?a", "http://com/de/", "http://x.com?/de/", "http://x.com#/fr/", "http://a.net/p://q/", "x://Ä.net/É\n/z",
+    None, "", "no scheme", "http://", "http://A.ORG", "http://A.ORG/", "https://www.Example.org/es/x?q=1", "https://example.org/es",
+    "http://example.org/en/12#t",
+    "http://notexample.org/es/x", "http://x.com/fr/1", "http://x.com/de/1?a", "http://com/de/", "http://x.com?/de/", "http://x.com#/fr/",
+    "http://a.net/p://q/", "x://Ä.net/É\n/z",
     "http://host.net:80/a", "http://a.net/listed", "HTTP://A.net/listed?x#y", "http://a.net/listed",
 ]
 
@@ -41,7 +43,10 @@ def test_no_joins_and_bounded_literals(spark, monkeypatch):
     monkeypatch.setattr(U, "expected_bits", lambda *n: 1)  # too low a guess, so that segments are split
     sizes, plans, level, writer = [], [], U._level, type(spark.range(1).write).parquet
     monkeypatch.setattr(U, "_level", lambda keys, i, bits, probes: sizes.append((i, bits)) or level(keys, i, bits, probes))
-    monkeypatch.setattr(type(spark.range(1).write), "parquet", lambda self, path: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or writer(self, path))
+    monkeypatch.setattr(
+        type(spark.range(1).write), "parquet", lambda self,
+        path: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or writer(self, path)
+    )
     pages = spark.range(600).selectExpr("id as page_id", "concat('http://h.net/', id) as url")
     got = U.judge(pages, pages.selectExpr("concat('h.net/', page_id) as key").where("page_id % 2 = 0"), max_bits=1024)
     assert {(r.page_id % 2 == 0, r.verdict) for r in got.collect()} == {(True, "block"), (False, "allow")}

@@ -72,7 +72,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = pc.fill_null(column, "")
     wide = pa.types.is_large_string(column.type)
     _, bounds, data = column.buffers()
-    at = np.frombuffer(bounds, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    at = np.frombuffer(bounds, np.int64 if wide else np.int32)[
+        column.offset : column.offset + len(column) + 1
+    ] if len(column) else np.zeros(1, np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at.astype(np.int64)
 
 
@@ -95,7 +97,9 @@ def bitmap(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> np.ndarray:
 
     Spark folds the keys into words first, so at most bits / 64 rows reach the driver."""
     bit = F.col(column).bitwiseAND(F.lit(bits - 1))
-    words = keys.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = keys.select(
+        F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast({column} & 63 as int))").alias("bits")
+    ).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(bits >> 6, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out.view(np.uint64)

@@ -160,9 +160,14 @@ def document_fingerprints(docs: DataFrame, lengths: list[int], bits: np.ndarray)
             fp, place, before = (np.concatenate([x[c] for x in found]) for c in (2, 3, 4))
             own = [batch.column(c).take(pa.array(d + i)) for c in range(2)]
             rest = [np.diff(bounds)[d], kinds, fp, place, before.astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([*own, *map(pa.array, rest), pa.array(words, pa.list_(pa.string()))], ["doc_id", "text_key", "n_words", "length", "fp", "place", "before", "words"])
+            yield pa.RecordBatch.from_arrays(
+                [*own, *map(pa.array, rest), pa.array(words, pa.list_(pa.string()))],
+                ["doc_id", "text_key", "n_words", "length", "fp", "place", "before", "words"]
+            )
 
-    return docs.mapInArrow(by_batch(kernel), "doc_id long, text_key long, n_words long, length int, fp long, place long, before int, words array<string>")
+    return docs.mapInArrow(
+        by_batch(kernel), "doc_id long, text_key long, n_words long, length int, fp long, place long, before int, words array<string>"
+    )
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -180,12 +185,21 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     same = (first >= 0) & (F.slice("d.words", F.greatest(first, F.lit(0)) + 1, F.col("w.length")) == F.col("w.words"))
     at = F.col("d.place") - F.col("w.at")
     span = F.when(same, F.struct(at.alias("a"), (at + F.col("w.length")).alias("b")))
-    hit = met.select("d.doc_id", "d.text_key", "d.n_words", F.col("d.length").alias("length"), span.alias("span"), F.when(same, F.col("w.items")).alias("items"))
+    hit = met.select(
+        "d.doc_id", "d.text_key", "d.n_words", F.col("d.length").alias("length"), span.alias("span"), F.when(same, F.col("w.items")).alias("items")
+    )
     ids = F.transform(F.array_distinct(F.flatten(F.collect_set("items"))), lambda x: x.cast("string"))
     times = F.count_if(F.col("length") == 0)  # a row of length 0 for each row of docs
-    per = hit.groupBy("doc_id", "text_key", "n_words").agg(F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(ids).alias("items"), times.alias("times"))
+    per = hit.groupBy("doc_id", "text_key", "n_words").agg(
+        F.array_sort(F.collect_set("span")).alias("spans"), F.array_sort(ids).alias("items"), times.alias("times")
+    )
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
-    union = F.aggregate("spans", zero, lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0).cast("long"), x["b"] - F.greatest(s["end"], x["a"]))).alias("n"), F.greatest(s["end"], x["b"]).alias("end")))
+    union = F.aggregate(
+        "spans", zero, lambda s,
+        x: F.struct(
+            (s["n"] + F.greatest(F.lit(0).cast("long"), x["b"] - F.greatest(s["end"], x["a"]))).alias("n"), F.greatest(s["end"], x["b"]).alias("end")
+        )
+    )
     once = per.select("doc_id", "text_key", "n_words", union["n"].alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items", "times")
     return once.withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("time", "times")
 
@@ -195,7 +209,9 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and stay; rows that repeat stay or go together; nulls in other columns don't
     matter; an empty table stays empty, and without items all rows stay; a long text is judged whole."""
-    hit = contamination(docs, items).where("n_hit > 0").select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1]))
+    hit = contamination(docs, items).where("n_hit > 0").select(
+        F.coalesce("doc_id", F.lit(-(1 << 63))).alias(ROW_KEY[0]), F.col("text_key").alias(ROW_KEY[1])
+    )
     return without(keyed(docs), hit).select(*docs.columns)
 
 
@@ -207,17 +223,24 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = r"""
-with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
-b as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
       from benchmark where item_id is not null and text is not null),
 bl as (select item_id, w, least(10, len(w)) as n from b where len(w) > 0),
-bw as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from bl)),
+bw as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+from bl)),
 ns as (select distinct n from bw),
-dw as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, ns where len(w) >= n)),
+dw as (select doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, ns
+where len(w) >= n)),
 h as (select doc_id, n, i, item_id from dw join bw using (n, win)),
-p as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, n, i from h)) group by doc_id),
-it as (select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as ids from (select distinct doc_id, cast(item_id as varchar) as s from h) group by doc_id)
-select d.doc_id as doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(p.n_hit, 0) as bigint) as n_hit, cast(coalesce(it.n_items, 0) as bigint) as n_items,
+p as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, n, i from h))
+group by doc_id),
+it as (select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as ids from (select distinct doc_id, cast(item_id as varchar) as s from h)
+group by doc_id)
+select d.doc_id as doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(p.n_hit, 0) as bigint) as n_hit, cast(coalesce(it.n_items,
+0) as bigint) as n_items,
        sha256(coalesce(it.ids, '')) as items_sha256, coalesce(p.n_hit, 0) > 0 as contaminated
 from d left join p using (doc_id) left join it using (doc_id)
 """

@@ -132,7 +132,10 @@ def _enough(size: Column, c: Column) -> Column:
 
 def _minima(distinct: Column, bands: Column) -> Column:
     """For each band, the smallest seeded hash, with its shingle."""
-    return F.transform(F.sequence(F.lit(0), bands - 1), lambda j: F.array_min(F.transform(distinct, lambda x: F.struct(F.xxhash64(x, j).alias("least"), x.alias("shingle")))))
+    return F.transform(
+        F.sequence(F.lit(0), bands - 1),
+        lambda j: F.array_min(F.transform(distinct, lambda x: F.struct(F.xxhash64(x, j).alias("least"), x.alias("shingle"))))
+    )
 
 
 def _bands(distinct: Column, bands: Column) -> Column:
@@ -196,7 +199,10 @@ def matches(s: Column, classes: list[dict]) -> Column:
         inside = F.array_distinct(F.slice(s, at * k["c"] + 1, 2 * k["c"] - WORDS + 1))
         return let(inside, lambda w: let(_bands(w, k["bands"]), lambda b: F.transform(
             F.filter(k["templates"], lambda t: F.arrays_overlap(t["bands"], b)),
-            lambda t: F.struct(t["license"].alias("license"), (F.size(F.array_intersect(t["shingles"], w)) / F.size(t["shingles"])).alias("containment"), (at * k["c"]).alias("first_word")),
+            lambda t: F.struct(
+                t["license"].alias("license"), (F.size(F.array_intersect(t["shingles"], w)) / F.size(t["shingles"])).alias("containment"),
+                (at * k["c"]).alias("first_word")
+            ),
         )))
 
     def windows(s: Column, k: Column) -> Column:
@@ -205,7 +211,9 @@ def matches(s: Column, classes: list[dict]) -> Column:
 
     def near(s: Column, k: Column, few: Column) -> Column:
         hits = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: F.array_contains(few, F.get(s, i)))
-        found = F.array_distinct(F.flatten(F.transform(hits, lambda i: F.array((i / k["c"]).cast("int"), F.greatest((i / k["c"]).cast("int") - 1, F.lit(0))))))
+        found = F.array_distinct(
+            F.flatten(F.transform(hits, lambda i: F.array((i / k["c"]).cast("int"), F.greatest((i / k["c"]).cast("int") - 1, F.lit(0)))))
+        )
         return let(found, lambda n: F.flatten(F.transform(n, lambda at: window(s, k, at))))
 
     found = F.when(F.arrays_overlap(s, anchors), F.flatten(F.transform(known, lambda k: windows(s, k)))).otherwise(none)
@@ -217,7 +225,9 @@ def notices(w: Column, rows: list) -> Column:
     out = F.array().cast(_FOUND)
     for k in range(1, WORDS):
         if mine := [r for r in rows if r["n"] == k]:
-            names = F.map_from_entries(F.from_json(F.lit(json.dumps([{"key": r["s"][0], "value": r["license"]} for r in mine])), "array<struct<key: bigint, value: string>>"))
+            names = F.map_from_entries(
+                F.from_json(F.lit(json.dumps([{"key": r["s"][0], "value": r["license"]} for r in mine])), "array<struct<key: bigint, value: string>>")
+            )
             hit = lambda g, i: F.struct(names[g].alias("license"), F.lit(1.0).alias("containment"), i.alias("first_word"))  # noqa: B023, E731
             there = lambda g: F.filter(F.transform(g, hit), lambda m: m["license"].isNotNull())  # noqa: B023, E731
             hashes = _literal([r["s"][0] for r in mine])
@@ -277,7 +287,8 @@ dw as (select row_number() over () as r, doc_id, {split} as w from documents),
 ds as (select r, doc_id, {grams} as s from dw where len(w) >= 5),
 x as (select r, doc_id, license, a, len(list_intersect(ts_s, list_distinct(s[a + 1:a + 2 * c - 4]))) / len(ts_s) as containment
       from (select r, doc_id, license, c, ds.s as s, ts.s as ts_s, unnest(range(0, len(ds.s), c)) as a from ds, ts))
-select doc_id, license, max(containment) as containment, count(*) as n_windows, cast(min(a) as int) as first_word from x where containment >= 0.8 group by r, doc_id, license
+select doc_id, license, max(containment) as containment, count(*) as n_windows, cast(min(a) as int) as first_word from x where containment >= 0.8
+group by r, doc_id, license
 """
 
 

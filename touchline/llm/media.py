@@ -132,7 +132,10 @@ def store(docs: DataFrame) -> Store:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _by_chunk(batches, 1):
             made = [(sha, [digest(c) for c in parts]) for sha, parts in files(texts)]
-            cols = [batch.column(0), pa.array([len(t) for t in texts]), pa.array([s for s, _ in made], pa.binary()), pa.array([d for _, d in made], pa.list_(pa.binary()))]
+            cols = [
+                batch.column(0), pa.array([len(t) for t in texts]), pa.array([s for s, _ in made], pa.binary()),
+                pa.array([d for _, d in made], pa.list_(pa.binary()))
+            ]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_bytes", "media", "chunks"])
 
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -168,7 +171,9 @@ def store(docs: DataFrame) -> Store:
 
     kind = "media binary, n_chunks int, own array<struct<seq: int, data: binary>>, shared array<struct<digest: binary, data: binary>>"
     stored = staged(keys.select("text").mapInArrow(write, kind), "stored", "zstd")
-    copies = stored.select(F.monotonically_increasing_id().alias("id"), F.posexplode("shared").alias("k", "s")).select(F.struct("id", "k").alias("place"), "s.*")
+    copies = stored.select(
+        F.monotonically_increasing_id().alias("id"), F.posexplode("shared").alias("k", "s")
+    ).select(F.struct("id", "k").alias("place"), "s.*")
     owners = copies.groupBy("digest").agg(F.min("place").alias("place"))
     shared = staged(copies.join(owners, ["digest", "place"]).select("digest", "data"), "shared", "zstd")
     return Store(recipes, stored, shared)
@@ -209,9 +214,14 @@ def features(media: DataFrame) -> DataFrame:
                 rows.append((sha, len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(raw), sha.hex(), feature(p)))
             if rows:
                 kinds = [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["media", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
-
-    return media.mapInArrow(kernel, "media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
+                    ["media", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
+                )
+
+    return media.mapInArrow(
+        kernel, "media binary, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    )
 
 
 def described(docs: DataFrame) -> DataFrame:

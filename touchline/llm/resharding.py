@@ -108,7 +108,9 @@ def listed(spark: SparkSession, folder: str, schema: StructType, kept: dict[str,
     if kept:
         old = spark.read.schema(schema).parquet(*map(unquote, kept)).select(F.col("_metadata.file_path").alias("path"))
         shards = spark.createDataFrame(list(kept.items()), "path string, shard int")
-        found = found.unionByName(old.groupBy("path").agg(F.count("*").alias("n")).join(shards, "path").select("path", "shard", "n"), allowMissingColumns=True)
+        found = found.unionByName(
+            old.groupBy("path").agg(F.count("*").alias("n")).join(shards, "path").select("path", "shard", "n"), allowMissingColumns=True
+        )
     else:
         found = found.withColumn("n", F.lit(None).cast("long"))
     rows = found.groupBy("path", "shard").agg(F.sum(F.coalesce("n", F.lit(1))).alias("rows"))
@@ -123,7 +125,9 @@ def rows_of(layout: Layout) -> DataFrame:
     paths = [unquote(r["path"]) for r in files.select("path").collect()]  # as Spark lists them itself to read them
     if not paths:
         return spark.createDataFrame([], layout.schema).select("*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    rows = spark.read.schema(layout.schema).parquet(*paths).select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    rows = spark.read.schema(layout.schema).parquet(*paths).select(
+        "*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row")
+    )
     places = files.select(F.col("path").alias("__path"), F.col("shard").alias("__shard"), "first")
     met = rows.join(F.broadcast(places) if len(paths) <= BROADCAST_KEYS else places, "__path")
     return met.select(*layout.schema.names, F.col("__shard").alias("shard"), (F.col("first") + F.col("__row")).alias("slot"))
@@ -177,14 +181,20 @@ def rewrite(layout: Layout, size: F.Column, folder: str, shards: int = SHARDS) -
     if not files:
         return layout
     paths = lambda names: spark.read.schema(schema).parquet(*map(unquote, names))
-    bytes_ = {r["path"]: r["bytes"] for r in paths([p for p, _ in files]).select(F.col("_metadata.file_path").alias("path"), size.alias("size")).groupBy("path").agg(F.sum("size").alias("bytes")).collect()}
+    bytes_ = {
+        r["path"]: r["bytes"] for r in paths([p for p, _ in files]).select(
+            F.col("_metadata.file_path").alias("path"), size.alias("size")
+        ).groupBy("path").agg(F.sum("size").alias("bytes")).collect()
+    }
     stay, go, cut = transfers([(p, s, bytes_[p]) for p, s in files], shards)
     moved = []
     for new in sorted(set(go.values())):
         moved.append(paths([p for p, s in go.items() if s == new]).withColumn(PART, F.lit(new)))
     if cut:
         to = F.broadcast(_cut_rows(layout, size, cut).withColumnsRenamed({"path": "__path"}))
-        rows = paths(sorted({p for p, *_ in cut})).select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+        rows = paths(sorted({p for p, *_ in cut})).select(
+            "*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row")
+        )
         rows = rows.join(to, "__path").where("__row >= from_row and __row < to_row")
         moved.append(rows.select(*schema.names, F.col("new").alias(PART)))
     if not moved:

@@ -47,7 +47,9 @@ def _is_jwt(token: bytes) -> bool:
 
 #: kind, expression tried at a keyword, test of the match. A failing match still uses up its text.
 _RULES = {
-    "assign": (re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 12),
+    "assign": (
+        re.compile(rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 12
+    ),
     "access": (re.compile(rb"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
     "github": (re.compile(rb"gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: _crc_holds(m[0])),
     "npm": (re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"), lambda m: _crc_holds(m[0])),
@@ -115,7 +117,10 @@ def scan(docs: DataFrame) -> DataFrame:
                 c.append(sum(s[2] == kind for s in base))
             shas.append(hashlib.sha256(digest(base).encode()).hexdigest())
             all_.append(digest(spans))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas), pa.array(all_)], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas), pa.array(all_)],
+            ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+        )
 
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return keys.mapInArrow(by_batch(kernel), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")

@@ -169,7 +169,9 @@ def links(nodes: DataFrame, most: int = RUN) -> DataFrame:
     # the other half differs in 3 bits at most, so one of its four bytes agrees; keys that collide do no harm, for links are verified
     half = F.when(F.shiftright("key", 32) < 32, F.shiftrightunsigned("a", 32)).otherwise(F.col("a").bitwiseAND(F.lit(0xFFFFFFFF)))
     byte = F.expr("cast(shiftright(half, 8 * i) & 255 as int)")
-    parts = rest.withColumn("half", half).withColumn("i", F.explode(F.array(*map(F.lit, range(4))))).select(F.xxhash64("key", "i", byte).alias("key"), F.col("a").alias("fp"))
+    parts = rest.withColumn("half", half).withColumn("i", F.explode(F.array(*map(F.lit, range(4))))).select(
+        F.xxhash64("key", "i", byte).alias("key"), F.col("a").alias("fp")
+    )
     parts = staged(parts, "long-runs")
     sizes = parts.groupBy("key").agg(F.ceil(F.count("*") / max(1, most)).cast("int").alias("n"))
     part = F.pmod(F.xxhash64("fp"), F.col("n").cast("long")).cast("int")

@@ -350,7 +350,9 @@ class Encoder:
         total = np.r_[0, np.cumsum(size[word])]
         return pool[ragged(where[word], size[word])].astype(np.int32), total[np.searchsorted(start, bounds)]
 
-    def _keep(self, points: np.ndarray, keys: np.ndarray, where: np.ndarray, size: np.ndarray, start: np.ndarray, length: np.ndarray, pool: np.ndarray) -> None:
+    def _keep(
+        self, points: np.ndarray, keys: np.ndarray, where: np.ndarray, size: np.ndarray, start: np.ndarray, length: np.ndarray, pool: np.ndarray
+    ) -> None:
         """Adds words with their keys and the places of their ids in pool; a key that is there already stays as it is."""
         fresh = ~np.isin(keys, self.keys)
         keys, where, size, start, length = (x[fresh] for x in (keys, where, size, start, length))
@@ -404,7 +406,10 @@ def vocabulary(text: dict[int, str], score: dict[int, float], bpe: bool, byte_id
     longer = sorted((i for i, s in text.items() if len(s) > 1), key=lambda i: (-score[i], i))
     ids = [single.get(c, -1) for c in chars] + longer
     least = min(score.values(), default=0.0) - 10
-    return Pieces(chars + [text[i] for i in longer], np.array([score.get(i, least) for i in ids]), np.array(ids, np.int64), np.asarray(byte_ids, np.int64), unk, bpe)
+    return Pieces(
+        chars + [text[i] for i in longer], np.array([score.get(i, least) for i in ids]), np.array(ids, np.int64), np.asarray(byte_ids, np.int64), unk,
+        bpe
+    )
 
 
 def _texts(docs: DataFrame, path: str):
@@ -449,7 +454,9 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
         bounds = np.cumsum([0, *map(len, lists)])
         texts = Decoder(sent.value[1])(np.array([i for x in lists for i in x], np.int64), bounds)
         null = batch.column(1).is_null().to_pylist()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if z else t for z, t in zip(null, texts)], pa.string())], ["doc_id", "text"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([None if z else t for z, t in zip(null, texts)], pa.string())], ["doc_id", "text"]
+        )
 
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), "piece_ids").mapInArrow(by_batch(kernel), "doc_id long, text string")
 

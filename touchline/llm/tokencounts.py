@@ -78,7 +78,9 @@ def counted(docs: DataFrame, path: str) -> DataFrame:
             ends = pa.array(ends, pa.int32())
             lists = [pa.ListArray.from_arrays(ends, pa.array(x, t)) for x, t in ((pieces, pa.string()), (times, pa.int64()))]
             sizes = pa.array(at[i + 1 : j + 1] - at[i:j])
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], sizes, pa.array(known, pa.int64()), *lists], ["doc_id", "n_bytes", "known", "pieces", "times"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0)[i:j], sizes, pa.array(known, pa.int64()), *lists], ["doc_id", "n_bytes", "known", "pieces", "times"]
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(by_batch(kernel), "doc_id long, n_bytes long, known long, pieces array<string>, times array<long>")
@@ -90,7 +92,9 @@ def cut(pieces: DataFrame, path: str) -> DataFrame:
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for i, j in chunks(text_bytes(batch.column(0))[1]):
             got = _library(path)[0].encode_batch(batch.column(0)[i:j].to_pylist(), add_special_tokens=False)
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], batch.column(1)[i:j], pa.array([len(e) for e in got], pa.int32())], ["piece", "n", "pieces"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0)[i:j], batch.column(1)[i:j], pa.array([len(e) for e in got], pa.int32())], ["piece", "n", "pieces"]
+            )
 
     return pieces.mapInArrow(by_batch(kernel), "piece string, n long, pieces int")
 
@@ -136,7 +140,11 @@ def token_counts(docs: DataFrame, path: str, most: int = HEAD) -> DataFrame:
     marked = found.join(F.broadcast(sides.where("head").select("key", "pieces")), "key", "left")
     rest = marked.where("pieces is null").select("row", "key", "n").join(sides.where("not head").select("key", "pieces"), "key")
     none = F.lit(None).cast("long")
-    parts = [x.select("row", none.alias("doc_id"), none.alias("n_bytes"), (F.col("n") * F.col("pieces")).alias("tokens")) for x in (marked.where("pieces is not null"), rest)]
+    parts = [
+        x.select(
+            "row", none.alias("doc_id"), none.alias("n_bytes"), (F.col("n") * F.col("pieces")).alias("tokens")
+        ) for x in (marked.where("pieces is not null"), rest)
+    ]
     per = own.unionByName(parts[0]).unionByName(parts[1]).groupBy("row")
     return per.agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("tokens").alias("n_tokens")).drop("row")
 

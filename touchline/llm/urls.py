@@ -53,7 +53,11 @@ def _positions(key: str, level: int, bits: int, probes: int) -> list[Column]:
 
 def _contains(key: str, level: int, bits: int, probes: int, words: str) -> Column:
     table_ = F.split(F.lit(words), ",").cast("array<bigint>")  # folded to one literal
-    tests = [F.call_function("shiftright", F.get(table_, F.floor(p / 64).cast("int")), (p % 64).cast("int")).bitwiseAND(F.lit(1)) == 1 for p in _positions(key, level, bits, probes)]
+    tests = [
+        F.call_function(
+            "shiftright", F.get(table_, F.floor(p / 64).cast("int")), (p % 64).cast("int")
+        ).bitwiseAND(F.lit(1)) == 1 for p in _positions(key, level, bits, probes)
+    ]
     return reduce(lambda a, b: a & b, tests)
 
 
@@ -61,7 +65,9 @@ def _level(keys: DataFrame, level: int, bits: int, probes: int) -> tuple[int, st
     """The number of keys and the 64-bit words of their Bloom filter, comma-joined, in one job; Spark folds the keys, so
     that bits / 64 rows reach the driver."""
     at = keys.select(F.explode(F.array(*_positions("key", level, bits, probes))).alias("p"))
-    words = at.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"), F.count("*").alias("n"))
+    words = at.groupBy(F.floor(F.col("p") / 64).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b"), F.count("*").alias("n")
+    )
     out, n = [0] * (bits // 64), 0
     for r in words.collect():
         out[r["w"]] = r["b"]
@@ -129,7 +135,9 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, max_bits: int = MAX_
     how often each occurs, so a hot host or url costs one row a task."""
     spark = pages.sparkSession
     parts = pages.select("page_id", host().alias("host"), path().alias("path")).withColumn("key", F.concat("host", "path"))
-    keys = parts.select("key", F.lit(False).alias("listed")).unionByName(listed.select(F.col("key").cast("string").alias("key"), F.lit(True).alias("listed")))
+    keys = parts.select("key", F.lit(False).alias("listed")).unionByName(
+        listed.select(F.col("key").cast("string").alias("key"), F.lit(True).alias("listed"))
+    )
     universe = staged(keys.where("key <> ''").groupBy("key").agg(F.bool_or("listed").alias("listed")), "url-keys")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
 
@@ -178,8 +186,10 @@ ORACLE = r"""
 with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
 p as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
              coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
-r as (select * from (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) as t(v, h, x)),
+r as (select * from (values ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'),
+('block', 'com', '/de/')) as t(v, h, x)),
 f as (select page_id, host, path, max_by(h || x, length(h || x)) as rule, max_by(v, length(h || x)) as v
       from p left join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, x) group by page_id, host, path)
-select page_id, host, path, rule, coalesce(v, case when md5(host || path) like '0%' and host || path <> '' then 'block' else 'allow' end) as verdict from f
+select page_id, host, path, rule, coalesce(v, case when md5(host || path) like '0%' and host || path <> '' then 'block' else 'allow' end) as verdict
+from f
 """
