@@ -33,7 +33,10 @@ def test_cases(spark, players, scored, want):
 
 def test_goals_of_events(spark):
     kind = "game_id long, event_ordinal int, expanded_minute int, team_id long, is_goal boolean, qualifiers array<struct<type: struct<value: int, displayName: string>, value: string>>"
-    rows = [(1, 0, 5, 10, True, None), (1, 1, 7, 10, True, OWN), (1, 2, 9, 10, True, []), (1, 3, 9, 20, True, OWN), (1, 4, 11, 10, True, []), (1, 5, 11, 20, True, []), (1, 6, 12, 20, None, []), (1, 7, 13, 10, False, [])]
+    rows = [
+        (1, 0, 5, 10, True, None), (1, 1, 7, 10, True, OWN), (1, 2, 9, 10, True, []), (1, 3, 9, 20, True, OWN), (1, 4, 11, 10, True, []),
+        (1, 5, 11, 20, True, []), (1, 6, 12, 20, None, []), (1, 7, 13, 10, False, [])
+    ]
     teams = spark.createDataFrame([(1, 10), (1, 20)], "game_id long, team_id long")
     events = spark.createDataFrame(rows, kind)
     last = {(r.expanded_minute, r.goal_team_id) for r in goals.goals(events, teams).collect()}

@@ -63,14 +63,19 @@ def test_without_full_time(spark):
 
 
 def test_metric_rows(spark):
-    rows = spark.createDataFrame([(42, 1, 10, 0, 90, 90), (42, 2, 10, 60, 85, 90)], "game_id long, player_id long, team_id long, minute_on int, minute_off int, end_of_game int")
+    rows = spark.createDataFrame(
+        [(42, 1, 10, 0, 90, 90), (42, 2, 10, 60, 85, 90)],
+        "game_id long, player_id long, team_id long, minute_on int, minute_off int, end_of_game int"
+    )
     assert sorted(map(tuple, minutes.minutes_metric(rows).collect())) == [(1, 42, "minutes", 90.0), (2, 42, "minutes", 25.0)]
 
 
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["on", "off", "card", "pass"]), st.integers(0, 95), st.integers(1, 5)), max_size=8))
 def test_bounds(spark, moves):
-    events = [{"on": on, "off": off, "pass": lambda m, p: ("Pass", "SecondHalf", m, p, 10), "card": lambda m, p: card(m)}[k](m, p) for k, m, p in moves] + [END]
+    events = [
+        {"on": on, "off": off, "pass": lambda m, p: ("Pass", "SecondHalf", m, p, 10), "card": lambda m, p: card(m)}[k](m, p) for k, m, p in moves
+    ] + [END]
     got, ends = run(spark, TWO, events)
     end = min([90, *(m for k, m, _ in moves if k == "card")])
     assert ends <= {end} and all(o <= end and f <= end for o, f in got.values())

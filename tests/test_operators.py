@@ -29,10 +29,17 @@ def test_threat_solved_by_hand(spark):
 
 def test_rating_and_sum(spark):
     grid = threat.grid(spark, [0.1, 0.4])
-    rows = [act(1, x0=10.0, x1=90.0, t=600.0), act(2, x0=90.0, x1=10.0, t=5400.0), act(3, "pass", "fail", x0=10.0, x1=90.0), act(4, "tackle", x0=10.0, x1=90.0), act(5, x1=None), act(6, x0=10.0, x1=90.0, t=0.0), act(7, x0=10.0, x1=90.0, t=900.0, player=9)]
+    rows = [
+        act(1, x0=10.0, x1=90.0, t=600.0), act(2, x0=90.0, x1=10.0, t=5400.0), act(3, "pass", "fail", x0=10.0, x1=90.0),
+        act(4, "tackle", x0=10.0, x1=90.0), act(5, x1=None), act(6, x0=10.0, x1=90.0, t=0.0), act(7, x0=10.0, x1=90.0, t=900.0, player=9)
+    ]
     rated = threat.rate(actions(spark, rows), grid, 2, 1)
-    assert {r.action_id: r.value for r in rated.collect()} == {1: pytest.approx(0.3), 2: pytest.approx(-0.3), 3: None, 4: None, 6: pytest.approx(0.3), 7: pytest.approx(0.3)}
-    pitch = spark.createDataFrame([(1, 7, 1, 0, 90), (1, 8, 1, 0, 90), (1, 9, 1, 15, 90)], "game_id long, player_id long, team_id long, minute_on int, minute_off int")
+    assert {r.action_id: r.value for r in rated.collect()} == {
+        1: pytest.approx(0.3), 2: pytest.approx(-0.3), 3: None, 4: None, 6: pytest.approx(0.3), 7: pytest.approx(0.3)
+    }
+    pitch = spark.createDataFrame(
+        [(1, 7, 1, 0, 90), (1, 8, 1, 0, 90), (1, 9, 1, 15, 90)], "game_id long, player_id long, team_id long, minute_on int, minute_off int"
+    )
     got = {r.player_id: r.value for r in threat.on_pitch_sum(pitch, rated).collect()}
     assert got == {7: pytest.approx(0.3), 8: 0.0, 9: 0.0}  # actions at the minutes on and off don't count
     late = {r.player_id: r.value for r in threat.on_pitch_sum(pitch, rated.withColumn("period_id", F.lit(2)), "match").collect()}
@@ -62,7 +69,9 @@ def test_action_value_models(spark):
 
 def games(spark):
     rows = [(g, p, date(2020, 1, d), 90, 10 + p % 2, "L", 0.2, 1) for g, p, d in [(1, 1, 1), (2, 1, 5), (3, 1, 5), (4, 2, 3), (5, 3, 9)]]
-    return spark.createDataFrame(rows, "game_id long, player_id long, game_date date, minutes int, team_id long, league string, version double, valid int")
+    return spark.createDataFrame(
+        rows, "game_id long, player_id long, game_date date, minutes int, team_id long, league string, version double, valid int"
+    )
 
 
 def test_ratings(spark):
@@ -71,20 +80,31 @@ def test_ratings(spark):
     assert [r["rank"] for r in ratings.ranked(m).where("player_id = 1").orderBy("game_id" if False else "metric_value").collect()] == [3, 1, 1]
     assert {r.player_id: r.metric_value for r in ratings.latest(m, 0.2).collect()} == {1: 300.0, 2: 400.0, 3: 500.0}
     when = spark.createDataFrame([(1, date(2020, 1, 5)), (1, date(2020, 1, 1)), (2, date(2021, 1, 1))], "player_id long, at date")
-    assert sorted(map(str, ((r.player_id, r.metric_value) for r in ratings.as_of(m, when, 0.2, "elo").collect()))) == ["(1, 100.0)", "(1, None)", "(2, 400.0)"]
-    s = squads.history(spark.createDataFrame([(1, 9, 10, date(2020, 1, 1)), (1, 8, 11, date(2020, 1, 5))], "player_id long, kit_number int, team_id long, day date"))
+    assert sorted(
+        map(str, ((r.player_id, r.metric_value) for r in ratings.as_of(m, when, 0.2, "elo").collect()))
+    ) == ["(1, 100.0)", "(1, None)", "(2, 400.0)"]
+    s = squads.history(
+        spark.createDataFrame([(1, 9, 10, date(2020, 1, 1)), (1, 8, 11, date(2020, 1, 5))], "player_id long, kit_number int, team_id long, day date")
+    )
     assert ratings.squad_on(s, F.lit(date(2020, 1, 5))).count() == 2  # both ends are included
     ids = spark.createDataFrame([(1,), (9,), (1,)], "id long")
     players = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
     info = {r.id: r for r in ratings.basic_info(ids, players, g, s, date(2020, 1, 6)).collect()}
     assert info[1].exists and info[1].entries == 3 and not info[9].exists and info[9].name is None
-    assert {r.id: (r.exists, r.elo, r.pm) for r in ratings.overall_info(players.select("id"), players, m.where("player_id = 1"), g, s, date(2020, 1, 6), ["elo", "pm"]).collect()} == {1: (True, 300.0, None), 2: (False, None, None)}
+    assert {
+        r.id: (r.exists, r.elo, r.pm) for r in ratings.overall_info(
+            players.select("id"), players, m.where("player_id = 1"), g, s, date(2020, 1, 6), ["elo", "pm"]
+        ).collect()
+    } == {1: (True, 300.0, None), 2: (False, None, None)}
 
 
 def test_squads(spark):
     kind = "player_id long, kit_number int, team_id long, day date"
     day = date(2020, 5, 1)
-    start = squads.enter(spark.createDataFrame([], "player_id long, kit_number int, team_id long, valid_from date, valid_to date"), spark.createDataFrame([(1, 9, 10, day), (2, 8, 10, day)], kind))
+    start = squads.enter(
+        spark.createDataFrame([], "player_id long, kit_number int, team_id long, valid_from date, valid_to date"),
+        spark.createDataFrame([(1, 9, 10, day), (2, 8, 10, day)], kind)
+    )
     moved = squads.change(start, spark.createDataFrame([(2, 9, 10, day)], kind))
     got = sorted((r.player_id, r.kit_number, r.valid_from, r.valid_to) for r in moved.collect())
     assert got == [(1, 9, squads.ALWAYS, day), (2, 8, squads.ALWAYS, day), (2, 9, day, squads.FOREVER)]
@@ -107,8 +127,13 @@ def test_upsert(spark):
 
 
 def test_elo_season(spark, tmp_path):
-    rows = [(date(2020, 1, d), g, p, t, m, -0.5, 0.5, 90) for d, g, p, t, m in [(1, 1, 1, 10, 2), (1, 1, 2, 20, -2), (8, 2, 1, 10, -1), (8, 2, 2, 20, 1), (15, 3, 1, 10, 0), (15, 3, 2, 20, 0)]]
-    entries = spark.createDataFrame(rows, "match_day date, game_id long, player_id long, team_id long, margin int, low double, high double, minutes int")
+    rows = [
+        (date(2020, 1, d), g, p, t, m, -0.5, 0.5, 90) for d, g, p, t,
+        m in [(1, 1, 1, 10, 2), (1, 1, 2, 20, -2), (8, 2, 1, 10, -1), (8, 2, 2, 20, 1), (15, 3, 1, 10, 0), (15, 3, 2, 20, 0)]
+    ]
+    entries = spark.createDataFrame(
+        rows, "match_day date, game_id long, player_id long, team_id long, margin int, low double, high double, minutes int"
+    )
     got = {(r.player_id, r.game_id): r.elo for r in elo.season(entries, 1500.0, str(tmp_path)).collect()}
     assert got[1, 1] == 1510.0 and got[2, 1] == 1490.0
     expected = 10 ** (1510 / 400) / (10 ** (1510 / 400) + 10 ** (1490 / 400))
@@ -129,8 +154,13 @@ def test_elo_rounds_equal_days(spark, tmp_path, monkeypatch):
                 home, away = (r.sample([0, 1, 2], 2))
                 for team, m in ((home, 2), (away, -2)):
                     rows += [(date(2020, 1, day), game, p, 100 * league + team, m, -0.5, 0.5, r.choice([30, 90])) for p in side(team)]
-    rows += [(date(2020, 1, 6), 99, 500, 9, 2, -0.5, 0.5, 90), (date(2020, 1, 20), 100, 500, 9, 2, -0.5, 0.5, 90), (date(2020, 1, 20), 100, 0, 0, -2, -0.5, 0.5, 90)]
-    entries = spark.createDataFrame(rows, "match_day date, game_id long, player_id long, team_id long, margin int, low double, high double, minutes int")
+    rows += [
+        (date(2020, 1, 6), 99, 500, 9, 2, -0.5, 0.5, 90), (date(2020, 1, 20), 100, 500, 9, 2, -0.5, 0.5, 90),
+        (date(2020, 1, 20), 100, 0, 0, -2, -0.5, 0.5, 90)
+    ]
+    entries = spark.createDataFrame(
+        rows, "match_day date, game_id long, player_id long, team_id long, margin int, low double, high double, minutes int"
+    )
     got = {(x.player_id, x.game_id): x.elo for x in elo.season(entries, 1500.0, str(tmp_path)).collect()}
     rating, want, past = {}, {}, {}
     for g in sorted({(d, g) for d, g, *_ in rows}):
@@ -152,7 +182,10 @@ def test_elo_rounds_equal_days(spark, tmp_path, monkeypatch):
 
 
 def test_as_of_reads_each_row_once(spark):
-    m = spark.range(200).selectExpr("id % 5 as player_id", "id as game_id", "date_add(date'2020-01-01', cast(id % 50 as int)) as game_date", "0.2D as version", "'elo' as metric", "double(id) as metric_value")
+    m = spark.range(200).selectExpr(
+        "id % 5 as player_id", "id as game_id", "date_add(date'2020-01-01', cast(id % 50 as int)) as game_date", "0.2D as version", "'elo' as metric",
+        "double(id) as metric_value"
+    )
     when = spark.range(100).selectExpr("id % 7 as player_id", "date_add(date'2019-12-30', cast(id % 60 as int)) as at")
     got = sorted(map(str, map(tuple, ratings.as_of(m, when, 0.2, "elo").collect())))
     known = [tuple(r) for r in m.select("player_id", "game_date", "game_id", "metric_value").collect()]
@@ -164,7 +197,9 @@ def test_as_of_reads_each_row_once(spark):
 def test_margin_models(spark):
     rows = [(float(i % 2), float(i % 50 - 25), float(i % 10), float(i % 2 + (i % 50 - 25) / 10 + (i % 3 - 1))) for i in range(300)]
     g = spark.createDataFrame(rows, "home double, elo_diff double, minutes_missed double, margin double")
-    got = elo.margin_interval(g, elo.fit_margin(g, maxIter=5)).selectExpr("avg(cast(margin between low and high as double)) as inside", "min(high - low) as width").first()
+    got = elo.margin_interval(g, elo.fit_margin(g, maxIter=5)).selectExpr(
+        "avg(cast(margin between low and high as double)) as inside", "min(high - low) as width"
+    ).first()
     assert 0.25 < got.inside < 0.75 and got.width > 0
     goals_ = g.withColumn("goals", F.greatest(F.round("margin"), F.lit(0.0)))
     assert elo.fit_goal_rates(goals_).transform(goals_).where("prediction <= 0").count() == 0

@@ -112,7 +112,9 @@ def test_roster_import_as_batch_and_stream(spark, tmp_path):
     imports.folder(batch, str(land), teams, leagues)
     incremental.import_new_rosters(stream, str(land), str(tmp_path / "checkpoint"), teams, leagues).awaitTermination()
     for c in (batch, stream):
-        assert sorted((r.kit_number, r.name, r.team, r.season) for r in c.table(imports.ROWS).collect()) == [(4, "a0", "Otters", "2001/2002"), (4, "b0", "Herons", "2001/2002")]
+        assert sorted(
+            (r.kit_number, r.name, r.team, r.season) for r in c.table(imports.ROWS).collect()
+        ) == [(4, "a0", "Otters", "2001/2002"), (4, "b0", "Herons", "2001/2002")]
         assert sorted(r.file for r in c.table(imports.LOG).collect()) == ["2001-2002_nor_herons.html", "2001-2002_nor_otters.html"]
 
 
@@ -194,14 +196,19 @@ def test_sync(spark, tmp_path, landing):
     c.create()
     docs = matches.read(spark, str(tmp_path / "events"))
     games = spark.createDataFrame([(100, date(2020, 9, 12), "L")], "game_id long, day date, league string")
-    roster = spark.createDataFrame([(9, "Ann", "05-03-69", "Home", "2020/2021"), (9, "Old", "05-03-68", "Home", "2019/2020")], "kit_number int, name string, date_of_birth string, team string, season string")
+    roster = spark.createDataFrame(
+        [(9, "Ann", "05-03-69", "Home", "2020/2021"), (9, "Old", "05-03-68", "Home", "2019/2020")],
+        "kit_number int, name string, date_of_birth string, team string, season string"
+    )
     full = roster.select(*(F.col(x) if x in roster.columns else F.lit(None).cast("string").alias(x) for x in c.table("scraping.roster_raw").columns))
     c.overwrite("scraping.roster_raw", full)
     for _ in range(2):
         prepare.sync(c, docs, games)
     assert {r.id: r.birthday for r in c.table("basis.player").collect()} == {1: date(1969, 3, 5), 2: None, 3: None}
     assert {r.id for r in c.table("basis.teams").collect()} == {10, 20}
-    assert sorted((r.player_id, r.kit_number, r.valid_to) for r in c.table("basis.squads").collect()) == [(1, 9, squads.FOREVER), (2, 1, squads.FOREVER), (3, 7, squads.FOREVER)]
+    assert sorted(
+        (r.player_id, r.kit_number, r.valid_to) for r in c.table("basis.squads").collect()
+    ) == [(1, 9, squads.FOREVER), (2, 1, squads.FOREVER), (3, 7, squads.FOREVER)]
     flags = prepare.training_flags(docs, games, c, date(2020, 9, 12)).collect()
     assert [tuple(r) for r in flags] == [(100, 1)]
 
@@ -210,11 +217,20 @@ def test_lineups(spark):
     now = datetime(2024, 8, 16, 18, 45)
     s = spark.createDataFrame([(1, datetime(2024, 8, 16, 19)), (2, datetime(2024, 8, 16, 20))], "schedule_id long, date_time timestamp")
     assert [r.schedule_id for r in lineups.due(s, now).collect()] == [1]
-    announced = spark.createDataFrame([(1, "T", 500, 9), (1, "T", 501, 8), (1, "T", 502, 77)], "fixture_id long, team_name string, fapi_id long, kit_number int")
+    announced = spark.createDataFrame(
+        [(1, "T", 500, 9), (1, "T", 501, 8), (1, "T", 502, 77)], "fixture_id long, team_name string, fapi_id long, kit_number int"
+    )
     players = spark.createDataFrame([(1, "a", 500), (2, "b", None)], "id long, name string, fapi_id long")
-    squad = spark.createDataFrame([(2, 8, 10, date(2020, 1, 1), date(2099, 12, 31))], "player_id long, kit_number int, team_id long, valid_from date, valid_to date")
-    m = spark.createDataFrame([(1, 1, date(2024, 1, 1), 0.2, "elo", 1500.0), (2, 1, date(2024, 1, 1), 0.2, "elo", 1400.0)], "player_id long, game_id long, game_date date, version double, metric string, metric_value double")
-    got = lineups.rated(announced, s, players, squad, spark.createDataFrame([(10, "Team")], "id long, name string"), alias_table(spark, {"Team": ["T"]}), m, 0.2)
+    squad = spark.createDataFrame(
+        [(2, 8, 10, date(2020, 1, 1), date(2099, 12, 31))], "player_id long, kit_number int, team_id long, valid_from date, valid_to date"
+    )
+    m = spark.createDataFrame(
+        [(1, 1, date(2024, 1, 1), 0.2, "elo", 1500.0), (2, 1, date(2024, 1, 1), 0.2, "elo", 1400.0)],
+        "player_id long, game_id long, game_date date, version double, metric string, metric_value double"
+    )
+    got = lineups.rated(
+        announced, s, players, squad, spark.createDataFrame([(10, "Team")], "id long, name string"), alias_table(spark, {"Team": ["T"]}), m, 0.2
+    )
     assert sorted(((r.kit_number, r.player_id, r.elo) for r in got.collect())) == [(8, 2, 1400.0), (9, 1, 1500.0), (77, None, None)]
 
 
@@ -224,7 +240,10 @@ def test_fetch(spark, tmp_path, landing):
     here = fetch.landed(spark, str(tmp_path / "events"))
     assert [r.game_id for r in here.collect()] == [100]
     assert [r.path[-8:] for r in fetch.bad_documents(spark, str(tmp_path / "events")).collect()] == ["bad.json"]
-    s = spark.createDataFrame([(100, datetime(2024, 1, 5), "L"), (101, datetime(2024, 1, 5, 23), "L"), (102, datetime(2024, 1, 6), "L")], "game_id long, date timestamp, league string")
+    s = spark.createDataFrame(
+        [(100, datetime(2024, 1, 5), "L"), (101, datetime(2024, 1, 5, 23), "L"), (102, datetime(2024, 1, 6), "L")],
+        "game_id long, date timestamp, league string"
+    )
     assert [r.game_id for r in fetch.missing(s, here, date(2024, 1, 5), date(2024, 1, 5)).collect()] == [101]
     assert fetch.summary(s).first().games == 3
     (tmp_path / "c.toml").write_text('leagues = ["L"]\ndays_back = 9\ndays_forward = 2\ndata_dir = "elsewhere"\n')

@@ -12,10 +12,15 @@ def label(name):
 
 
 def match_doc(home=10, away=20):
-    ev = lambda minute, kind, team=home, player=1, **x: {"minute": minute, "expandedMinute": minute, "type": label(kind), "period": label("SecondHalf"), "teamId": team, "playerId": player, **x}
+    ev = lambda minute, kind, team=home, player=1, **x: {
+        "minute": minute, "expandedMinute": minute, "type": label(kind), "period": label("SecondHalf"), "teamId": team, "playerId": player, **x
+    }
     return {
         "playerIdNameDictionary": {"1": "Ann", "2": "Bo"},
-        "home": {"teamId": home, "name": "Home", "players": [{"playerId": 1, "name": "Ann", "shirtNo": 9, "isFirstEleven": True}, {"playerId": 3, "name": "Cy", "shirtNo": 7}]},
+        "home": {
+            "teamId": home, "name": "Home",
+            "players": [{"playerId": 1, "name": "Ann", "shirtNo": 9, "isFirstEleven": True}, {"playerId": 3, "name": "Cy", "shirtNo": 7}]
+        },
         "away": {"teamId": away, "name": "Away", "players": [{"playerId": 2, "name": "Bo", "shirtNo": 1, "isFirstEleven": True}]},
         "events": [
             ev(10, "Pass", outcomeType=label("Successful"), x=50.0, y=50.0, endX=80.0, endY=50.0, second=30.0, isTouch=True),
@@ -41,7 +46,9 @@ def test_events(spark, folder):
     rows = {(r.game_id, r.event_ordinal): r for r in matches.events(docs).collect()}
     assert len(rows) == 12 and rows[100, 0].player == "Ann" and rows[100, 0].team == "Home" and rows[100, 4].player == "3"
     first = rows[100, 0]
-    assert (first.type, first.outcome_type, first.second, first.end_x, first.is_touch, first.is_goal, first.qualifiers, first.card_type) == ("Pass", "Successful", 30, 80.0, True, False, [], None)
+    assert (
+        first.type, first.outcome_type, first.second, first.end_x, first.is_touch, first.is_goal, first.qualifiers, first.card_type
+    ) == ("Pass", "Successful", 30, 80.0, True, False, [], None)
     assert rows[100, 1].second == -1 and rows[100, 5].player is None
     assert {(r.game_id, r.player_id, r.is_starter) for r in matches.lineups(docs).collect()} >= {(100, 1, True), (100, 3, False), (101, 2, True)}
     assert {(r.game_id, r.home_team_id) for r in matches.home_teams(docs).collect()} == {(100, 10), (101, 20)}
@@ -75,7 +82,9 @@ def test_tables_and_links(spark):
 
 
 def test_row_validation(spark):
-    rows = spark.createDataFrame([(["1", "a"], True), (["1"], False), (["x", "a"], False), (["1", ""], False), ([], False), (None, False)], "c array<string>, ok boolean")
+    rows = spark.createDataFrame(
+        [(["1", "a"], True), (["1"], False), (["x", "a"], False), (["1", ""], False), ([], False), (None, False)], "c array<string>, ok boolean"
+    )
     assert rows.where(F.coalesce(rosters.is_player_row(F.col("c")), F.lit(False)) != F.col("ok")).count() == 0
 
 
@@ -90,9 +99,13 @@ def test_rosters(spark, tmp_path):
     for name in ("2020-2021_eng_one.html", "2020-2021_eng_two.html", "2020-2021_xx_one.html"):
         (tmp_path / name).write_text(page)
     done = spark.createDataFrame([("2020-2021_eng_two.html",)], "file string")
-    rows, files = rosters.rosters(spark, str(tmp_path), done, alias_table(spark, {"One FC": ["one"], "Two FC": ["two"]}), alias_table(spark, {"England": ["eng"]}))
+    rows, files = rosters.rosters(
+        spark, str(tmp_path), done, alias_table(spark, {"One FC": ["one"], "Two FC": ["two"]}), alias_table(spark, {"England": ["eng"]})
+    )
     got = rows.collect()
-    assert [(r.kit_number, r["name"], r.previous_club, r.team, r.league, r.season) for r in got] == [(4, "c0", "c7", "One FC", "England", "2020/2021")]
+    assert [
+        (r.kit_number, r["name"], r.previous_club, r.team, r.league, r.season) for r in got
+    ] == [(4, "c0", "c7", "One FC", "England", "2020/2021")]
     assert rows.columns == list(rosters.COLUMNS) and [r.file for r in files.collect()] == ["2020-2021_eng_one.html"]
 
 
@@ -101,17 +114,25 @@ def site(tmp_path_factory):
     d = tmp_path_factory.mktemp("site")
     for sub in ("seasons", "matches", "previews/ENG-Premier League_2021"):
         (d / sub).mkdir(parents=True)
-    (d / "tiers.json").write_text(json.dumps([{"id": 252, "name": "England", "tournaments": [{"id": 2, "name": "Premier League"}, {"id": 3, "name": "Cup"}]}]))
+    (d / "tiers.json").write_text(
+        json.dumps([{"id": 252, "name": "England", "tournaments": [{"id": 2, "name": "Premier League"}, {"id": 3, "name": "Cup"}]}])
+    )
     lg = "ENG-Premier League"
-    (d / f"seasons/{lg}.html").write_text('<select id="seasons"><option value="/Regions/252/Tournaments/2/Seasons/8618/x">2020/2021</option><option value="/Regions/252/Tournaments/2/Seasons/7/x">2019/2020</option></select>')
-    (d / f"seasons/{lg}_2021.html").write_text('<a href="/Regions/252/Tournaments/2/Seasons/8618/Stages/55/Fixtures">Fixtures</a><select id="stages"><option value="/Regions/252/Tournaments/2/Seasons/8618/Stages/55/x">Main</option><option value="/Regions/252/Tournaments/2/Seasons/8618/Stages/56/x">Final</option></select>')
+    (d / f"seasons/{lg}.html").write_text(
+        '<select id="seasons"><option value="/Regions/252/Tournaments/2/Seasons/8618/x">2020/2021</option><option value="/Regions/252/Tournaments/2/Seasons/7/x">2019/2020</option></select>'
+    )
+    (d / f"seasons/{lg}_2021.html").write_text(
+        '<a href="/Regions/252/Tournaments/2/Seasons/8618/Stages/55/Fixtures">Fixtures</a><select id="stages"><option value="/Regions/252/Tournaments/2/Seasons/8618/Stages/55/x">Main</option><option value="/Regions/252/Tournaments/2/Seasons/8618/Stages/56/x">Final</option></select>'
+    )
     for stage in (55, 56):
         (d / f"matches/{lg}_2021_{stage}.html").write_text(json.dumps({"mask": {"2020": {"8": {"12": 1}}, "2021": {"0": {"2": 1}}}}))
         for month in (8, 0):
             game = {"id": 100 + month, "homeTeamName": "Man Utd", "awayTeamName": "B", "startTimeUtc": "2020-09-12T14:00:00Z", "homeScore": 1}
             (d / f"matches/{lg}_2021_{stage}_{month}.json").write_text(json.dumps({"tournaments": [{"tournamentId": 2, "matches": [game, game]}]}))
     row = lambda who, i: f'<tr><td class="pn"><a href="/Players/{i}/Show/{who}">{who}</a></td><td class="reason"><span title="injured"></span></td><td class="confirmed">Out</td></tr>'
-    (d / f"previews/{lg}_2021/108.html").write_text(f'<div id="missing-players"><div>t</div><div><table><tbody>{row("Ann", 5)}</tbody></table></div><div><table><tbody>{row("Bo", 6)}</tbody></table></div></div>')
+    (d / f"previews/{lg}_2021/108.html").write_text(
+        f'<div id="missing-players"><div>t</div><div><table><tbody>{row("Ann", 5)}</tbody></table></div><div><table><tbody>{row("Bo", 6)}</tbody></table></div></div>'
+    )
     return d
 
 
@@ -130,20 +151,44 @@ def test_schedule(spark, site):
     assert sorted((r.stage_id, r.stage) for r in st.collect()) == [(55, "Main"), (56, "Final")]
     games = schedule.fixtures(spark, root, st, alias_table(spark, {"Manchester United": ["Man Utd"]}))
     got = sorted((r.game_id, r.game, r.home_team, r.stage, r.home_score) for r in games.collect())
-    assert got == [(100, "2020-09-12 Manchester United-B", "Manchester United", "Main", 1), (108, "2020-09-12 Manchester United-B", "Manchester United", "Main", 1)]
+    assert got == [
+        (100, "2020-09-12 Manchester United-B", "Manchester United", "Main", 1),
+        (108, "2020-09-12 Manchester United-B", "Manchester United", "Main", 1)
+    ]
     out = sorted((r.team, r.player, r.player_id, r.reason, r.status) for r in schedule.absent_players(spark, root, games).collect())
     assert out == [("B", "Bo", 6, "injured", "Out"), ("Manchester United", "Ann", 5, "injured", "Out")]
 
 
 def test_rest(spark, tmp_path):
-    (tmp_path / "s.json").write_text(json.dumps({"response": [{"fixture": {"id": 1, "date": "2024-08-16T19:00:00+00:00"}, "teams": {"home": {"name": "A"}, "away": {"name": "B"}}}]}))
-    assert [(r.schedule_id, r.home, r.away, r.date_time.hour) for r in rest.schedule(spark, str(tmp_path / "s.json")).collect()] == [(1, "A", "B", 19)]
-    (tmp_path / "77.json").write_text(json.dumps({"response": [{"team": {"name": "A"}, "startXI": [{"player": {"id": 5, "name": "Ann", "number": 9}}]}]}))
+    (tmp_path / "s.json").write_text(
+        json.dumps(
+            {"response": [{"fixture": {"id": 1, "date": "2024-08-16T19:00:00+00:00"}, "teams": {"home": {"name": "A"}, "away": {"name": "B"}}}]}
+        )
+    )
+    assert [
+        (r.schedule_id, r.home, r.away, r.date_time.hour) for r in rest.schedule(spark, str(tmp_path / "s.json")).collect()
+    ] == [(1, "A", "B", 19)]
+    (tmp_path / "77.json").write_text(
+        json.dumps({"response": [{"team": {"name": "A"}, "startXI": [{"player": {"id": 5, "name": "Ann", "number": 9}}]}]})
+    )
     assert [tuple(r) for r in rest.lineups(spark, str(tmp_path / "77.json")).collect()] == [(77, "A", 5, "Ann", 9)]
-    (tmp_path / "o.json").write_text(json.dumps({"response": [{"fixture": {"id": 1}, "bookmakers": [{"name": "b", "bets": [{"name": "Match Winner", "values": [{"value": "Home", "odd": "1.50"}]}]}]}]}))
+    (tmp_path / "o.json").write_text(
+        json.dumps(
+            {
+                "response": [
+                    {
+                        "fixture": {"id": 1},
+                        "bookmakers": [{"name": "b", "bets": [{"name": "Match Winner", "values": [{"value": "Home", "odd": "1.50"}]}]}]
+                    }
+                ]
+            }
+        )
+    )
     assert [tuple(r) for r in rest.odds(spark, str(tmp_path / "o.json")).collect()] == [(1, "b", "Home", 1.5)]
     assert rest.address("https://api.example.com/", "fixtures", league=39, season=2024) == "https://api.example.com/fixtures?league=39&season=2024"
-    clubs = spark.createDataFrame([(1, "A", "L", 1800.0), (2, "B", "L", 1750.0), (3, "A", "M", 1.0)], "rank int, team string, league string, elo double")
+    clubs = spark.createDataFrame(
+        [(1, "A", "L", 1800.0), (2, "B", "L", 1750.0), (3, "A", "M", 1.0)], "rank int, team string, league string, elo double"
+    )
     assert rest.club_elo(clubs, "A").first().elo == 1800.0
     assert {r.league: r.elo for r in rest.league_elo(clubs).collect()} == {"L": 1775.0, "M": 1.0}
     with pytest.raises(Exception, match="no rating of Z"):

@@ -57,7 +57,9 @@ def resolve(df: DataFrame, column: str, aliases: DataFrame, unknown: str = "keep
     name = {
         "keep": F.coalesce("__name", column),
         "null": F.col("__name"),
-        "raise": F.coalesce("__name", F.when(F.col(column).isNotNull(), F.raise_error(F.concat(F.lit("no name for "), F.col(column))).cast("string"))),
+        "raise": F.coalesce(
+            "__name", F.when(F.col(column).isNotNull(), F.raise_error(F.concat(F.lit("no name for "), F.col(column))).cast("string"))
+        ),
     }[unknown]
     return joined.withColumn(out or column, name).drop("__alias", "__name")
 

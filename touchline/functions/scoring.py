@@ -49,7 +49,9 @@ def elo_k(minutes: Column, minutes_3_months: Column, most: float = 20.0) -> Colu
     return F.when(F.coalesce(minutes_3_months, F.lit(0)) >= 500, k / 2).otherwise(k)
 
 
-def elo_update(elo: Column, rating: Column, other: Column, margin: Column, low: Column, high: Column, minutes: Column, minutes_3_months: Column) -> Column:
+def elo_update(
+    elo: Column, rating: Column, other: Column, margin: Column, low: Column, high: Column, minutes: Column, minutes_3_months: Column
+) -> Column:
     """The rating after a game: unchanged if the margin is within [low, high], else moved towards a win or a loss."""
     score = F.when(margin > high, 1.0).when(margin < low, 0.0)
     moved = elo + elo_k(minutes, minutes_3_months) * (score - elo_expectation(rating, other))

@@ -19,7 +19,11 @@ def spans_years(start_month: str, end_month: str) -> bool:
 def multi_year(leagues: Iterable[dict]) -> bool:
     """How the seasons of these leagues are coded: season_code ("multi-year", "single-year") where a league has one,
     else by its season_start and season_end; leagues that differ, or none, give multi-year codes."""
-    kinds = {x["season_code"] == "multi-year" if "season_code" in x else spans_years(x.get("season_start", "Aug"), x.get("season_end", "May")) for x in leagues}
+    kinds = {
+        x["season_code"] == "multi-year" if "season_code" in x else spans_years(
+            x.get("season_start", "Aug"), x.get("season_end", "May")
+        ) for x in leagues
+    }
     return kinds.pop() if len(kinds) == 1 else True
 
 
@@ -31,7 +35,9 @@ def parse_season(season: Column, multi: bool, current_year: int) -> Column:
     s = season.cast("string")
     first, last = F.substring(s, 1, 2), F.substring(s, -2, 2)
     following = F.lpad((last.try_cast("int") + 1).cast("string"), 2, "0")
-    century = F.when(F.concat(F.lit("20"), first).try_cast("int") <= current_year, F.concat(F.lit("20"), first)).otherwise(F.concat(F.lit("19"), first))
+    century = F.when(
+        F.concat(F.lit("20"), first).try_cast("int") <= current_year, F.concat(F.lit("20"), first)
+    ).otherwise(F.concat(F.lit("19"), first))
     forms = lambda pattern: s.rlike(pattern)
     four, two, long, partial, short = forms("^[0-9]{4}$"), forms("^[0-9]{2}$"), forms("^[0-9]{4}[-/][0-9]{4}$"), forms("^[0-9]{4}-[0-9]{2}$"), forms("^[0-9]{2}[-/][0-9]{2}$")
     if multi:

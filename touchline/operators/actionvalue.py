@@ -17,7 +17,9 @@ from .splits import fraction
 from .threat import no_metric, on_pitch_sum
 
 PREVIOUS, AHEAD, VALIDATION = 3, 10, 0.25
-_PLACE = ("start_x", "start_y", "end_x", "end_y", "dx", "dy", "distance", "start_goal_distance", "start_goal_angle", "end_goal_distance", "end_goal_angle")
+_PLACE = (
+    "start_x", "start_y", "end_x", "end_y", "dx", "dy", "distance", "start_goal_distance", "start_goal_angle", "end_goal_distance", "end_goal_angle"
+)
 _KEPT = (*_PLACE, "period_id", "time_seconds", *(f"is_{t}" for t in TYPES), *RESULTS[:4], *BODY_PARTS)
 _SINCE = ("same_team", "time_gap", "x_gap", "y_gap")
 _SCORE = ("goals_own", "goals_other", "goals_ahead")

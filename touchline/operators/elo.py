@@ -21,7 +21,12 @@ QUARTILE = 0.6744897501960817
 
 def fit_margin(games: DataFrame, seed: int = 7, **params) -> tuple[PipelineModel, PipelineModel]:
     """Models of the mean and of the absolute error of margin given home, elo_diff and minutes_missed."""
-    tree = lambda label: Pipeline(stages=[VectorAssembler(inputCols=MARGIN_FEATURES, outputCol="features"), GBTRegressor(labelCol=label, seed=seed, **({"maxIter": 20, "maxDepth": 3} | params))])
+    tree = lambda label: Pipeline(
+        stages=[
+            VectorAssembler(inputCols=MARGIN_FEATURES, outputCol="features"),
+            GBTRegressor(labelCol=label, seed=seed, **({"maxIter": 20, "maxDepth": 3} | params))
+        ]
+    )
     mean = tree("margin").fit(games)
     errors = mean.transform(games).withColumn("error", F.abs(F.col("margin") - F.col("prediction"))).drop("features", "prediction")
     return mean, tree("error").fit(errors)
@@ -43,7 +48,12 @@ def margin_quartiles(games: DataFrame, bucket: Column) -> DataFrame:
 
 def fit_goal_rates(games: DataFrame) -> PipelineModel:
     """Poisson regression of goals on home and elo_diff: the rate that outcome_probabilities needs."""
-    return Pipeline(stages=[VectorAssembler(inputCols=["home", "elo_diff"], outputCol="features"), GeneralizedLinearRegression(family="poisson", link="log", labelCol="goals", regParam=1e-3)]).fit(games)
+    return Pipeline(
+        stages=[
+            VectorAssembler(inputCols=["home", "elo_diff"], outputCol="features"),
+            GeneralizedLinearRegression(family="poisson", link="log", labelCol="goals", regParam=1e-3)
+        ]
+    ).fit(games)
 
 
 def team_value(timeline: DataFrame, on_pitch: DataFrame) -> DataFrame:
@@ -52,7 +62,9 @@ def team_value(timeline: DataFrame, on_pitch: DataFrame) -> DataFrame:
     t, p = timeline.alias("t"), on_pitch.alias("p")
     met = p.join(t, (F.col("p.game_id") == F.col("t.game_id")) & F.col("t.minute").between(F.col("p.minute_on"), F.col("p.minute_off")))
     own = F.col("t.team_id") == F.col("p.team_id")
-    return met.groupBy("p.game_id", "p.player_id").agg(F.avg(F.when(own, F.col("t.value"))).alias("team_value"), F.avg(F.when(~own, F.col("t.value"))).alias("opp_value"))
+    return met.groupBy("p.game_id", "p.player_id").agg(
+        F.avg(F.when(own, F.col("t.value"))).alias("team_value"), F.avg(F.when(~own, F.col("t.value"))).alias("opp_value")
+    )
 
 
 def update(rows: DataFrame) -> DataFrame:

@@ -16,7 +16,9 @@ def goals(events: DataFrame, teams: DataFrame, every: bool = False) -> DataFrame
     pair = teams.groupBy("game_id").agg(F.min("team_id").alias("one"), F.max("team_id").alias("other"))
     scored = events.where("is_goal").select("game_id", "event_ordinal", "expanded_minute", "team_id", own_goal(F.col("qualifiers")).alias("own"))
     if not every:
-        scored = scored.groupBy("game_id", "expanded_minute").agg(F.max_by("team_id", "event_ordinal").alias("team_id"), F.max_by("own", "event_ordinal").alias("own"))
+        scored = scored.groupBy("game_id", "expanded_minute").agg(
+            F.max_by("team_id", "event_ordinal").alias("team_id"), F.max_by("own", "event_ordinal").alias("own")
+        )
     team = F.when(F.col("own"), opposition(F.col("team_id"), F.col("one"), F.col("other"))).otherwise(F.col("team_id"))
     return scored.join(pair, "game_id", "left").select("game_id", "expanded_minute", team.alias("goal_team_id"))
 
@@ -26,7 +28,9 @@ def on_pitch_goals(on_pitch: DataFrame, scored: DataFrame) -> DataFrame:
 
     A game's goals are a list on the row of the game, so players meet them in one join on the game and nothing is
     multiplied or grouped again."""
-    games = scored.groupBy("game_id").agg(F.collect_list(F.struct(F.col("expanded_minute").alias("minute"), F.col("goal_team_id").alias("team"))).alias("goals"))
+    games = scored.groupBy("game_id").agg(
+        F.collect_list(F.struct(F.col("expanded_minute").alias("minute"), F.col("goal_team_id").alias("team"))).alias("goals")
+    )
     return counted(on_pitch.join(games, "game_id", "left"))
 
 
@@ -38,7 +42,9 @@ def counted(on_pitch: DataFrame) -> DataFrame:
         lambda n, g: F.struct((n["own"] + (g["team"] == F.col("team_id")).cast("long")).alias("own"), (n["all"] + 1).alias("all")),
     )
     zero = F.lit(0).cast("long")
-    out = on_pitch.withColumn("__n", both).withColumns({"goals_for": F.coalesce("__n.own", zero), "goals_against": F.coalesce(F.col("__n.all") - F.col("__n.own"), zero)})
+    out = on_pitch.withColumn("__n", both).withColumns(
+        {"goals_for": F.coalesce("__n.own", zero), "goals_against": F.coalesce(F.col("__n.all") - F.col("__n.own"), zero)}
+    )
     return out.drop("__n", "goals")
 
 

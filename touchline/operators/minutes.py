@@ -47,12 +47,15 @@ def game_facts(events: DataFrame, teams: DataFrame | None = None, strict: bool =
     come from teams(game_id, team_id), or else from the events."""
     red, full, goal = is_red_card(), is_full_time(), F.coalesce("is_goal", F.lit(False))
     minutes = events.groupBy("game_id", "expanded_minute").agg(
-        F.min(F.when(full, F.col("event_ordinal"))).alias("full_at"), F.max(red).alias("red"), F.max(goal).alias("goal"), F.min("team_id").alias("one"), F.max("team_id").alias("other"),
-        F.max_by("team_id", F.when(goal, F.col("event_ordinal"))).alias("team"), F.max_by(own_goal(F.col("qualifiers")), F.when(goal, F.col("event_ordinal"))).alias("own"),
+        F.min(F.when(full, F.col("event_ordinal"))).alias("full_at"), F.max(red).alias("red"), F.max(goal).alias("goal"),
+        F.min("team_id").alias("one"), F.max("team_id").alias("other"),
+        F.max_by("team_id", F.when(goal, F.col("event_ordinal"))).alias("team"),
+        F.max_by(own_goal(F.col("qualifiers")), F.when(goal, F.col("event_ordinal"))).alias("own"),
     )
     minute = F.col("expanded_minute")
     games = minutes.groupBy("game_id").agg(
-        F.min_by(minute, "full_at").alias("full_time"), F.min(F.when(F.col("red"), minute)).alias("red"), F.min("one").alias("one"), F.max("other").alias("other"),
+        F.min_by(minute, "full_at").alias("full_time"), F.min(F.when(F.col("red"), minute)).alias("red"), F.min("one").alias("one"),
+        F.max("other").alias("other"),
         F.collect_list(F.when(F.col("goal"), F.struct(minute.alias("minute"), "team", "own"))).alias("goals"),
     )
     if teams is not None:
@@ -66,9 +69,12 @@ def game_facts(events: DataFrame, teams: DataFrame | None = None, strict: bool =
 def entries(lineups: DataFrame, events: DataFrame) -> DataFrame:
     """(game_id, player_id, team_id, minute_on, minute_off, seen): starters, then substitutions in document order."""
     sub_on, sub_off = F.col("type") == "SubstitutionOn", F.col("type") == "SubstitutionOff"
-    start = lineups.where("is_starter").select("game_id", "player_id", "team_id", F.lit(0).alias("minute_on"), F.lit(STAYS).alias("minute_off"), F.lit(0).cast("long").alias("seen"))
+    start = lineups.where("is_starter").select(
+        "game_id", "player_id", "team_id", F.lit(0).alias("minute_on"), F.lit(STAYS).alias("minute_off"), F.lit(0).cast("long").alias("seen")
+    )
     subs = events.where(sub_on | sub_off).select(
-        "game_id", "player_id", "team_id", F.when(sub_on, F.col("expanded_minute")).otherwise(0).alias("minute_on"), F.when(sub_off, F.col("expanded_minute")).otherwise(STAYS).alias("minute_off"),
+        "game_id", "player_id", "team_id", F.when(sub_on, F.col("expanded_minute")).otherwise(0).alias("minute_on"),
+        F.when(sub_off, F.col("expanded_minute")).otherwise(STAYS).alias("minute_off"),
         (F.when(sub_on, _LATER).otherwise(2 * _LATER) + F.col("event_ordinal")).alias("seen"),
     )
     return start.unionByName(subs)
@@ -87,11 +93,16 @@ def intervals(lineups: DataFrame, events: DataFrame, strict: bool = True) -> Dat
 def spells(entries_: DataFrame, games: DataFrame) -> DataFrame:
     """The last step of intervals: from entries and games(game_id, end_of_game, ...), whose further columns stay."""
     players = entries_.where("player_id <> 0").groupBy("game_id", "player_id")
-    players = players.agg(F.min_by("team_id", "seen").alias("team_id"), F.max("minute_on").alias("minute_on"), F.max("minute_off").alias("minute_off"))
+    players = players.agg(
+        F.min_by("team_id", "seen").alias("team_id"), F.max("minute_on").alias("minute_on"), F.max("minute_off").alias("minute_off")
+    )
     stays = (F.col("minute_off") == STAYS) | (F.col("minute_off") > F.col("end_of_game"))
     on = players.join(games, "game_id").where("minute_on <= end_of_game")
     rest = [c for c in games.columns if c not in ("game_id", "end_of_game")]
-    return on.select("game_id", "player_id", "team_id", "minute_on", F.when(stays, F.col("end_of_game")).otherwise(F.col("minute_off")).alias("minute_off"), "end_of_game", *rest)
+    return on.select(
+        "game_id", "player_id", "team_id", "minute_on", F.when(stays, F.col("end_of_game")).otherwise(F.col("minute_off")).alias("minute_off"),
+        "end_of_game", *rest
+    )
 
 
 def minutes_metric(on_pitch: DataFrame) -> DataFrame:
@@ -106,4 +117,7 @@ def as_metrics(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
 
 def as_metric(rows: DataFrame, value: Column, name: str) -> DataFrame:
     """(player_id, game_id, metric, value) of one row per player and game."""
-    return rows.select(F.col("player_id").cast("long").alias("player_id"), F.col("game_id").cast("long").alias("game_id"), F.lit(name).alias("metric"), value.cast("double").alias("value"))
+    return rows.select(
+        F.col("player_id").cast("long").alias("player_id"), F.col("game_id").cast("long").alias("game_id"), F.lit(name).alias("metric"),
+        value.cast("double").alias("value")
+    )

@@ -38,7 +38,9 @@ def as_of(base_metric: DataFrame, when: DataFrame, version: float, metric: str)
     asked = when.select("player_id", "at", F.lit(None).cast("long").alias("game_id"), F.lit(None).cast(known.schema["seen"].dataType).alias("seen"))
     before = Window.partitionBy("player_id").orderBy("at", F.col("seen").isNotNull(), "game_id").rowsBetween(Window.unboundedPreceding, 0)
     both = known.withColumn("known", F.lit(True)).unionByName(asked.withColumn("known", F.lit(False)))
-    return both.withColumn("last", F.last("seen", ignorenulls=True).over(before)).where("not known").select("player_id", "at", F.col("last.metric_value").alias("metric_value"))
+    return both.withColumn("last", F.last("seen", ignorenulls=True).over(before)).where("not known").select(
+        "player_id", "at", F.col("last.metric_value").alias("metric_value")
+    )
 
 
 def recent(games: DataFrame, day: date, days: int = RECENT_DAYS, bounded: bool = False) -> DataFrame:
@@ -66,8 +68,13 @@ def _averages(games: DataFrame, base_metric: DataFrame, sets: list[list[str]], d
     each = [F.struct(*((F.col(c) if c in s else F.lit(None).cast(kinds[c])).alias(c) for c in keys)) for s in sets]
     spread = finest.select("player_id", "game_date", "n", F.inline(F.array(*each)))
     newest = spread.groupBy(*keys, "player_id").agg(F.max("game_date").alias("game_date"), F.sum("n").alias("n")) if len(sets) > 1 else finest
-    elo = base_metric.where((F.col("metric") == "elo") & (F.col("game_date") >= F.date_sub(F.lit(day), 7 * AVERAGE_WEEKS))).select("player_id", "game_date", "metric_value")
-    met = newest.join(elo.groupBy("player_id", "game_date").agg(F.sum("metric_value").alias("s"), F.count("metric_value").alias("c")), ["player_id", "game_date"], "left")
+    elo = base_metric.where(
+        (F.col("metric") == "elo") & (F.col("game_date") >= F.date_sub(F.lit(day), 7 * AVERAGE_WEEKS))
+    ).select("player_id", "game_date", "metric_value")
+    met = newest.join(
+        elo.groupBy("player_id", "game_date").agg(F.sum("metric_value").alias("s"), F.count("metric_value").alias("c")), ["player_id", "game_date"],
+        "left"
+    )
     return met.groupBy(*keys).agg(F.try_divide(F.sum("s"), F.sum("c")).alias("average"), F.sum("n").alias("entries"))
 
 
@@ -77,7 +84,9 @@ def club_or_league(games: DataFrame, base_metric: DataFrame, day: date, version:
     club = both.where("team_id is not null").select("team_id", F.when(F.col("entries") >= LEAST_ENTRIES, F.col("average")).alias("club"))
     league = both.where("league is not null").select("league", F.col("average").alias("of_league"))
     teams = games.select("team_id", "league").distinct()
-    return teams.join(club, "team_id", "left").join(league, "league", "left").select("team_id", "league", F.coalesce("club", "of_league").alias("average"))
+    return teams.join(club, "team_id", "left").join(league, "league", "left").select(
+        "team_id", "league", F.coalesce("club", "of_league").alias("average")
+    )
 
 
 def players_per_league(games: DataFrame, version: float) -> DataFrame:
@@ -96,7 +105,9 @@ def basic_info(ids: DataFrame, players: DataFrame, games: DataFrame, squads: Dat
     return ids.select("id").distinct().join(found, "id", "left").withColumn("exists", F.coalesce("exists", F.lit(False))).distinct()
 
 
-def overall_info(ids: DataFrame, players: DataFrame, base_metric: DataFrame, games: DataFrame, squads: DataFrame, day: date, metrics: list[str]) -> DataFrame:
+def overall_info(
+    ids: DataFrame, players: DataFrame, base_metric: DataFrame, games: DataFrame, squads: DataFrame, day: date, metrics: list[str]
+) -> DataFrame:
     """basic_info of the players that have some metric, with a column of the latest value per metric (the largest game_id
     deciding ties); players without any count as not existing, as all their columns are null."""
     best = Window.partitionBy("player_id", "metric").orderBy(F.col("game_date").desc(), F.col("game_id").desc())
@@ -108,7 +119,9 @@ def overall_info(ids: DataFrame, players: DataFrame, base_metric: DataFrame, gam
 
 def games_for_training(games: DataFrame, version: float, last: int = -1) -> DataFrame:
     """Valid games of a version, or the latest so many games of any."""
-    return games.where((F.col("version") == version) & (F.col("valid") == 1)) if last < 0 else games.orderBy(F.col("game_date").desc(), F.col("game_id").desc(), F.col("player_id")).limit(last)
+    return games.where((F.col("version") == version) & (F.col("valid") == 1)) if last < 0 else games.orderBy(
+        F.col("game_date").desc(), F.col("game_id").desc(), F.col("player_id")
+    ).limit(last)
 
 
 def within(schedule: DataFrame, column: str, start, end) -> DataFrame:
@@ -143,4 +156,7 @@ def team_pairs(games: DataFrame) -> DataFrame:
     both = _sides(games).groupBy("game_id").agg(F.collect_list(F.struct("team_id", "home", "result", "elo")).alias("sides"))  # two a game
     home = both.select("game_id", "sides", F.explode(F.filter("sides", lambda s: s["home"] == 1)).alias("h"))
     pairs = home.select("game_id", "h", F.explode(F.filter("sides", lambda s: s["team_id"] != F.col("h.team_id"))).alias("a"))
-    return pairs.select("game_id", F.col("h.team_id").alias("home_team"), F.col("a.team_id").alias("away_team"), "h.result", F.col("h.elo").alias("home_elo"), F.col("a.elo").alias("away_elo"))
+    return pairs.select(
+        "game_id", F.col("h.team_id").alias("home_team"), F.col("a.team_id").alias("away_team"), "h.result", F.col("h.elo").alias("home_elo"),
+        F.col("a.elo").alias("away_elo")
+    )

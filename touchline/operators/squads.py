@@ -13,7 +13,9 @@ ALWAYS, FOREVER = date(1900, 1, 1), date(2099, 12, 31)
 def history(entries: DataFrame) -> DataFrame:
     """Squad rows from entries(player_id, kit_number, team_id, day): each is valid until the player's next one."""
     w = Window.partitionBy("player_id").orderBy("day", "team_id", "kit_number")
-    return entries.select("player_id", "kit_number", "team_id", F.col("day").alias("valid_from"), F.coalesce(F.lead("day").over(w), F.lit(FOREVER)).alias("valid_to"))
+    return entries.select(
+        "player_id", "kit_number", "team_id", F.col("day").alias("valid_from"), F.coalesce(F.lead("day").over(w), F.lit(FOREVER)).alias("valid_to")
+    )
 
 
 def _closed(squads: DataFrame, taken: DataFrame) -> DataFrame:
@@ -39,7 +41,9 @@ def change(squads: DataFrame, changes: DataFrame) -> DataFrame:
     row ends, and a new one begins."""
     closed = _closed(squads, changes)
     mine = changes.groupBy("player_id").agg(F.min("day").alias("__day"))
-    ended = closed.join(mine, "player_id", "left").withColumn("valid_to", F.when((F.col("valid_to") == F.lit(FOREVER)) & F.col("__day").isNotNull(), F.col("__day")).otherwise(F.col("valid_to"))).select(*squads.columns)
+    ended = closed.join(mine, "player_id", "left").withColumn(
+        "valid_to", F.when((F.col("valid_to") == F.lit(FOREVER)) & F.col("__day").isNotNull(), F.col("__day")).otherwise(F.col("valid_to"))
+    ).select(*squads.columns)
     return ended.unionByName(changes.select("player_id", "kit_number", "team_id", F.col("day").alias("valid_from"), F.lit(FOREVER).alias("valid_to")))
 
 
@@ -55,8 +59,12 @@ def sync(squads: DataFrame, seen: DataFrame) -> DataFrame:
 def match(lineups: DataFrame, squads: DataFrame, teams: DataFrame, day: Column) -> DataFrame:
     """lineups(team_name, kit_number, ...) with the player_id of the squad row with that team and number on the day:
     the one with the latest valid_from, null without one."""
-    named = lineups.withColumn("__row", F.monotonically_increasing_id()).join(teams.select(F.col("id").alias("__team"), F.col("name").alias("team_name")), "team_name", "left")
+    named = lineups.withColumn("__row", F.monotonically_increasing_id()).join(
+        teams.select(F.col("id").alias("__team"), F.col("name").alias("team_name")), "team_name", "left"
+    )
     s = squads.select(F.col("team_id").alias("__team"), "kit_number", F.col("player_id").alias("__player"), "valid_from", "valid_to")
     met = named.join(s, ["__team", "kit_number"], "left").withColumn("__valid", day.between(F.col("valid_from"), F.col("valid_to")))
     keys = [*lineups.columns, "__row"]
-    return met.groupBy(*keys).agg(F.max_by(F.when(F.col("__valid"), F.col("__player")), F.when(F.col("__valid"), F.struct("valid_from", "__player"))).alias("player_id")).drop("__row")
+    return met.groupBy(*keys).agg(
+        F.max_by(F.when(F.col("__valid"), F.col("__player")), F.when(F.col("__valid"), F.struct("valid_from", "__player"))).alias("player_id")
+    ).drop("__row")

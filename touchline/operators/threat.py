@@ -25,18 +25,24 @@ def cell(x: Column, y: Column, length: int = LENGTH, width: int = WIDTH) -> Colu
 def with_cells(actions: DataFrame, length: int = LENGTH, width: int = WIDTH) -> DataFrame:
     """Actions with an end position, with start_cell and end_cell."""
     known = actions.where("end_x is not null and end_y is not null")
-    return known.withColumns({"start_cell": cell(F.col("start_x"), F.col("start_y"), length, width), "end_cell": cell(F.col("end_x"), F.col("end_y"), length, width)})
+    return known.withColumns(
+        {"start_cell": cell(F.col("start_x"), F.col("start_y"), length, width), "end_cell": cell(F.col("end_x"), F.col("end_y"), length, width)}
+    )
 
 
 def counts(actions: DataFrame) -> DataFrame:
     """(start_cell, shots, goals, moves) of actions with cells."""
     shot, good = F.col("type_name").isin(*SHOTS), F.col("result_name") == "success"
-    return actions.groupBy("start_cell").agg(F.count_if(shot).alias("shots"), F.count_if(shot & good).alias("goals"), F.count_if(F.col("type_name").isin(*MOVES)).alias("moves"))
+    return actions.groupBy("start_cell").agg(
+        F.count_if(shot).alias("shots"), F.count_if(shot & good).alias("goals"), F.count_if(F.col("type_name").isin(*MOVES)).alias("moves")
+    )
 
 
 def transitions(actions: DataFrame) -> DataFrame:
     """(start_cell, end_cell, n) of successful moves."""
-    return actions.where(F.col("type_name").isin(*MOVES) & (F.col("result_name") == "success")).groupBy("start_cell", "end_cell").agg(F.count("*").alias("n"))
+    return actions.where(
+        F.col("type_name").isin(*MOVES) & (F.col("result_name") == "success")
+    ).groupBy("start_cell", "end_cell").agg(F.count("*").alias("n"))
 
 
 def fit(actions: DataFrame, length: int = LENGTH, width: int = WIDTH, eps: float = EPS, most: int = 1000) -> DataFrame:
@@ -89,7 +95,9 @@ def on_pitch_sum(on_pitch: DataFrame, rated: DataFrame, clock: str = "as_given")
         minute = minute + F.when(F.col("period_id") == 2, 45).otherwise(0)
     a = rated.where("value is not null").select("game_id", "player_id", minute.alias("minute"), "value").alias("a")
     p = on_pitch.select("game_id", "player_id", "minute_on", "minute_off").alias("p")
-    inside = (F.col("a.game_id") == F.col("p.game_id")) & (F.col("a.player_id") == F.col("p.player_id")) & (F.col("a.minute") > F.col("p.minute_on")) & (F.col("a.minute") < F.col("p.minute_off"))
+    inside = (F.col("a.game_id") == F.col("p.game_id")) & (
+        F.col("a.player_id") == F.col("p.player_id")
+    ) & (F.col("a.minute") > F.col("p.minute_on")) & (F.col("a.minute") < F.col("p.minute_off"))
     met = p.join(a, inside, "left").select("p.game_id", "p.player_id", "a.value")
     return met.groupBy("game_id", "player_id").agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
 

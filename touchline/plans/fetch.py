@@ -21,12 +21,16 @@ def date_range(start: str | None, end: str | None, back: int, forward: int, toda
 
 def missing(schedule: DataFrame, landed: DataFrame, start: date, end: date) -> DataFrame:
     """Games of the days start to end without a document."""
-    return within(schedule.withColumn("__day", F.to_date("date")), "__day", start, end).drop("__day").join(landed.select("game_id"), "game_id", "left_anti")
+    return within(
+        schedule.withColumn("__day", F.to_date("date")), "__day", start, end
+    ).drop("__day").join(landed.select("game_id"), "game_id", "left_anti")
 
 
 def summary(games: DataFrame) -> DataFrame:
     """(games, first, last, leagues) of a schedule."""
-    return games.agg(F.count("*").alias("games"), F.min("date").alias("first"), F.max("date").alias("last"), F.array_sort(F.collect_set("league")).alias("leagues"))
+    return games.agg(
+        F.count("*").alias("games"), F.min("date").alias("first"), F.max("date").alias("last"), F.array_sort(F.collect_set("league")).alias("leagues")
+    )
 
 
 def landed(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +41,9 @@ def landed(spark: SparkSession, folder: str) -> DataFrame:
 
 def bad_documents(spark: SparkSession, folder: str) -> DataFrame:
     """(path, text) of documents that don't parse, so that one bad file doesn't stop a run."""
-    files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json").select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    files = spark.read.text(
+        folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.json"
+    ).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
     return files.where(F.try_parse_json("text").isNull())
 
 

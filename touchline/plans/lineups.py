@@ -17,7 +17,10 @@ def due(schedule: DataFrame, now: datetime, ahead: timedelta = AHEAD) -> DataFra
     return ratings.within(schedule, "date_time", now, now + ahead)
 
 
-def rated(lineups: DataFrame, schedule: DataFrame, players: DataFrame, squad: DataFrame, teams: DataFrame, aliases: DataFrame, base_metric: DataFrame, version: float) -> DataFrame:
+def rated(
+    lineups: DataFrame, schedule: DataFrame, players: DataFrame, squad: DataFrame, teams: DataFrame, aliases: DataFrame, base_metric: DataFrame,
+    version: float
+) -> DataFrame:
     """(fixture_id, team_name, kit_number, player_id, elo) of lineups(fixture_id, team_name, fapi_id, kit_number).
 
     A player is found by the service's id, else by team, kit number and the fixture's day in the squads; who isn't found

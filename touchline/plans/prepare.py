@@ -16,12 +16,17 @@ def player_info(docs: DataFrame, games: DataFrame) -> DataFrame:
     games(game_id, day, league)."""
     teams = matches.teams(docs)
     rows = matches.lineups(docs).join(teams, ["game_id", "team_id"]).join(games.select("game_id", "day", "league"), "game_id")
-    return rows.select("game_id", "day", "league", "player_id", "player_name", "team_id", "team_name", F.col("is_home").cast("int").alias("home"), F.col("is_starter").cast("int").alias("starter"), F.col("jersey_number").alias("kit_number"))
+    return rows.select(
+        "game_id", "day", "league", "player_id", "player_name", "team_id", "team_name", F.col("is_home").cast("int").alias("home"),
+        F.col("is_starter").cast("int").alias("starter"), F.col("jersey_number").alias("kit_number")
+    )
 
 
 def birthdays(players: DataFrame, rosters: DataFrame) -> DataFrame:
     """(player_id, birthday) of player_info rows by team, season and kit number in rosters; the earliest of several."""
-    known = rosters.groupBy(F.col("team").alias("team_name"), "season", "kit_number").agg(F.min(F.coalesce(F.try_to_date("date_of_birth", "dd-MM-yy"), F.try_to_date("date_of_birth", "yyyy-MM-dd"))).alias("birthday"))
+    known = rosters.groupBy(F.col("team").alias("team_name"), "season", "kit_number").agg(
+        F.min(F.coalesce(F.try_to_date("date_of_birth", "dd-MM-yy"), F.try_to_date("date_of_birth", "yyyy-MM-dd"))).alias("birthday")
+    )
     known = known.withColumn("birthday", F.when(F.year("birthday") >= 2069, F.add_months("birthday", -1200)).otherwise(F.col("birthday")))
     met = players.withColumn("season", season_name(F.col("day"))).join(known, ["team_name", "season", "kit_number"])
     return met.groupBy("player_id").agg(F.min("birthday").alias("birthday"))
@@ -33,11 +38,15 @@ def sync(catalog: Catalog, docs: DataFrame, games: DataFrame) -> None:
     try:
         catalog.append_new("basis.teams", info.select(F.col("team_id").alias("id"), F.col("team_name").alias("name")))
         named = info.groupBy(F.col("player_id").alias("id")).agg(F.max_by("player_name", F.struct("day", "game_id")).alias("name"))
-        catalog.append_new("basis.player", named.select("id", "name", F.lit(None).cast("date").alias("birthday"), F.lit(None).cast("bigint").alias("fapi_id")))
+        catalog.append_new(
+            "basis.player", named.select("id", "name", F.lit(None).cast("date").alias("birthday"), F.lit(None).cast("bigint").alias("fapi_id"))
+        )
         without = catalog.table("basis.player").where("birthday is null").select("id")
         found = birthdays(info, catalog.table("scraping.roster_raw")).withColumnRenamed("player_id", "id").join(without, "id", "left_semi")
         catalog.update("basis.player", found, ["birthday"])
-        last = info.where("kit_number is not null").groupBy("player_id").agg(F.max_by(F.struct("kit_number", "team_id", "day"), F.struct("day", "game_id")).alias("s")).select("player_id", "s.*")
+        last = info.where("kit_number is not null").groupBy("player_id").agg(
+            F.max_by(F.struct("kit_number", "team_id", "day"), F.struct("day", "game_id")).alias("s")
+        ).select("player_id", "s.*")
         catalog.overwrite("basis.squads", squads.sync(catalog.table("basis.squads"), last))
     finally:
         info.unpersist()

@@ -28,7 +28,10 @@ def metrics(f: dict[str, DataFrame], grid: DataFrame | None = None, models: tupl
     """(player_id, game_id, metric, value): minutes, goals, xt and vaep; without a model its metric has no rows."""
     scored = goals.on_pitch_goals(f["on_pitch"], goals.goals(f["events"], f["teams"]))
     both = {"minutes": F.col("minute_off") - F.col("minute_on"), "goals": F.col("goals_for") - F.col("goals_against")}
-    parts = [minutes.as_metrics(scored, both), threat.xt_metric(f["on_pitch"], f["actions"], grid), actionvalue.vaep_metric(f["on_pitch"], f["actions"], models)]
+    parts = [
+        minutes.as_metrics(scored, both), threat.xt_metric(f["on_pitch"], f["actions"], grid),
+        actionvalue.vaep_metric(f["on_pitch"], f["actions"], models)
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -38,7 +41,11 @@ def player_games(f: dict[str, DataFrame]) -> DataFrame:
     kit = f["lineups"].groupBy("game_id", "player_id").agg(F.max("jersey_number").alias("kit_number"), F.max("is_starter").alias("starter"))
     home = f["home"]
     rows = scored.join(kit, ["game_id", "player_id"], "left").join(home, "game_id", "left")
-    return rows.selectExpr("player_id", "game_id", "team_id", "minute_off - minute_on as minutes", "cast(coalesce(starter, false) as int) as starter", "cast(goals_for as int) as goals_for", "cast(goals_against as int) as goals_against", "kit_number", "cast(team_id = home_team_id as int) as is_home")
+    return rows.selectExpr(
+        "player_id", "game_id", "team_id", "minute_off - minute_on as minutes", "cast(coalesce(starter, false) as int) as starter",
+        "cast(goals_for as int) as goals_for", "cast(goals_against as int) as goals_against", "kit_number",
+        "cast(team_id = home_team_id as int) as is_home"
+    )
 
 
 def run(catalog: Catalog, docs: DataFrame, grid: DataFrame | None = None, models=None, strict: bool = True) -> None:

@@ -29,10 +29,14 @@ def _event(e: str = "e") -> dict[str, Column]:
     flag = lambda name: F.coalesce(c(name), F.lit(False))
     label = lambda name: c(f"{name}.displayName")
     return {
-        "period": label("period"), "minute": number("minute"), "second": number("second").cast("int"), "expanded_minute": number("expandedMinute"), "type": label("type"), "outcome_type": label("outcomeType"),
-        "team_id": c("teamId"), "player_id": c("playerId"), "x": c("x"), "y": c("y"), "end_x": c("endX"), "end_y": c("endY"), "goal_mouth_y": c("goalMouthY"), "goal_mouth_z": c("goalMouthZ"),
-        "blocked_x": c("blockedX"), "blocked_y": c("blockedY"), "qualifiers": F.coalesce(c("qualifiers"), F.array().cast("array<struct<type: struct<value: int, displayName: string>, value: string>>")),
-        "is_touch": flag("isTouch"), "is_shot": flag("isShot"), "is_goal": flag("isGoal"), "card_type": label("cardType"), "related_event_id": c("relatedEventId"), "related_player_id": c("relatedPlayerId"),
+        "period": label("period"), "minute": number("minute"), "second": number("second").cast("int"), "expanded_minute": number("expandedMinute"),
+        "type": label("type"), "outcome_type": label("outcomeType"),
+        "team_id": c("teamId"), "player_id": c("playerId"), "x": c("x"), "y": c("y"), "end_x": c("endX"), "end_y": c("endY"),
+        "goal_mouth_y": c("goalMouthY"), "goal_mouth_z": c("goalMouthZ"),
+        "blocked_x": c("blockedX"), "blocked_y": c("blockedY"),
+        "qualifiers": F.coalesce(c("qualifiers"), F.array().cast("array<struct<type: struct<value: int, displayName: string>, value: string>>")),
+        "is_touch": flag("isTouch"), "is_shot": flag("isShot"), "is_goal": flag("isGoal"), "card_type": label("cardType"),
+        "related_event_id": c("relatedEventId"), "related_player_id": c("relatedPlayerId"),
     }
 
 
@@ -40,12 +44,17 @@ def events(docs: DataFrame) -> DataFrame:
     """One row per event: game_id, event_ordinal (its place in the document) and the event columns, labels as their
     names. Names of players and teams come from the document's own maps, so no join is needed; an id without a name is
     its own name."""
-    each = docs.select("game_id", "playerIdNameDictionary", F.col("home.teamId").alias("__home"), F.col("home.name").alias("__home_name"), F.col("away.teamId").alias("__away"), F.col("away.name").alias("__away_name"), F.posexplode("events").alias("event_ordinal", "e"))
+    each = docs.select(
+        "game_id", "playerIdNameDictionary", F.col("home.teamId").alias("__home"), F.col("home.name").alias("__home_name"),
+        F.col("away.teamId").alias("__away"), F.col("away.name").alias("__away_name"), F.posexplode("events").alias("event_ordinal", "e")
+    )
     cols = _event()
     player = F.col("e.playerId").cast("string")
     cols["player"] = F.coalesce(F.try_element_at("playerIdNameDictionary", player), player)
     team = F.col("e.teamId")
-    cols["team"] = F.when(team == F.col("__home"), F.col("__home_name")).when(team == F.col("__away"), F.col("__away_name")).otherwise(team.cast("string"))
+    cols["team"] = F.when(
+        team == F.col("__home"), F.col("__home_name")
+    ).when(team == F.col("__away"), F.col("__away_name")).otherwise(team.cast("string"))
     return each.select("game_id", "event_ordinal", *(cols[c].alias(c) for c in EVENT_COLUMNS))
 
 
@@ -58,12 +67,21 @@ def lineups(docs: DataFrame) -> DataFrame:
     """(game_id, team_id, player_id, player_name, is_starter, jersey_number)."""
     sides = F.array(*(F.struct(F.col(f"{s}.teamId").alias("team_id"), F.col(f"{s}.players").alias("players")) for s in ("home", "away")))
     each = docs.select("game_id", F.explode(sides).alias("s")).select("game_id", "s.team_id", F.explode("s.players").alias("p"))
-    return each.select("game_id", "team_id", F.col("p.playerId").alias("player_id"), F.col("p.name").alias("player_name"), F.coalesce("p.isFirstEleven", F.lit(False)).alias("is_starter"), F.col("p.shirtNo").alias("jersey_number"))
+    return each.select(
+        "game_id", "team_id", F.col("p.playerId").alias("player_id"), F.col("p.name").alias("player_name"),
+        F.coalesce("p.isFirstEleven", F.lit(False)).alias("is_starter"), F.col("p.shirtNo").alias("jersey_number")
+    )
 
 
 def teams(docs: DataFrame) -> DataFrame:
     """(game_id, team_id, team_name, is_home)."""
-    sides = F.array(*(F.struct(F.col(f"{s}.teamId").alias("team_id"), F.col(f"{s}.name").alias("team_name"), F.lit(s == "home").alias("is_home")) for s in ("home", "away")))
+    sides = F.array(
+        *(
+            F.struct(
+                F.col(f"{s}.teamId").alias("team_id"), F.col(f"{s}.name").alias("team_name"), F.lit(s == "home").alias("is_home")
+            ) for s in ("home", "away")
+        )
+    )
     return docs.select("game_id", F.explode(sides).alias("s")).select("game_id", "s.*")
 
 

@@ -18,14 +18,22 @@ def address(base: str, what: str, **params: object) -> str:
 def schedule(spark: SparkSession, path: str) -> DataFrame:
     """(schedule_id, date_time, home, away, league), one row per fixture."""
     each = spark.read.schema(REST_SCHEDULE).option("multiLine", True).json(path).select(F.explode("response").alias("r"))
-    return each.select(F.col("r.fixture.id").alias("schedule_id"), F.to_timestamp("r.fixture.date").alias("date_time"), F.col("r.teams.home.name").alias("home"), F.col("r.teams.away.name").alias("away"), F.col("r.league.id").alias("league")).dropDuplicates(["schedule_id"])
+    return each.select(
+        F.col("r.fixture.id").alias("schedule_id"), F.to_timestamp("r.fixture.date").alias("date_time"), F.col("r.teams.home.name").alias("home"),
+        F.col("r.teams.away.name").alias("away"), F.col("r.league.id").alias("league")
+    ).dropDuplicates(["schedule_id"])
 
 
 def lineups(spark: SparkSession, path: str) -> DataFrame:
     """(fixture_id, team_name, fapi_id, player_name, kit_number) of files named <fixture_id>.json."""
-    docs = spark.read.schema(REST_LINEUP).option("multiLine", True).json(path).withColumn("fixture_id", F.regexp_extract(F.input_file_name(), r"(\d+)\.json$", 1).cast("long"))
+    docs = spark.read.schema(REST_LINEUP).option("multiLine", True).json(path).withColumn(
+        "fixture_id", F.regexp_extract(F.input_file_name(), r"(\d+)\.json$", 1).cast("long")
+    )
     each = docs.select("fixture_id", F.explode("response").alias("r")).select("fixture_id", "r.team.name", F.explode("r.startXI").alias("p"))
-    return each.select("fixture_id", F.col("name").alias("team_name"), F.col("p.player.id").alias("fapi_id"), F.col("p.player.name").alias("player_name"), F.col("p.player.number").alias("kit_number"))
+    return each.select(
+        "fixture_id", F.col("name").alias("team_name"), F.col("p.player.id").alias("fapi_id"), F.col("p.player.name").alias("player_name"),
+        F.col("p.player.number").alias("kit_number")
+    )
 
 
 def odds(spark: SparkSession, path: str, bet: str = "Match Winner") -> DataFrame:
@@ -33,7 +41,9 @@ def odds(spark: SparkSession, path: str, bet: str = "Match Winner") -> DataFrame
     each = spark.read.schema(REST_ODDS).option("multiLine", True).json(path).select(F.explode("response").alias("r"))
     makers = each.select(F.col("r.fixture.id").alias("fixture_id"), F.explode("r.bookmakers").alias("b"))
     bets = makers.select("fixture_id", F.col("b.name").alias("bookmaker"), F.explode("b.bets").alias("bet")).where(F.col("bet.name") == bet)
-    return bets.select("fixture_id", "bookmaker", F.explode("bet.values").alias("v")).select("fixture_id", "bookmaker", F.col("v.value").alias("outcome"), F.col("v.odd").cast("double").alias("odd"))
+    return bets.select("fixture_id", "bookmaker", F.explode("bet.values").alias("v")).select(
+        "fixture_id", "bookmaker", F.col("v.value").alias("outcome"), F.col("v.odd").cast("double").alias("odd")
+    )
 
 
 def club_elo(ratings: DataFrame, team: str) -> DataFrame:

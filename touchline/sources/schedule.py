@@ -40,7 +40,9 @@ def seasons(spark: SparkSession, folder: str, leagues_: DataFrame, wanted: DataF
     """(league, season, region_id, league_id, season_id) of wanted(season) in the leagues' season lists."""
     pages = html.read(spark, f"{folder}/seasons/*.html").where(~html.file_name(F.col("path")).rlike("_[0-9]+\\.html$"))
     listed = html.options(pages, "seasons").withColumn("league", F.regexp_replace(F.url_decode(html.file_name(F.col("key"))), "\\.html$", ""))
-    coded = listed.select("league", parse_season(F.col("text"), multi, current_year).alias("season"), url_ids(F.col("value"))["season_id"].alias("season_id"))
+    coded = listed.select(
+        "league", parse_season(F.col("text"), multi, current_year).alias("season"), url_ids(F.col("value"))["season_id"].alias("season_id")
+    )
     return coded.join(leagues_, "league").join(wanted, "season", "left_semi").select("league", "season", "region_id", "league_id", "season_id")
 
 
@@ -50,8 +52,12 @@ def stages(spark: SparkSession, folder: str, seasons_: DataFrame) -> DataFrame:
     pages = html.read(spark, f"{folder}/seasons/*_*.html")
     found = html.parts(pages).withColumn("name", F.regexp_replace(F.url_decode(html.file_name(F.col("key"))), "\\.html$", ""))
     text, stage = F.col("texts")[0], url_ids(F.col("value"))["stage_id"]
-    fixtures = keep_first(found.where((F.col("kind") == "link") & (text == "Fixtures")), ["name"], F.col("ordinal")).select("name", stage.alias("stage_id"), F.lit(None).cast("string").alias("stage"), F.lit(-1).alias("ordinal"))
-    listed = found.where((F.col("kind") == "option") & F.contains("place", F.lit("stages"))).select("name", stage.alias("stage_id"), text.alias("stage"), "ordinal")
+    fixtures = keep_first(found.where((F.col("kind") == "link") & (text == "Fixtures")), ["name"], F.col("ordinal")).select(
+        "name", stage.alias("stage_id"), F.lit(None).cast("string").alias("stage"), F.lit(-1).alias("ordinal")
+    )
+    listed = found.where(
+        (F.col("kind") == "option") & F.contains("place", F.lit("stages"))
+    ).select("name", stage.alias("stage_id"), text.alias("stage"), "ordinal")
     rows = seasons_.withColumn("name", F.concat_ws("_", "league", "season")).join(fixtures.unionByName(listed), "name").drop("name")
     return keep_last(rows, ["league", "season", "stage_id"], "ordinal").drop("ordinal")
 
@@ -60,7 +66,9 @@ def calendars(spark: SparkSession, folder: str) -> DataFrame:
     """(name, year, month) of all calendars."""
     pages = html.read(spark, f"{folder}/matches/*.html")
     mask = F.from_json("content", CALENDAR)["mask"]
-    years = pages.select(F.regexp_replace(F.url_decode(html.file_name(F.col("path"))), "\\.html$", "").alias("name"), F.explode(mask).alias("year", "months"))
+    years = pages.select(
+        F.regexp_replace(F.url_decode(html.file_name(F.col("path"))), "\\.html$", "").alias("name"), F.explode(mask).alias("year", "months")
+    )
     return years.select("name", "year", F.explode(F.map_keys("months")).alias("month"))
 
 
@@ -70,15 +78,29 @@ def fixtures(spark: SparkSession, folder: str, stages_: DataFrame, aliases: Data
 
     Files are those of the months in the stages' calendars; a game in several of them counts once, the first file by
     name holding. Team names are canonical where aliases(alias, name) has them."""
-    with_name = stages_.withColumn("calendar", F.when(F.col("stage").isNull(), F.concat_ws("_", "league", "season")).otherwise(F.concat_ws("_", "league", "season", F.col("stage_id").cast("string"))))
+    with_name = stages_.withColumn(
+        "calendar",
+        F.when(F.col("stage").isNull(), F.concat_ws("_", "league", "season")).otherwise(
+            F.concat_ws("_", "league", "season", F.col("stage_id").cast("string"))
+        )
+    )
     months = with_name.join(calendars(spark, folder).withColumnRenamed("name", "calendar"), "calendar")
-    wanted = months.select("league", "season", "stage", F.concat(F.concat_ws("_", "league", "season", F.col("stage_id").cast("string"), "month"), F.lit(".json")).alias("__file")).distinct()
-    files = spark.read.schema(FIXTURES).option("multiLine", True).json(f"{folder}/matches/*.json").withColumn("__file", F.url_decode(html.file_name(F.input_file_name())))
+    wanted = months.select(
+        "league", "season", "stage",
+        F.concat(F.concat_ws("_", "league", "season", F.col("stage_id").cast("string"), "month"), F.lit(".json")).alias("__file")
+    ).distinct()
+    files = spark.read.schema(FIXTURES).option("multiLine", True).json(f"{folder}/matches/*.json").withColumn(
+        "__file", F.url_decode(html.file_name(F.input_file_name()))
+    )
     games = files.join(wanted, "__file").select("__file", "league", "season", "stage", F.posexplode("tournaments").alias("__t", "t"))
-    games = games.select("__file", "league", "season", "stage", "__t", F.posexplode("t.matches").alias("__m", "m")).select("__file", "__t", "__m", "league", "season", "stage", "m.*")
+    games = games.select(
+        "__file", "league", "season", "stage", "__t", F.posexplode("t.matches").alias("__m", "m")
+    ).select("__file", "__t", "__m", "league", "season", "stage", "m.*")
     once = keep_first(games, ["id"], F.col("__file"), F.col("__t"), F.col("__m")).drop("__file", "__t", "__m")
     named = resolve(resolve(once, "homeTeamName", aliases), "awayTeamName", aliases)
-    named = named.withColumnsRenamed({"homeTeamName": "home_team", "awayTeamName": "away_team", "id": "game_id", "startTimeUtc": "date"}).withColumn("date", F.to_timestamp("date"))
+    named = named.withColumnsRenamed(
+        {"homeTeamName": "home_team", "awayTeamName": "away_team", "id": "game_id", "startTimeUtc": "date"}
+    ).withColumn("date", F.to_timestamp("date"))
     return with_snake_case(named.withColumn("game", game_name(F.col("home_team"), F.col("away_team"), F.col("date"))))
 
 
@@ -90,7 +112,11 @@ def absent_players(spark: SparkSession, folder: str, schedule: DataFrame) -> Dat
     cell = lambda i: F.get("texts", F.lit(i))
     title = F.filter(F.slice("texts", half + 1, half), lambda t: t != "")
     section = F.regexp_extract("place", r"\|(\d+)$", 1).cast("int")
-    each = rows.select(F.regexp_extract("key", r"(\d+)\.html$", 1).cast("long").alias("game_id"), section.alias("section"), cell(0).alias("player"), F.get(F.split("value", "/"), F.lit(2)).try_cast("long").alias("player_id"), F.get(title, F.lit(0)).alias("reason"), F.get("texts", half - 1).alias("status"))
+    each = rows.select(
+        F.regexp_extract("key", r"(\d+)\.html$", 1).cast("long").alias("game_id"), section.alias("section"), cell(0).alias("player"),
+        F.get(F.split("value", "/"), F.lit(2)).try_cast("long").alias("player_id"), F.get(title, F.lit(0)).alias("reason"),
+        F.get("texts", half - 1).alias("status")
+    )
     each = each.where("section in (2, 3)").join(schedule.select("league", "season", "game", "game_id", "home_team", "away_team"), "game_id")
     team = F.when(F.col("section") == 2, F.col("home_team")).otherwise(F.col("away_team"))
     return each.select("league", "season", "game", "game_id", team.alias("team"), "player", "player_id", "reason", "status")
