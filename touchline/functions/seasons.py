@@ -39,7 +39,8 @@ def parse_season(season: Column, multi: bool, current_year: int) -> Column:
         F.concat(F.lit("20"), first).try_cast("int") <= current_year, F.concat(F.lit("20"), first)
     ).otherwise(F.concat(F.lit("19"), first))
     forms = lambda pattern: s.rlike(pattern)
-    four, two, long, partial, short = forms("^[0-9]{4}$"), forms("^[0-9]{2}$"), forms("^[0-9]{4}[-/][0-9]{4}$"), forms("^[0-9]{4}-[0-9]{2}$"), forms("^[0-9]{2}[-/][0-9]{2}$")
+    four, two, long = forms("^[0-9]{4}$"), forms("^[0-9]{2}$"), forms("^[0-9]{4}[-/][0-9]{4}$")
+    partial, short = forms("^[0-9]{4}-[0-9]{2}$"), forms("^[0-9]{2}[-/][0-9]{2}$")
     if multi:
         out = (
             F.when(four & (last.try_cast("int") == first.try_cast("int") + 1), s)

@@ -21,12 +21,15 @@ EVENT_COLUMNS = (
 
 TIERS = "id bigint, name string, tournaments array<struct<id: bigint, name: string>>"
 CALENDAR = "mask map<string, map<string, map<string, int>>>"
-_FIXTURE = "struct<id: bigint, homeTeamName: string, awayTeamName: string, homeTeamId: bigint, awayTeamId: bigint, startTimeUtc: string, homeScore: int, awayScore: int, status: int>"
+_FIXTURE = """struct<id: bigint, homeTeamName: string, awayTeamName: string, homeTeamId: bigint, awayTeamId: bigint, startTimeUtc: string,
+homeScore: int, awayScore: int, status: int>"""
 FIXTURES = f"tournaments array<struct<tournamentId: bigint, matches: array<{_FIXTURE}>>>"
 
-REST_SCHEDULE = "response array<struct<fixture: struct<id: bigint, date: string>, league: struct<id: bigint, name: string>, teams: struct<home: struct<name: string>, away: struct<name: string>>>>"
+REST_SCHEDULE = """response array<struct<fixture: struct<id: bigint, date: string>, league: struct<id: bigint, name: string>,
+teams: struct<home: struct<name: string>, away: struct<name: string>>>>"""
 REST_LINEUP = "response array<struct<team: struct<id: bigint, name: string>, startXI: array<struct<player: struct<id: bigint, name: string, number: int>>>>>"
-REST_ODDS = "response array<struct<fixture: struct<id: bigint>, bookmakers: array<struct<name: string, bets: array<struct<name: string, values: array<struct<value: string, odd: string>>>>>>>>"
+_BET = "struct<name: string, values: array<struct<value: string, odd: string>>>"
+REST_ODDS = f"response array<struct<fixture: struct<id: bigint>, bookmakers: array<struct<name: string, bets: array<{_BET}>>>>>"
 
 #: database.table -> (columns, key columns)
 TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -39,7 +42,9 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("player_id", "game_id")
     ),
     "basis.games": (
-        "game_id bigint, player_id bigint, minutes int, starter int, opposition_team_id bigint, result string, elo double, opposition_elo double, game_date date, team_id bigint, expected_game_result_lower double, expected_game_result_upper double, league string, version double, home int, game_minutes int, valid int", ("game_id", "player_id")
+        "game_id bigint, player_id bigint, minutes int, starter int, opposition_team_id bigint, result string, elo double, "
+        "opposition_elo double, game_date date, team_id bigint, expected_game_result_lower double, expected_game_result_upper double, "
+        "league string, version double, home int, game_minutes int, valid int", ("game_id", "player_id")
     ),
     "basis.squads": (
         "player_id bigint, kit_number int, team_id bigint, valid_from date, valid_to date",
@@ -55,7 +60,8 @@ TABLES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("player_id", "game_id", "game_date", "version", "metric")
     ),
     "scraping.roster_raw": (
-        "kit_number int, name string, nationality string, position string, height string, weight string, date_of_birth string, place_of_birth string, previous_club string, team string, league string, season string", ("kit_number", "name", "team", "season")
+        "kit_number int, name string, nationality string, position string, height string, weight string, date_of_birth string, "
+        "place_of_birth string, previous_club string, team string, league string, season string", ("kit_number", "name", "team", "season")
     ),
     "scraping.scrape_log": ("file string", ("file",)),
 }

@@ -13,7 +13,8 @@ from ..schemas import MATCH
 
 def match_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """New match documents, as sources.matches.read gives them."""
-    docs = spark.readStream.schema(MATCH).option("multiLine", True).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch).json(folder)
+    files = spark.readStream.schema(MATCH).option("multiLine", True).option("recursiveFileLookup", True)
+    docs = files.option("maxFilesPerTrigger", files_per_batch).json(folder)
     return docs.withColumn("game_id", F.regexp_extract(F.input_file_name(), r"(\d+)\.json$", 1).cast("long"))
 
 
