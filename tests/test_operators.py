@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import actions as stream
-from touchline.operators import actionvalue, elo, ratings, squads, threat, upsert
+from touchline.operators import actionvalue, elo, ratings, splits, squads, threat, upsert
 
 ACTION = "game_id long, period_id int, action_id int, time_seconds double, team_id long, player_id long, start_x double, start_y double, end_x double, end_y double, type_name string, result_name string"
 
@@ -205,6 +205,54 @@ def test_margin_models(spark):
     assert elo.fit_goal_rates(goals_).transform(goals_).where("prediction <= 0").count() == 0
 
 
+def test_margin_models_on_held_out_games(spark):
+    r = random.Random(2)
+    rows = [(i, float(i % 2), r.uniform(-200, 200), 0.0) for i in range(400)]
+    rows = [(*x, x[2] / 100 + r.gauss(0, 1)) for x in rows]
+    g = spark.createDataFrame(rows, "game_id long, home double, elo_diff double, minutes_missed double, margin double")
+    train, rest = splits.shares(g, ["game_id"])
+    assert 250 < train.count() < 370 and train.count() + rest.count() == 400
+    s = elo.margin_scores(rest, elo.fit_margin(train, maxIter=5)).first()
+    assert s.games == rest.count() and 0.5 < s.mse < 3 and 1 < s.nll < 3
+    early, late = splits.by_day(spark.createDataFrame([(date(2021, 6, 30),), (date(2021, 7, 1),), (None,)], "d date"), "d", date(2021, 7, 1))
+    assert early.count() == late.count() == 1 and splits.sample(g, ["game_id"], 5).collect() == splits.sample(g.repartition(3), ["game_id"], 5).collect()
+
+
+def test_threat_that_does_not_settle(spark):
+    rows = [act(i, x0=10.0, x1=90.0) for i in range(4)] + [act(10, "shot", "success", x0=90.0, x1=100.0), act(11, "pass", x0=90.0, x1=10.0)]
+    with pytest.warns(UserWarning, match="after 2 rounds"):
+        threat.fit(actions(spark, rows), 2, 1, most=2)
+
+
+def test_action_stream_by_hand(spark):
+    """Free kicks, corners, blocked shots, cards' fouls and dribbles, for both sides."""
+    kind = "struct<type: struct<displayName: string>>"
+    schema = f"""game_id long, event_ordinal int, period string, expanded_minute int, second int, type string, outcome_type string, team_id long, player_id long,
+    x double, y double, end_x double, end_y double, goal_mouth_y double, blocked_x double, blocked_y double, qualifiers array<{kind}>"""
+    q = lambda *names: [((n,),) for n in names]
+    ev = lambda i, t, ok="Successful", team=1, at=(50.0, 50.0), to=(60.0, 50.0), mouth=None, blocked=(None, None), marks=(), second=None: (
+        1, i, "FirstHalf", 10, 20 * i if second is None else second, t, ok, team, team * 100, *at, *to, mouth, *blocked, q(*marks))
+    rows = [
+        ev(0, "Pass", marks=("FreekickTaken", "Chipped"), second=0), ev(1, "Pass", at=(70.0, 50.0), second=4), ev(2, "Foul", "Unsuccessful", 2),
+        ev(3, "Foul", "Successful", 1), ev(4, "Pass", marks=("CornerTaken", "Cross")),
+        ev(5, "SavedShot", blocked=(95.0, 48.0), marks=("Head",)),
+        ev(6, "Save", team=2), ev(7, "OffsidePass", team=2, at=(20.0, 10.0), to=(40.0, 10.0)), ev(8, "BallTouch", "Unsuccessful"), ev(9, "BallTouch"),
+        ev(10, "Pass", marks=("GoalKick",)), ev(11, "Card"), ev(12, "MissedShots", mouth=30.0, marks=("DirectFreekick",)),
+    ]
+    home = spark.createDataFrame([(1, 1)], "game_id long, home_team_id long")
+    got = stream.from_events(spark.createDataFrame(rows, schema), home).orderBy("action_id").collect()
+    assert [(r.type_name, r.result_name, r.bodypart_name) for r in got] == [
+        ("freekick_crossed", "success", "foot"), ("dribble", "success", "foot"), ("pass", "success", "foot"), ("foul", "fail", "foot"),
+        ("corner_crossed", "success", "foot"), ("shot", "fail", "head"), ("keeper_save", "success", "other"), ("pass", "offside", "foot"),
+        ("bad_touch", "fail", "foot"), ("goalkick", "success", "foot"), ("shot_freekick", "fail", "foot"),
+    ]
+    assert [r.action_id for r in got] == list(range(11)) and (got[1].start_x, got[1].end_x, got[1].time_seconds) == (63.0, 73.5, 602.0)
+    assert (got[5].end_x, round(got[5].end_y, 6)) == (99.75, 32.64) and (round(got[10].end_x, 6), round(got[10].end_y, 6)) == (105.0, 20.4)
+    assert (got[7].start_x, round(got[7].end_x, 6)) == (84.0, 63.0)  # the away side plays the other way
+    kinds = [r.type_name for r in stream.atomic(spark.createDataFrame(got)).orderBy("action_id").collect()]
+    assert kinds.count("offside") == 1 and kinds[:2] == ["freekick_crossed", "receival"]
+
+
 def test_schedule_frame(spark):
     rows = [(1, datetime(2020, 1, 1, 12)), (2, datetime(2020, 1, 1, 12, 30)), (3, datetime(2020, 1, 1, 12, 31))]
     s = spark.createDataFrame(rows, "schedule_id long, date_time timestamp")

@@ -193,3 +193,18 @@ def test_rest(spark, tmp_path):
     assert {r.league: r.elo for r in rest.league_elo(clubs).collect()} == {"L": 1775.0, "M": 1.0}
     with pytest.raises(Exception, match="no rating of Z"):
         rest.club_elo(clubs, "Z").collect()
+
+
+def test_wanted_seasons(spark):
+    codes = lambda *a: sorted(r.season for r in schedule.wanted_seasons(spark, *a).collect())
+    assert codes("2020-21", True, 2024) == ["2021"] and codes([1999, "99-00"], True, 2024) == ["9900"] and codes(2020, False, 2024) == ["2020"]
+    assert codes(None, True, 2024) == ["1920", "2021", "2122", "2223", "2324", "2425"]
+
+
+def test_links_by_functions(spark):
+    page = """<A class=x HREF='/a?b=1&amp;c=2'>One &lt;b&gt;</A><a name="n">none</a><!-- <a href="/no">x</a> --><script>"<a href='/js'>y</a>"</script>
+    <a href=/bare>Two <i>parts</i></a><a\nhref="/n">\n N \n</a>"""
+    got = html.links(spark.createDataFrame([("p", page), ("q", None), ("r", "")], "path string, content string"))
+    assert [(r.key, r.url, r.text) for r in got.orderBy("ordinal").collect()] == [
+        ("p", "/a?b=1&c=2", "One <b>"), ("p", "/bare", "Two parts"), ("p", "/n", "N")
+    ]

@@ -74,7 +74,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = lambda c: F.struct(F.lit(1).alias("value"), c.alias("displayName"))
     kind = F.col("event_type")
     name = F.when(F.col("type") == "Goal", "Goal").when(kind == "purchase", "MissedShots")
-    name = name.when((kind == "click") & (k != 0), "TakeOn").when((kind == "click") & (k == 0), "Card").when((kind == "view") & (k % 9 == 0), "Clearance").when(kind == "view", "Pass").otherwise(F.col("type"))
+    name = name.when((kind == "click") & (k != 0), "TakeOn").when((kind == "click") & (k == 0), "Card").when(
+        (kind == "view") & (k % 9 == 0), "Clearance"
+    ).when(kind == "view", "Pass").otherwise(F.col("type"))
     given = {"Cross": k % 10 == 7, "ThrowIn": k % 10 == 8, "CornerTaken": k % 20 == 3, "Head": k % 6 == 1, "Penalty": k % 8 == 0, "OwnGoal": k < 5}
     qualifiers = F.filter(F.array(*(F.when(c, F.struct(label(F.lit(q)).alias("type"))) for q, c in given.items())), lambda q: q.isNotNull())
     shot = F.col("is_goal") | (name == "MissedShots")

@@ -12,7 +12,7 @@ from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scoring import elo_rating, elo_update
+from ..functions.scoring import elo_rating, elo_update, normal_nll, squared_error
 
 MARGIN_FEATURES = ["home", "elo_diff", "minutes_missed"]
 #: The 75th percentile of the standard normal distribution.
@@ -40,6 +40,15 @@ def margin_interval(games: DataFrame, models: tuple[PipelineModel, PipelineModel
     return both.withColumns({"low": F.col("__mean") - spread, "high": F.col("__mean") + spread}).drop("__mean", "prediction")
 
 
+def margin_scores(games: DataFrame, models: tuple[PipelineModel, PipelineModel]) -> DataFrame:
+    """(games, mse, nll): how well margin models do on games that they were not fitted on, such as the second part of
+    splits.shares(games, ["game_id"])."""
+    got = margin_interval(games, models)
+    mean, deviation = (F.col("low") + F.col("high")) / 2, (F.col("high") - F.col("low")) / (2 * QUARTILE)
+    mse, nll = F.avg(squared_error(mean, F.col("margin"))), F.avg(normal_nll(F.col("margin"), mean, deviation))
+    return got.agg(F.count("*").alias("games"), mse.alias("mse"), nll.alias("nll"))
+
+
 def margin_quartiles(games: DataFrame, bucket: Column) -> DataFrame:
     """(bucket, low, high): the exact quartiles of margin seen in each bucket; a task holds a bucket's distinct margins."""
     q = games.groupBy(bucket.alias("bucket")).agg(F.percentile("margin", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))

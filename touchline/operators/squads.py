@@ -58,13 +58,11 @@ def sync(squads: DataFrame, seen: DataFrame) -> DataFrame:
 
 def match(lineups: DataFrame, squads: DataFrame, teams: DataFrame, day: Column) -> DataFrame:
     """lineups(team_name, kit_number, ...) with the player_id of the squad row with that team and number on the day:
-    the one with the latest valid_from, null without one."""
-    named = lineups.withColumn("__row", F.monotonically_increasing_id()).join(
-        teams.select(F.col("id").alias("__team"), F.col("name").alias("team_name")), "team_name", "left"
-    )
+    the one with the latest valid_from, null without one. Rows that repeat keep their number."""
+    names = teams.select(F.col("id").alias("__team"), F.col("name").alias("team_name"))
+    named = lineups.join(names, "team_name", "left").withColumn("__day", day)
+    asked = named.select("__team", "kit_number", "__day").distinct()
     s = squads.select(F.col("team_id").alias("__team"), "kit_number", F.col("player_id").alias("__player"), "valid_from", "valid_to")
-    met = named.join(s, ["__team", "kit_number"], "left").withColumn("__valid", day.between(F.col("valid_from"), F.col("valid_to")))
-    keys = [*lineups.columns, "__row"]
-    return met.groupBy(*keys).agg(
-        F.max_by(F.when(F.col("__valid"), F.col("__player")), F.when(F.col("__valid"), F.struct("valid_from", "__player"))).alias("player_id")
-    ).drop("__row")
+    met = asked.join(s, ["__team", "kit_number"]).where(F.col("__day").between(F.col("valid_from"), F.col("valid_to")))
+    best = met.groupBy("__team", "kit_number", "__day").agg(F.max_by("__player", F.struct("valid_from", "__player")).alias("player_id"))
+    return named.join(best, ["__team", "kit_number", "__day"], "left").select(*lineups.columns, "player_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import season_name
+from ..functions.dates import season_name, short_date
 from ..operators import ratings, squads
 from ..sources import matches
 from .catalog import Catalog
@@ -23,11 +23,10 @@ def player_info(docs: DataFrame, games: DataFrame) -> DataFrame:
 
 
 def birthdays(players: DataFrame, rosters: DataFrame) -> DataFrame:
-    """(player_id, birthday) of player_info rows by team, season and kit number in rosters; the earliest of several."""
-    known = rosters.groupBy(F.col("team").alias("team_name"), "season", "kit_number").agg(
-        F.min(F.coalesce(F.try_to_date("date_of_birth", "dd-MM-yy"), F.try_to_date("date_of_birth", "yyyy-MM-dd"))).alias("birthday")
-    )
-    known = known.withColumn("birthday", F.when(F.year("birthday") >= 2069, F.add_months("birthday", -1200)).otherwise(F.col("birthday")))
+    """(player_id, birthday) of player_info rows by team, season and kit number in rosters; the earliest of several. Dates
+    are written as dd-mm-yy or in full."""
+    born = F.coalesce(short_date(F.col("date_of_birth")), F.try_to_date("date_of_birth", "yyyy-MM-dd"))
+    known = rosters.groupBy(F.col("team").alias("team_name"), "season", "kit_number").agg(F.min(born).alias("birthday"))
     met = players.withColumn("season", season_name(F.col("day"))).join(known, ["team_name", "season", "kit_number"])
     return met.groupBy("player_id").agg(F.min("birthday").alias("birthday"))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,8 +12,8 @@ from . import adapters as A
 from .functions import dates, names, scoring, seasons
 from .operators import actions as stream
 from .operators import actionvalue, dedup, elo, goals, minutes, ratings, splits, squads, threat, upsert
-from .plans import prepare, score
-from .sources import html, matches, rosters
+from .plans import lineups, prepare, score
+from .sources import html, matches, rest, rosters
 
 DAY, VERSION = date(2001, 1, 1), 0.2
 #: Team names that a feed spells in other ways.
@@ -347,6 +347,75 @@ def player_game_rows(spark, sf):
     return score.player_games(score.facts(A.documents(spark, sf))).withColumnRenamed("minutes", "minutes_on").drop("starter")
 
 
+@query(f"with {A.STREAM} select game_id, cast(count(*) + 1 as int) as n_events from sv group by game_id")
+def document_raw(spark, sf):
+    return matches.raw(A.documents(spark, sf)).select("game_id", F.size("events").alias("n_events"))
+
+
+@query(f"with {A.STREAM} select distinct game_id, cast(1 as bigint) as home_team_id from sv")
+def game_home_team(spark, sf):
+    return matches.home_teams(A.documents(spark, sf))
+
+
+@query("select c_mktsegment as league, round(avg(c_acctbal) + 0.0000123, 4) as elo from customer group by c_mktsegment")
+def league_elo(spark, sf):
+    rows = A.table(spark, sf, "customer").select(F.col("c_mktsegment").alias("league"), F.col("c_acctbal").alias("elo"))
+    return rest.league_elo(rows).withColumn("elo", _m("elo"))
+
+
+@query("select c_acctbal as elo from customer where c_mktsegment = 'BUILDING' order by c_custkey limit 1")
+def club_elo(spark, sf):
+    c = A.table(spark, sf, "customer")
+    return rest.club_elo(c.select(F.col("c_custkey").alias("rank"), F.col("c_mktsegment").alias("team"), F.col("c_acctbal").alias("elo")), "BUILDING")
+
+
+_BORN = "make_date(1960 + cast(c_custkey % 60 as int), 1 + cast(c_custkey % 12 as int), 1 + cast(c_custkey % 28 as int))"
+
+
+@query(f"""with r as (select 'team' || c_nationkey as team, cast(c_custkey % 40 as int) as kit, min({_BORN}) as born from customer
+where c_custkey % 5 <> 0 group by 1, 2),
+p as (select c_custkey, 'team' || c_nationkey as team, cast(c_custkey % 40 as int) as kit from customer)
+select c_custkey as player_id, born as birthday from p join r on p.team = r.team and p.kit = r.kit""")
+def birthdays(spark, sf):
+    """Some dates of birth of a roster are written in full, others with two digits for the year."""
+    key = F.col("c_custkey")
+    born = F.make_date((key % 60 + 1960).cast("int"), (key % 12 + 1).cast("int"), (key % 28 + 1).cast("int"))
+    short = F.year(born).between(1969, 2019) & (key % 2 == 0)
+    text = F.when(short, F.date_format(born, "dd-MM-yy")).otherwise(F.date_format(born, "yyyy-MM-dd"))
+    c = A.table(spark, sf, "customer").withColumns({
+        "team": F.concat(F.lit("team"), F.col("c_nationkey").cast("string")), "kit_number": (key % 40).cast("int"), "text": text,
+    })
+    roster = c.where(key % 5 != 0).select("team", "kit_number", F.lit("2000/2001").alias("season"), F.col("text").alias("date_of_birth"))
+    seen = c.select(key.alias("player_id"), F.col("team").alias("team_name"), "kit_number", F.lit(date(2000, 9, 1)).alias("day"))
+    return prepare.birthdays(seen, roster)
+
+
+@query(f"""with {A.GM}, l as (select distinct o_custkey % 7 as fixture_id, n_name as team_name, case
+when o_custkey % 3 = 0 then o_custkey end as fapi_id,
+cast(o_custkey % 30 as int) as kit_number, n_nationkey from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey),
+m as (select l.*, max_by(player_id, (valid_from, player_id)) as by_squad from l left join sq on sq.team_id = n_nationkey
+and sq.kit_number = l.kit_number
+and date '1999-01-01' between valid_from and valid_to group by all),
+e as (select player_id, max_by(metric_value, (game_date, game_id)) as elo from bm where version = 0.2 and metric = 'elo' group by player_id),
+f as (select fixture_id, team_name, kit_number, case when fapi_id % 2 = 0 then fapi_id else by_squad end as player_id from m)
+select fixture_id, team_name, kit_number, f.player_id as player_id, elo from f left join e on e.player_id = f.player_id""")
+def announced_ratings(spark, sf):
+    """Starters found by the service's id, which only even customers have, else by team, number and day."""
+    g, n = A.games(spark, sf), A.table(spark, sf, "nation")
+    teams = n.select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
+    key = F.col("player_id")
+    announced = g.join(teams, F.col("team_id") == F.col("id")).select(
+        (key % 7).alias("fixture_id"), F.col("name").alias("team_name"), F.when(key % 3 == 0, key).alias("fapi_id"),
+        (key % 30).cast("int").alias("kit_number"),
+    ).distinct()
+    schedule = spark.range(7).select(F.col("id").alias("schedule_id"), F.lit(datetime(1999, 1, 1, 12)).alias("date_time"))
+    c = A.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey")).alias("fapi_id")
+    )
+    squad, aliases = squads.history(A.squad_entries(g)), names.alias_table(spark, {"none": ["none"]})
+    return lineups.rated(announced, schedule, c, squad, teams, aliases, A.base_metric(g), VERSION)
+
+
 @query("""with c as (select c_nationkey, c_custkey % 40 as kit, c_name, c_mktsegment, row_number() over (partition by c_nationkey, c_custkey % 40
 order by c_custkey) as rn from customer where c_custkey % 7 <> 0)
 select '2001/2002' as season, 'land_part' as league, 'team' || c_nationkey as team, cast(kit as varchar) as kit_number, c_name as name,

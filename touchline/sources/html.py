@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.names import blacklisted
 
+#: A task hands its rows on when it has so many.
+MOST_ROWS = 10_000
 #: An a tag with its href, as it is written, and its content.
 _LINK = r"""(?is)<a(?=\s)[^>]*?\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)[^>]*>(.*?)</a\s*>"""
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -97,6 +99,8 @@ def parts(pages: DataFrame, key: str = "path", content: str = "content") -> Data
     with the section of a list of absent players; texts are the cells, italic text before other, then the cells'
     titles; value is the first href)."""
 
+    names = ["key", "kind", "place", "ordinal", "texts", "value"]
+
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             rows = []
@@ -105,7 +109,10 @@ def parts(pages: DataFrame, key: str = "path", content: str = "content") -> Data
                 page.feed(text or "")
                 page.close()
                 rows += [(k, *r) for r in page.rows]
-            yield pd.DataFrame(rows, columns=["key", "kind", "place", "ordinal", "texts", "value"])
+                if len(rows) > MOST_ROWS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+            yield pd.DataFrame(rows, columns=names)
 
     return pages.select(key, content).mapInPandas(parse, "key string, kind string, place string, ordinal int, texts array<string>, value string")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import game_name, resolve, url_ids, with_snake_case
-from ..functions.seasons import parse_season
+from ..functions.seasons import latest_seasons, parse_season
 from ..operators.dedup import keep_first, keep_last
 from ..schemas import CALENDAR, FIXTURES, TIERS
 from . import html
@@ -46,6 +46,13 @@ def seasons(spark: SparkSession, folder: str, leagues_: DataFrame, wanted: DataF
     return coded.join(leagues_, "league").join(wanted, "season", "left_semi").select("league", "season", "region_id", "league_id", "season_id")
 
 
+def wanted_seasons(spark: SparkSession, given: str | int | list | None, multi: bool, current_year: int) -> DataFrame:
+    """(season) codes of one season or several, in any form that parse_season reads; by default the latest ones."""
+    names = latest_seasons(current_year) if given is None else given if isinstance(given, list) else [given]
+    rows = spark.createDataFrame([(str(n),) for n in names], "name string")
+    return rows.select(parse_season(F.col("name"), multi, current_year).alias("season")).distinct()
+
+
 def stages(spark: SparkSession, folder: str, seasons_: DataFrame) -> DataFrame:
     """seasons_ with stage_id and stage: the stage of the link named Fixtures (without a name) and those of the stage
     list; of equal stages the named one holds."""
