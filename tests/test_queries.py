@@ -3,6 +3,9 @@
 import datetime
 import decimal
 import math
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -50,3 +53,16 @@ def test_entry_and_registry(spark):
 
     assert e.entry(spark).columns == ["player_id", "game_id", "metric", "value"]
     assert set(QUERIES) <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_entry_without_an_optional_module():
+    """The football queries are there whatever the other package lacks, itself included."""
+    code = """import sys, warnings
+sys.modules.update({name: None for name in sys.argv[1:]})
+import __spark_entry__ as e
+from touchline.queries import ORACLES, QUERIES
+warnings.simplefilter("ignore")
+assert set(QUERIES) <= set(e.queries()) and set(ORACLES) <= set(e.oracle_sql())
+assert "op9_secrets" not in e.queries() and "pipeline" not in e.queries()"""
+    for lost in ("ahocorasick", "touchline.llm", "tokenizers"):
+        subprocess.run([sys.executable, "-c", code, lost], cwd=Path(__file__).parent.parent, check=True)
