@@ -17,38 +17,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_EVENT_TYPE = """case event_type when 'signup' then 'SubstitutionOn' when 'error' then 'SubstitutionOff' when 'purchase' then if(k % 4 = 0, 'Goal', 'Pass')
+when 'click' then if(k = 0, 'Card', 'Pass') else 'Pass' end as type"""
+_OWN_GOAL = """case when k < 5 then array(named_struct('type', named_struct('value', 28, 'displayName', 'OwnGoal'), 'value', cast(null as string))) end
+as qualifiers"""
+
+
 def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows with the columns that the operators read, without full-time events."""
     e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
-    minute = F.floor((F.hour("ts") * 60 + F.minute("ts")) * 95 / 1440).cast("int")
-    kind = F.col("event_type")
-    goal, card = (kind == "purchase") & (F.col("k") % 4 == 0), (kind == "click") & (F.col("k") == 0)
-    named = F.when(kind == "signup", "SubstitutionOn").when(kind == "error", "SubstitutionOff").when(goal, "Goal").when(card, "Card").otherwise("Pass")
-    own = F.when(
-        F.col("k") < 5,
-        F.array(
-            F.struct(
-                F.struct(F.lit(28).alias("value"), F.lit("OwnGoal").alias("displayName")).alias("type"), F.lit(None).cast("string").alias("value")
-            )
-        )
-    )
-    e = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
-    return e.select(
-        (F.year("ts") * 10_000 + F.month("ts") * 100 + F.day("ts")).cast("long").alias("game_id"), F.col("event_id").alias("event_ordinal"),
-        named.alias("type"), F.lit("SecondHalf").alias("period"), minute.alias("expanded_minute"),
-        F.col("user_id").alias("player_id"), (F.col("user_id") % 2 + 1).alias("team_id"), F.when(card, "Red").alias("card_type"),
-        goal.alias("is_goal"), own.alias("qualifiers"), "k", "value", "event_type", "ts",
+    e = e.selectExpr("event_id", "ts", "user_id", "event_type", "value", "cast(get_json_object(props, '$.k') as int) as k")
+    return e.selectExpr(
+        "cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as long) as game_id", "event_id as event_ordinal", _EVENT_TYPE, "'SecondHalf' as period",
+        "cast(floor((hour(ts) * 60 + minute(ts)) * 95 / 1440) as int) as expanded_minute", "user_id as player_id", "user_id % 2 + 1 as team_id",
+        "if(event_type = 'click' and k = 0, 'Red', null) as card_type", "event_type = 'purchase' and k % 4 = 0 as is_goal", _OWN_GOAL,
+        "k", "value", "event_type", "ts",
     )
 
 
 def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event rows, each followed by its game's full-time event: that repeats in a game, and the first of them holds."""
     rows = event_rows(spark, sf_dir)
-    full = {"event_ordinal": F.lit(-1).cast("long"), "type": F.lit("End"), "expanded_minute": F.lit(LAST_MINUTE), "is_goal": F.lit(False)}
-    keep = ("game_id", "period")
-    end = [full.get(f.name, F.col(f.name) if f.name in keep else F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema.fields]
-    return rows.select(F.inline(F.array(F.struct(*rows.columns), F.struct(*end))))
+    full = {
+        "game_id": "game_id", "period": "period", "event_ordinal": "-1L", "type": "'End'", "expanded_minute": str(LAST_MINUTE), "is_goal": "false"
+    }
+    end = [f"'{f.name}', {full.get(f.name, f'cast(null as {f.dataType.simpleString()})')}" for f in rows.schema.fields]
+    return rows.selectExpr(f"inline(array(struct({', '.join(rows.columns)}), named_struct({', '.join(end)})))")
 
 
 def lineups(events: DataFrame) -> DataFrame:
@@ -59,13 +53,10 @@ def lineups(events: DataFrame) -> DataFrame:
 def entries(events: DataFrame) -> DataFrame:
     """minutes.entries of lineups(events) and events in one pass: as all start, an event row is its player's line-up and
     substitution at once."""
-    on, off = F.col("type") == "SubstitutionOn", F.col("type") == "SubstitutionOff"
-    minute = F.col("expanded_minute")
-    rows = events.where("player_id is not null")
-    return rows.select(
-        "game_id", "player_id", "team_id", F.when(on, minute).otherwise(0).alias("minute_on"), F.when(off, minute).otherwise(-1).alias("minute_off"),
-        F.lit(0).cast("long").alias("seen")
-    )
+    return events.where("player_id is not null").selectExpr(
+        "game_id", "player_id", "team_id", "if(type = 'SubstitutionOn', expanded_minute, 0) as minute_on",
+        "if(type = 'SubstitutionOff', expanded_minute, -1) as minute_off", "0L as seen",
+    )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,61 +126,49 @@ def roster_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ACTION_TYPE = """case when is_goal or event_type = 'purchase' then 'shot' when type = 'Pass' and event_type = 'view' then 'pass'
+when event_type = 'click' then 'dribble' else 'tackle' end as type_name"""
+
+
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An action stream: places from k and the event's number, kinds from the event's type."""
-    e = event_rows(spark, sf_dir)
-    kind = F.when(F.col("type") == "Goal", "shot").when(
-        (F.col("type") == "Pass") & (F.col("event_type") == "purchase"), "shot"
-    ).when(F.col("event_type") == "view", "pass").when(F.col("event_type") == "click", "dribble").otherwise("tackle")
-    result = F.when(
-        F.col("type") == "Goal", F.when(F.col("k") < 5, "owngoal").otherwise("success")
-    ).when(F.col("k") % 3 == 0, "fail").otherwise("success")
-    end = F.when(F.col("k") % 7 != 6, (F.col("k") * 13 % 100).cast("double"))
-    return e.select(
-        "game_id", F.lit(2).alias("period_id"), F.col("event_ordinal").alias("action_id"),
-        (F.col("expanded_minute") * 60.0 + F.col("event_ordinal") % 60).alias("time_seconds"), "team_id", "player_id",
-        (F.col("k") * 1.05).alias("start_x"), (F.col("event_ordinal") % 68).cast("double").alias("start_y"), end.alias("end_x"),
-        (F.col("k") * 7 % 68).cast("double").alias("end_y"), kind.alias("type_name"), result.alias("result_name"), "k",
+    return event_rows(spark, sf_dir).selectExpr(
+        "game_id", "2 as period_id", "event_ordinal as action_id", "cast(expanded_minute * 60 + event_ordinal % 60 as double) as time_seconds",
+        "team_id", "player_id", "k * 1.05D as start_x", "cast(event_ordinal % 68 as double) as start_y",
+        "if(k % 7 <> 6, cast(k * 13 % 100 as double), null) as end_x", "cast(k * 7 % 68 as double) as end_y", _ACTION_TYPE,
+        "case when is_goal then if(k < 5, 'owngoal', 'success') when k % 3 = 0 then 'fail' else 'success' end as result_name", "k",
     )
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One player's game per order."""
-    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    key = F.col("o_orderkey")
-    return o.select(
-        key.alias("game_id"), F.col("o_custkey").alias("player_id"), F.to_date("o_orderdate").alias("game_date"),
-        F.col("c_nationkey").cast("long").alias("team_id"), F.col("c_mktsegment").alias("league"), (key % 95).cast("int").alias("minutes"),
-        F.col("o_totalprice").alias("elo"), F.when(key % 10 == 0, 0.1).otherwise(0.2).alias("version"),
-        F.when(key % 3 != 0, 1).otherwise(0).alias("valid"),
-        F.concat_ws("-", (key % 5).cast("string"), (F.col("o_custkey") % 4).cast("string")).alias("result"), (key % 2).cast("int").alias("home"),
+    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+    return o.selectExpr(
+        "o_orderkey as game_id", "o_custkey as player_id", "to_date(o_orderdate) as game_date", "cast(c_nationkey as long) as team_id",
+        "c_mktsegment as league", "cast(o_orderkey % 95 as int) as minutes", "o_totalprice as elo", "if(o_orderkey % 10 = 0, 0.1D, 0.2D) as version",
+        "if(o_orderkey % 3 <> 0, 1, 0) as valid", "concat_ws('-', o_orderkey % 5, o_custkey % 4) as result", "cast(o_orderkey % 2 as int) as home",
     )
 
 
 def base_metric(games_: DataFrame) -> DataFrame:
-    return games_.select(
-        "player_id", "game_id", "game_date", "version", F.when(F.col("game_id") % 2 == 0, "elo").otherwise("pm").alias("metric"),
-        F.col("elo").alias("metric_value")
-    )
+    kind = "if(game_id % 2 = 0, 'elo', 'pm') as metric"
+    return games_.selectExpr("player_id", "game_id", "game_date", "version", kind, "elo as metric_value")
 
 
 def squad_entries(games_: DataFrame) -> DataFrame:
     """(player_id, kit_number, team_id, day): the number a player has from each game on, one per player and day."""
     w = Window.partitionBy("player_id", "game_date").orderBy("game_id")
     first = games_.withColumn("rn", F.row_number().over(w)).where("rn = 1")
-    return first.select("player_id", (F.col("game_id") % 30).cast("int").alias("kit_number"), "team_id", F.col("game_date").alias("day"))
+    return first.selectExpr("player_id", "cast(game_id % 30 as int) as kit_number", "team_id", "game_date as day")
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return table(spark, sf_dir, "customer").selectExpr("c_custkey as id", "c_name as name")
 
 
 def paired_games(games_: DataFrame) -> DataFrame:
     """Games that two sides share, several rows each."""
-    return games_.select(
-        (F.col("game_id") % 997).alias("game_id"), (F.col("team_id") % 2).alias("team_id"), "result", "elo",
-        (F.col("team_id") % 2).cast("int").alias("home")
-    )
+    return games_.selectExpr("game_id % 997 as game_id", "team_id % 2 as team_id", "result", "elo", "cast(team_id % 2 as int) as home")
 
 
 #: The same tables in DuckDB's SQL.

@@ -46,10 +46,10 @@ def labels(actions: DataFrame, ahead: int = AHEAD) -> DataFrame:
     return seen.withColumns({"scores": scores, "concedes": concedes}).drop("__one", "__for_one", "__for_other")
 
 
-def _to_goal(x: Column, y: Column) -> tuple[Column, Column]:
+def _to_goal(end: str) -> dict[str, str]:
     """Distance from the middle of the goal on the right, and the angle to it off the pitch's axis."""
-    dx, dy = PITCH_X - x, F.abs(PITCH_Y / 2 - y)
-    return F.hypot(dx, dy), F.when(dx == 0, F.lit(math.pi / 2)).otherwise(F.atan(F.try_divide(dy, dx)))
+    dx, dy = f"({PITCH_X}D - {end}_x)", f"abs({PITCH_Y / 2}D - {end}_y)"
+    return {f"{end}_goal_distance": f"hypot({dx}, {dy})", f"{end}_goal_angle": f"if({dx} = 0, {math.pi / 2!r}D, atan(try_divide({dy}, {dx})))"}
 
 
 def features(actions: DataFrame, previous: int = PREVIOUS) -> DataFrame:
@@ -59,26 +59,24 @@ def features(actions: DataFrame, previous: int = PREVIOUS) -> DataFrame:
     the first, the first stands in. Besides, the goals of both sides in the game so far. Missing numbers are 0.
 
     One shuffle, by game and period, and one by game for the score."""
-    names, dx, dy = actions.columns, F.col("end_x") - F.col("start_x"), F.col("end_y") - F.col("start_y")
-    part = F.coalesce("bodypart_name", F.lit("foot")) if "bodypart_name" in names else F.lit("foot")
-    base: dict[str, Column] = {"dx": dx, "dy": dy, "distance": F.hypot(dx, dy)}
-    for end in ("start", "end"):
-        base[f"{end}_goal_distance"], base[f"{end}_goal_angle"] = _to_goal(F.col(f"{end}_x"), F.col(f"{end}_y"))
-    base |= {f"is_{t}": (F.col("type_name") == t).cast("int") for t in TYPES}
-    base |= {r: (F.col("result_name") == r).cast("int") for r in RESULTS[:4]} | {b: (part == b).cast("int") for b in BODY_PARTS}
-    out = _with_score(actions).withColumns({f"__{k}": v for k, v in base.items()})
-    w, cols = _order(), {}
-    value = lambda c: F.col(f"__{c}" if c in base else c)
+    part = "coalesce(bodypart_name, 'foot')" if "bodypart_name" in actions.columns else "'foot'"
+    base = {
+        "dx": "end_x - start_x", "dy": "end_y - start_y", "distance": "hypot(end_x - start_x, end_y - start_y)"
+    } | _to_goal("start") | _to_goal("end")
+    base |= {f"is_{t}": f"cast(type_name = '{t}' as int)" for t in TYPES} | {r: f"cast(result_name = '{r}' as int)" for r in RESULTS[:4]}
+    base |= {b: f"cast({part} = '{b}' as int)" for b in BODY_PARTS}
+    out = _with_score(actions).selectExpr("*", *(f"{v} as __{k}" for k, v in base.items()))
+    w, cols = "over (partition by game_id, period_id order by action_id)", {}
     for k in range(previous):
-        at = lambda c: c if k == 0 else F.coalesce(F.lag(c, k).over(w), F.first(c).over(w))  # noqa: B023, E731
+        at = lambda c: c if k == 0 else f"coalesce(lag({c}, {k}) {w}, first({c}) {w})"  # noqa: B023, E731
         for c in _KEPT:
-            cols[f"{c}_{k}"] = F.coalesce(at(value(c)).cast("double"), F.lit(0.0))
+            cols[f"{c}_{k}"] = at(f"__{c}" if c in base else c)
         if k:
-            team = F.coalesce(F.lag("team_id", k).over(w), F.col("team_id"))
-            cols[f"same_team_{k}"] = (team == F.col("team_id")).cast("double")
+            cols[f"same_team_{k}"] = f"coalesce(lag(team_id, {k}) {w}, team_id) = team_id"
             for name, c in (("time_gap", "time_seconds"), ("x_gap", "start_x"), ("y_gap", "start_y")):
-                cols[f"{name}_{k}"] = F.coalesce((F.col(c) - at(F.col(c))).cast("double"), F.lit(0.0))
-    return out.withColumns(cols).drop(*(f"__{c}" for c in base))
+                cols[f"{name}_{k}"] = f"{c} - {at(c)}"
+    made = (f"coalesce(cast({v} as double), 0D) as {k}" for k, v in cols.items())
+    return out.selectExpr(*actions.columns, *_SCORE, *made)
 
 
 def _with_score(actions: DataFrame) -> DataFrame:

@@ -36,16 +36,11 @@ def on_pitch_goals(on_pitch: DataFrame, scored: DataFrame) -> DataFrame:
 
 def counted(on_pitch: DataFrame) -> DataFrame:
     """on_pitch with goals, a list of (minute, team) or null, as goals_for and goals_against."""
-    inside = F.filter("goals", lambda g: (g["minute"] > F.col("minute_on")) & (g["minute"] < F.col("minute_off")) & g["team"].isNotNull())
-    both = F.aggregate(
-        inside, F.struct(F.lit(0).cast("long").alias("own"), F.lit(0).cast("long").alias("all")),
-        lambda n, g: F.struct((n["own"] + (g["team"] == F.col("team_id")).cast("long")).alias("own"), (n["all"] + 1).alias("all")),
-    )
-    zero = F.lit(0).cast("long")
-    out = on_pitch.withColumn("__n", both).withColumns(
-        {"goals_for": F.coalesce("__n.own", zero), "goals_against": F.coalesce(F.col("__n.all") - F.col("__n.own"), zero)}
-    )
-    return out.drop("__n", "goals")
+    inside = "g.minute > minute_on and g.minute < minute_off"
+    count = lambda which: f"cast(coalesce(size(filter(goals, g -> {inside} and g.team {which} team_id)), 0) as long)"
+    keep = [c for c in on_pitch.columns if c != "goals"]
+    none = "if(goals is null, 0L, {})"
+    return on_pitch.selectExpr(*keep, none.format(count("=")) + " as goals_for", none.format(count("<>")) + " as goals_against")
 
 
 def goals_metric(counted: DataFrame) -> DataFrame:

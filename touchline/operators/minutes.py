@@ -12,6 +12,7 @@ SENT_OFF = ("SecondYellow", "Red")
 STAYS = -1
 #: Beyond any place in a document: substitutions on are seen after the line-up, those off after these.
 _LATER = 1 << 40
+_KEYS = ("cast(player_id as long) as player_id", "cast(game_id as long) as game_id")
 
 
 def is_red_card() -> Column:
@@ -27,8 +28,11 @@ def end_of_game(events: DataFrame, strict: bool = True) -> DataFrame:
     card if that comes earlier: it ends the game for all. Extra time doesn't count.
 
     A game without a full-time event is an error, or with strict off has no row."""
-    end = F.min_by(F.when(is_full_time(), F.col("expanded_minute")), F.when(is_full_time(), F.col("event_ordinal")))
-    games = events.groupBy("game_id").agg(end.alias("full_time"), F.min(F.when(is_red_card(), F.col("expanded_minute"))).alias("red"))
+    marked = events.select("game_id", "expanded_minute", "event_ordinal", is_full_time().alias("full"), is_red_card().alias("red"))
+    games = marked.groupBy("game_id").agg(
+        F.expr("min_by(if(full, expanded_minute, null), if(full, event_ordinal, null)) as full_time"),
+        F.expr("min(if(red, expanded_minute, null)) as red"),
+    )
     return _ended(games, strict).select("game_id", "end_of_game")
 
 
@@ -36,8 +40,8 @@ def _ended(games: DataFrame, strict: bool) -> DataFrame:
     """games(game_id, full_time, red, ...) with end_of_game."""
     if not strict:
         games = games.where("full_time is not null")
-    full = F.coalesce("full_time", F.raise_error(F.concat(F.lit("no full-time event in game "), F.col("game_id").cast("string"))).cast("int"))
-    return games.withColumn("end_of_game", F.least(full, F.col("red")))
+    missing = "cast(raise_error(concat('no full-time event in game ', cast(game_id as string))) as int)"
+    return games.withColumn("end_of_game", F.expr(f"least(coalesce(full_time, {missing}), red)"))
 
 
 def game_facts(events: DataFrame, teams: DataFrame | None = None, strict: bool = True) -> DataFrame:
@@ -45,25 +49,30 @@ def game_facts(events: DataFrame, teams: DataFrame | None = None, strict: bool =
 
     Of several goals in one expanded minute the last holds, so goals has an entry for each minute at most. The two sides
     come from teams(game_id, team_id), or else from the events."""
-    red, full, goal = is_red_card(), is_full_time(), F.coalesce("is_goal", F.lit(False))
-    minutes = events.groupBy("game_id", "expanded_minute").agg(
-        F.min(F.when(full, F.col("event_ordinal"))).alias("full_at"), F.max(red).alias("red"), F.max(goal).alias("goal"),
-        F.min("team_id").alias("one"), F.max("team_id").alias("other"),
-        F.max_by("team_id", F.when(goal, F.col("event_ordinal"))).alias("team"),
-        F.max_by(own_goal(F.col("qualifiers")), F.when(goal, F.col("event_ordinal"))).alias("own"),
+    marked = events.select(
+        "game_id", "expanded_minute", "event_ordinal", "team_id", is_full_time().alias("full"), is_red_card().alias("red"),
+        F.expr("if(is_goal, event_ordinal, null) as goal_at"), own_goal(F.col("qualifiers")).alias("own"),
+    )
+    aggregates = (
+        "min(if(full, event_ordinal, null)) as full_at", "max(red) as red", "max(goal_at) as goal_at", "min(team_id) as one", "max(team_id) as other",
+        "max_by(team_id, goal_at) as team", "max_by(own, goal_at) as own",
     )
-    minute = F.col("expanded_minute")
-    games = minutes.groupBy("game_id").agg(
-        F.min_by(minute, "full_at").alias("full_time"), F.min(F.when(F.col("red"), minute)).alias("red"), F.min("one").alias("one"),
-        F.max("other").alias("other"),
-        F.collect_list(F.when(F.col("goal"), F.struct(minute.alias("minute"), "team", "own"))).alias("goals"),
+    minutes = marked.groupBy("game_id", "expanded_minute").agg(*map(F.expr, aggregates))
+    aggregates = (
+        "min_by(expanded_minute, full_at) as full_time", "min(if(red, expanded_minute, null)) as red", "min(one) as one", "max(other) as other",
+        "collect_list(if(goal_at is null, null, struct(expanded_minute as minute, team, own))) as goals",
     )
+    games = minutes.groupBy("game_id").agg(*map(F.expr, aggregates))
     if teams is not None:
         pair = teams.groupBy("game_id").agg(F.min("team_id").alias("one"), F.max("team_id").alias("other"))
         games = games.drop("one", "other").join(pair, "game_id", "left")
-    credited = lambda g: F.when(g["own"], opposition(g["team"], F.col("one"), F.col("other"))).otherwise(g["team"])
-    scored = F.transform("goals", lambda g: F.struct(g["minute"].alias("minute"), credited(g).alias("team")))
-    return _ended(games, strict).select("game_id", "end_of_game", scored.alias("goals"))
+    credited = F.transform(
+        "goals",
+        lambda g: F.struct(
+            g["minute"].alias("minute"), F.when(g["own"], opposition(g["team"], F.col("one"), F.col("other"))).otherwise(g["team"]).alias("team")
+        )
+    )
+    return _ended(games, strict).select("game_id", "end_of_game", credited.alias("goals"))
 
 
 def entries(lineups: DataFrame, events: DataFrame) -> DataFrame:
@@ -92,17 +101,12 @@ def intervals(lineups: DataFrame, events: DataFrame, strict: bool = True) -> Dat
 
 def spells(entries_: DataFrame, games: DataFrame) -> DataFrame:
     """The last step of intervals: from entries and games(game_id, end_of_game, ...), whose further columns stay."""
-    players = entries_.where("player_id <> 0").groupBy("game_id", "player_id")
-    players = players.agg(
-        F.min_by("team_id", "seen").alias("team_id"), F.max("minute_on").alias("minute_on"), F.max("minute_off").alias("minute_off")
-    )
-    stays = (F.col("minute_off") == STAYS) | (F.col("minute_off") > F.col("end_of_game"))
-    on = players.join(games, "game_id").where("minute_on <= end_of_game")
+    largest = ("min_by(team_id, seen) as team_id", "max(minute_on) as minute_on", "max(minute_off) as minute_off")
+    players = entries_.where("player_id <> 0").groupBy("game_id", "player_id").agg(*map(F.expr, largest))
     rest = [c for c in games.columns if c not in ("game_id", "end_of_game")]
-    return on.select(
-        "game_id", "player_id", "team_id", "minute_on", F.when(stays, F.col("end_of_game")).otherwise(F.col("minute_off")).alias("minute_off"),
-        "end_of_game", *rest
-    )
+    off = f"if(minute_off = {STAYS} or minute_off > end_of_game, end_of_game, minute_off) as minute_off"
+    on = players.join(games, "game_id").where("minute_on <= end_of_game")
+    return on.selectExpr("game_id", "player_id", "team_id", "minute_on", off, "end_of_game", *rest)
 
 
 def minutes_metric(on_pitch: DataFrame) -> DataFrame:
@@ -112,12 +116,9 @@ def minutes_metric(on_pitch: DataFrame) -> DataFrame:
 def as_metrics(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
     """as_metric for several metrics of the same rows, which are read once."""
     each = F.inline(F.array(*(F.struct(F.lit(k).alias("metric"), v.cast("double").alias("value")) for k, v in values.items())))
-    return rows.select(F.col("player_id").cast("long").alias("player_id"), F.col("game_id").cast("long").alias("game_id"), each)
+    return rows.select(*map(F.expr, _KEYS), each)
 
 
 def as_metric(rows: DataFrame, value: Column, name: str) -> DataFrame:
     """(player_id, game_id, metric, value) of one row per player and game."""
-    return rows.select(
-        F.col("player_id").cast("long").alias("player_id"), F.col("game_id").cast("long").alias("game_id"), F.lit(name).alias("metric"),
-        value.cast("double").alias("value")
-    )
+    return rows.select(*map(F.expr, _KEYS), F.lit(name).alias("metric"), value.cast("double").alias("value"))

@@ -74,11 +74,12 @@ def grid(spark: SparkSession, values) -> DataFrame:
     return spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "cell int, threat double")
 
 
-def rate(actions: DataFrame, values: DataFrame, length: int = LENGTH, width: int = WIDTH) -> DataFrame:
+def rate(actions: DataFrame, values: DataFrame | list[float], length: int = LENGTH, width: int = WIDTH) -> DataFrame:
     """Actions with an end position, with value = threat at the end less threat at the start of a successful move, else
-    null. The grid, a number for each of a few hundred cells, is a literal of the plan; a cell without one has no value."""
-    known = {r["cell"]: r["threat"] for r in values.select("cell", "threat").collect()}
-    table = F.array(*(F.lit(known.get(i)).cast("double") for i in range(length * width)))
+    null. The grid (as grid makes it, or a list by cell), a number for each of a few hundred cells, is a literal of the plan; a cell without one has no value."""
+    known = {r["cell"]: r["threat"] for r in values.select("cell", "threat").collect()} if isinstance(values, DataFrame) else dict(enumerate(values))
+    numbers = ["cast(null as double)" if known.get(i) is None else f"{known[i]!r}D" for i in range(length * width)]
+    table = F.expr(f"array({', '.join(numbers)})")
     moved = F.col("type_name").isin(*MOVES) & (F.col("result_name") == "success")
     gain = F.get(table, F.col("end_cell")) - F.get(table, F.col("start_cell"))
     return with_cells(actions, length, width).withColumn("value", F.when(moved, gain))

@@ -135,9 +135,8 @@ def xt_transitions(spark, sf):
     return threat.transitions(threat.with_cells(A.actions(spark, sf)))
 
 
-def _ramp(spark: SparkSession) -> DataFrame:
-    """A grid that rises with the cell's number, so that sums can be checked by SQL."""
-    return threat.grid(spark, [i / 192 for i in range(192)])
+#: A grid that rises with the cell's number, so that sums can be checked by SQL.
+_RAMP = [i / 192 for i in range(192)]
 
 
 @query(f"""with {A.ACTIONS}, {A.PITCH.split(',', 1)[1].split('end as type from events),', 1)[1]}
@@ -145,7 +144,7 @@ select pl.game_id as game_id, pl.player_id as player_id, round(coalesce(sum((c1
 where tn in ('pass', 'dribble') and rn = 'success') as a
 on pl.game_id = a.game_id and pl.player_id = a.player_id and secs / 60 > p_on and secs / 60 < p_off group by pl.game_id, pl.player_id""")
 def xt_actions_by_player(spark, sf):
-    got = threat.on_pitch_sum(_on_pitch(spark, sf), threat.rate(A.actions(spark, sf), _ramp(spark)))
+    got = threat.on_pitch_sum(_on_pitch(spark, sf), threat.rate(A.actions(spark, sf), _RAMP))
     return got.select("game_id", "player_id", _r("value").alias("xt"))
 
 
