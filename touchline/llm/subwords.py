@@ -36,6 +36,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 _NONE = np.int64(1 << 40)
 _KEPT = 1 << 18
+#: Bytes of text that are encoded at once; arrays of numbers for each character are some ten times as large.
+CHUNK = 1 << 20
 #: Words from this length on are encoded one by one, unless so many have the same length; their end positions in slices.
 LONG, _MANY, _SLICE = 256, 64, 1 << 15
 #: Multipliers of the two hashes of a substring.
@@ -419,7 +421,7 @@ def _texts(docs: DataFrame, path: str):
 
 def _encoded(batch: pa.RecordBatch, at: int, to_ids: Encoder, to_text: Decoder) -> Iterator[tuple[pa.RecordBatch, pa.Array, pa.Array]]:
     """Parts of a batch, the ids of their texts (column at), and whether these give the texts again."""
-    for i, j in chunks(text_bytes(batch.column(at))[1]):
+    for i, j in chunks(text_bytes(batch.column(at))[1], CHUNK):
         part = batch.slice(i, j - i)
         texts = part.column(at).to_pylist()
         ids, bounds = to_ids(texts)
