@@ -36,8 +36,8 @@ MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 _NONE = np.int64(1 << 40)
 _KEPT = 1 << 18
-#: Bytes of text that are encoded at once; arrays of numbers for each character are some ten times as large.
-CHUNK = 1 << 20
+#: Characters that are compared at once.
+_COMPARED = 1 << 17
 #: Words from this length on are encoded one by one, unless so many have the same length; their end positions in slices.
 LONG, _MANY, _SLICE = 256, 64, 1 << 15
 #: Multipliers of the two hashes of a substring.
@@ -292,6 +292,18 @@ class Pieces:
         return np.concatenate([*out, ids[at:]]), count
 
 
+def _tile(points: np.ndarray, start: np.ndarray, length: np.ndarray) -> bool:
+    """Whether the words at these places, one after another, are points; they are laid out a part at a time."""
+    ends = np.cumsum(length)
+    i, done = 0, 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, done + _COMPARED, "right")))
+        if (points[ragged(start[i:j], length[i:j])] != points[done : ends[j - 1]]).any():
+            return False
+        i, done = j, int(ends[j - 1])
+    return True
+
+
 class Encoder:
     """Encodes batches of texts; keeps the ids of the first _KEPT distinct words it meets, and the words themselves."""
 
@@ -328,7 +340,7 @@ class Encoder:
         end = np.r_[start[1:], len(points)]
         keys, first, word = np.unique(word_hashes(points, start, end), return_index=True, return_inverse=True)
         length = end - start
-        alike = bool((length[first[word]] == length).all()) and bool((points[ragged(start[first[word]], length)] == points).all())
+        alike = bool((length[first[word]] == length).all()) and _tile(points, start[first[word]], length)
         if not alike:  # two words of one hash: words are told apart by themselves, and the cache is left alone
             named: dict[bytes, int] = {}
             word = np.array([named.setdefault(points[a:b].tobytes(), len(named)) for a, b in zip(start, end)])
@@ -421,7 +433,7 @@ def _texts(docs: DataFrame, path: str):
 
 def _encoded(batch: pa.RecordBatch, at: int, to_ids: Encoder, to_text: Decoder) -> Iterator[tuple[pa.RecordBatch, pa.Array, pa.Array]]:
     """Parts of a batch, the ids of their texts (column at), and whether these give the texts again."""
-    for i, j in chunks(text_bytes(batch.column(at))[1], CHUNK):
+    for i, j in chunks(text_bytes(batch.column(at))[1]):
         part = batch.slice(i, j - i)
         texts = part.column(at).to_pylist()
         ids, bounds = to_ids(texts)
