@@ -165,3 +165,22 @@ def by_batch(kernel: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> Ca
                 yield from kernel(batch)
 
     return run
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table]:
+    """Sorted batches, cut so that rows with equal keys (null is one) are never apart; one run at least is held at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        column, last = batch.column(key), batch.column(key)[-1]
+        n = pc.sum(pc.equal(column, last)).as_py() if last.is_valid else column.null_count
+        before = batch.num_rows - n
+        if held and (before or not held[-1].column(key)[-1].equals(last)):
+            yield pa.Table.from_batches([*held, batch.slice(0, before)]).combine_chunks()
+            held = []
+        elif before:
+            yield pa.Table.from_batches([batch.slice(0, before)]).combine_chunks()
+        held.append(batch.slice(before))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, urls
+from . import decontaminate, licenses, repair, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
 from .licenses import op2_minhash_bands
 from .media import op4_gear_chunks
+from .repair import op11_branch_and_bound
 from .resharding import op6_min_cost_flow
 from .secrets import op9_secrets
 from .simhash import op5_simhash
@@ -25,9 +26,11 @@ QUERIES = {
     "op8_viterbi": op8_viterbi,
     "op9_secrets": op9_secrets,
     "op10_pretokens": op10_pretokens,
+    "op11_branch_and_bound": op11_branch_and_bound,
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
     "op2_minhash_bands": licenses.ORACLE,
     "op3_bloom_cascade": urls.ORACLE,
+    "op11_branch_and_bound": repair.ORACLE,
 }
