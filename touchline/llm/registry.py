@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, licenses, repair, urls
+from . import decontaminate, licenses, prefixtrie, repair, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
 from .licenses import op2_minhash_bands
 from .media import op4_gear_chunks
+from .prefixtrie import op12_prefix_trie
 from .repair import op11_branch_and_bound
 from .resharding import op6_min_cost_flow
 from .secrets import op9_secrets
@@ -27,10 +28,12 @@ QUERIES = {
     "op9_secrets": op9_secrets,
     "op10_pretokens": op10_pretokens,
     "op11_branch_and_bound": op11_branch_and_bound,
+    "op12_prefix_trie": op12_prefix_trie,
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
     "op2_minhash_bands": licenses.ORACLE,
     "op3_bloom_cascade": urls.ORACLE,
     "op11_branch_and_bound": repair.ORACLE,
+    "op12_prefix_trie": prefixtrie.ORACLE,
 }

@@ -253,7 +253,8 @@ def op11_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired(table(spark, sf_dir, "conversations"))
 
 
-def _crc32(s: str) -> str:
+def crc32_sql(s: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of an ASCII string."""
     bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
     bytes_ = f"list_transform(string_split({s}, ''), lambda x: ascii(x)::BIGINT)"
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda c, b: {bits}), 4294967295)"
@@ -281,7 +282,7 @@ _ONE, _TWO = (_closed([f"{x}{k}" for k in range(4)]) for x in "sm")
 ORACLE = f"""
 WITH RECURSIVE hit AS (
   SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
-    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h FROM conversations),
+    {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS h FROM conversations),
 hurt AS (
   SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
     CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy
