@@ -6,6 +6,7 @@ from . import decontaminate, licenses, prefixtrie, repair, urls
 from .decontaminate import op1_winnowing
 from .langid import op7_string_kernel
 from .licenses import op2_minhash_bands
+from .lmscore import op13_attention
 from .media import op4_gear_chunks
 from .prefixtrie import op12_prefix_trie
 from .repair import op11_branch_and_bound
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_pretokens": op10_pretokens,
     "op11_branch_and_bound": op11_branch_and_bound,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_attention": op13_attention,
 }
 ORACLES = {
     "op1_winnowing": decontaminate.ORACLE,
