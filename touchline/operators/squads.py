@@ -18,42 +18,81 @@ def history(entries: DataFrame) -> DataFrame:
     )
 
 
-def _closed(squads: DataFrame, taken: DataFrame) -> DataFrame:
-    """squads in which a row valid on the day that its kit number is taken by changes(team_id, kit_number, day) ends then."""
-    t = taken.groupBy("team_id", "kit_number").agg(F.min("day").alias("__day"))
-    day = F.when((F.col("valid_from") <= F.col("__day")) & (F.col("valid_to") >= F.col("__day")), F.col("__day"))
-    return squads.join(t, ["team_id", "kit_number"], "left").withColumn("valid_to", F.coalesce(day, "valid_to")).select(*squads.columns)
+#: What an event of a log is: a player enters, a player changes, or a number is taken by nobody known.
+ENTER, CHANGE, TAKE = "enter", "change", "take"
+
+
+def replay(squads: DataFrame, log: DataFrame) -> DataFrame:
+    """squads after the events of log(kind, player_id, kit_number, team_id, day) one after another, by day, then by seq if log
+    has it, then by player, team and number.
+
+    Each event ends the row that is valid on its day with its team and number; a change also ends the player's open rows.
+    Then ENTER makes a row that is valid always, CHANGE one from its day on, TAKE none. As events are in order, no state
+    has to be carried: a row ends on the day of the next event of its number or, if it is open, of its player's next change,
+    whichever is first. So old rows and events make one table, and two windows look ahead, by number and by player.
+    Events without a day are left out; a null number, team or player is nobody's."""
+    seq = F.col("seq").cast("long") if "seq" in log.columns else F.lit(0).cast("long")
+    events = log.where("day is not null").select(
+        "player_id", "kit_number", "team_id", F.when(F.col("kind") == ENTER, F.lit(ALWAYS)).otherwise(F.col("day")).alias("valid_from"),
+        F.lit(FOREVER).alias("valid_to"), F.lit(1).alias("__event"), "kind", F.col("day").alias("__day"), seq.alias("__seq")
+    )
+    rows = squads.select(
+        "player_id", "kit_number", "team_id", "valid_from", "valid_to", F.lit(0).alias("__event"), F.lit(None).cast("string").alias("kind"),
+        F.col("valid_from").alias("__day"), F.lit(0).cast("long").alias("__seq")
+    ).unionByName(events)
+    last_first = [F.desc(c) for c in ("__day", "__event", "__seq", "player_id", "team_id", "kit_number", "kind")]
+    later = lambda *keys, by: Window.partitionBy(*keys).orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    taken = F.min(F.when(F.col("__event") == 1, F.col("__day"))).over(later("team_id", "kit_number", by=last_first))
+    # an open row ends by its player's change even if that is dated before the row begins
+    moved = F.min(F.when(F.col("kind") == CHANGE, F.col("__day"))).over(later("player_id", by=[F.desc("__event"), *last_first]))
+    numbered, known = F.col("team_id").isNotNull() & F.col("kit_number").isNotNull(), F.col("player_id").isNotNull()
+    ends = F.least("valid_to", F.when(numbered, taken), F.when(known & (F.col("valid_to") == F.lit(FOREVER)), moved))
+    done = rows.withColumn("__ends", ends).where(f"__event = 0 or kind <> '{TAKE}'")
+    return done.select("player_id", "kit_number", "team_id", "valid_from", F.col("__ends").alias("valid_to"))
 
 
 def close_number(squads: DataFrame, changes: DataFrame) -> DataFrame:
     """squads after the numbers in changes(team_id, kit_number, day) were taken."""
-    return _closed(squads, changes)
+    return replay(squads, changes.select(F.lit(TAKE).alias("kind"), F.lit(None).cast("long").alias("player_id"), "kit_number", "team_id", "day"))
 
 
 def enter(squads: DataFrame, new: DataFrame) -> DataFrame:
     """squads after new(player_id, kit_number, team_id, day) players without a row entered, valid always."""
-    rows = new.select("player_id", "kit_number", "team_id", F.lit(ALWAYS).alias("valid_from"), F.lit(FOREVER).alias("valid_to"))
-    return _closed(squads, new).unionByName(rows)
+    return replay(squads, new.withColumn("kind", F.lit(ENTER)))
 
 
 def change(squads: DataFrame, changes: DataFrame) -> DataFrame:
     """squads after changes(player_id, kit_number, team_id, day): who had the number gives it up, the player's open
-    row ends, and a new one begins."""
-    closed = _closed(squads, changes)
-    mine = changes.groupBy("player_id").agg(F.min("day").alias("__day"))
-    ended = closed.join(mine, "player_id", "left").withColumn(
-        "valid_to", F.when((F.col("valid_to") == F.lit(FOREVER)) & F.col("__day").isNotNull(), F.col("__day")).otherwise(F.col("valid_to"))
-    ).select(*squads.columns)
-    return ended.unionByName(changes.select("player_id", "kit_number", "team_id", F.col("day").alias("valid_from"), F.lit(FOREVER).alias("valid_to")))
+    row ends, and a new one begins. A batch may hold several changes of a player, and a number that goes from hand to hand."""
+    return replay(squads, changes.withColumn("kind", F.lit(CHANGE)))
+
+
+def events_of(squads: DataFrame, seen: DataFrame) -> DataFrame:
+    """The log that line-ups seen(player_id, kit_number, team_id, day; seq) amount to: of a player without a row the first is an
+    ENTER, every other one a CHANGE, unless the player's open row says the same.
+
+    It does if the sighting before it of the player and that of the number are the same one, open rows counting as the
+    first sightings. That holds for squads in which no player has two open rows and no number two players. Sightings with
+    a null are left out; those that repeat change nothing."""
+    seq = F.col("seq").cast("long") if "seq" in seen.columns else F.lit(0).cast("long")
+    key = ["player_id", "kit_number", "team_id"]
+    new = seen.select(*key, "day", seq.alias("seq")).dropna()
+    open_ = squads.where(F.col("valid_to") == F.lit(FOREVER)).select(*key, F.lit(None).cast("date").alias("day"), F.lit(None).cast("long").alias("seq"))
+    rows = open_.unionByName(new)
+    order = [F.asc_nulls_first("day"), F.asc_nulls_first("seq"), "player_id", "team_id", "kit_number"]
+    mine, same = Window.partitionBy("player_id").orderBy(*order), Window.partitionBy("team_id", "kit_number").orderBy(*order)
+    before = F.lag(F.struct("team_id", "kit_number")).over(mine)
+    stays = before.eqNullSafe(F.struct("team_id", "kit_number")) & F.lag("player_id").over(same).eqNullSafe(F.col("player_id"))
+    marked = rows.withColumns({"__stays": stays, "__nth": F.row_number().over(mine)}).where("day is not null and not __stays")
+    known = squads.where("player_id is not null").select("player_id", F.lit(True).alias("__known")).distinct()
+    first = (F.col("__nth") == 1) & F.col("__known").isNull()
+    return marked.join(known, "player_id", "left").select(F.when(first, ENTER).otherwise(CHANGE).alias("kind"), *key, "day", "seq")
 
 
 def sync(squads: DataFrame, seen: DataFrame) -> DataFrame:
-    """squads brought up to date with line-ups seen(player_id, kit_number, team_id, day): players without a row enter,
-    those whose open row differs change, those whose open row is the same stay as they are."""
-    s = squads.where(F.col("valid_to") == F.lit(FOREVER)).select("player_id", "kit_number", "team_id")
-    moved = seen.join(s, ["player_id", "kit_number", "team_id"], "left_anti")
-    fresh = moved.join(squads.select("player_id"), "player_id", "left_anti")
-    return enter(change(squads, moved.join(squads.select("player_id").distinct(), "player_id", "left_semi")), fresh)
+    """squads brought up to date with line-ups seen(player_id, kit_number, team_id, day; seq), in order: players without a row
+    enter, those whose open row differs change, those whose open row is the same stay as they are."""
+    return replay(squads, events_of(squads, seen))
 
 
 def match(lineups: DataFrame, squads: DataFrame, teams: DataFrame, day: Column) -> DataFrame:

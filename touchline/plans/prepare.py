@@ -43,10 +43,8 @@ def sync(catalog: Catalog, docs: DataFrame, games: DataFrame) -> None:
         without = catalog.table("basis.player").where("birthday is null").select("id")
         found = birthdays(info, catalog.table("scraping.roster_raw")).withColumnRenamed("player_id", "id").join(without, "id", "left_semi")
         catalog.update("basis.player", found, ["birthday"])
-        last = info.where("kit_number is not null").groupBy("player_id").agg(
-            F.max_by(F.struct("kit_number", "team_id", "day"), F.struct("day", "game_id")).alias("s")
-        ).select("player_id", "s.*")
-        catalog.overwrite("basis.squads", squads.sync(catalog.table("basis.squads"), last))
+        seen = info.where("kit_number is not null").select("player_id", "kit_number", "team_id", "day", F.col("game_id").alias("seq"))
+        catalog.overwrite("basis.squads", squads.sync(catalog.table("basis.squads"), seen))
     finally:
         info.unpersist()
 
