@@ -100,9 +100,20 @@ def test_two_hundred_languages(spark, monkeypatch):
     assert m.languages == sorted(letters) and len(m.landmarks) > 5 * L.LANDMARKS
     got = L.identify(docs, m).where("held_out").join(docs, "doc_id").selectExpr("avg(cast(lang_pred = lang as double))").first()[0]
     assert got > 0.9
-    monkeypatch.setattr(L, "MOST_LANGUAGES", 50)
-    with pytest.warns(UserWarning, match="over 50 languages"):
-        assert len(L.fit(docs).languages) == 50
+    monkeypatch.setattr(L, "MOST_LANDMARKS", 60)  # each language has one
+    few = L.fit(docs)
+    assert few.languages == sorted(letters) and len(few.landmarks) == 200
+    got = L.identify(docs, few).where("held_out").join(docs, "doc_id").selectExpr("avg(cast(lang_pred = lang as double))").first()[0]
+    assert got > 0.8 and L.identified(docs, few).count() > 0.9 * len(rows)
+
+
+def test_every_label_is_learned(spark):
+    """1,100 languages, more than landmarks: all are in the model, and texts get one of them."""
+    docs = spark.createDataFrame([(i, f"{'abcdefghijk'[i % 11] * 4} {i:05} {chr(0x4E00 + i // 3)}", f"l{i // 3:04}") for i in range(3300)], "doc_id long, text string, lang string")
+    m = L.fit(docs)
+    learned = {r.lang for r in docs.where(~L.held_out()).collect()}
+    assert len(learned) > 1024 and m.languages == sorted(learned) and len(m.landmarks) == len(learned)
+    assert {r.lang_pred for r in L.identify(docs, m).collect()} <= learned
 
 
 def test_empty(spark):
@@ -142,7 +153,7 @@ def test_rare_language_beside_large_ones(spark):
     for few in (3, 4, 5):
         rows = [(k, t) for i, k in enumerate(LETTERS) for t in invented(LETTERS[k], few if k == "cy" else 400, i)]
         m = L.train(L.presence([t for _, t in rows]), [k for k, _ in rows])
-        names, _ = m.predict(invented(LETTERS["cy"], 200, 2)[few:])
+        names, *_ = m.predict(invented(LETTERS["cy"], 200, 2)[few:])
         assert names == ["cy"] * (200 - few)
     # and by the filter of the pipeline, with other texts of the rare language
     rows += [(None, t) for t in invented(LETTERS["cy"], 60, 2)[5:]]
@@ -151,16 +162,30 @@ def test_rare_language_beside_large_ones(spark):
     assert set(range(len(rows) - 55, len(rows))) <= kept and len(kept) > 0.99 * len(rows)
 
 
-def test_unlearned_scripts_are_und(spark):
+def test_unlearned_scripts_get_a_language_but_are_rejected(spark):
     rows = [(k, t) for i, k in enumerate(LETTERS) for t in invented(LETTERS[k], 100, i)]
     r = random.Random(5)
     strange = ["".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in (20, 300, 4000, 20000)] + invented("абвгдежзиклмнопрст", 40, 9)
     m = L.train(L.presence([t for _, t in rows]), [k for k, _ in rows])
-    assert m.predict(strange) == (["und"] * len(strange), pytest.approx([0.0] * len(strange)))
+    names, scores, fits = m.predict(strange)
+    assert set(names) <= set(LETTERS) and (scores >= 0).all() and (scores <= 1).all() and not fits.any()
     docs = spark.createDataFrame(list(enumerate(strange + [rows[0][1]])), "doc_id long, text string")
     assert [x.doc_id for x in L.identified(docs, m).collect()] == [len(strange)]
 
 
+def test_long_texts_are_judged_whole(spark):
+    """Texts that fill most bins by junk are rejected; where a page of a language stands in one doesn't matter."""
+    rows = [(k, t) for i, k in enumerate(LETTERS) for t in invented(LETTERS[k], 100, i)]
+    m = L.train(L.presence([t for _, t in rows]), [k for k, _ in rows])
+    r = random.Random(7)
+    page, junk = rows[0][1], "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(60_000))
+    assert np.count_nonzero(L.presence([junk])) > L.BINS // 2
+    long = " ".join(invented(LETTERS["fi"], 900, 1))
+    names, scores, fits = m.predict([junk, page, long, f"{page} {junk}", f"{junk} {page}"])
+    assert fits[:3].tolist() == [False, True, True] and names[2] == "fi"
+    assert names[3] == names[4] and fits[3] == fits[4] and scores[3] == pytest.approx(scores[4], abs=1e-3)
+
+
 def test_model_of_single_texts():
     texts = [invented(LETTERS[k], 1, i)[0] for i, k in enumerate(LETTERS)]
     assert L.train(L.presence(texts), list(LETTERS)).predict(texts)[0] == list(LETTERS)

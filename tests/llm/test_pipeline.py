@@ -18,8 +18,8 @@ def by_id(df):
 def test_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    names, scores = langid.fit(docs).predict([r.text for r in docs.collect()])
-    rows = [r for r, n, s in zip(docs.collect(), names, scores) if n != "und" and s >= langid.LEAST_SCORE]
+    _, scores, fits = langid.fit(docs).predict([r.text for r in docs.collect()])
+    rows = [r for r, fit, s in zip(docs.collect(), fits, scores) if fit and s >= langid.LEAST_SCORE]
     keep = {d for d, _, c in grouped([(r.doc_id, r.text) for r in rows]) if d == c}
     rows = [r for r in rows if r.doc_id in keep]
     hit = {d for d, _, n, *_ in contaminated([(r.doc_id, r.text) for r in rows], items) if n}

@@ -7,14 +7,14 @@ labelled rows, in which all languages weigh the same, and texts are scored in ba
 landmarks, then with the coefficients.
 
 The regression tells languages apart, not whether a text is of any of them. For that, fit is the number of n-grams a text
-shares with the landmarks of its language, less what chance would share, over the most it could share, less the same. A
-text whose fit is below the floor of its language, set by the language's own sample, is und. Of a text that fills over
-half of the bins, the fit is that of its first half, quarter and so on, until it fills less.
+shares with the landmarks of its language, less what chance would share, over the most it could share, less the same. A text
+whose fit is below the floor of its language, set by the language's own sample, is rejected by identified(); identify()
+gives the best language of every text with letters. What chance shares is reckoned from the whole text's number of bins,
+so texts of any length are judged alike and as a whole.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,12 +29,12 @@ NGRAM, BITS, RIDGE = 3, 16, 1e-2
 BINS = 1 << BITS
 #: Landmarks: OWN of each language, LANDMARKS at least in all and MOST_LANDMARKS at most, but one of each language.
 LANDMARKS, OWN, MOST_LANDMARKS = 128, 4, 1024
-#: The sample: so many texts of each language at most, and so many in all, shared evenly by the languages. A text of any
-#: length reaches the driver as BINS bits, so the sample has 64 MB at most.
+#: The sample: so many texts of each language at most, and so many in all, shared evenly by the languages, but one of each. A
+#: text of any length reaches the driver as BINS bits, so the sample has 64 MB at most, or 8 KB a language.
 PER_LANGUAGE, SAMPLE = 400, 8192
-#: Languages that a model can have, the most frequent ones; a warning tells of those that it leaves out.
-MOST_LANGUAGES = MOST_LANDMARKS
-#: The pipeline rejects und alone; a low score says that languages are alike or rare, not that a text is of none.
+#: Steps of the hash by which texts are drawn.
+_RANKS = 1 << 40
+#: The pipeline goes by the fit alone; a low score says that languages are alike or rare, not that a text is of none.
 LEAST_SCORE = 0.0
 #: The floor of a language is FLOOR of the median fit of its sample, or the fit of its lowest texts (LOWEST of them) if that is less.
 FLOOR, LOWEST = 0.5, 0.01
@@ -88,11 +88,12 @@ class Model:
         own = x[:, self.used].astype(np.float32)
         return own @ self.landmarks.T / np.sqrt(np.maximum(size, 1))[:, None].astype(np.float32)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of each; und and 0 for null, for a text without letters, for one that fits no language and
-        for a model without languages."""
-        names, best = ["und"] * len(texts), np.zeros(len(texts))
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Of each the best language, its score, and whether the text fits that language. und and 0 for null, for a text without
+        letters and for a model without languages, which fit nothing."""
+        names, best, kept = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         with_letters = [i for i, t in enumerate(texts) if has_letters(t)] if self.languages else []
+        of = np.count_nonzero(self.landmarks, axis=1)
         for a in range(0, len(with_letters), _ROWS):
             part = with_letters[a : a + _ROWS]
             x = presence([texts[i] for i in part])
@@ -100,17 +101,11 @@ class Model:
             near = self.near(x, size)
             s = np.clip((near @ self.weights + 1) / 2, 0, 1)
             top = s.argmax(axis=1)
-            for i in np.flatnonzero(size > BINS // 2):  # so many bins are met by chance that only a part of the text tells
-                t = texts[part[i]]
-                while size[i] > BINS // 2:
-                    t = t[: len(t) // 2]
-                    size[i] = np.count_nonzero(one := presence([t]))
-                near[i] = self.near(one, size[i : i + 1])[0]
-            fits = _fit(near, size, np.count_nonzero(self.landmarks, axis=1), self.of[None] == top[:, None])
-            kept = fits + 1 / np.sqrt(np.maximum(size, 1)) >= self.floor[top]  # few n-grams tell little
-            for i, k, v in [x for x, y in zip(zip(part, top, s.max(axis=1)), kept) if y]:
+            few = 1 / np.sqrt(np.maximum(size, 1))  # few n-grams tell little
+            kept[part] = _fit(near, size, of, self.of[None] == top[:, None]) + few >= self.floor[top]
+            for i, k, v in zip(part, top, s.max(axis=1)):
                 names[i], best[i] = self.languages[k], v
-        return names, best
+        return names, best, kept
 
 
 #: Without a language every text is und.
@@ -128,9 +123,7 @@ def _fit(near: np.ndarray, size: np.ndarray, of: np.ndarray, used: np.ndarray) -
 def train(x: np.ndarray, labels: list[str]) -> Model:
     """Fit on texts' presence rows and their languages; of each language its first texts are landmarks, in equal shares."""
     names = sorted(set(labels))
-    if not names:
-        return NO_MODEL
-    return _solve(names, np.array([names.index(k) for k in labels]), np.packbits(x, axis=1))
+    return NO_MODEL if not names else _solve(names, np.array([names.index(k) for k in labels]), np.packbits(x, axis=1))
 
 
 def _solve(names: list[str], y: np.ndarray, bits: np.ndarray) -> Model:
@@ -156,7 +149,7 @@ def _solve(names: list[str], y: np.ndarray, bits: np.ndarray) -> Model:
     own = _fit(near, size, of, (y[first][None] == y[:, None]) & (first[None] != np.arange(len(bits))[:, None]))
     floor = np.full(len(names), np.nan)
     for k in range(len(names)):
-        if len(f := own[(y == k) & ~np.isnan(own) & (size <= BINS // 2)]):
+        if len(f := own[(y == k) & ~np.isnan(own)]):
             floor[k] = min(FLOOR * np.median(f), np.quantile(f, LOWEST))
     known = floor[~np.isnan(floor)]
     floor[np.isnan(floor)] = np.median(known) if len(known) else 0.0  # languages of one text
@@ -175,16 +168,13 @@ def fit(docs: DataFrame) -> Model:
     Rows with a null doc_id, text or lang, and texts without letters, teach nothing; without any other there is no model
     and every text is und. Rows that repeat count once."""
     usable = docs.where("doc_id is not null and lang is not null and text is not null").where(~held_out())
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1).collect()
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row a language, as the model has
     if not counts:
         return NO_MODEL
-    if len(counts) > MOST_LANGUAGES:
-        counts = counts[:-1]
-        warnings.warn(f"over {MOST_LANGUAGES} languages: those with fewer rows than {counts[-1]['lang']} are not learned", stacklevel=2)
-    most = max(2, min(PER_LANGUAGE, SAMPLE // len(counts)))
+    most = max(1, min(PER_LANGUAGE, SAMPLE // len(counts)))
     shares = [(r["lang"], min(1.0, (2 * most + 20) / r["n"])) for r in counts]
-    shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")  # MOST_LANGUAGES rows at most
-    rank = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << 20))
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, share double")
+    rank = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(_RANKS))
 
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for i, j in chunks(text_bytes(batch.column(2))[1]):
@@ -197,7 +187,7 @@ def fit(docs: DataFrame) -> Model:
                     [own.column(0), own.column(1), pa.array([b.tobytes() for b in bits], pa.binary())], ["lang", "rank", "bits"]
                 )
 
-    chosen = usable.select("lang", rank.alias("rank"), "text").join(F.broadcast(shares), "lang").where(F.col("rank") < F.col("share") * (1 << 20))
+    chosen = usable.select("lang", rank.alias("rank"), "text").join(F.broadcast(shares), "lang").where(F.col("rank") < F.col("share") * _RANKS)
     chosen = chosen.select("lang", "rank", "text")
     rows = chosen.mapInArrow(by_batch(kernel), "lang string, rank long, bits binary").groupBy("lang", "bits").agg(F.min("rank").alias("rank"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("rank", "bits"))
@@ -213,13 +203,14 @@ def fit(docs: DataFrame) -> Model:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each row of docs(doc_id, text).
 
-    A prediction depends on the whole text alone. Null texts, texts without letters and texts that fit no language are und
-    with score 0; rows that repeat give a row each; an empty table gives none."""
+    A prediction is a learned language, whether the text fits it or not, and depends on the whole text alone. Null texts and
+    texts without letters are und with score 0, and so is every text if nothing was learned; rows that repeat give a row each;
+    an empty table gives none."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for i, j in chunks(text_bytes(batch.column(2))[1]):
-            names, score = sent.value.predict(batch.column(2)[i:j].to_pylist())
+            names, score, _ = sent.value.predict(batch.column(2)[i:j].to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0)[i:j], batch.column(1)[i:j], pa.array(names, pa.string()), pa.array(score)],
                 ["doc_id", "held_out", "lang_pred", "score"]
@@ -230,16 +221,16 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs whose text has a language (is not und) with a score of LEAST_SCORE or more, with all their columns.
+    """The rows of docs whose text fits its best language with a score of LEAST_SCORE or more, with all their columns.
 
-    Null texts and texts without letters are und and go; rows that repeat are judged alike; nulls in other columns don't
+    Null texts and texts without letters go; rows that repeat are judged alike; nulls in other columns don't
     matter; an empty table stays empty; a long text is judged whole."""
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def kernel(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for i, j in chunks(text_bytes(batch.column(at))[1]):
-            names, score = sent.value.predict(batch.column(at)[i:j].to_pylist())
-            yield batch.slice(i, j - i).filter(pa.array([n != "und" and s >= LEAST_SCORE for n, s in zip(names, score)]))
+            _, score, fits = sent.value.predict(batch.column(at)[i:j].to_pylist())
+            yield batch.slice(i, j - i).filter(pa.array(fits & (score >= LEAST_SCORE)))
 
     return docs.mapInArrow(by_batch(kernel), docs.schema)
 
