@@ -1,6 +1,7 @@
 import hashlib
 import io
 import math
+import time
 import random
 import wave
 import zlib
@@ -74,8 +75,29 @@ def test_chunks_are_stored_once(spark):
     assert {bytes(r.media) for r in M.restore(kept).collect()} == {bytes(r.media) for r in kept.recipes.collect()}
 
 
+def test_long_text_is_restored_in_time_that_follows_its_size(spark):
+    """64 MB in one text whose chunks occur elsewhere too, so that all of them move."""
+    text = "".join(f"{i:x} " for i in range(9_500_000))[: 64 << 20]
+    docs = spark.createDataFrame([(1, text), (2, text[: 20 << 20] + "other")], "doc_id long, text string")
+    kept = M.store(docs)
+    began = time.perf_counter()
+    got = M.features(M.restore(kept)).collect()
+    assert time.perf_counter() - began < 40 and {r.payload_bytes for r in got} == {len(text) + (-len(text)) % 576, (20 << 20) + 5 + (-((20 << 20) + 5)) % 576}
+
+
+def test_hot_chunk_and_hot_text(spark):
+    """A third of all texts are one text, and another third begin with the same chunks."""
+    start = "".join(f"{i} of the start " for i in range(4000))
+    rows = [(i, "the same text" if i % 3 == 0 else start + f"own {i}" if i % 3 == 1 else f"{i} alone") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "'x' as media", "'y' as digest", "0 as seq")
+    got = {r.doc_id: r for r in M.described(docs).collect()}
+    assert len(got) == 150
+    for d, t in rows:
+        assert got[d].payload_sha256 == hashlib.sha256(t.encode() + b"\xff" * ((-len(t.encode())) % 576)).hexdigest()
+
+
 def test_damage_is_found(spark):
-    bad = spark.createDataFrame([(bytearray(b"x" * 32), bytearray(b"".join(next(M.files([b"a"]))[1])))], "media binary, samples binary")
+    bad = spark.createDataFrame([(bytearray(b"x" * 32), [bytearray(c) for c in next(M.files([b"a"]))[1]])], "media binary, parts array<binary>")
     with pytest.raises(Exception, match="damaged"):
         M.features(bad).collect()
 

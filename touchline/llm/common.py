@@ -145,6 +145,16 @@ def met(rows: DataFrame, sides: DataFrame, key: str | list[str], n: str) -> Data
     return marked.where("__hot").drop("__hot").unionByName(rest)
 
 
+def met_counted(rows: DataFrame, sides: DataFrame, key: str) -> DataFrame:
+    """rows with the columns of sides, which has each key once, where nobody has counted the keys of rows (a stored table)
+    yet: as met(), but the count finds hot keys alone, SHARE at most, whose sides are broadcast."""
+    total = rows.count()
+    hot = staged(rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") * SHARE > total).select(key), "hot-keys")
+    hot_sides = sides.join(F.broadcast(hot), key, "left_semi")
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(sides, key)
+    return rows.join(F.broadcast(hot_sides), key).unionByName(rest)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bitmap, bits_for, chunks, in_bitmap, staged, table, text_bytes
+from .common import bitmap, bits_for, chunks, in_bitmap, met_counted, staged, table, text_bytes
 
 UNIT, RATE = 576, 8000
 LEAST, MASK_BITS, MOST = 512, 11, 8192
@@ -179,34 +179,35 @@ def store(docs: DataFrame) -> Store:
     return Store(recipes, stored, shared)
 
 
-def _joined(parts: str) -> F.Column:
+def _ordered(parts: str) -> F.Column:
     """The data of array<struct(seq, data)> in the order of seq."""
-    return F.aggregate(F.array_sort(parts), F.lit(b""), lambda a, x: F.concat(a, x["data"]))
+    return F.transform(F.array_sort(parts), lambda x: x["data"])
 
 
 def restore(kept: Store) -> DataFrame:
-    """(media, samples binary): those of each distinct file, put together from its chunks.
+    """(media, parts array<binary>): the chunks of each distinct file in order; end to end they are its samples.
 
-    Files whose chunks are all their own are read where they lie; only the others' chunks move."""
+    Files whose chunks are all their own are read where they lie; only the others' chunks move, and a chunk that a large share of
+    all references name is broadcast."""
     whole = F.size("own") == F.col("n_chunks")
-    alone = kept.stored.where(whole).select("media", _joined("own").alias("samples"))
+    alone = kept.stored.where(whole).select("media", _ordered("own").alias("parts"))
     recipes = kept.recipes.groupBy("media").agg(F.first("chunks").alias("chunks"))
     refs = recipes.select("media", F.posexplode("chunks").alias("seq", "digest"))
-    fetched = refs.join(kept.shared, "digest").select("media", "seq", "data")
+    fetched = met_counted(refs, kept.shared, "digest").select("media", "seq", "data")
     own = kept.stored.where(~whole).select("media", F.explode("own").alias("o")).select("media", "o.seq", "o.data")
     parts = fetched.unionByName(own).groupBy("media").agg(F.collect_list(F.struct("seq", "data")).alias("parts"))
-    return alone.unionByName(parts.select("media", _joined("parts").alias("samples")))
+    return alone.unionByName(parts.select("media", _ordered("parts").alias("parts")))
 
 
 def features(media: DataFrame) -> DataFrame:
-    """media, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of (media, samples); a
-    file that doesn't have its digest is an error."""
+    """media, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature of (media, parts); a
+    file that doesn't have its digest is an error. A file's chunks are joined once, so time follows its size."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for sha, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                raw = raw.as_py()
+            for sha, parts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = b"".join(parts.as_py())
                 raw = header(len(raw)) + raw
                 if hashlib.sha256(raw).digest() != sha:
                     raise ValueError(f"the stored file {sha.hex()} is damaged")
@@ -230,7 +231,8 @@ def described(docs: DataFrame) -> DataFrame:
     Equal texts share one file and are described once; a null text is stored as an empty one; rows that repeat give a
     row each; an empty table gives none. Memory follows a batch's bytes and the longest text."""
     kept = store(docs)
-    return kept.recipes.select("doc_id", "n_bytes", "media").join(features(restore(kept)), "media").drop("media")
+    media = staged(features(restore(kept)), "media-features")
+    return met_counted(kept.recipes.select("doc_id", "n_bytes", "media"), media, "media").drop("media")
 
 
 def op4_gear_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
