@@ -20,7 +20,7 @@ def brute(docs, items):
     wins = {}
     for item, text in items:
         w = words(text)
-        if item is None or not w:
+        if not w:
             continue
         n = min(10, len(w))
         for i in range(len(w) - n + 1):
@@ -33,7 +33,7 @@ def brute(docs, items):
             for i in range(len(w) - n + 1):
                 if (got := wins.get(tuple(w[i : i + n]))) is not None:
                     hit |= set(range(i, i + n))
-                    who |= got
+                    who |= got - {None}
         out.append((d, len(w), len(hit), len(who), hashlib.sha256(",".join(sorted(map(str, who))).encode()).hexdigest()))
     return sorted(out, key=str)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, bitmap, by_batch, chunks, in_bitmap, keyed, mixed, staged, table, text_bytes, without
+from .common import ROW_KEY, bitmap, bits_for, by_batch, chunks, in_bitmap, keyed, mixed, staged, table, text_bytes, without
 
 WINDOW, GRAM = 10, 5
 #: What a word consists of: 0 for other bytes, else the byte with A-Z lowered.
@@ -116,7 +116,7 @@ def windows_of_items(items: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["item_id", "length", "fp", "at", "words"])
 
-    made = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    made = items.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
     made = made.mapInArrow(by_batch(kernel), "item_id long, length int, fp long, at int, words array<string>")
     return made.groupBy("length", "fp", "at", "words").agg(F.collect_set("item_id").alias("items"))
 
@@ -173,13 +173,13 @@ def document_fingerprints(docs: DataFrame, lengths: list[int], bits: np.ndarray)
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, text_key, n_words, n_hit, n_items, items (as sorted strings) for each row of docs(doc_id, text).
 
-    text_key is xxhash64 of the text, so that (doc_id, text_key) leads back to the row. A null text has no words. Items
-    with a null item_id or text are left out; an item_id may repeat and then counts once. Rows that repeat are judged
-    once and given as often as they occur. Without items, or with an empty table of documents, nothing is hit."""
+    text_key is xxhash64 of the text, so that (doc_id, text_key) leads back to the row. A null text has no words, of documents
+    and of items; an item with a null item_id hits words, but has no name to be counted by; an item_id may repeat and then
+    counts once. Rows that repeat are judged once and given as often as they occur. Without items, or with an empty table of documents, nothing is hit."""
     windows = staged(windows_of_items(items), "item-windows")
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # 1 to WINDOW
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    prints = document_fingerprints(rows, lengths, bitmap(windows, "fp"))
+    prints = document_fingerprints(rows, lengths, bitmap(windows, "fp", bits_for(windows.count())))
     met = prints.alias("d").join(windows.alias("w"), (F.col("d.fp") == F.col("w.fp")) & (F.col("d.length") == F.col("w.length")), "left")
     first = F.col("d.before") - F.col("w.at")
     same = (first >= 0) & (F.slice("d.words", F.greatest(first, F.lit(0)) + 1, F.col("w.length")) == F.col("w.words"))
@@ -227,7 +227,7 @@ with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
 b as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
-      from benchmark where item_id is not null and text is not null),
+      from benchmark where text is not null),
 bl as (select item_id, w, least(10, len(w)) as n from b where len(w) > 0),
 bw as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as win from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i
 from bl)),
@@ -237,8 +237,8 @@ where len(w) >= n)),
 h as (select doc_id, n, i, item_id from dw join bw using (n, win)),
 p as (select doc_id, count(distinct j) as n_hit from (select doc_id, unnest(range(i, i + n)) as j from (select distinct doc_id, n, i from h))
 group by doc_id),
-it as (select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as ids from (select distinct doc_id, cast(item_id as varchar) as s from h)
-group by doc_id)
+it as (select doc_id, count(*) as n_items, string_agg(s, ',' order by s) as ids from (select distinct doc_id, cast(item_id as varchar) as s from h
+where item_id is not null) group by doc_id)
 select d.doc_id as doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(p.n_hit, 0) as bigint) as n_hit, cast(coalesce(it.n_items,
 0) as bigint) as n_items,
        sha256(coalesce(it.ids, '')) as items_sha256, coalesce(p.n_hit, 0) > 0 as contaminated
