@@ -139,3 +139,11 @@ def test_one_of_each_by_component_not_by_id(spark):
     docs = spark.createDataFrame([(None, t) for t in [*near, one]], "doc_id long, text string")
     kept = sorted(x.text for x in one_of_each(docs).collect())
     assert len(kept) == 2 and one in kept and set(kept) < {*near, one}
+
+
+def test_hub_of_many_neighbours(spark):
+    """A hundred thousand nodes that all link one, and a chain that leads into it."""
+    hub = spark.range(1, 100_001).selectExpr("id as a", "0L as b")
+    chain = spark.range(200_000, 200_020).selectExpr("id as a", "if(id = 200019, 77L, id + 1) as b")
+    got = stars(hub.unionByName(chain)).groupBy("b").count().collect()
+    assert [tuple(r) for r in got] == [(0, 100_020)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import met, staged
 
 
 def _oriented(pairs: DataFrame) -> DataFrame:
@@ -19,17 +19,19 @@ def _state(edges: DataFrame) -> tuple:
 def stars(links: DataFrame) -> DataFrame:
     """Links (a long, b long) to a star per component: one row (a, b) for each node but the smallest, b the smallest.
 
-    Self links and repeats don't matter; no links give no rows. Each round reads a staged table, so lineage stays
+    Self links and repeats don't matter; no links give no rows. A node with a large share of all links is hot, and is met by a
+    broadcast, so that its neighbours are never in one task. Each round reads a staged table, so lineage stays
     short; the number of rounds grows with the logarithm of the longest chain."""
     edges = staged(_oriented(links), "links")
     state = _state(edges)
     while state[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = _oriented(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
+        # a hub's neighbours are counted and reduced before any shuffle, and meet their least one where they lie
+        least = staged(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"), F.count("*").alias("n")), "large-least")
+        large = _oriented(met(both.where("b > a"), least, "a", "n").select(F.col("b").alias("a"), F.col("m").alias("b")))
         large = staged(large, "large-star")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = staged(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "small-least")
+        small = met(large, least, "a", "n").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = staged(_oriented(small.unionByName(least.select("a", F.col("m").alias("b")))), "small-star")
         before, state = state, _state(edges)
         if before == state:
