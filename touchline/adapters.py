@@ -36,13 +36,13 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def match_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event rows, each followed by its game's full-time event: that repeats in a game, and the first of them holds."""
+    """Event rows, and one full-time event for each game."""
     rows = event_rows(spark, sf_dir)
     full = {
-        "game_id": "game_id", "period": "period", "event_ordinal": "-1L", "type": "'End'", "expanded_minute": str(LAST_MINUTE), "is_goal": "false"
+        "game_id": "game_id", "period": "'SecondHalf'", "event_ordinal": "-1L", "type": "'End'", "expanded_minute": str(LAST_MINUTE), "is_goal": "false"
     }
-    end = [f"'{f.name}', {full.get(f.name, f'cast(null as {f.dataType.simpleString()})')}" for f in rows.schema.fields]
-    return rows.selectExpr(f"inline(array(struct({', '.join(rows.columns)}), named_struct({', '.join(end)})))")
+    end = [f"{full.get(f.name, f'cast(null as {f.dataType.simpleString()})')} as {f.name}" for f in rows.schema.fields]
+    return rows.unionAll(rows.select("game_id").distinct().selectExpr(*end))
 
 
 def lineups(events: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import math
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -113,10 +115,16 @@ def fit(actions: DataFrame, seed: int = 7, validation: float = VALIDATION, **par
         data.unpersist()
 
 
-def rate(actions: DataFrame, models: tuple[PipelineModel, PipelineModel]) -> DataFrame:
+#: Two models, or a function that gives actions their p_scores and p_concedes.
+Models = tuple[PipelineModel, PipelineModel] | Callable[[DataFrame], DataFrame]
+
+
+def rate(actions: DataFrame, models: Models) -> DataFrame:
     """Actions with offensive, defensive and value: the change of the chance to score, minus that of the chance to
     concede, and their sum. Chances before are those after the previous action of the period, swapped if the other
     team had it; before the first action they are 0."""
+    if callable(models):
+        return values(models(actions))
     data = features(actions)
     for name, model in zip(("p_scores", "p_concedes"), models):
         done = model.transform(data)
@@ -134,7 +142,7 @@ def values(actions: DataFrame) -> DataFrame:
     return actions.withColumns({"offensive": offensive, "defensive": defensive, "value": offensive + defensive})
 
 
-def vaep_metric(on_pitch: DataFrame, actions: DataFrame | None, models: tuple[PipelineModel, PipelineModel] | None) -> DataFrame:
+def vaep_metric(on_pitch: DataFrame, actions: DataFrame | None, models: Models | None) -> DataFrame:
     if actions is None or models is None:
         return no_metric(on_pitch)
     return as_metric(on_pitch_sum(on_pitch, rate(actions, models)), F.col("value"), "vaep")

@@ -67,12 +67,31 @@ def fit_goal_rates(games: DataFrame) -> PipelineModel:
 
 def team_value(timeline: DataFrame, on_pitch: DataFrame) -> DataFrame:
     """(game_id, player_id, team_value, opp_value): the mean rating of each side over the minutes from minute_on to
-    minute_off (both included). timeline(game_id, team_id, minute, value)."""
-    t, p = timeline.alias("t"), on_pitch.alias("p")
-    met = p.join(t, (F.col("p.game_id") == F.col("t.game_id")) & F.col("t.minute").between(F.col("p.minute_on"), F.col("p.minute_off")))
-    own = F.col("t.team_id") == F.col("p.team_id")
-    return met.groupBy("p.game_id", "p.player_id").agg(
-        F.avg(F.when(own, F.col("t.value"))).alias("team_value"), F.avg(F.when(~own, F.col("t.value"))).alias("opp_value")
+    minute_off (both included). timeline(game_id, team_id, minute, value).
+
+    A sweep line: running sums of ratings by minute, of the game and of the side, are read before a spell's first minute
+    and at its last, and the opponents' are what the side's leave of the game's. So a spell is two rows, however long, and
+    both sums share one shuffle by game. Spells that end before they begin, or without a rated minute, give no row."""
+    counted = [F.col("value").cast("double").alias("value"), F.col("value").isNotNull().cast("long").alias("n")]
+    points = timeline.select("game_id", "team_id", "minute", *counted, F.lit(None).cast("long").alias("player_id"), F.lit(0).alias("sign"))
+    edge = F.explode(F.array(
+        F.struct((F.col("minute_on") - 1).alias("minute"), F.lit(-1).alias("sign")), F.struct(F.col("minute_off").alias("minute"), F.lit(1).alias("sign"))
+    ))
+    spells = on_pitch.where("minute_on <= minute_off").select("game_id", "team_id", "player_id", edge.alias("e")).select(
+        "game_id", "team_id", "e.minute", F.lit(None).cast("double").alias("value"), F.lit(0).cast("long").alias("n"), "player_id", "e.sign"
+    )
+    order = ["minute", F.col("sign") != 0]  # a reading sees all ratings of its minute
+    running = lambda *keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    whole, own = running("game_id"), running("game_id", "team_id")
+    summed = points.unionByName(spells).withColumns({
+        "all": F.coalesce(F.sum("value").over(whole), F.lit(0.0)), "all_n": F.sum("n").over(whole), "rows": F.sum((F.col("sign") == 0).cast("long")).over(whole)
+    }).withColumns({"own": F.coalesce(F.sum("value").over(own), F.lit(0.0)), "own_n": F.sum("n").over(own)})
+    part = lambda c: F.sum(F.col("sign") * F.col(c)).alias(c)
+    per = summed.where("sign <> 0").groupBy("game_id", "player_id").agg(*map(part, ("all", "all_n", "own", "own_n", "rows"))).where("rows > 0")
+    mean = lambda total, n: F.when(n > 0, total / n)
+    return per.select(
+        "game_id", "player_id", mean(F.col("own"), F.col("own_n")).alias("team_value"),
+        mean(F.col("all") - F.col("own"), F.col("all_n") - F.col("own_n")).alias("opp_value")
     )
 
 
@@ -101,6 +120,7 @@ def season(entries: DataFrame, first: float, folder: str) -> DataFrame:
     recent = F.coalesce(F.sum("minutes").over(days.rangeBetween(-90, -1)), F.lit(0))
     number = F.row_number().over(Window.partitionBy("player_id").orderBy("match_day", "game_id"))
     rows = entries.withColumns({"minutes_3_months": recent, "nth": number})
+    rows = rows.withColumn("players", F.count("*").over(Window.partitionBy("game_id")))
     rows.write.partitionBy("nth").parquet(f"{run}/entries")
     rows = spark.read.schema(rows.schema).parquet(f"{run}/entries")
     state = "player_id bigint, nth int, elo double"
@@ -113,8 +133,7 @@ def season(entries: DataFrame, first: float, folder: str) -> DataFrame:
         ahead = rows.where(F.col("nth") <= n + 1).join(latest, "player_id", "left").where(F.col("nth") > F.coalesce("last", F.lit(0)))
         # a game that some player meets only later has fewer of its players here than in all
         next_ = ahead.where(F.col("nth") == F.coalesce("last", F.lit(0)) + 1)
-        here, all_ = next_.groupBy("game_id").agg(F.count("*").alias("here")), rows.groupBy("game_id").agg(F.count("*").alias("all"))
-        ready = here.join(all_, "game_id").where("here = all").select("game_id")
+        ready = next_.groupBy("game_id").agg(F.count("*").alias("here"), F.max("players").alias("all")).where("here = all").select("game_id")
         now = next_.join(ready, "game_id", "left_semi").withColumn("elo", F.coalesce("elo", F.lit(first)))
         side = now.groupBy("game_id", "team_id").agg(F.avg("elo").alias("value"))
         met = now.join(side.withColumnRenamed("value", "team_value"), ["game_id", "team_id"])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ def facts(docs: DataFrame, strict: bool = True) -> dict[str, DataFrame]:
     return {"events": events, "lineups": lineups, "teams": matches.teams(docs), "home": home, "actions": stream, "on_pitch": on_pitch}
 
 
-def metrics(f: dict[str, DataFrame], grid: DataFrame | None = None, models: tuple[PipelineModel, PipelineModel] | None = None) -> DataFrame:
+def metrics(f: dict[str, DataFrame], grid: DataFrame | list[float] | None = None, models: actionvalue.Models | None = None) -> DataFrame:
     """(player_id, game_id, metric, value): minutes, goals, xt and vaep; without a model its metric has no rows."""
     scored = goals.on_pitch_goals(f["on_pitch"], goals.goals(f["events"], f["teams"]))
     both = {"minutes": F.col("minute_off") - F.col("minute_on"), "goals": F.col("goals_for") - F.col("goals_against")}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import adapters as A
 from .functions import dates, names, scoring, seasons
 from .operators import actions as stream
-from .operators import actionvalue, dedup, elo, goals, minutes, ratings, splits, squads, threat, upsert
+from .operators import actionvalue, dedup, elo, goals, minutes, ratings, sketches, splits, squads, threat, upsert
 from .plans import lineups, prepare, score
 from .sources import html, matches, rest, rosters
 
@@ -328,13 +328,45 @@ def player_info(spark, sf):
     )
 
 
-@query(
-    f"""with {A.PITCH} select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl union all select player_id,
-game_id, 'goals', cast(gf - ga as double) from gd"""
-)
+@query("""select cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as bigint) as game_id, count(*) as events, max(event_id) as last_id,
+sum(cast(json_extract(props, '$.k') as int)) as k, count(json_extract(props, '$.absent')) as absent from events group by 1""")
+def raw_event_fields(spark, sf):
+    """Fields that no schema names, out of raw events: each event is a document of its own, with the props of the table."""
+    e = A.table(spark, sf, "events")
+    day = F.expr("cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as long)")
+    text = F.concat(F.lit('{"events":[{"eventId":'), F.col("event_id").cast("string"), F.lit(',"props":'), F.col("props"), F.lit("}]}"))
+    raw = matches.split_events(e.select(day.alias("game_id"), F.parse_json(text).alias("d")))
+    value = lambda path, kind: matches.field(F.col("event"), path, kind)
+    return raw.groupBy("game_id").agg(
+        F.count("*").alias("events"), F.max(value("$.eventId", "long")).alias("last_id"), F.sum(value("$.props.k", "int")).alias("k"),
+        F.count(value("$.props.absent", "string")).alias("absent")
+    )
+
+
+def _cell(x: str, y: str) -> str:
+    return f"(least(greatest(floor({x} / 105 * 16), 0), 15) * 12 + least(greatest(floor({y} / 68 * 12), 0), 11))"
+
+
+_BEFORE = "coalesce(case when lag(team_id) over w = team_id then lag({}) over w else lag({}) over w end, 0)"
+
+
+@query(f"""with {A.PITCH}, {A.STREAM.removeprefix(A.EV + ',')},
+sa as (select *, row_number() over (partition by game_id order by event_id, step) - 1 as aid from sd),
+ch as (select *, (aid % 50) / 100.0 as ps, (aid % 20) / 100.0 as pc from sa),
+vl as (select game_id, player_id, secs, (ps - {_BEFORE.format('ps', 'pc')}) + ({_BEFORE.format('pc', 'ps')} - pc) as v,
+case when tn in ('pass', 'dribble', 'cross') and rn = 'success' then ({_cell('ex', 'ey')} - {_cell('sx', 'sy')}) / 192.0 end as x
+from ch window w as (partition by game_id order by aid)),
+sm as (select pl.player_id as player_id, pl.game_id as game_id, coalesce(sum(x), 0) as xt, coalesce(sum(v), 0) as vaep from pl left join vl
+on pl.game_id = vl.game_id and pl.player_id = vl.player_id and secs / 60 > p_on and secs / 60 < p_off group by pl.game_id, pl.player_id)
+select player_id, game_id, 'minutes' as metric, cast(p_off - p_on as double) as value from pl
+union all select player_id, game_id, 'goals', cast(gf - ga as double) from gd
+union all select player_id, game_id, 'xt', round(xt + 0.000000123, 6) from sm union all select player_id, game_id, 'vaep', round(vaep + 0.000000123, 6) from sm""")
 def score_documents(spark, sf):
-    """The whole scoring job, from documents to the rows of the metric table."""
-    return score.metrics(score.facts(A.documents(spark, sf)))
+    """The whole scoring job, from documents to the rows of the metric table: all four metrics, threat by a given grid and action
+    values by given chances."""
+    chances = lambda a: a.withColumns({"p_scores": F.col("action_id") % 50 / 100.0, "p_concedes": F.col("action_id") % 20 / 100.0})
+    got = score.metrics(score.facts(A.documents(spark, sf)), _RAMP, chances)
+    return got.withColumn("value", F.when(F.col("metric").isin("xt", "vaep"), _r(F.col("value") + 0.000000123)).otherwise(F.col("value")))
 
 
 @query(
@@ -638,7 +670,8 @@ def number_in_use_close(spark, sf):
 from customer where c_mktsegment = 'BUILDING')
 select sq.player_id as player_id, sq.kit_number as kit_number, sq.team_id as team_id, valid_from, case when valid_to = date '2099-12-31'
 and ch.player_id is not null then day_ else valid_to end as valid_to from sq left join ch on ch.player_id = sq.player_id
-union all select player_id, kit_number, team_id, day_, date '2099-12-31' from ch""")
+union all select player_id, kit_number, team_id, day_, case when lead(player_id) over (partition by team_id order by player_id) is null
+then date '2099-12-31' else day_ end from ch""")
 def squad_change(spark, sf):
     c = A.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")  # who changes number
     changes = c.select(
@@ -648,6 +681,50 @@ def squad_change(spark, sf):
     return squads.change(squads.history(A.squad_entries(A.games(spark, sf))), changes)
 
 
+_LOG = """lg as (select case o_orderkey % 9 when 0 then 'take' when 1 then 'enter' else 'change' end as kind, o_custkey as player_id,
+cast(o_orderkey % 30 as int) as kit_number, cast(o_custkey % 25 as bigint) as team_id, cast(o_orderdate as date) + 200 as day_, o_orderkey as seq from orders),
+ev as (select *, row_number() over (order by day_, seq) as n from lg)"""
+
+
+# for each row the least day of the events that may end it, without looking at their order
+@query(f"""with {A.GM}, {_LOG}, rw as (select player_id, kit_number, team_id, valid_from, valid_to, 0 as n from sq
+union all select player_id, kit_number, team_id, case kind when 'enter' then date '1900-01-01' else day_ end, date '2099-12-31', n from ev where kind <> 'take'),
+tk as (select r.player_id, r.n, r.valid_from, min(e.day_) as d from rw r join ev e on e.team_id = r.team_id and e.kit_number = r.kit_number
+and e.n > r.n and e.day_ >= r.valid_from group by all),
+mv as (select r.player_id, r.n, r.valid_from, min(e.day_) as d from rw r join ev e on e.player_id = r.player_id and e.kind = 'change' and e.n > r.n
+where r.valid_to = date '2099-12-31' group by all)
+select r.player_id, r.kit_number, r.team_id, r.valid_from, least(r.valid_to, tk.d, mv.d) as valid_to from rw r
+left join tk on tk.player_id = r.player_id and tk.n = r.n and tk.valid_from = r.valid_from
+left join mv on mv.player_id = r.player_id and mv.n = r.n and mv.valid_from = r.valid_from""")
+def squad_log(spark, sf):
+    """A log in which players change often and numbers go from hand to hand."""
+    kind = F.expr(f"case o_orderkey % 9 when 0 then '{squads.TAKE}' when 1 then '{squads.ENTER}' else '{squads.CHANGE}' end")
+    log = A.table(spark, sf, "orders").select(
+        kind.alias("kind"), F.col("o_custkey").alias("player_id"), F.expr("cast(o_orderkey % 30 as int)").alias("kit_number"),
+        F.expr("cast(o_custkey % 25 as long)").alias("team_id"), F.date_add(F.to_date("o_orderdate"), 200).alias("day"), F.col("o_orderkey").alias("seq")
+    )
+    return squads.replay(squads.history(A.squad_entries(A.games(spark, sf))), log)
+
+
+# sightings of the numbers that players have; whoever has the number of the sighting before stays
+@query(f"""with {A.GM}, first as (select player_id, min(day_) as f from se group by player_id), op as (select player_id, kit_number, team_id from sq join first using (player_id)
+where valid_to = date '2099-12-31' and player_id % 3 = 0),
+sn as (select player_id, kit_number, team_id, null as day_ from (select *, row_number() over (partition by team_id, kit_number order by player_id) as rn from op) where rn = 1
+union all select player_id, kit_number, team_id, day_ + 3000 from se),
+mk as (select *, lag(player_id) over (partition by team_id, kit_number order by day_ nulls first, player_id) as who,
+lag(kit_number) over (partition by player_id order by day_ nulls first, team_id, kit_number) as what,
+lag(team_id) over (partition by player_id order by day_ nulls first, team_id, kit_number) as place from sn)
+select case when bool_or(day_ is null) over (partition by player_id) or what is not null then 'change' else 'enter' end as kind, player_id, kit_number, team_id, day_ as day
+from mk qualify day_ is not null and not (coalesce(who = player_id, false) and coalesce(what = kit_number, false) and coalesce(place = team_id, false))""")
+def squad_sightings(spark, sf):
+    """What line-ups, seen years later, change in the squads of every third player."""
+    entries = A.squad_entries(A.games(spark, sf))
+    squad = squads.history(entries).where(F.col("valid_to") == F.lit(squads.FOREVER)).where("player_id % 3 = 0")
+    squad = squad.groupBy("team_id", "kit_number").agg(F.min_by(F.struct("player_id", "valid_from", "valid_to"), "player_id").alias("r"))
+    seen = entries.withColumn("day", F.date_add("day", 3000))
+    return squads.events_of(squad.select("r.player_id", "kit_number", "team_id", "r.valid_from", "r.valid_to"), seen).drop("seq")
+
+
 @query(f"""with {A.GM}, l as (select n_nationkey as team_id, n_name as team_name, cast(k as int) as kit_number from nation, range(30) as r(k))
 select team_name, l.kit_number as kit_number, max_by(player_id, (valid_from, player_id)) as player_id from l left join sq on sq.team_id = l.team_id
 and sq.kit_number = l.kit_number and date '1999-01-01' between valid_from and valid_to group by team_name, l.kit_number""")
@@ -953,6 +1030,22 @@ def mov_quantiles(spark, sf):
     return elo.margin_quartiles(_ei(spark, sf).withColumn("margin", F.col("value")), F.col("k") % 10)
 
 
+# how many values are on each side of the sketch's quartiles is known within its error; ranges of it hold the exact ones
+@query(f"""with {_EI}, d as (select e.k % 10 as bucket, e.value, x.ts::date as day_ from ei as e join events as x using (event_id) where e.value is not null),
+r as (select * from d where day_ >= date '2024-01-08')
+select bucket, count(*) as n, true as low_holds, true as high_holds from r group by 1""")
+def margin_sketches(spark, sf):
+    """Quartiles of all days but the first week's, from sketches by bucket and day: whether each is within the sketch's error."""
+    e = A.table(spark, sf, "events").select("value", "ts", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    bucket, day = (F.col("k") % 10).alias("bucket"), F.to_date("ts")
+    stored = sketches.daily(e, F.col("value"), bucket, day).where(F.col("day") >= F.lit(date(2024, 1, 8)))
+    low_high = sketches.quartiles(stored)
+    rows = e.where(day >= F.lit(date(2024, 1, 8))).where("value is not null").select(bucket, "value").join(F.broadcast(low_high), "bucket")  # ten rows
+    share = lambda c: F.count_if(c) / F.count("*")
+    holds = lambda q, rank: (share(F.col("value") < F.col(q)) <= rank + sketches.ERROR) & (share(F.col("value") <= F.col(q)) >= rank - sketches.ERROR)
+    return rows.groupBy("bucket").agg(F.count("*").alias("n"), holds("low", 0.25).alias("low_holds"), holds("high", 0.75).alias("high_holds"))
+
+
 @query(f"with {_EI} select event_id, round(mov / cast(max(abs(mov)) over () as double), 6) as scaled, greatest(mov, 0) as clipped from ei")
 def maxabs_scaled(spark, sf):
     rows = _ei(spark, sf)
@@ -963,7 +1056,7 @@ def maxabs_scaled(spark, sf):
 
 
 @query(f"""with {_EI}, r as (select distinct k, 0.5 + k / 50.0 as h, 2.5 - k / 50.0 as a from ei), g as (select i, case when i < 2 then 1.0
-else cast(factorial(cast(i as int)) as double) end as f from range(13) as t(i)),
+else exp(lgamma(i + 1.0)) end as f from range(61) as t(i)),
 s as (select k, x.i as x, y.i as y, exp(-h) * pow(h, x.i) / x.f * exp(-a) * pow(a, y.i) / y.f as p from r, g as x, g as y)
 select k, round(sum(case when x > y then p end) / sum(p), 6) as win, round(sum(case when x = y then p end) / sum(p), 6) as draw, round(sum(case
 when x < y then p end) / sum(p), 6) as loss from s group by k""")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..schemas import EVENT_COLUMNS, MATCH
+from ..schemas import EVENT, EVENT_COLUMNS, MATCH
 
 
 def read(spark: SparkSession, path: str, games: DataFrame | None = None, missing: str = "error") -> DataFrame:
@@ -94,3 +95,30 @@ def team_ids(schedule: DataFrame, docs: DataFrame) -> DataFrame:
     """(home_team, team_id): the id that each home side of the schedule has in its first game's document."""
     first = schedule.groupBy("home_team").agg(F.min_by("game_id", F.struct("date", "game_id")).alias("game_id"))
     return first.join(home_teams(docs), "game_id").select("home_team", F.col("home_team_id").alias("team_id"))
+
+
+def raw_events(spark: SparkSession, path: str) -> DataFrame:
+    """(game_id, event_ordinal, event variant): events as they are in the documents under path, with all their fields, those too that
+    EVENT doesn't know. Documents without events give no rows."""
+    docs = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(path, wholetext=True)
+    docs = docs.select(F.regexp_extract(F.input_file_name(), r"(\d+)\.json$", 1).cast("long").alias("game_id"), F.parse_json("value").alias("d"))
+    return split_events(docs)
+
+
+def split_events(docs: DataFrame) -> DataFrame:
+    """raw_events of docs(game_id, d variant)."""
+    each = docs.select("game_id", F.variant_get("d", "$.events", "array<variant>").alias("events"))
+    return each.select("game_id", F.posexplode("events").alias("event_ordinal", "event"))
+
+
+def field(event: Column, path: str, kind: str) -> Column:
+    """A typed value out of a raw event; null where it is absent or of another kind."""
+    return F.try_variant_get(event, path, kind)
+
+
+def unknown_fields(raw: DataFrame) -> DataFrame:
+    """(path, kind, events): the fields of raw_events that EVENT doesn't name, and in how many events each kind of them occurs: what a feed
+    has added."""
+    known = StructType.fromDDL(f"event {EVENT}")["event"].dataType.names
+    each = raw.select(F.explode(F.variant_get("event", "$", "map<string, variant>")).alias("path", "v")).where(~F.col("path").isin(*known))
+    return each.groupBy("path", F.schema_of_variant("v").alias("kind")).agg(F.count("*").alias("events"))
