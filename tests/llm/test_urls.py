@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -41,6 +43,7 @@ def test_against_brute_force(spark, bits):
 def test_no_joins_and_bounded_literals(spark, monkeypatch):
     """No job of any segment joins, and none has more bits in its plan than it may."""
     monkeypatch.setattr(U, "expected_bits", lambda *n: 1)  # too low a guess, so that segments are split
+    monkeypatch.setattr(U, "TOGETHER", 1)  # their levels are told apart by their order
     sizes, plans, level, writer = [], [], U._level, type(spark.range(1).write).parquet
     monkeypatch.setattr(U, "_level", lambda keys, i, bits, probes: sizes.append((i, bits)) or level(keys, i, bits, probes))
     monkeypatch.setattr(
@@ -58,6 +61,20 @@ def test_no_joins_and_bounded_literals(spark, monkeypatch):
     assert 0 < most <= 1024 + max(b for _, b in sizes)
 
 
+def test_many_segments_with_a_hot_url_and_few_files(spark, monkeypatch):
+    """Many segments; a third of all pages have one url; a folder has few files however many tasks write."""
+    folders = []
+    monkeypatch.setattr(U, "new_folder", lambda s, name, new=U.new_folder: folders.append(new(s, name)) or folders[-1])
+    urls = "concat('http://', if(id % 3 = 0, 'hot.net/x', concat('h', id % 5, '.net/', id))) as url"
+    pages = spark.range(600).selectExpr("id as page_id", urls).repartition(20)
+    listed = spark.range(600).selectExpr("concat('h', id % 5, '.net/', id) as key").where("id % 2 = 0").unionByName(spark.createDataFrame([("hot.net/x",)], "key string"))
+    got = {r.page_id: r.verdict for r in U.judge(pages, listed, max_bits=256).collect()}
+    assert got == {i: "block" if i % 3 == 0 or i % 2 == 0 else "allow" for i in range(600)}
+    parts = next(Path(f) for f in folders if "url-pages" in f)
+    files = [len(list(d.glob("*.parquet"))) for d in parts.iterdir() if d.is_dir()]
+    assert len(files) > 5 and max(files) <= U.FILES
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.net/x")], "page_id long, url string")
     none = spark.createDataFrame([], "key string")

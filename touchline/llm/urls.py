@@ -7,13 +7,14 @@ tests on literals: no join, no shuffle.
 
 Literals are bounded, so keys are dealt by their hash to as many segments as it takes, each with a cascade of its own. One
 segment judges all pages in one plan. Of several, each reads the pages of its own keys alone, from a table parted by
-segment, and writes its verdicts; together they read every page once.
+segment, and writes its verdicts; together they read every page once, and some are worked on at a time.
 """
 
 from __future__ import annotations
 
 import math
 import string
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,8 @@ from .common import new_folder, staged, table
 MAX_BITS = 1 << 24
 #: Pages and keys lie in so many folders at most; segments beyond that share folders.
 MOST_FOLDERS = 4096
+#: Files of a folder at most, and segments that are worked on at once.
+FILES, TOGETHER = 8, 8
 #: (verdict, host, path); a rule fits its host and all subdomains if the path starts with the rule's.
 RULES = (
     ("allow", "org", "/"),
@@ -155,22 +158,32 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES, max_bits: int = MAX_
     first = min(1 << math.ceil(math.log2(max(2, 1.2 * expected_bits(*n) / max_bits))), MOST_FOLDERS)
     segment = lambda of: F.pmod(F.xxhash64(F.lit("segment"), F.col("key")), F.lit(of))
 
-    def parted(df: DataFrame, folder: str) -> DataFrame:
-        df.withColumn("folder", segment(first)).write.partitionBy("folder").parquet(at := new_folder(spark, folder))
-        return spark.read.schema(df.withColumn("folder", segment(first)).schema).parquet(at)
+    def parted(df: DataFrame, folder: str, salt: str) -> DataFrame:
+        """df in folders by segment, of FILES files each at most; rows of one key go to as many tasks, for salt is not of the key."""
+        rows = df.withColumn("folder", segment(first)).withColumn("salt", F.pmod(F.xxhash64(F.lit("salt"), F.col(salt)), F.lit(FILES)))
+        rows.repartition("folder", "salt").drop("salt").write.partitionBy("folder").parquet(at := new_folder(spark, folder))
+        return spark.read.schema(rows.drop("salt").schema).parquet(at)
 
-    parts, universe, out = parted(parts, "url-pages"), parted(universe, "url-segments"), new_folder(spark, "url-verdicts")
-    todo, done = [(first, r) for r in range(first)], []
-    while todo:
-        m, r = todo.pop()
+    out = new_folder(spark, "url-verdicts")
+    parts, universe = parted(parts, "url-pages", "page_id"), parted(universe, "url-segments", "key")
+
+    def judged_segment(m: int, r: int) -> str | None:
+        """Where the verdicts of a segment's pages are; None if its keys are too many for one plan."""
         mine = (F.col("folder") == r % first) & (segment(m) == r)
         own = universe.where(mine)
         inside = cascade(own, *sizes(own), max_bits)
-        if inside is None:  # too many for one plan: its keys are dealt to two
-            todo += [(2 * m, r), (2 * m, r + m)]
-            continue
-        done.append(f"{out}/{m}-{r}")
-        judged(parts.where(mine), inside).write.parquet(done[-1])
+        if inside is None:
+            return None
+        judged(parts.where(mine), inside).write.parquet(f"{out}/{m}-{r}")
+        return f"{out}/{m}-{r}"
+
+    todo, done = [(first, r) for r in range(first)], []
+    with ThreadPoolExecutor(TOGETHER) as pool:  # a segment's jobs are small: several at once fill the cluster
+        while todo:
+            found = list(pool.map(lambda x: judged_segment(*x), todo))
+            done += [at for at in found if at]
+            # the keys of those that are left are dealt to two
+            todo = [(2 * m, r + k * m) for (m, r), at in zip(todo, found) if not at for k in (0, 1)]
     return spark.read.schema(judged(parts, F.lit(False)).schema).parquet(*done)
 
 
