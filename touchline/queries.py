@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from . import adapters as A
 from .functions import dates, names, scoring, seasons
 from .operators import actions as stream
-from .operators import actionvalue, dedup, elo, goals, minutes, ratings, sketches, splits, squads, threat, upsert
+from .operators import actionvalue, dedup, elo, frontier, goals, minutes, ratings, sketches, splits, squads, threat, upsert
 from .plans import lineups, prepare, score
 from .sources import html, matches, rest, rosters
 
@@ -1096,3 +1096,21 @@ def forecast_scores(spark, sf):
     seen, mean, deviation = F.col("value"), F.col("k").cast("double"), (F.col("m") + 2).cast("double")
     mse, nll = F.avg(scoring.squared_error(mean, seen)), F.avg(scoring.normal_nll(seen, mean, deviation))
     return _ei(spark, sf).groupBy((F.col("k") % 10).alias("bucket")).agg(_r(mse, 4).alias("mse"), _r(nll).alias("nll"))
+
+
+# a page's time by the one before it of its host, step by step
+@query("""with recursive p as (select split_part(url, '/', 3) as host, url, max(page_id % 5) as priority, max(page_id % 4) as tries,
+max(1000.0 - page_id % 100) as failed from pages where url is not null group by 1, 2),
+l as (select * from p where url not in (select url from pages where page_id % 7 = 0 and url is not null)),
+r as (select host, url, row_number() over (partition by host order by ready, priority desc, url) - 1 as place, ready from
+(select *, case when tries < 1 then 1000.0 else greatest(failed + 30.0 * pow(2, tries - 1), 1000.0) end as ready from l)),
+t as (select host, url, place, cast(ready as double) as due from r where place = 0
+union all select r.host, r.url, r.place, greatest(r.ready, t.due + 1.0) from t join r on r.host = t.host and r.place = t.place + 1)
+select host, url, cast(place as int) as place, due from t""")
+def crawl_frontier(spark, sf):
+    """When to fetch the pages that have not landed, one a second and host, with failed ones later."""
+    pages = A.table(spark, sf, "pages").select(
+        F.split_part("url", F.lit("/"), F.lit(3)).alias("host"), "url", (F.col("page_id") % 5).alias("priority"), (F.col("page_id") % 4).alias("tries"),
+        (1000.0 - F.col("page_id") % 100).alias("failed_at"), "page_id"
+    )
+    return frontier.schedule(pages, pages.where("page_id % 7 = 0"), 1000.0)
