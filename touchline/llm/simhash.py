@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ROW_KEY, by_batch, chunks, keyed, met, staged, table, text_bytes, without
+from .common import ROW_KEY, by_batch, chunks, keyed, met, staged, table, text_bytes, without, tidy
 from .components import stars
 
 WORDS, BITS, SEED = 3, 3, 42
@@ -162,7 +162,7 @@ def links(nodes: DataFrame, most: int = RUN) -> DataFrame:
     """Links (a, b) between distinct fingerprints that differ in at most 3 bits: enough of them to connect all."""
     kind = "key long, a long, b long"
     index = variants(nodes).repartition("key").sortWithinPartitions("key")
-    found = staged(index.mapInArrow(_runs(most), kind), "runs")
+    found = staged(index.mapInArrow(tidy(_runs(most)), kind), "runs")
     done, rest = found.where("b is not null").select("a", "b"), found.where("b is null")
     if rest.isEmpty():
         return done
@@ -177,7 +177,7 @@ def links(nodes: DataFrame, most: int = RUN) -> DataFrame:
     part = F.pmod(F.xxhash64("fp"), F.col("n").cast("long")).cast("int")
     pairs = parts.join(sizes, "key").select("key", "fp", part.alias("p"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("q"))
     pairs = pairs.select(F.xxhash64("key", F.least("p", "q"), F.greatest("p", "q")).alias("key"), "fp").repartition("key").sortWithinPartitions("key")
-    return done.unionByName(pairs.mapInArrow(_runs(None), kind).select("a", "b"))
+    return done.unionByName(pairs.mapInArrow(tidy(_runs(None)), kind).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_batch, chunks, table, text_bytes
+from .common import by_batch, chunks, table, text_bytes, tidy
 from .decontaminate import word_hashes
 
 MODEL = "piece_bpe_32k.model"
@@ -456,7 +456,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), sizes, lists, same], ["doc_id", "n_pieces", "piece_ids", "same"])
 
     keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return keys.mapInArrow(run, "doc_id long, n_pieces long, piece_ids array<int>, same boolean")
+    return keys.mapInArrow(tidy(run), "doc_id long, n_pieces long, piece_ids array<int>, same boolean")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -492,7 +492,7 @@ def with_pieces(docs: DataFrame, path: str) -> DataFrame:
             for part, lists, same in _encoded(batch, at, to_ids, to_text):
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, same], [*names, "piece_ids", "same"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def op8_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
