@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from touchline.operators import goals
@@ -48,3 +50,16 @@ def test_metric_is_the_difference(spark):
     rows = spark.createDataFrame([(42, 1, 2, 1), (42, 2, 0, 3)], "game_id long, player_id long, goals_for long, goals_against long")
     assert sorted(map(tuple, goals.goals_metric(rows).collect())) == [(1, 42, "goals", 1.0), (2, 42, "goals", -3.0)]
     assert goals.goals_metric(rows.limit(0)).collect() == []
+
+
+def test_many_goals_and_players_of_a_game(spark):
+    """Goals of a minute and team are counted before players meet them: a list of them all took hours."""
+    p = spark.range(20_000).selectExpr("1L as game_id", "id as player_id", "id % 2 + 1 as team_id", "cast(id % 10 as int) as minute_on", "90 as minute_off")
+    g = spark.range(200_000).selectExpr("1L as game_id", "cast(id % 95 as int) as expanded_minute", "if(id % 7 = 0, null, id % 2 + 1) as goal_team_id")
+    start = time.monotonic()
+    got = {(r.team_id, r.minute_on): (r.goals_for, r.goals_against) for r in goals.on_pitch_goals(p, g).distinct().collect()}
+    assert time.monotonic() - start < 30
+    of = [(i % 95, i % 2 + 1) for i in range(200_000) if i % 7]
+    for (team, on), (mine, other) in got.items():
+        inside = [t for m, t in of if on < m < 90]
+        assert (mine, other) == (inside.count(team), len(inside) - inside.count(team))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,18 +28,22 @@ def goals(events: DataFrame, teams: DataFrame, every: bool = False) -> DataFrame
 def on_pitch_goals(on_pitch: DataFrame, scored: DataFrame) -> DataFrame:
     """on_pitch with goals_for and goals_against: goals strictly between minute_on and minute_off, by team.
 
-    A game's goals are a list on the row of the game, so players meet them in one join on the game and nothing is
-    multiplied or grouped again."""
-    games = scored.groupBy("game_id").agg(
-        F.collect_list(F.struct(F.col("expanded_minute").alias("minute"), F.col("goal_team_id").alias("team"))).alias("goals")
-    )
-    return counted(on_pitch.join(games, "game_id", "left"))
+    A game's goals are a list on the row of the game, one entry for each minute and team with their number, so players meet
+    them in one join on the game, nothing is multiplied or grouped again, and the list is no longer than a game has minutes."""
+    each = scored.groupBy("game_id", F.col("expanded_minute").alias("minute"), F.col("goal_team_id").alias("team")).agg(F.count("*").alias("n"))
+    games = each.groupBy("game_id").agg(F.collect_list(F.struct("minute", "team", "n")).alias("goals"))
+    return _counted(on_pitch.join(games, "game_id", "left"), lambda which: f"aggregate(goals, 0L, (s, g) -> if({_INSIDE} and g.team {which} team_id, s + g.n, s))")
+
+
+_INSIDE = "g.minute > minute_on and g.minute < minute_off"
 
 
 def counted(on_pitch: DataFrame) -> DataFrame:
     """on_pitch with goals, a list of (minute, team) or null, as goals_for and goals_against."""
-    inside = "g.minute > minute_on and g.minute < minute_off"
-    count = lambda which: f"cast(coalesce(size(filter(goals, g -> {inside} and g.team {which} team_id)), 0) as long)"
+    return _counted(on_pitch, lambda which: f"cast(size(filter(goals, g -> {_INSIDE} and g.team {which} team_id)) as long)")
+
+
+def _counted(on_pitch: DataFrame, count: Callable[[str], str]) -> DataFrame:
     keep = [c for c in on_pitch.columns if c != "goals"]
     none = "if(goals is null, 0L, {})"
     return on_pitch.selectExpr(*keep, none.format(count("=")) + " as goals_for", none.format(count("<>")) + " as goals_against")
