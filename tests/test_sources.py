@@ -208,3 +208,25 @@ def test_links_by_functions(spark):
     assert [(r.key, r.url, r.text) for r in got.orderBy("ordinal").collect()] == [
         ("p", "/a?b=1&c=2", "One <b>"), ("p", "/bare", "Two parts"), ("p", "/n", "N")
     ]
+
+
+def test_documents_in_parts(spark, tmp_path):
+    """A day of very many events makes no row that grows with them, and its parts read as one document."""
+    from touchline import adapters
+    from touchline.sources import matches
+
+    n = 5000
+    rows = spark.range(n).selectExpr(
+        "id as event_id", "timestamp'2024-01-01 10:00:00' as ts", "id % 900 as user_id", "if(id % 3 = 0, 'purchase', 'view') as event_type", "1D as value",
+        """concat('{"k": ', id % 100, '}') as props"""
+    )
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    docs = adapters.documents(spark, str(tmp_path)).persist()
+    most = docs.selectExpr("max(size(events)) as e", "max(size(playerIdNameDictionary)) as p", "max(size(home.players) + size(away.players)) as l").first()
+    assert most.e <= adapters.PART + 1 and most.p <= adapters.PART and most.l <= adapters.PART
+    got = matches.events(docs, feed_id=True).orderBy("event_ordinal").collect()
+    assert [r.event_ordinal for r in got] == list(range(n + 1)) and [r.feed_id for r in got] == [*range(n), None] and got[-1].type == "End"
+    assert all(r.player == (f"P{r.player_id}" if r.player_id % 4 < 2 else str(r.player_id)) for r in got[:-1])
+    assert sorted(r.player_id for r in matches.lineups(docs).collect()) == list(range(900))
+    assert matches.teams(docs).count() == 2 and matches.home_teams(docs).count() == 1
+    docs.unpersist()

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from .schemas import EVENT
 
 LAST_MINUTE = 94
+#: Numbers of events that one part of a document spans.
+PART = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +62,10 @@ def entries(events: DataFrame) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A match document for each day of events, with the fields that sources.matches.read gives."""
-    e, k = event_rows(spark, sf_dir).where("player_id is not null"), F.col("k")
+    """A match document for each day of events, with the fields that sources.matches.read gives, in parts of PART events: a
+    day has as many events as the table brings, and no row, list or map of names grows with them."""
+    number = F.coalesce(F.floor(F.col("event_ordinal") / PART), F.lit(-(1 << 62)))
+    e, k = event_rows(spark, sf_dir).where("player_id is not null").withColumn("part", number), F.col("k")
     label = lambda c: F.struct(F.lit(1).alias("value"), c.alias("displayName"))
     kind = F.col("event_type")
     name = F.when(F.col("type") == "Goal", "Goal").when(kind == "purchase", "MissedShots")
@@ -93,20 +97,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("players"),
     )
-    games = e.groupBy("game_id").agg(
+    parts = e.groupBy("game_id", "part").agg(
         F.array_sort(F.collect_list(F.struct(F.col("event_ordinal").alias("o"), F.to_json(event).alias("e")))).alias("events"),
-        F.array_sort(F.collect_set("player_id")).alias("players")
+        F.array_sort(F.collect_set("player_id")).alias("named")
     )
+    before = Window.partitionBy("game_id").orderBy("part")
+    places = e.groupBy("game_id", "part").agg(F.count("*").alias("n")).select(
+        "game_id", "part", F.coalesce(F.sum("n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first_event"),
+        F.lead("part").over(before).isNull().alias("last")
+    )
+    # who starts is in the line-up of the part that sees the player first
+    starters = e.groupBy("game_id", "player_id").agg(F.min("part").alias("part")).groupBy("game_id", "part").agg(
+        F.array_sort(F.collect_list("player_id")).alias("players")
+    )
+    for more in (places, starters):
+        more = more.withColumnsRenamed({"game_id": "__game", "part": "__part"})
+        parts = parts.join(more, F.col("game_id").eqNullSafe(F.col("__game")) & (F.col("part") == F.col("__part")), "left").drop("__game", "__part")
+    games = parts.withColumn("players", F.coalesce("players", F.array().cast("array<long>")))
     # names of every other player, so that the rest keep their numbers
     named = F.map_from_entries(
         F.transform(
-            F.filter("players", lambda p: p % 4 < 2),
+            F.filter("named", lambda p: p % 4 < 2),
             lambda p: F.struct(p.cast("string").alias("key"), F.concat(F.lit("P"), p.cast("string")).alias("value"))
         )
     )
-    events = F.transform(F.concat(F.transform("events", lambda x: x["e"]), F.array(end)), lambda x: F.from_json(x, EVENT))
+    ended = F.when(F.col("last"), F.array(end)).otherwise(F.array().cast("array<string>"))
+    events = F.transform(F.concat(F.transform("events", lambda x: x["e"]), ended), lambda x: F.from_json(x, EVENT))
     return games.select(
-        "game_id", named.alias("playerIdNameDictionary"), side(1, "One").alias("home"), side(2, "Two").alias("away"), events.alias("events")
+        "game_id", "first_event", named.alias("playerIdNameDictionary"), side(1, "One").alias("home"), side(2, "Two").alias("away"), events.alias("events")
     )
 
 

@@ -286,11 +286,7 @@ case when t in ('Goal', 'MissedShots') then null else cast(k * 13 % 100 as doubl
 when t = 'Card' then 'Red' end as card_type from sv
 union all select distinct game_id, null, 'End', {A.LAST_MINUTE}, null, null, null, null, false, null from sv""")
 def document_events(spark, sf):
-    docs = A.documents(spark, sf)
-    ids = docs.select("game_id", F.posexplode("events").alias("event_ordinal", "e")).select(
-        "game_id", "event_ordinal", F.col("e.id").cast("long").alias("feed_id")
-    )
-    rows = matches.events(docs).join(ids, ["game_id", "event_ordinal"])
+    rows = matches.events(A.documents(spark, sf), feed_id=True)
     return rows.select("game_id", "feed_id", "type", "expanded_minute", "team_id", "team", "player", "end_x", "is_goal", "card_type")
 
 
@@ -313,7 +309,7 @@ def document_teams(spark, sf):
 @query(f"with {A.STREAM}, g as (select distinct game_id from sv) select distinct 'One' as home_team, cast(1 as bigint) as team_id from g")
 def home_team_ids(spark, sf):
     docs = A.documents(spark, sf)
-    schedule = docs.select("game_id", F.lit("One").alias("home_team"), F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("date"))
+    schedule = matches.home_teams(docs).select("game_id", F.lit("One").alias("home_team"), F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("date"))
     return matches.team_ids(schedule, docs)
 
 
@@ -322,7 +318,7 @@ select game_id, strptime(cast(game_id as varchar), '%Y%m%d')::date as day_, play
 else 'Two' end as team_name, cast(team_id = 1 as int) as home, 1 as starter, cast(player_id % 99 as int) as kit_number from g""")
 def player_info(spark, sf):
     docs = A.documents(spark, sf)
-    games = docs.select("game_id", F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("day"), F.lit("L").alias("league"))
+    games = matches.home_teams(docs).select("game_id", F.to_date(F.col("game_id").cast("string"), "yyyyMMdd").alias("day"), F.lit("L").alias("league"))
     return prepare.player_info(docs, games).select(
         "game_id", F.col("day").alias("day_"), "player_id", "player_name", "team_name", "home", "starter", "kit_number"
     )
@@ -380,7 +376,7 @@ def player_game_rows(spark, sf):
 
 @query(f"with {A.STREAM} select game_id, cast(count(*) + 1 as int) as n_events from sv group by game_id")
 def document_raw(spark, sf):
-    return matches.raw(A.documents(spark, sf)).select("game_id", F.size("events").alias("n_events"))
+    return matches.raw(A.documents(spark, sf)).groupBy("game_id").agg(F.sum(F.size("events")).cast("int").alias("n_events"))
 
 
 @query(f"with {A.STREAM} select distinct game_id, cast(1 as bigint) as home_team_id from sv")

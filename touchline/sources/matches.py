@@ -1,4 +1,7 @@
-"""Match documents: one JSON file per game, in events/<league>_<season>/<game_id>.json."""
+"""Match documents: one JSON file per game, in events/<league>_<season>/<game_id>.json.
+
+A document of very many events may come in parts, rows with the place of their first event in first_event (0 in one part of each
+game). A part names the players of its events; each player of the line-up is in one part. Documents without first_event are whole."""
 
 from __future__ import annotations
 
@@ -41,12 +44,21 @@ def _event(e: str = "e") -> dict[str, Column]:
     }
 
 
-def events(docs: DataFrame) -> DataFrame:
+FIRST = "first_event"
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """One row per document, which may come in parts."""
+    return docs.where(F.col(FIRST) == 0) if FIRST in docs.columns else docs
+
+
+def events(docs: DataFrame, feed_id: bool = False) -> DataFrame:
     """One row per event: game_id, event_ordinal (its place in the document) and the event columns, labels as their
     names. Names of players and teams come from the document's own maps, so no join is needed; an id without a name is
-    its own name."""
+    its own name. With feed_id also that: the feed's number of the event."""
+    first = [FIRST] if FIRST in docs.columns else []
     each = docs.select(
-        "game_id", "playerIdNameDictionary", F.col("home.teamId").alias("__home"), F.col("home.name").alias("__home_name"),
+        "game_id", *first, "playerIdNameDictionary", F.col("home.teamId").alias("__home"), F.col("home.name").alias("__home_name"),
         F.col("away.teamId").alias("__away"), F.col("away.name").alias("__away_name"), F.posexplode("events").alias("event_ordinal", "e")
     )
     cols = _event()
@@ -56,11 +68,13 @@ def events(docs: DataFrame) -> DataFrame:
     cols["team"] = F.when(
         team == F.col("__home"), F.col("__home_name")
     ).when(team == F.col("__away"), F.col("__away_name")).otherwise(team.cast("string"))
-    return each.select("game_id", "event_ordinal", *(cols[c].alias(c) for c in EVENT_COLUMNS))
+    ordinal = F.col("event_ordinal") + F.col(FIRST) if first else F.col("event_ordinal")
+    own = [F.col("e.id").cast("long").alias("feed_id")] if feed_id else []
+    return each.select("game_id", ordinal.alias("event_ordinal"), *own, *(cols[c].alias(c) for c in EVENT_COLUMNS))
 
 
 def raw(docs: DataFrame) -> DataFrame:
-    """(game_id, events): the events as the documents have them."""
+    """(game_id, events): the events as the documents, or their parts, have them."""
     return docs.select("game_id", "events")
 
 
@@ -83,12 +97,12 @@ def teams(docs: DataFrame) -> DataFrame:
             ) for s in ("home", "away")
         )
     )
-    return docs.select("game_id", F.explode(sides).alias("s")).select("game_id", "s.*")
+    return _once(docs).select("game_id", F.explode(sides).alias("s")).select("game_id", "s.*")
 
 
 def home_teams(docs: DataFrame) -> DataFrame:
     """(game_id, home_team_id), 0 where the document has none."""
-    return docs.select("game_id", F.coalesce("home.teamId", F.lit(0)).alias("home_team_id"))
+    return _once(docs).select("game_id", F.coalesce("home.teamId", F.lit(0)).alias("home_team_id"))
 
 
 def team_ids(schedule: DataFrame, docs: DataFrame) -> DataFrame:
