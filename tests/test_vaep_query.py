@@ -39,3 +39,21 @@ def test_value_sums_of_the_default_models(spark, monkeypatch):
                 want[r.game_id, r.player_id] += scores - scored + conceded - concedes
     assert len(rows) == len(got) == len(want) and any(want.values())
     assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_both_models_read_vectors_made_once_and_kept_on_disk(spark, monkeypatch):
+    seen = []
+
+    class Trees:
+        def __init__(self, **params):
+            self.label = params["labelCol"]
+
+        def fit(self, data):
+            seen.append((self.label, data.columns, data.storageLevel.useMemory, data.storageLevel.useDisk, data.count()))
+            return self
+
+    monkeypatch.setattr(actionvalue, "GBTClassifier", Trees)
+    actions = adapters.actions(spark, SF)
+    actionvalue.fit(actions)
+    columns = ["scores", "concedes", "held_back", "features"]
+    assert seen == [(label, columns, False, True, actions.count()) for label in ("scores", "concedes")]

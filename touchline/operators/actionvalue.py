@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 import math
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -107,10 +108,12 @@ def fit(actions: DataFrame, seed: int = 7, validation: float = VALIDATION, **par
     if validation:
         data = data.withColumn("held_back", fraction(F.col("game_id"), F.col("period_id"), F.col("action_id"), seed=seed) < validation)
         more |= {"validationIndicatorCol": "held_back"}
-    data = data.select("scores", "concedes", *(["held_back"] if validation else []), *feature_names()).persist()
-    stages = lambda label: [VectorAssembler(inputCols=feature_names(), outputCol="features"), GBTClassifier(labelCol=label, seed=seed, **more)]
+    assembler = VectorAssembler(inputCols=feature_names(), outputCol="features")
+    data = assembler.transform(data).select("scores", "concedes", *(["held_back"] if validation else []), "features")
+    # read a few times for each model, which keeps its own form of it in memory
+    data = data.persist(StorageLevel.DISK_ONLY)
     try:
-        return Pipeline(stages=stages("scores")).fit(data), Pipeline(stages=stages("concedes")).fit(data)
+        return tuple(PipelineModel([assembler, GBTClassifier(labelCol=label, seed=seed, **more).fit(data)]) for label in ("scores", "concedes"))
     finally:
         data.unpersist()
 
